@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from derlem.llm import canonical, neardup, overlap
+from derlem.llm import canonical, markup, neardup, overlap, pairs, truncation
 from derlem.sources.tables import first_content, table
 
 
@@ -66,11 +66,61 @@ def p5_collapsed(spark: SparkSession, d: str) -> DataFrame:
     return dup.filter("id = first").select(F.col("first").alias("ilk_kayit_no"), F.col("copies").alias("kopya"))
 
 
+def _messages(spark: SparkSession, d: str) -> DataFrame:
+    """(id, part, text) of the user and assistant contents of sft_record."""
+    return (
+        table(spark, d, "sft_record")
+        .select(F.col("kayit_no").alias("id"), F.explode("messages").alias("m"))
+        .filter("m.role in ('user', 'assistant') and m.content is not null")
+        .select("id", F.col("m.role").alias("part"), F.col("m.content").alias("text"))
+    )
+
+
+def _dialogues(spark: SparkSession, d: str) -> DataFrame:
+    """(id, user, assistant) of sft_record."""
+    return table(spark, d, "sft_record").select(F.col("kayit_no").alias("id"), first_content("user").alias("user"), first_content("assistant").alias("assistant"))
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    got = markup.convert(_messages(spark, d), with_text=False)
+    return got.select(F.col("id").alias("kayit_no"), F.col("part").alias("rol"), F.explode("kinds").alias("bicim")).distinct()
+
+
+def p2_clean(spark: SparkSession, d: str) -> DataFrame:
+    """The clean text of every message that held markup."""
+    got = markup.convert(_messages(spark, d))
+    return got.filter("size(kinds) > 0").select(F.col("id").alias("kayit_no"), F.col("part").alias("rol"), F.concat_ws(",", "kinds").alias("bicimler"), F.col("clean").alias("metin"))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return pairs.defects(_dialogues(spark, d)).select(F.col("id").alias("kayit_no"), F.col("defect").alias("kusur"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.truncated(_dialogues(spark, d)).select(F.col("id").alias("kayit_no"), F.col("role").alias("rol"))
+
+
+def p7_report(spark: SparkSession, d: str) -> DataFrame:
+    """Per source_pdf: its records, those with a cut message, and their share."""
+    cut = p7_found(spark, d).groupBy("kayit_no").agg(F.count("*").alias("kesik_ileti"))
+    rows = table(spark, d, "sft_record").select("kayit_no", F.col("meta.source_pdf").alias("source_pdf"))
+    return (
+        rows.join(cut, "kayit_no", "left").groupBy("source_pdf")
+        .agg(F.count("*").alias("kayit"), F.count("kesik_ileti").alias("kesik"), F.coalesce(F.sum("kesik_ileti"), F.lit(0)).alias("kesik_ileti"))
+        .withColumn("pay", F.col("kesik") / F.col("kayit"))
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_groups": p1_groups,
+    "p2_found": p2_found,
+    "p2_clean": p2_clean,
     "p3_found": p3_found,
     "p3_report": p3_report,
+    "p4_found": p4_found,
     "p5_found": p5_found,
     "p5_collapsed": p5_collapsed,
+    "p7_found": p7_found,
+    "p7_report": p7_report,
 }

@@ -15,7 +15,6 @@ import unicodedata
 import numpy as np
 import xxhash
 
-ONE_I = str.maketrans("ıİI", "iii")
 WORD = re.compile(r"[^\W_]+")
 PRIME = np.uint64((1 << 61) - 1)
 
@@ -23,7 +22,8 @@ PRIME = np.uint64((1 << 61) - 1)
 def fold(text: str) -> str:
     if not text.isascii():
         text = unicodedata.normalize("NFC", text)
-    return text.translate(ONE_I).casefold()
+        text = text.replace("İ", "i").replace("ı", "i")  # far faster than translate()
+    return text.casefold()
 
 
 def words(text: str) -> list[str]:
