@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from derlem.llm import canonical, markup, neardup, overlap, pairs, truncation
+from derlem.llm import bpe, canonical, markup, mix, neardup, overlap, pairs, scan, subjects, truncation
+from derlem.llm.words import fold
 from derlem.sources.tables import first_content, table
 
 
@@ -96,6 +97,30 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.defects(_dialogues(spark, d)).select(F.col("id").alias("kayit_no"), F.col("defect").alias("kusur"))
 
 
+def _titles(spark: SparkSession, d: str) -> frozenset[str]:
+    """Folded words of book titles: publishers and subjects of package_map and subject_area, two fixed small tables."""
+    rows = table(spark, d, "package_map").select(F.concat_ws(" ", "yayinevi", "ders").alias("t")).unionByName(table(spark, d, "subject_area").select(F.col("name").alias("t"))).collect()
+    fixed = "Bölüm Soru Bankası Ders Notları ve"
+    return frozenset(w for t in [fixed, *(r["t"] for r in rows if r["t"])] for w in scan.LETTERS.findall(fold(t)))
+
+
+def _scanned(spark: SparkSession, d: str) -> DataFrame:
+    """(id, part, text): messages of sft_record and soru of repair_request."""
+    soru = table(spark, d, "repair_request").filter("soru is not null").select(F.col("kayit_no").alias("id"), F.lit("soru").alias("part"), F.col("soru").alias("text"))
+    return _messages(spark, d).unionByName(soru)
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    got = scan.repaired(_scanned(spark, d), _titles(spark, d), with_text=False)
+    return got.select(F.col("id").alias("kayit_no"), F.col("part").alias("alan"), F.explode("kinds").alias("gurultu")).distinct()
+
+
+def p6_repaired(spark: SparkSession, d: str) -> DataFrame:
+    """The repaired text of every field that held noise."""
+    got = scan.repaired(_scanned(spark, d), _titles(spark, d))
+    return got.filter("size(kinds) > 0").select(F.col("id").alias("kayit_no"), F.col("part").alias("alan"), F.concat_ws(",", "kinds").alias("gurultuler"), F.col("clean").alias("metin"))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return truncation.truncated(_dialogues(spark, d)).select(F.col("id").alias("kayit_no"), F.col("role").alias("rol"))
 
@@ -111,6 +136,35 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    return bpe.encode(table(spark, d, "documents"))
+
+
+def _mix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    goal = table(spark, d, "mix_target")
+    docs = table(spark, d, "documents").join(F.broadcast(goal.select("source")), "source").select("doc_id", "source", "text")
+    sizes = bpe.encode(docs, counts_only=True).join(docs.select("doc_id", "source"), "doc_id")
+    return mix.mix(sizes, goal)
+
+
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d)[0]
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d)[1]
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return subjects.subjects(table(spark, d, "documents"), table(spark, d, "doc_label"))
+
+
+def p10_composition(spark: SparkSession, d: str) -> DataFrame:
+    """Documents and code points per subject; a document of two subjects counts in both."""
+    docs = table(spark, d, "documents").select("doc_id", F.length("text").alias("n"))
+    return p10_found(spark, d).join(docs, "doc_id").groupBy("subject").agg(F.count("*").alias("belge"), F.sum("n").alias("harf"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_groups": p1_groups,
@@ -121,6 +175,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_found": p4_found,
     "p5_found": p5_found,
     "p5_collapsed": p5_collapsed,
+    "p6_found": p6_found,
+    "p6_repaired": p6_repaired,
     "p7_found": p7_found,
     "p7_report": p7_report,
+    "p8_ids": p8_ids,
+    "p9_mix": p9_mix,
+    "p9_shares": p9_shares,
+    "p10_found": p10_found,
+    "p10_composition": p10_composition,
 }
