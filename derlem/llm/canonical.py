@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from derlem.llm.words import fold
+from derlem.session import materialize
 
 DROP = re.compile(r"[\W_]+")
 OPTION = re.compile(r"^\W*([A-Ea-e])\s*[).:\-–](?=\s|$)\s*(.*)$", re.S)
@@ -106,7 +107,7 @@ def formatting_duplicates(records: DataFrame) -> DataFrame:
     Digests alone are shuffled first; only rows whose digest occurs twice are canonicalised again and
     compared as a whole: rows of one digest but different structure fall apart into their own sets.
     """
-    roots = hashed(records, False)
+    roots = materialize(hashed(records, False), "merkle-roots")
     twice = roots.groupBy("root").agg(F.count("*").alias("n"), F.min("id").alias("least")).filter("n > 1")
     ids = roots.join(twice.select("root"), "root", "left_semi").select("id")
     full = hashed(records.join(ids, "id", "left_semi"), True)

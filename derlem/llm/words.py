@@ -8,9 +8,10 @@ repetition over, for each word, the larger of both counts.
 
 from __future__ import annotations
 
-import hashlib
 import re
 import unicodedata
+from collections import Counter
+from itertools import chain
 
 import numpy as np
 import xxhash
@@ -31,10 +32,7 @@ def words(text: str) -> list[str]:
 
 
 def counts(text: str) -> dict[str, int]:
-    out: dict[str, int] = {}
-    for w in words(text):
-        out[w] = out.get(w, 0) + 1
-    return out
+    return Counter(words(text))
 
 
 def similarity(a: dict[str, int], b: dict[str, int]) -> float:
@@ -46,12 +44,6 @@ def similarity(a: dict[str, int], b: dict[str, int]) -> float:
     return shared / union if union else 0.0
 
 
-def bag_digest(bag: dict[str, int]) -> tuple[int, int]:
-    """128 bits of the word multiset as two signed longs: equal multisets share it."""
-    d = hashlib.blake2b("\x1f".join(f"{w}\x1e{n}" for w, n in sorted(bag.items())).encode(), digest_size=16).digest()
-    return int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True)
-
-
 class Minwise:
     """k minwise hash values for each of many texts, vectorised over a batch."""
 
@@ -60,31 +52,40 @@ class Minwise:
         self.k = k
         self.a = (rng.integers(1, 1 << 62, k, dtype=np.int64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
         self.b = rng.integers(0, 1 << 62, k, dtype=np.int64).astype(np.uint64)
-        self.known: dict[str, list[int]] = {}
+        self.first: dict[str, int] = {}
 
     def element_hashes(self, bag: dict[str, int]) -> list[int]:
         """A 64-bit hash of each (word, occurrence)."""
-        out, known = [], self.known
-        for w, n in bag.items():
-            h = known.get(w)
-            if h is None:
-                if len(known) > 200_000:  # a memo, not a vocabulary: emptied when large
-                    known.clear()
-                h = known[w] = [xxhash.xxh64_intdigest(w, 0)]
-            while len(h) < n:
-                h.append(xxhash.xxh64_intdigest(w, len(h)))
-            out += h[:n]
+        first = self.first
+        try:
+            out = [first[w] for w in bag]
+        except KeyError:
+            if len(first) > 200_000:  # a memo, not a vocabulary: emptied when large
+                first.clear()
+            for w in bag:
+                if w not in first:
+                    first[w] = xxhash.xxh64_intdigest(w, 0)
+            out = [first[w] for w in bag]
+        if sum(bag.values()) > len(out):
+            for w, n in bag.items():
+                for k in range(1, n):
+                    out.append(xxhash.xxh64_intdigest(w, k))
         return out
 
-    def __call__(self, bags: list[dict[str, int]]) -> np.ndarray:
-        """uint32 [len(bags), k]; bags must not be empty."""
+    def __call__(self, bags: list[dict[str, int]]) -> tuple[np.ndarray, np.ndarray]:
+        """(uint32 [len(bags), k] minwise values, int64 [len(bags), 2] digests: equal multisets share theirs).
+
+        bags must not be empty.
+        """
         flat = [self.element_hashes(b) for b in bags]
         sizes = np.fromiter(map(len, flat), np.int64, len(flat))
-        every = np.fromiter((h for f in flat for h in f), np.uint64, int(sizes.sum()))
+        every = np.fromiter(chain.from_iterable(flat), np.uint64, int(sizes.sum()))
+        starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        mixed = (every ^ (every >> np.uint64(29))) * self.a[0]
+        digests = np.stack([np.add.reduceat(every, starts), np.add.reduceat(mixed ^ (mixed >> np.uint64(32)), starts)], axis=1).astype(np.int64)
         uniq, at = np.unique(every, return_inverse=True)
         out = np.empty((len(bags), self.k), np.uint32)
-        starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
         for i in range(0, self.k, 16):  # blocks of hash functions keep the work in the cache
             h = ((uniq[:, None] * self.a[None, i : i + 16] + self.b[None, i : i + 16]) >> np.uint64(32)).astype(np.uint32)
             out[:, i : i + 16] = np.minimum.reduceat(h[at], starts, axis=0)
-        return out
+        return out, digests
