@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from derlem.llm.components import connected_components
-from derlem.llm.words import Minwise, bag_digest, counts, similarity
+from derlem.llm.words import Minwise, counts, similarity
 from derlem.session import materialize
 
 SEGMENTS, SEGMENT = 8, 7
@@ -50,15 +50,14 @@ def signatures(texts: DataFrame) -> DataFrame:
                 rows = [(i, b) for i, t in zip(ids[at : at + BLOCK], values[at : at + BLOCK]) if t and (b := counts(t))]
                 if not rows:
                     continue
-                m = minwise([b for _, b in rows])
+                m, digests = minwise([b for _, b in rows])
                 fp = (m[:, :SYMBOLS] & 255).astype(np.uint8)
-                bits = np.packbits((m[:, SYMBOLS:] & 1).astype(np.uint8), axis=1).view(">i8").astype(np.int64)
-                digests = [bag_digest(b) for _, b in rows]
+                bits = packed_bits(m[:, SYMBOLS:])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([i for i, _ in rows], pa.int64()),
-                        pa.array([d[0] for d in digests], pa.int64()),
-                        pa.array([d[1] for d in digests], pa.int64()),
+                        pa.array(digests[:, 0]),
+                        pa.array(digests[:, 1]),
                         pa.array([r.tobytes() for r in fp], pa.binary()),
                         pa.array(bits[:, 0]),
                         pa.array(bits[:, 1]),
@@ -77,6 +76,16 @@ def class_table(sig: DataFrame, *extra: str) -> tuple[DataFrame, DataFrame]:
     return reps, members
 
 
+def packed_bits(m: np.ndarray) -> np.ndarray:
+    """int64 [n, 2] of the lowest bits of 128 minwise values each."""
+    return np.packbits((m & 1).astype(np.uint8), axis=1).view(">i8").astype(np.int64)
+
+
+def distance(x: str, y: str) -> F.Column:
+    """Hamming distance of the 128 bits (s1, s2) of two aliases."""
+    return F.bit_count(F.col(f"{x}.s1").bitwiseXOR(F.col(f"{y}.s1"))) + F.bit_count(F.col(f"{x}.s2").bitwiseXOR(F.col(f"{y}.s2")))
+
+
 def ball_keys() -> F.Column:
     """The keys of a fingerprint: for each segment and each position left out, a hash of the rest."""
     out = []
@@ -127,9 +136,8 @@ def near_duplicates(texts: DataFrame, threshold: float = 0.75) -> tuple[DataFram
     heads = reps.select("w1", "w2", F.col("rep").alias("id")).join(sig, ["w1", "w2", "id"]).select("id", "fp", "s1", "s2")
     entries = heads.select("id", "s1", "s2", F.explode(ball_keys()).alias("key"))
     x, y = entries.alias("x"), entries.alias("y")
-    distance = F.bit_count(F.col("x.s1").bitwiseXOR(F.col("y.s1"))) + F.bit_count(F.col("x.s2").bitwiseXOR(F.col("y.s2")))
     met = (
-        x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (distance <= MAX_BITS))
+        x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (distance("x", "y") <= MAX_BITS))
         .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
         .distinct()
     )
