@@ -2,8 +2,8 @@
 
 Elements are the words of words.py with repetition (shingles of one word, since the similarity asked
 for is that of word multisets). Each text gets BANDS keys of ROWS minwise values; texts of different
-splits that share a key are candidates, pairs within a split are never formed. Candidates are verified
-exactly. Texts with equal word multisets are one class per split, so hot copies meet once.
+splits that share a key are candidates, pairs within a split are never formed. Of those whose signatures differ in
+more than MAX_BITS of 128 bits none can be expected to reach the threshold; the rest is verified exactly. Texts with equal word multisets are one class per split, so hot copies meet once.
 
 Chance to miss a pair of similarity s: (1 - s^ROWS)^BANDS: 0.2 % at 0.75, 0.006 % at 0.8.
 Null texts and texts without a word take no part.
@@ -18,42 +18,45 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from derlem.llm.neardup import BLOCK, class_table, verified
-from derlem.llm.words import Minwise, bag_digest, counts
+from derlem.llm.neardup import BLOCK, MAX_BITS, class_table, distance, packed_bits, verified
+from derlem.llm.words import Minwise, counts
 from derlem.session import materialize
 
 BANDS, ROWS, SEED = 32, 6, 30_011
 
 
 def band_table(texts: DataFrame) -> DataFrame:
-    """texts(id, text) -> (id, w1, w2, keys array<long>)."""
+    """texts(id, text) -> (id, w1, w2, keys array<long>, s1, s2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         minwise = Minwise(BANDS * ROWS, SEED)
         mix = (np.random.default_rng(SEED).integers(1, 1 << 62, BANDS * ROWS, dtype=np.int64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
         for batch in batches:
-            ids, values = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for at in range(0, len(ids), BLOCK):
-                rows = [(i, b) for i, t in zip(ids[at : at + BLOCK], values[at : at + BLOCK]) if t and (b := counts(t))]
+                rows = [(i, b) for i, t in zip(ids[at : at + BLOCK], texts[at : at + BLOCK]) if t and (b := counts(t))]
                 if not rows:
                     continue
-                m = (minwise([b for _, b in rows]).astype(np.uint64) + np.uint64(1)) * mix[None, :]
+                values, digests = minwise([b for _, b in rows])
+                bits = packed_bits(values[:, :128])
+                m = (values.astype(np.uint64) + np.uint64(1)) * mix[None, :]
                 m ^= m >> np.uint64(29)
                 keys = m.reshape(len(rows), BANDS, ROWS).sum(axis=2, dtype=np.uint64)
                 keys = (keys ^ (keys >> np.uint64(32))) * mix[None, :BANDS]
                 flat = pa.array(keys.astype(np.int64).ravel())
-                digests = [bag_digest(b) for _, b in rows]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([i for i, _ in rows], pa.int64()),
-                        pa.array([d[0] for d in digests], pa.int64()),
-                        pa.array([d[1] for d in digests], pa.int64()),
+                        pa.array(digests[:, 0]),
+                        pa.array(digests[:, 1]),
                         pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, BANDS, dtype=np.int32)), flat),
+                        pa.array(bits[:, 0]),
+                        pa.array(bits[:, 1]),
                     ],
-                    names=["id", "w1", "w2", "keys"],
+                    names=["id", "w1", "w2", "keys", "s1", "s2"],
                 )
 
-    return texts.select("id", "text").mapInArrow(run, "id long, w1 long, w2 long, keys array<long>")
+    return texts.select("id", "text").mapInArrow(run, "id long, w1 long, w2 long, keys array<long>, s1 long, s2 long")
 
 
 def cross_split_overlaps(train: DataFrame, held_out: DataFrame, threshold: float = 0.75) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -66,9 +69,10 @@ def cross_split_overlaps(train: DataFrame, held_out: DataFrame, threshold: float
         sig = materialize(band_table(df), f"overlap-{label}")
         reps, members = class_table(sig)
         heads = sig.join(reps.select("w1", "w2", F.col("rep").alias("id")), ["w1", "w2", "id"], "left_semi")
-        sides.append((heads.select("id", F.explode("keys").alias("key")), members))
+        sides.append((heads.select("id", "s1", "s2", F.explode("keys").alias("key")), members))
     (x, mx), (y, my) = sides
-    met = x.select(F.col("id").alias("a"), "key").join(y.select(F.col("id").alias("b"), "key"), "key").select("a", "b").distinct()
+    meet = (F.col("x.key") == F.col("y.key")) & (distance("x", "y") <= MAX_BITS)
+    met = x.alias("x").join(y.alias("y"), meet).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     met = materialize(met, "overlap-met")
     return verified(met, train.select("id", "text"), held_out.select("id", "text"), threshold), mx, my
 
