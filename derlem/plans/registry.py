@@ -1,10 +1,351 @@
-"""The core engine's queries and their SQL."""
+"""The core engine's queries over the project's tables, each with its SQL where SQL can state it."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+from derlem.functions import dictionary, latex
+from derlem.functions import text as X
+from derlem.operators import decisions, dedup, extract, quality, sampling, validate
+from derlem.sources.tables import first_content, table
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+# ---------------------------------------------------------------------------------------------- shared inputs
+
+
+def sft(spark: SparkSession, d: str) -> DataFrame:
+    """kayit_no, id, user, assistant, source_pdf, grup of sft_record."""
+    return table(spark, d, "sft_record").select(
+        "kayit_no", "id", first_content("user").alias("soru"), first_content("assistant").alias("icerik"), F.col("meta.source_pdf").alias("source_pdf"), F.col("meta.grup").alias("grup")
+    )
+
+
+def keyed(spark: SparkSession, d: str) -> DataFrame:
+    return sft(spark, d).filter("soru is not null").withColumn("anahtar_id", X.short_hash(X.question_key("soru")))
+
+
+def flagged(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "flagged_record").withColumn("anahtar_id", X.short_hash(X.question_key("soru")))
+
+
+def held_out(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "eval_record").withColumn("anahtar_id", X.short_hash(X.question_key("soru")))
+
+
+def cleaned(spark: SparkSession, d: str) -> DataFrame:
+    """Parsed records with their flags: kayit_no, id, govde, siklar, aciklama, cevap, bayrak."""
+    rec = sft(spark, d).select("kayit_no", "id", extract.options_of(latex.clean_text("soru")).alias("p"), X.explanation("icerik").alias("aciklama"), X.answer_letter("icerik").alias("cevap"))
+    rec = rec.filter("cevap is not null")
+    flags = quality.review_flags(F.col("p.govde"), F.col("p.siklar"), F.col("aciklama"), F.col("cevap"), F.lit(False), F.col("p.onarim"), F.col("p.sorun"))
+    return rec.select("kayit_no", "id", "p.govde", "p.siklar", "aciklama", "cevap", flags.alias("bayrak"))
+
+
+# ---------------------------------------------------------------------------------------------- queries
+
+
+def train_set(spark: SparkSession, d: str) -> DataFrame:
+    """Accepted training records: gates, longest per question, none that the evaluation splits hold."""
+    told = X.explanation("icerik")
+    ok = keyed(spark, d).filter((F.length("soru") >= 40) & (F.length(told) >= 60))
+    best = dedup.keep_longest(ok, "anahtar_id", "icerik", "kayit_no", "source_pdf")
+    return dedup.without(best, held_out(spark, d), on="anahtar_id").select("anahtar_id", "kayit_no", "copies", F.array_join("sources", ",").alias("sources"))
+
+
+def question_keys(spark: SparkSession, d: str) -> DataFrame:
+    return keyed(spark, d).select("kayit_no", "anahtar_id", X.content_hash("soru").alias("icerik_ozeti"))
+
+
+def stale_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Records whose stored key differs from the key of their question."""
+    rec = table(spark, d, "sft_record").select("kayit_no", first_content("user").alias("soru"), F.col("meta.anahtar_id").alias("eski"))
+    return rec.filter("soru is not null").withColumn("yeni", X.short_hash(X.question_key("soru"))).filter("not (eski <=> yeni)").select("kayit_no", "eski", "yeni")
+
+
+def duplicates_kept(spark: SparkSession, d: str) -> DataFrame:
+    best = dedup.keep_longest(keyed(spark, d).filter("icerik is not null"), "anahtar_id", "icerik", "kayit_no", "source_pdf")
+    return best.filter("copies > 1").select("anahtar_id", "kayit_no", "copies", F.array_join("sources", ",").alias("sources"))
+
+
+def contradicting(spark: SparkSession, d: str) -> DataFrame:
+    rec = keyed(spark, d).withColumn("harf", X.answer_letter("icerik"))
+    return dedup.contradictions(rec, "anahtar_id", "harf").select("kayit_no", "anahtar_id", F.concat(F.lit("celiskili_cevap("), "letters", F.lit(")")).alias("sorun"))
+
+
+def near_exact_losers(spark: SparkSession, d: str) -> DataFrame:
+    """Rows whose question, case and spacing aside, another row has: all but the reviewed, then longest, then first."""
+    seen = decisions.latest(table(spark, d, "decision")).select("id", F.lit(1).alias("incelendi"))
+    rec = sft(spark, d).filter("soru is not null").withColumn("k", X.content_hash("soru")).join(seen, "id", "left")
+    best = rec.groupBy("k").agg(F.max_by("kayit_no", F.struct(F.coalesce("incelendi", F.lit(0)), F.length(F.coalesce("icerik", F.lit(""))), -F.col("kayit_no"))).alias("kayit_no"))
+    return dedup.losers(rec.select("kayit_no", "id"), "k", best, "kayit_no").withColumn("neden", F.lit("tekrar"))
+
+
+def best_in_document(spark: SparkSession, d: str) -> DataFrame:
+    """Per document and question number the record with an answer and the longest explanation, first on ties."""
+    rec = table(spark, d, "flagged_record").select("kayit_no", F.col("meta.source_pdf").alias("source_pdf"), F.col("meta.question_no").alias("no"), "cevap", "aciklama")
+    score = F.struct((F.coalesce("cevap", F.lit("")) != "").cast("int"), F.length(F.coalesce("aciklama", F.lit(""))), -F.col("kayit_no"))
+    return rec.filter("source_pdf is not null and no is not null").groupBy("source_pdf", "no").agg(F.max_by("kayit_no", score).alias("kayit_no"), F.count("*").alias("aday"))
+
+
+def latest_decisions(spark: SparkSession, d: str) -> DataFrame:
+    return decisions.latest(table(spark, d, "decision")).select("id", "kayit_no", "karar", "neden", "zaman")
+
+
+def decision_errors(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "decision").select("kayit_no", F.explode(quality.decision_errors()).alias("hata"))
+
+
+def decision_fields(spark: SparkSession, d: str) -> DataFrame:
+    """How many of the latest fix decisions touch each field."""
+    fields = ["soru", "govde", "siklar", "cevap", "aciklama", "aciklama_kes", "aciklama_paragraf"]
+    fixes = decisions.latest(table(spark, d, "decision")).filter("karar = 'duzelt'")
+    wide = fixes.agg(*[F.count(f).alias(f) for f in fields])
+    return wide.select(F.inline(F.array(*[F.struct(F.lit(f).alias("alan"), F.col(f).alias("n")) for f in fields])))
+
+
+def routed_records(spark: SparkSession, d: str) -> DataFrame:
+    return decisions.route(cleaned(spark, d), table(spark, d, "decision")).select("kayit_no", "yol", "elenme", "durum", F.array_join("bayrak", ",").alias("bayrak"))
+
+
+def review_queue(spark: SparkSession, d: str) -> DataFrame:
+    routed = decisions.route(cleaned(spark, d), table(spark, d, "decision"))
+    return decisions.queue(routed).groupBy("bayrak").agg(F.count("*").alias("n"))
+
+
+def patched_records(spark: SparkSession, d: str) -> DataFrame:
+    rec = table(spark, d, "flagged_record").groupBy("id").agg(F.min_by(F.struct("soru", "aciklama", "cevap"), "kayit_no").alias("f"))
+    opts = F.array().cast("array<struct<harf:string,metin:string>>")
+    rec = rec.select("id", X.stem("f.soru").alias("govde"), opts.alias("siklar_dizi"), "f.soru", "f.aciklama", "f.cevap")
+    out = decisions.patched(rec, table(spark, d, "decision"))
+    return out.join(decisions.latest(table(spark, d, "decision")).filter("karar = 'duzelt'").select("id"), "id", "left_semi")
+
+
+def repaired_records(spark: SparkSession, d: str) -> DataFrame:
+    got = decisions.merge_repairs(table(spark, d, "repair_request"), table(spark, d, "flagged_record"))
+    return got.select("kayit_no", "id", "tur", "soru_degistirildi", "anahtar_id", F.md5("icerik").alias("icerik_ozeti"))
+
+
+def repair_kinds(spark: SparkSession, d: str) -> DataFrame:
+    return repaired_records(spark, d).groupBy("tur").agg(F.count("*").alias("n"))
+
+
+def orphan_requests(spark: SparkSession, d: str) -> DataFrame:
+    return decisions.unanswered_requests(table(spark, d, "repair_request"), table(spark, d, "flagged_record")).select("kayit_no", "id")
+
+
+def eval_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """Flagged records whose only problem is a short explanation, with the reason that rules them out, if any."""
+    f = flagged(spark, d).filter((F.array_join(quality.problem_set(F.col("sorunlar")), ",") == "aciklama_kisa") & (F.coalesce("cevap", F.lit("")) != ""))
+    many = f.filter("size(meta.cevap_adaylari) > 1")
+    out = dedup.with_reasons(f.select("kayit_no", "anahtar_id"), "anahtar_id", {"sft_sizintisi": keyed(spark, d), "elle_onarildi": repaired_records(spark, d)})
+    out = out.join(many.select("kayit_no", F.lit("coklu_anahtar").alias("_m")), "kayit_no", "left")
+    return out.select("kayit_no", "anahtar_id", F.coalesce("_m", "sebep").alias("sebep"))
+
+
+def eval_chosen(spark: SparkSession, d: str) -> DataFrame:
+    """The 50 evaluation candidates with the smallest keys."""
+    good = eval_candidates(spark, d).filter("sebep is null").groupBy("anahtar_id").agg(F.min("kayit_no").alias("kayit_no"))
+    return sampling.first_by_hash(good, "anahtar_id", 50)
+
+
+def stratified_holdout(spark: SparkSession, d: str) -> DataFrame:
+    rec = keyed(spark, d).withColumn("grup", F.coalesce("grup", F.lit("?"))).withColumn("sira", F.concat("anahtar_id", F.lpad(F.col("kayit_no").cast("string"), 12, "0")))
+    return sampling.stratified_holdout(rec.select("kayit_no", "grup", "sira"), "grup", "sira", 100).select("kayit_no", "grup")
+
+
+def final_training(spark: SparkSession, d: str) -> DataFrame:
+    """Training records outside every evaluation split, with hand-repaired ones, without those decided to be dropped."""
+    kept = dedup.without(keyed(spark, d), held_out(spark, d), on="anahtar_id")
+    drop = decisions.latest(table(spark, d, "decision")).filter("karar = 'at'").select("id")
+    excluded = keyed(spark, d).join(drop, "id", "left_semi")
+    return decisions.final_training(kept.select("anahtar_id", "kayit_no"), repaired_records(spark, d), excluded.select("anahtar_id"))
+
+
+def leakage_matrix(spark: SparkSession, d: str) -> DataFrame:
+    sets = {"egitim": keyed(spark, d), "degerlendirme": held_out(spark, d), "isaretli": flagged(spark, d), "onarilmis": repaired_records(spark, d)}
+    return dedup.leakage(sets, "anahtar_id")
+
+
+def round_robin_shards(spark: SparkSession, d: str) -> DataFrame:
+    ids = table(spark, d, "flagged_record").select("kayit_no", F.size("sorunlar").alias("n"))
+    return sampling.round_robin(ids, [F.desc("n"), F.asc("kayit_no")], 8).select("kayit_no", "pay")
+
+
+def shard_progress(spark: SparkSession, d: str) -> DataFrame:
+    """Per shard of flagged records (by key) those decided and all."""
+    done = table(spark, d, "decision").select("id").distinct().withColumn("d", F.lit(1))
+    rec = table(spark, d, "flagged_record").select("kayit_no", "id").withColumn("pay", (F.col("kayit_no") % 8).cast("int"))
+    return rec.join(done, "id", "left").groupBy("pay").agg(F.count("d").alias("kararli"), F.count("*").alias("toplam"))
+
+
+def priority_list(spark: SparkSession, d: str) -> DataFrame:
+    """Undecided records in order of risk: class, then most urgent flag, then record."""
+    done = table(spark, d, "decision").select("id").distinct()
+    rec = cleaned(spark, d).join(done, "id", "left_anti")
+    wrong = F.array_contains("bayrak", "cevap_sikki_kayip") | F.array_contains("bayrak", "sik_sayisi_az") | (F.length("aciklama") < 40)
+    group = F.when(wrong, 1).when(F.size("bayrak") > 0, 2).otherwise(4)
+    return rec.select("kayit_no", group.alias("sinif"), sampling.flag_rank(F.col("bayrak")).alias("bayrak_sirasi")).orderBy("sinif", "bayrak_sirasi", "kayit_no")
+
+
+def token_vocabulary(spark: SparkSession, d: str) -> DataFrame:
+    return dictionary.word_counts(table(spark, d, "documents")).filter("n >= 3")
+
+
+def stage_one_gates(spark: SparkSession, d: str) -> DataFrame:
+    f = table(spark, d, "flagged_record")
+    got = quality.stage_one(F.col("soru"), F.col("siklar"), F.col("aciklama"), F.col("cevap"), F.col("meta.cevap_adaylari"))
+    return f.select("kayit_no", F.array_join(F.filter(got, lambda c: ~c.startswith("hece")), ",").alias("sorunlar"))
+
+
+def quality_measures(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "flagged_record").select("kayit_no", quality.measures(F.col("soru"), F.col("aciklama")).alias("q")).select("kayit_no", "q.cop", "q.tr", "q.aciklama_uz", "q.hece")
+
+
+def problem_frequency(spark: SparkSession, d: str) -> DataFrame:
+    f = table(spark, d, "flagged_record").select(F.explode(quality.problem_set(F.col("sorunlar"))).alias("sorun"))
+    return sampling.share_of_total(f, "sorun")
+
+
+def problem_histogram(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "flagged_record").groupBy(F.size("sorunlar").alias("sorun_sayisi")).agg(F.count("*").alias("n"))
+
+
+def length_buckets(spark: SparkSession, d: str) -> DataFrame:
+    n = F.length(F.coalesce("aciklama", F.lit("")))
+    return table(spark, d, "flagged_record").groupBy(quality.length_bucket(n).alias("uzunluk")).agg(F.count("*").alias("n"), F.sum(n).alias("harf"), F.max(n).alias("en_uzun"), F.floor(F.sum(n) / F.count("*")).alias("ortalama"))
+
+
+def nearest_rank_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    return sampling.nearest_rank(table(spark, d, "documents"), "n_chars", [0.0001, 0.1, 0.25, 0.5])
+
+
+def upper_median(spark: SparkSession, d: str) -> DataFrame:
+    return sampling.upper_median(sft(spark, d).select(F.length("icerik").alias("n")), "n")
+
+
+def topic_overlaps(spark: SparkSession, d: str) -> DataFrame:
+    rec = sft(spark, d).select("kayit_no", "soru", X.explanation("icerik").alias("aciklama")).filter("soru is not null and trim(aciklama) <> ''")
+    return rec.select("kayit_no", F.round(X.topic_overlap("soru", "aciklama"), 6).alias("ortusme"))
+
+
+def contamination_scan(spark: SparkSession, d: str) -> DataFrame:
+    rec = sft(spark, d).select("kayit_no", "soru", X.explanation("icerik").alias("aciklama")).filter("soru is not null and trim(aciklama) <> ''")
+    return rec.select("kayit_no", F.explode(quality.contamination_flags(F.col("soru"), F.col("aciklama"))).alias("bayrak")).groupBy("bayrak").agg(F.count("*").alias("n"))
+
+
+def word_shares(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").filter("text is not null")
+    return docs.select("doc_id", F.round(X.vowelless_share("text"), 6).alias("cop"), F.round(X.turkish_letter_share("text"), 6).alias("tr"), F.round(X.syllable_share("text"), 6).alias("hece"))
+
+
+def html_tables(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").filter("instr(text, '<') > 0")
+    return docs.select("doc_id", F.md5(X.html_table_text("text")).alias("ozet"))
+
+
+def option_counts(spark: SparkSession, d: str) -> DataFrame:
+    return sft(spark, d).filter("soru is not null").groupBy(X.option_count("soru").alias("sik"), quality.has_five_options(F.col("soru")).alias("bes_sik")).agg(F.count("*").alias("n"))
+
+
+def boilerplate_lines(spark: SparkSession, d: str) -> DataFrame:
+    n = X.boilerplate_count("text")
+    return table(spark, d, "documents").filter(n > 0).select("doc_id", n.alias("n"), F.md5(X.without_boilerplate("text")).alias("ozet"))
+
+
+def exam_tags(spark: SparkSession, d: str) -> DataFrame:
+    tag = X.exam_tag("soru")
+    return sft(spark, d).filter(tag.isNotNull()).groupBy(tag.alias("sinav")).agg(F.count("*").alias("n"))
+
+
+def answer_letters(spark: SparkSession, d: str) -> DataFrame:
+    return sft(spark, d).groupBy(X.answer_letter("icerik").alias("harf")).agg(F.count("*").alias("n"))
+
+
+def question_stems(spark: SparkSession, d: str) -> DataFrame:
+    return sft(spark, d).filter("soru is not null").select("kayit_no", F.md5(X.stem("soru")).alias("govde_ozeti"))
+
+
+def repairable_pool(spark: SparkSession, d: str) -> DataFrame:
+    """Flagged records worth repairing, by problem, those already done left out."""
+    f = flagged(spark, d).filter(quality.repairable(F.concat(F.lit("1. "), F.col("soru")), F.col("aciklama")))
+    f = dedup.without(f, repaired_records(spark, d), held_out(spark, d), on="anahtar_id")
+    p = quality.problem_set(F.col("sorunlar"))
+    pool = F.when(F.array_join(p, ",") == "cevap_yok", "cevap_yok").when(F.array_join(p, ",") == "aciklama_kisa", "aciklama_kisa").when(F.array_contains(p, "coklu_anahtar"), "coklu_anahtar")
+    return f.select("kayit_no", pool.alias("havuz")).filter("havuz is not null")
+
+
+def subjects_of_sources(spark: SparkSession, d: str) -> DataFrame:
+    """Training questions per subject of their source's title and per kind of source."""
+    title = F.coalesce(quality.subject_of(F.col("source_pdf")), F.lit("?"))
+    rec = sft(spark, d).filter("source_pdf is not null")
+    return rec.groupBy(title.alias("ders"), quality.source_group(F.col("source_pdf")).alias("tur")).agg(F.count("*").alias("n"))
+
+
+def package_questions(spark: SparkSession, d: str) -> DataFrame:
+    """Every package with the questions its source really has beside the stored, stale number."""
+    n = sft(spark, d).groupBy(latex.nfc(F.trim("source_pdf")).alias("drive_pdf")).agg(F.count("*").alias("n"))
+    return table(spark, d, "package_map").join(n, "drive_pdf", "left").select("drive_pdf", F.coalesce("n", F.lit(0)).alias("soru"), "egitim_soru")
+
+
+def validator_report(spark: SparkSession, d: str) -> DataFrame:
+    rec = table(spark, d, "sft_record").select("id", first_content("user").alias("user"), first_content("assistant").alias("assistant"), F.transform("messages", lambda m: m["role"]).alias("roles"))
+    return validate.report(rec, table(spark, d, "eval_record").select("soru"))
+
+
+def answer_audit(spark: SparkSession, d: str) -> DataFrame:
+    rec = sft(spark, d).filter("soru is not null").select(F.col("kayit_no").alias("id"), F.col("source_pdf").alias("source"), F.col("soru").alias("question"), X.answer_letter("icerik").alias("letter"))
+    texts = table(spark, d, "documents").filter("text is not null").select("source", "text")
+    return extract.audit_answers(rec, texts).select(F.col("id").alias("kayit_no"), "durum", "kaynak", "farkli")
+
+
+def normal_form(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text", latex.nfc("text").alias("t"))
+    return docs.filter("text <> t").select("doc_id", F.md5("t").alias("ozet"))
+
+
+def clean_questions(spark: SparkSession, d: str) -> DataFrame:
+    return sft(spark, d).filter("soru is not null").select("kayit_no", F.md5(latex.clean_text("soru")).alias("ozet"))
+
+
+def parsed_options(spark: SparkSession, d: str) -> DataFrame:
+    p = extract.options_of(latex.clean_text("soru"))
+    return sft(spark, d).filter("soru is not null").select("kayit_no", p.alias("p")).select("kayit_no", F.size("p.siklar").alias("sik"), F.array_join("p.onarim", ",").alias("onarim"), F.array_join("p.sorun", ",").alias("sorun"))
+
+
+def embedded_questions(spark: SparkSession, d: str) -> DataFrame:
+    c = extract.embedded_cut(X.explanation("icerik"))
+    return sft(spark, d).filter("icerik is not null").select("kayit_no", c.alias("c")).filter("c.kesilen <> ''").select("kayit_no", F.length("c.kalan").alias("kalan"), F.length("c.kesilen").alias("kesilen"))
+
+
+def segmented_questions(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").filter("text is not null")
+    return extract.segment_questions(extract.line_blocks(docs)).select(F.col("doc").cast("long").alias("doc_id"), "no", X.option_count("siklar").alias("sik"), "cevap", F.length("aciklama").alias("aciklama_uz"), "ilk_blok", "son_blok")
+
+
+def dictionary_repair(spark: SparkSession, d: str) -> DataFrame:
+    """Explanations in Turkish spelling, glued words split, junk sentences dropped."""
+    texts = sft(spark, d).select("kayit_no", X.explanation("icerik").alias("text")).filter("text is not null")
+    words = dictionary.vocabulary(dictionary.word_counts(texts, turkish=True))
+
+    def run(t: dictionary.Dictionary, text: str) -> str:
+        return t.drop_junk(t.split_glued(t.turkish(t.join_torn(text)[0], careful=True)))[0]
+
+    fixed = dictionary.with_dictionary(spark, words, run)
+    return texts.withColumn("yeni", fixed("text")).filter("text <> yeni").select("kayit_no", F.length("text").alias("once"), F.length("yeni").alias("sonra"))
+
+
+SQL_READY: tuple[Query, ...] = (
+    train_set, question_keys, stale_keys, duplicates_kept, contradicting, near_exact_losers, best_in_document, latest_decisions, decision_errors, decision_fields, repaired_records, repair_kinds, orphan_requests,
+    eval_candidates, eval_chosen, stratified_holdout, final_training, leakage_matrix, round_robin_shards, shard_progress, token_vocabulary, problem_frequency, problem_histogram, length_buckets,
+    nearest_rank_percentiles, upper_median, topic_overlaps, word_shares, html_tables, option_counts, boilerplate_lines, exam_tags, answer_letters, question_stems, subjects_of_sources, package_questions, normal_form,
+    patched_records, quality_measures, contamination_scan, validator_report, stage_one_gates,
+)
+ROWS_ONLY: tuple[Query, ...] = (routed_records, review_queue, priority_list, repairable_pool, answer_audit, clean_questions, parsed_options, embedded_questions, segmented_questions, dictionary_repair)
+
+QUERIES: dict[str, Query] = {q.__name__: q for q in (*SQL_READY, *ROWS_ONLY)}
+
+from derlem.plans.oracle import ORACLE  # noqa: E402, F401
