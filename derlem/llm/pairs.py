@@ -219,7 +219,7 @@ class Judge:
         share, parts, question = self.shares(user, assistant)
         if not share:
             return "bos"
-        if share["refusal"] >= 0.5:
+        if share["refusal"] >= 0.5 and any(REFUSAL.search(fold(c)) for c in parts):
             return "ret"
         if share["echo"] >= 0.5:
             stem = question_words(truncation.option_spans(user or "")[0])
@@ -270,6 +270,7 @@ def fit(rows: list[tuple[str | None, str | None]]) -> Judge:
         plain = parts and not REFUSAL.search(fold(body)) and TURKISH_LETTERS.search(body) and sum(echoes) < 0.7 * len(parts) and not truncation.is_cut(ends, "assistant", assistant)
         if plain:
             add(parts, [0] * len(parts), q)
+            add([" ".join(parts[0].split()[: int(rng.integers(2, 5))]) + "."], [0], q)  # short, but complete
             last = parts[-1]
             if len(last) > 20:
                 add([*parts[:-1], last[: int(rng.integers(8, len(last) - 4))]], [0] * (len(parts) - 1) + [4], q, True)
