@@ -34,7 +34,7 @@ COMMENT = r"(?iu)\b(?:kolay|zor|klasik|spot|temel bilgi|sınav|soru(?:su|dur|lar
 def only_comment(x: Column) -> Column:
     """Every sentence is a remark on the exam and at most 250 characters long; no nested repetition, so no deep regex recursion."""
     parts = F.filter(F.split(x, r"[.!]|\n"), lambda s: F.trim(s) != "")
-    return (F.size(parts) > 0) & F.forall(parts, lambda s: (F.length(s) <= 250) & s.rlike(COMMENT))
+    return X.let(parts, lambda p: (F.size(p) > 0) & F.forall(p, lambda s: (F.length(s) <= 250) & s.rlike(COMMENT)))
 
 
 def stage_one(question: Column, options: Column, explanation: Column, answer: Column, candidates: Column) -> Column:
@@ -85,6 +85,7 @@ def weak_option_repair(repairs: Column, problems: Column) -> Column:
 def review_flags(stem: Column, options: Column, explanation: Column, letter: Column, has_image: Column, repairs: Column, problems: Column) -> Column:
     """Flags for review of a cleaned record: options array<struct<harf,metin>>, letter the recorded answer."""
     cited = F.transform(F.regexp_extract_all(F.coalesce(explanation, F.lit("")), F.lit(CITED), F.lit(1)), F.upper)
+    contradicts = X.let(cited, lambda c: (F.size(c) > 0) & ~F.array_contains(c, letter))
     return codes(
         ("cevap_sikki_kayip", ~F.exists(options, lambda o: o["harf"] == letter)),
         ("onceki_soruya_bagli", stem.rlike(EARLIER_STEM)),
@@ -93,7 +94,7 @@ def review_flags(stem: Column, options: Column, explanation: Column, letter: Col
         ("sik_sayisi_az", F.size(options) < 4),
         ("aciklama_uzun", F.length(explanation) > 2500),
         ("aciklama_kisa", F.length(explanation) < 60),
-        ("aciklama_harf_celiskisi", (F.size(cited) > 0) & ~F.array_contains(cited, letter)),
+        ("aciklama_harf_celiskisi", contradicts),
         ("aciklamada_cevap_satiri", explanation.contains("Doğru cevap")),
     )
 
