@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +28,18 @@ def build_session(app: str = "derlem", master: str | None = None, shuffle_partit
     )
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import derlem from where the driver did, whatever their working directory.
+
+    Clusters whose machines do not share that path install the package or submit it with --py-files.
+    """
+    root = str(Path(__file__).resolve().parent.parent)
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's spark.checkpoint.dir; only where that is unset (local tests) an own one is made."""
     folder = spark.conf.get(CHECKPOINT_KEY, None)
