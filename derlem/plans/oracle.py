@@ -300,4 +300,8 @@ ORACLE: dict[str, str] = {
     "validator_report": report(),
     "stage_one_gates": gates(),
     "patched_records": patches(),
+    "decision_progress": f"SELECT karar, count(*) AS n FROM {LATEST} GROUP BY karar",
+    "funnel": " UNION ALL ".join(f"SELECT '{a}' AS adim, count(*) AS n FROM {t}" for a, t in (("ham", "sft_record"), ("isaretli", "flagged_record"), ("onarim_istegi", "repair_request"), ("degerlendirme", "eval_record"), ("karar", "decision"))),
+    "before_and_after": f"""WITH r AS (SELECT kayit_no, anahtar_id, length(icerik) AS u FROM {KEYED} WHERE icerik IS NOT NULL), k AS (SELECT arg_max(kayit_no, {{'n': u, 'k': -kayit_no}}) AS kayit_no FROM r GROUP BY anahtar_id)
+        SELECT 'once' AS surum, count(*) AS n, max(u)::INT AS en_uzun, count(*) FILTER (u >= 200) AS uzun FROM r UNION ALL SELECT 'sonra', count(*), max(u)::INT, count(*) FILTER (u >= 200) FROM r WHERE kayit_no IN (SELECT kayit_no FROM k)""",
 }

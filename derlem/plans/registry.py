@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from derlem.functions import dictionary, latex
 from derlem.functions import text as X
-from derlem.operators import decisions, dedup, extract, quality, sampling, validate
+from derlem.operators import decisions, dedup, extract, pipeline, quality, sampling, validate
+from derlem.session import materialize
 from derlem.sources.tables import first_content, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -338,13 +339,77 @@ def dictionary_repair(spark: SparkSession, d: str) -> DataFrame:
     return texts.withColumn("yeni", fixed("text")).filter("text <> yeni").select("kayit_no", F.length("text").alias("once"), F.length("yeni").alias("sonra"))
 
 
+def built_questions(spark: SparkSession, d: str) -> DataFrame:
+    """Questions segmented from the documents, repaired and gated."""
+    docs = table(spark, d, "documents").filter("text is not null")
+    words = dictionary.vocabulary(dictionary.word_counts(docs))
+    got = pipeline.built_records(extract.segment_questions(extract.line_blocks(docs)), words)
+    return got.select("id", "anahtar_id", F.col("doc").cast("long").alias("doc_id"), "no", "cevap", "sinav", "olcu.cop", "olcu.hece", F.array_join("sorunlar", ",").alias("sorunlar"))
+
+
+def document_kinds(spark: SparkSession, d: str) -> DataFrame:
+    """Accepted and flagged questions per document."""
+    built = built_questions(spark, d).select(F.col("doc_id").alias("doc"), F.filter(F.split("sorunlar", ","), lambda s: s != "").alias("sorunlar"))
+    return pipeline.document_summary(built).withColumnRenamed("doc", "doc_id")
+
+
+def _clean(spark: SparkSession, d: str) -> DataFrame:
+    rec = sft(spark, d).select("kayit_no", "id", "soru", X.explanation("icerik").alias("aciklama"), X.answer_letter("icerik").alias("cevap"), F.lit(False).alias("elle"))
+    texts = rec.select(F.concat_ws("\n", "soru", "aciklama").alias("text"))
+    words = dictionary.vocabulary(dictionary.word_counts(texts, turkish=True))
+    return pipeline.flagged_clean(pipeline.cleaned_records(rec, words))
+
+
+def produced_records(spark: SparkSession, d: str) -> DataFrame:
+    """Every training record cleaned, flagged, routed by its latest decision, repeats taken out."""
+    routed = materialize(decisions.route(_clean(spark, d), table(spark, d, "decision")), "routed")
+    kept, repeats = pipeline.unrepeated(routed.filter("yol <> 'elenen'"), F.col("durum") == "incelendi")
+    out = kept.unionByName(repeats.withColumn("yol", F.lit("elenen"))).unionByName(routed.filter("yol = 'elenen'"))
+    return out.select("kayit_no", "yol", "elenme", "durum", F.array_join("bayrak", ",").alias("bayrak"), F.md5("soru").alias("soru_ozeti"), F.md5("aciklama").alias("aciklama_ozeti"), "cevap")
+
+
+def option_repairs(spark: SparkSession, d: str) -> DataFrame:
+    """How often each repair of option marks was made."""
+    p = extract.options_of(latex.clean_text("soru"))
+    kinds = sft(spark, d).filter("soru is not null").select(F.explode(p["onarim"]).alias("o"))
+    return kinds.groupBy(F.substring_index("o", ":", -1).alias("onarim")).agg(F.count("*").alias("n"))
+
+
+def review_page(spark: SparkSession, d: str) -> DataFrame:
+    """The first 40 undecided records as a reviewer sees them."""
+    return pipeline.review_view(_clean(spark, d), table(spark, d, "decision"), 40).select("kayit_no", "id", "gosterim", F.array_join("bayrak", ",").alias("bayrak"))
+
+
+def decision_progress(spark: SparkSession, d: str) -> DataFrame:
+    return decisions.latest(table(spark, d, "decision")).groupBy("karar").agg(F.count("*").alias("n"))
+
+
+def funnel(spark: SparkSession, d: str) -> DataFrame:
+    """Records at each step of the pipeline."""
+    steps = {"ham": table(spark, d, "sft_record"), "isaretli": table(spark, d, "flagged_record"), "onarim_istegi": table(spark, d, "repair_request"), "degerlendirme": table(spark, d, "eval_record"), "karar": table(spark, d, "decision")}
+    out = None
+    for name, df in steps.items():
+        row = df.agg(F.lit(name).alias("adim"), F.count("*").alias("n"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def before_and_after(spark: SparkSession, d: str) -> DataFrame:
+    """Length measures of the training records before and after repeats are taken out."""
+    rec = keyed(spark, d).filter("icerik is not null").withColumn("u", F.length("icerik"))
+    kept = dedup.keep_longest(rec, "anahtar_id", "icerik", "kayit_no", "source_pdf").select("kayit_no")
+    stats = [F.count("*").alias("n"), F.max("u").alias("en_uzun"), F.count_if(F.col("u") >= 200).alias("uzun")]
+    a = rec.agg(F.lit("once").alias("surum"), *stats)
+    return a.unionByName(rec.join(kept, "kayit_no", "left_semi").agg(F.lit("sonra").alias("surum"), *stats))
+
+
 SQL_READY: tuple[Query, ...] = (
     train_set, question_keys, stale_keys, duplicates_kept, contradicting, near_exact_losers, best_in_document, latest_decisions, decision_errors, decision_fields, repaired_records, repair_kinds, orphan_requests,
     eval_candidates, eval_chosen, stratified_holdout, final_training, leakage_matrix, round_robin_shards, shard_progress, token_vocabulary, problem_frequency, problem_histogram, length_buckets,
     nearest_rank_percentiles, upper_median, topic_overlaps, word_shares, html_tables, option_counts, boilerplate_lines, exam_tags, answer_letters, question_stems, subjects_of_sources, package_questions, normal_form,
-    patched_records, quality_measures, contamination_scan, validator_report, stage_one_gates,
+    patched_records, quality_measures, contamination_scan, validator_report, stage_one_gates, decision_progress, funnel, before_and_after,
 )
-ROWS_ONLY: tuple[Query, ...] = (routed_records, review_queue, priority_list, repairable_pool, answer_audit, clean_questions, parsed_options, embedded_questions, segmented_questions, dictionary_repair)
+ROWS_ONLY: tuple[Query, ...] = (routed_records, review_queue, priority_list, repairable_pool, answer_audit, clean_questions, parsed_options, embedded_questions, segmented_questions, dictionary_repair, built_questions, document_kinds, produced_records, option_repairs, review_page)
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (*SQL_READY, *ROWS_ONLY)}
 
