@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 from pathlib import Path
@@ -10,6 +13,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_written: list[str] = []
+_own: list[str] = []
 
 
 def build_session(app: str = "derlem", master: str | None = None, shuffle_partitions: int = 8) -> SparkSession:
@@ -43,12 +48,14 @@ def share_package(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's spark.checkpoint.dir; only where that is unset (local tests) an own one is made."""
     folder = spark.conf.get(CHECKPOINT_KEY, None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"{CHECKPOINT_KEY} must name a folder that all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="derlem-")
-        spark.conf.set(CHECKPOINT_KEY, folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError(f"{CHECKPOINT_KEY} must name a folder that all executors share")
+    if not _own:
+        _own.append(tempfile.mkdtemp(prefix="derlem-"))
+        atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
+    return "file://" + _own[0]
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -57,8 +64,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> int:
+    """Delete the tables this process has materialized, once no result that reads them is needed; says how many."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _written:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        n += bool(path.getFileSystem(hadoop).delete(path, True))
+    return n
+
+
 def default_data_dir() -> str:
     return os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
