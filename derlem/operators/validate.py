@@ -30,8 +30,8 @@ def record_findings(user: Column, assistant: Column, roles: Column) -> tuple[Col
     complete = letters.eqNullSafe(F.array(*map(F.lit, "ABCDE"))) | letters.eqNullSafe(F.array(*map(F.lit, "ABCD")))
     order = roles.eqNullSafe(F.array(F.lit("user"), F.lit("assistant")))
     ok = order & framed & user.isNotNull()
-    signs = F.length(F.regexp_replace(told, "[^çğıöşüÇĞİÖŞÜ]", ""))
-    size = F.length(F.regexp_replace(told, f"[^{X.LETTER}]", ""))
+    signs = F.length(X.only(told, "çğıöşüÇĞİÖŞÜ"))
+    size = F.length(X.only(told, X.LETTER))
     errors = codes(
         ("rol", ~order),
         ("cevap_bicimi", order & ~framed),

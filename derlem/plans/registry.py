@@ -30,6 +30,11 @@ def keyed(spark: SparkSession, d: str) -> DataFrame:
     return sft(spark, d).filter("soru is not null").withColumn("anahtar_id", X.short_hash(X.question_key("soru")))
 
 
+def keys(spark: SparkSession, d: str) -> DataFrame:
+    """kayit_no, id, grup, anahtar_id of the training records, computed once for queries that use them again and again."""
+    return materialize(keyed(spark, d).select("kayit_no", "id", "grup", "anahtar_id"), "keys")
+
+
 def flagged(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "flagged_record").withColumn("anahtar_id", X.short_hash(X.question_key("soru")))
 
@@ -154,15 +159,16 @@ def eval_chosen(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stratified_holdout(spark: SparkSession, d: str) -> DataFrame:
-    rec = keyed(spark, d).withColumn("grup", F.coalesce("grup", F.lit("?"))).withColumn("sira", F.concat("anahtar_id", F.lpad(F.col("kayit_no").cast("string"), 12, "0")))
+    rec = keys(spark, d).withColumn("grup", F.coalesce("grup", F.lit("?"))).withColumn("sira", F.concat("anahtar_id", F.lpad(F.col("kayit_no").cast("string"), 12, "0")))
     return sampling.stratified_holdout(rec.select("kayit_no", "grup", "sira"), "grup", "sira", 100).select("kayit_no", "grup")
 
 
 def final_training(spark: SparkSession, d: str) -> DataFrame:
     """Training records outside every evaluation split, with hand-repaired ones, without those decided to be dropped."""
-    kept = dedup.without(keyed(spark, d), held_out(spark, d), on="anahtar_id")
+    rec = keys(spark, d)
+    kept = dedup.without(rec, held_out(spark, d), on="anahtar_id")
     drop = decisions.latest(table(spark, d, "decision")).filter("karar = 'at'").select("id")
-    excluded = keyed(spark, d).join(drop, "id", "left_semi")
+    excluded = rec.join(drop, "id", "left_semi")
     return decisions.final_training(kept.select("anahtar_id", "kayit_no"), repaired_records(spark, d), excluded.select("anahtar_id"))
 
 
