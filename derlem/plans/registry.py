@@ -78,7 +78,7 @@ def duplicates_kept(spark: SparkSession, d: str) -> DataFrame:
 
 
 def contradicting(spark: SparkSession, d: str) -> DataFrame:
-    rec = keyed(spark, d).withColumn("harf", X.answer_letter("icerik"))
+    rec = materialize(keyed(spark, d).select("kayit_no", "anahtar_id", X.answer_letter("icerik").alias("harf")), "letters")
     return dedup.contradictions(rec, "anahtar_id", "harf").select("kayit_no", "anahtar_id", F.concat(F.lit("celiskili_cevap("), "letters", F.lit(")")).alias("sorun"))
 
 
