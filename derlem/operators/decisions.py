@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from derlem.functions import text as X
 from derlem.operators.quality import codes
 
-REJECTING = ("cevap_sikki_kayip", "onceki_soruya_bagli", "sik_sayisi_az")
+UNREADABLE = "cerceve_bozuk"  # no explanation or answer letter could be read
+REJECTING = (UNREADABLE, "cevap_sikki_kayip", "onceki_soruya_bagli", "sik_sayisi_az")
 
 
 def latest(log: DataFrame, key: str = "id", time: str = "zaman", order: str = "kayit_no") -> DataFrame:
@@ -22,9 +23,9 @@ def latest(log: DataFrame, key: str = "id", time: str = "zaman", order: str = "k
 
 
 def effective(decision: Column, flags: Column) -> Column:
-    """'ok' does not outweigh a rejecting flag."""
+    """'ok' does not outweigh a rejecting flag; nothing but 'at' holds for a record that could not be read."""
     rejected = F.arrays_overlap(flags, F.array(*[F.lit(f) for f in REJECTING]))
-    return F.when((decision == "ok") & rejected, None).otherwise(decision)
+    return F.when((decision == "ok") & rejected | (decision != "at") & F.array_contains(flags, UNREADABLE), None).otherwise(decision)
 
 
 def route(records: DataFrame, log: DataFrame) -> DataFrame:

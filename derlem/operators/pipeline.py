@@ -126,7 +126,7 @@ CLEAN = (
 
 
 def cleaned_records(records: DataFrame, counts: dict[str, int]) -> DataFrame:
-    """records(kayit_no, id, soru, aciklama, cevap, elle boolean) -> CLEAN; incomplete records (a null text or letter) are left out."""
+    """records(kayit_no, id, soru, aciklama, cevap, elle boolean) -> CLEAN; a null explanation or letter stays null, records without a question are left out."""
     shared = records.sparkSession.sparkContext.broadcast(counts)
     names = [c.split()[0] for c in CLEAN.replace("struct<harf:string,metin:string>", "x").split(", ")]
 
@@ -136,13 +136,12 @@ def cleaned_records(records: DataFrame, counts: dict[str, int]) -> DataFrame:
             out = []
             for no, i, asked, told, letter, by_hand in zip(*(pdf[c] for c in ("kayit_no", "id", "soru", "aciklama", "cevap", "elle"))):
                 q = clean_question(d, asked)
-                text, cut, dropped = clean_explanation(d, told, bool(by_hand))
+                text, cut, dropped = clean_explanation(d, told, bool(by_hand)) if isinstance(told, str) else (None, "", 0)
                 rendered = q["govde"] + "\n" + "\n".join(f"{o['harf']}) {o['metin']}" for o in q["siklar"]) if q["siklar"] else q["metin"]
-                out.append((no, i, d.turkish(rendered, careful=True), q["govde"], q["siklar"], q["esleme"], q["onarim"], q["sorun"], q["sinav"], text, letter, len(cut), dropped, d.unknown_share(text)[0], d.unknown_share(q["govde"])[0]))
+                out.append((no, i, d.turkish(rendered, careful=True), q["govde"], q["siklar"], q["esleme"], q["onarim"], q["sorun"], q["sinav"], text, letter if isinstance(letter, str) else None, len(cut), dropped, d.unknown_share(text or "")[0], d.unknown_share(q["govde"])[0]))
             yield pd.DataFrame(out, columns=names)
 
-    whole = records.filter("soru is not null and aciklama is not null and cevap is not null")
-    return whole.select("kayit_no", "id", "soru", "aciklama", "cevap", "elle").mapInPandas(run, CLEAN)
+    return records.filter("soru is not null").select("kayit_no", "id", "soru", "aciklama", "cevap", "elle").mapInPandas(run, CLEAN)
 
 
 def flagged_clean(clean: DataFrame, images: DataFrame | None = None) -> DataFrame:
@@ -152,6 +151,7 @@ def flagged_clean(clean: DataFrame, images: DataFrame | None = None) -> DataFram
     old = F.transform(F.map_keys("esleme"), lambda k: F.struct(k.alias("harf"), F.lit("").alias("metin")))
     base = quality.review_flags(F.col("govde"), F.col("siklar"), F.col("aciklama"), F.col("cevap"), F.col("_g"), F.col("onarim"), F.col("sorun"))
     more = quality.codes(
+        ("cerceve_bozuk", F.col("aciklama").isNull() | F.col("cevap").isNull()),
         ("gomulu_soru_kesildi", F.col("kesilen") > 0),
         ("cop_cumle_atildi", F.col("atilan") > 0),
         ("cevap_sikki_kayip", ~F.exists(old, lambda o: o["harf"] == F.col("cevap"))),
@@ -159,7 +159,7 @@ def flagged_clean(clean: DataFrame, images: DataFrame | None = None) -> DataFram
         ("aciklama_bozuk", F.col("aciklama_cop") > 0.15),
         ("soru_bozuk", F.col("govde_cop") > 0.12),
     )
-    rest = F.filter(base, lambda f: f != "cevap_sikki_kayip")
+    rest = F.filter(base, lambda f: ~f.isin("cerceve_bozuk", "cevap_sikki_kayip"))
     return seen.withColumn("bayrak", F.concat(more, rest)).withColumn("cevap", F.coalesce(F.element_at("esleme", F.col("cevap")), "cevap")).drop("_g")
 
 

@@ -83,10 +83,11 @@ def weak_option_repair(repairs: Column, problems: Column) -> Column:
 
 
 def review_flags(stem: Column, options: Column, explanation: Column, letter: Column, has_image: Column, repairs: Column, problems: Column) -> Column:
-    """Flags for review of a cleaned record: options array<struct<harf,metin>>, letter the recorded answer."""
+    """Flags for review of a cleaned record: options array<struct<harf,metin>>, letter the recorded answer. cerceve_bozuk: explanation or letter is null."""
     cited = F.transform(F.regexp_extract_all(F.coalesce(explanation, F.lit("")), F.lit(CITED), F.lit(1)), F.upper)
     contradicts = X.let(cited, lambda c: (F.size(c) > 0) & ~F.array_contains(c, letter))
     return codes(
+        ("cerceve_bozuk", explanation.isNull() | letter.isNull()),
         ("cevap_sikki_kayip", ~F.exists(options, lambda o: o["harf"] == letter)),
         ("onceki_soruya_bagli", stem.rlike(EARLIER_STEM)),
         ("soruda_gorsel", has_image),

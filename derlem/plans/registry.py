@@ -44,9 +44,8 @@ def held_out(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, d: str) -> DataFrame:
-    """Parsed records with their flags: kayit_no, id, govde, siklar, aciklama, cevap, bayrak."""
+    """Parsed records with their flags: kayit_no, id, govde, siklar, aciklama, cevap, bayrak; null fields and cerceve_bozuk where the frame is broken."""
     rec = sft(spark, d).select("kayit_no", "id", extract.options_of(latex.clean_text("soru")).alias("p"), X.explanation("icerik").alias("aciklama"), X.answer_letter("icerik").alias("cevap"))
-    rec = rec.filter("cevap is not null")
     flags = quality.review_flags(F.col("p.govde"), F.col("p.siklar"), F.col("aciklama"), F.col("cevap"), F.lit(False), F.col("p.onarim"), F.col("p.sorun"))
     return rec.select("kayit_no", "id", "p.govde", "p.siklar", "aciklama", "cevap", flags.alias("bayrak"))
 
@@ -190,11 +189,18 @@ def shard_progress(spark: SparkSession, d: str) -> DataFrame:
 
 
 def priority_list(spark: SparkSession, d: str) -> DataFrame:
-    """Undecided records in order of risk: class, then most urgent flag, then record."""
-    done = table(spark, d, "decision").select("id").distinct()
-    rec = cleaned(spark, d).join(done, "id", "left_anti")
+    """Undecided records in order of risk: class, then most urgent flag, then record.
+
+    Class 1 fails the validator, 2 is flagged, 3 is not in the accepted set (rejected by its flags, or another record's repeat), 4 is the rest.
+    """
+    log = table(spark, d, "decision")
+    asked = F.when(F.size("siklar") > 0, X.render_question(F.col("govde"), F.col("siklar"))).otherwise(F.col("govde"))
+    routed = materialize(decisions.route(cleaned(spark, d).withColumn("soru", asked), log), "routed")
+    kept, repeats = pipeline.unrepeated(routed.filter("yol <> 'elenen'"), F.col("durum") == "incelendi")
+    every = kept.unionByName(repeats.withColumn("yol", F.lit("elenen"))).unionByName(routed.filter("yol = 'elenen'"))
+    rec = every.join(log.select("id").distinct(), "id", "left_anti")
     wrong = F.array_contains("bayrak", "cevap_sikki_kayip") | F.array_contains("bayrak", "sik_sayisi_az") | (F.length("aciklama") < 40)
-    group = F.when(wrong, 1).when(F.size("bayrak") > 0, 2).otherwise(4)
+    group = F.when(F.col("yol") == "elenen", 3).when(wrong, 1).when(F.size("bayrak") > 0, 2).otherwise(4)
     return rec.select("kayit_no", group.alias("sinif"), sampling.flag_rank(F.col("bayrak")).alias("bayrak_sirasi")).orderBy("sinif", "bayrak_sirasi", "kayit_no")
 
 
@@ -363,7 +369,8 @@ def _clean(spark: SparkSession, d: str) -> DataFrame:
     rec = sft(spark, d).select("kayit_no", "id", "soru", X.explanation("icerik").alias("aciklama"), X.answer_letter("icerik").alias("cevap"), F.lit(False).alias("elle"))
     texts = rec.select(F.concat_ws("\n", "soru", "aciklama").alias("text"))
     words = dictionary.vocabulary(dictionary.word_counts(texts, turkish=True))
-    return pipeline.flagged_clean(pipeline.cleaned_records(rec, words))
+    clean = pipeline.flagged_clean(pipeline.cleaned_records(rec.fillna("", "soru"), words))  # one without a question is kept, and flagged for its options
+    return clean.withColumn("soru", F.expr("nullif(soru, '')"))
 
 
 def produced_records(spark: SparkSession, d: str) -> DataFrame:

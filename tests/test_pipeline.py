@@ -2,8 +2,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from derlem.functions import text as X
 from derlem.functions.dictionary import Dictionary
-from derlem.operators import pipeline
+from derlem.operators import decisions, pipeline
+from derlem.plans.registry import QUERIES
+from derlem.sources.tables import first_content, table
 from tests.conftest import rows
 
 WORDS = {w: n for n, w in enumerate("karaciğer hastalığı için hangisi doğrudur görülen bulgular aşağıdakilerden açıklama metni burada bitmiştir kalp böbrek dalak akciğer mide değildir".split(), 50)}
@@ -63,3 +66,25 @@ def test_repeats_and_review(spark):
     page = pipeline.review_view(df, df.filter("kayit_no < 3"), 1).collect()
     assert [r["id"] for r in page] == ["c"]
     assert pipeline.review_view(df, df.limit(0), 9).filter("id = 'd'").first()["gosterim"] == "[0] p1\n[1] p2" + "y" * 298
+
+
+def test_broken_frames_are_kept_and_rejected(spark):
+    data = [(1, "a", ASKED, None, None, False), (2, "b", "Hangisi?", None, None, False)]
+    df = spark.createDataFrame(data, "kayit_no long, id string, soru string, aciklama string, cevap string, elle boolean")
+    flagged = pipeline.flagged_clean(pipeline.cleaned_records(df, WORDS))
+    log = spark.createDataFrame([(1, "b", "at", "diger", "2024"), (2, "a", "duzelt", None, "2024")], "kayit_no long, id string, karar string, neden string, zaman string")
+    got = {r["id"]: r for r in decisions.route(flagged, log).collect()}
+    assert got["a"]["bayrak"][0] == "cerceve_bozuk" and got["a"]["soru"].startswith("Aşağıdakilerden") and got["a"]["aciklama"] is None and got["a"]["cevap"] is None
+    assert [(got[i]["yol"], got[i]["elenme"], got[i]["durum"]) for i in "ab"] == [("elenen", "cerceve_bozuk", "otomatik"), ("elenen", "diger", "incelendi")]
+
+
+def test_every_record_is_listed(spark, data):
+    rec, done = table(spark, data, "sft_record").select("kayit_no", "id"), table(spark, data, "decision").select("id").distinct()
+    undecided = {r[0] for r in rec.join(done, "id", "left_anti").select("kayit_no").collect()}
+    listed = QUERIES["priority_list"](spark, data).collect()
+    assert sorted(r["kayit_no"] for r in listed) == sorted(undecided) and {r["sinif"] for r in listed} <= {1, 2, 3, 4}
+    broken = {r[0] for r in table(spark, data, "sft_record").filter(X.answer_letter(first_content("assistant")).isNull()).select("kayit_no").collect()}
+    assert broken and {r["sinif"] for r in listed if r["kayit_no"] in broken} == {3}
+    for name in ("routed_records", "produced_records"):
+        got = QUERIES[name](spark, data).collect()
+        assert len(got) == rec.count() and {r["yol"] for r in got if r["kayit_no"] in broken} == {"elenen"}
