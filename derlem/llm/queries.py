@@ -116,9 +116,9 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_repaired(spark: SparkSession, d: str) -> DataFrame:
-    """The repaired text of every field that held noise."""
+    """The repaired text of every field that held noise or in which a word is read otherwise; the latter without a kind."""
     got = scan.repaired(_scanned(spark, d), _titles(spark, d))
-    return got.filter("size(kinds) > 0").select(F.col("id").alias("kayit_no"), F.col("part").alias("alan"), F.concat_ws(",", "kinds").alias("gurultuler"), F.col("clean").alias("metin"))
+    return got.filter("size(kinds) > 0 or changed").select(F.col("id").alias("kayit_no"), F.col("part").alias("alan"), F.concat_ws(",", "kinds").alias("gurultuler"), F.col("clean").alias("metin"))
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -311,8 +312,11 @@ def paragraphs(lines: list[str]) -> str:
     return re.sub(r"\n{3,}", "\n\n", "\n".join(out)).strip("\n")
 
 
-def repair(text: str | None, decoder: Decoder, with_text: bool = True) -> tuple[str | None, list[str]]:
-    """(repaired text, kinds of noise); a text without noise comes back as it is."""
+def repair(text: str | None, decoder: Decoder, with_text: bool = True, every: bool = False) -> tuple[str | None, list[str]]:
+    """(repaired text, kinds of noise); a text without noise comes back as it is.
+
+    MISREAD decides what is reported. every: words are decoded also where nothing is, lines kept as they are.
+    """
     if not text:
         return text, []
     found: set[str] = set()
@@ -324,14 +328,26 @@ def repair(text: str | None, decoder: Decoder, with_text: bool = True) -> tuple[
         body, hyphen = join_hyphens(body)
         if hyphen:
             found.add("tire")
-    tokens = TOKEN.findall(body)
-    out, misread = decoder.stream(tokens)
+    marks = list(TOKEN.finditer(body))
+    out, misread = decoder.stream([m[0] for m in marks])
+    for i, (m, how) in enumerate(zip(marks, out)):
+        if how is None:
+            continue
+        torn = any(unicodedata.category(c) in ("Mn", "Cf") for c in body[max(m.start() - 1, 0) : m.start()] + body[m.end() : m.end() + 1])
+        if how and (torn or misread < MISREAD and isinstance(how, str) and how not in decoder.cost):
+            # part of a word with a sign in it, or a lone reading that no lexicon word backs
+            out[i] = None
+            if i + 1 < len(out) and out[i + 1] == "":
+                out[i + 1] = None
+        elif how == "" and body[marks[i - 1].end() : marks[i].start()].strip():  # a sign between the two: no merge
+            out[i - 1] = out[i] = None
     if misread >= MISREAD:
         found.add("karakter")
-    if not found:
+    decoded = any(how is not None for how in out)
+    if not found and not (every and decoded):
         return text, []
     if with_text:
-        if misread >= MISREAD:
+        if decoded:
             it = iter(out)
 
             def put(m: re.Match) -> str:
@@ -344,7 +360,8 @@ def repair(text: str | None, decoder: Decoder, with_text: bool = True) -> tuple[
                 return like(m[0], form.get(how, how)) if how else "\x00"
 
             body = re.sub(r"\s*\x00", "", TOKEN.sub(put, body))
-        body = paragraphs(body.replace("\r", "").split("\n"))
+        if found:
+            body = paragraphs(body.replace("\r", "").split("\n"))
     return body, [k for k in KINDS if k in found]
 
 
@@ -373,16 +390,17 @@ def without_misread(lexicon: dict[str, tuple[int, str]], factor: int = 20) -> di
 
 
 def repaired(texts: DataFrame, titles: frozenset[str] = frozenset(), with_text: bool = True) -> DataFrame:
-    """texts(id, part, text) -> (id, part, kinds array<string>[, clean])."""
+    """texts(id, part, text) -> (id, part, kinds array<string>[, clean, changed])."""
     decoder = texts.sparkSession.sparkContext.broadcast((lexicon(texts), titles))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = Decoder(*decoder.value)
         for batch in batches:
-            got = [repair(t, d, with_text) for t in batch.column(2).to_pylist()]
+            texts = batch.column(2).to_pylist()
+            got = [repair(t, d, with_text, every=with_text) for t in texts]
             cols = [batch.column(0), batch.column(1), pa.array([k for _, k in got], pa.list_(pa.string()))]
             if with_text:
-                cols.append(pa.array([t for t, _ in got], pa.string()))
-            yield pa.RecordBatch.from_arrays(cols, names=["id", "part", "kinds", "clean"][: len(cols)])
+                cols += [pa.array([t for t, _ in got], pa.string()), pa.array([t != old for (t, _), old in zip(got, texts)], pa.bool_())]
+            yield pa.RecordBatch.from_arrays(cols, names=["id", "part", "kinds", "clean", "changed"][: len(cols)])
 
-    return texts.select("id", "part", "text").mapInArrow(run, "id long, part string, kinds array<string>" + ", clean string" * with_text)
+    return texts.select("id", "part", "text").mapInArrow(run, "id long, part string, kinds array<string>" + ", clean string, changed boolean" * with_text)

@@ -169,6 +169,28 @@ def test_split_and_merge_in_text(decoder):
     assert scan.repair("hasta1ığı bu1unan kara ciğer kalpdebisi", decoder)[0] == "hastalığı bulunan karaciğer kalp debisi"
 
 
+@pytest.mark.parametrize(
+    ("text", "kinds", "clean"),
+    [
+        ("hasta1ığı bulunan kişide", [], "hastalığı bulunan kişide"),
+        ("kalpdebisi normal\nkara ciğer", [], "kalp debisi normal\nkaraciğer"),
+        ("kara) ciğer", [], "kara) ciğer"),
+        ("hba1c de\u0306ğ\u0306ri", [], "hba1c de\u0306ğ\u0306ri"),
+        ("karaci-\nğer hasta1ığı kalpdebisi", ["tire"], "karaciğer hastalığı kalp debisi"),
+    ],
+)
+def test_words_are_decoded_below_the_reporting_threshold(decoder, text, kinds, clean):
+    assert scan.repair(text, decoder, every=True) == (clean, kinds)
+    if kinds:
+        assert scan.repair(text, decoder) == (clean, kinds)
+
+
+def test_changed_column(spark):
+    rows = [(i, "soru", "kalp debisi normal değildir " * 20 + ("norma1" if i == 0 else "normal"), "x") for i in range(30)]
+    got = {r["id"]: r for r in scan.repaired(spark.createDataFrame(rows, "id long, part string, text string, kinds string")).collect()}
+    assert got[0]["changed"] and got[0]["kinds"] == [] and got[0]["clean"] == rows[1][2] and not got[1]["changed"]
+
+
 def test_lexicon_counts_all_rows_and_leaves_misread_words_out(spark):
     texts = spark.createDataFrame([("Hastalığı HASTALIĞI hastalığı",)] * 40 + [("hasta1ığı",)] + [("hastallğı",)] * 4 + [(None,), ("",)], "text string")
     lex = scan.lexicon(texts)
