@@ -2,32 +2,38 @@
 
 The explanation of a response (its text within <think>, or all of it) is cut into clauses, and each is
 tagged answer, refusal, echo, foreign or unfinished by a conditional random field over features of the
-clause: how many of its words the question holds, function words of Turkish and of other languages,
-phrases of declining, sentence end, and the n-gram model of truncation.py on its last characters. The
-shares of the tags in the explanation's characters decide the pair's defect.
-
-The CRF is a classifier fitted on a bounded sample: TRAIN of the rows truncation.SAMPLE draws, each
-made into labelled sequences (as it is, cut, replaced by its question, by a refusal, by foreign text).
-All rows are judged.
-
-Defects, one per pair, in this order: bos (no assistant message, null, or no word of explanation), ret,
+clause: how many of its words the question holds and how much of the question the response repeats, function
+words and character trigrams of Turkish against other languages, phrases of declining, sentence end, and the
+odds of truncation.py that the response ends where it does. The shares of the tags in the explanation's
+characters decide the pair's defect, and nothing but them.
+
+The CRF is a classifier fitted on a bounded sample: TRAIN of the rows truncation.SAMPLE draws and FOREIGN
+texts of known other languages. What a training sequence is called does not come from its features: a
+question put as the response is an echo, a response cut at a random place ends unfinished, a text of another
+language is foreign, a sentence that declines a refusal. Responses as they are count as answers in a first
+fit; a second one leaves those out of whose tags the first is not sure (DOUBT). All rows are judged.
+
+Defects, one per pair, in this order: bos (no assistant message, null, or no clause with a word), ret,
 kopya, yabanci_dil, yarim. A response to a missing or null question cannot be an echo.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from derlem.llm import truncation
 from derlem.llm.words import WORD, fold, words
 
-TRAIN = 400
+TRAIN, FOREIGN = 400, 300
 TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 BREAK = re.compile(r"(?<=[.!?…;])[\"'”’)*_~]*\s+|\s*[\r\n]+\s*")
 OPENER = re.compile(r"^\W*(?:merhaba|selam|açıklama|aciklama|yanıt|cevap|soru|çözüm|gerekçe|tabii|elbette|hello|answer|explanation|question)\s*(?:[:.,!\-–]\s+|\n)", re.I)
@@ -66,9 +72,40 @@ END = re.compile(r"[.!?…:;][\"'”’)*_~`\s]*$")
 
 FEATURES = (
     "bias", "echo>=0.9", "echo>=0.7", "echo<0.5", "foreign>=2", "foreign>=4", "no turkish", "turkish", "vocabulary>=0.5", "vocabulary<0.2",
-    "refusal", "advice", "first", "last", "no end", "cut", "short",
+    "refusal", "advice", "first", "last", "no end", "short", "repeats>=0.4", "repeats>=0.6", "trigrams foreign", "trigrams turkish",
+    "cut", "not cut by far",
 )
 D, K = len(FEATURES), len(TAGS)
+FAR = 3.0
+DOUBT = math.log(0.8)
+
+
+class Trigrams:
+    """Log odds per character of other languages against Turkish, from the character trigrams of two samples."""
+
+    def __init__(self, turkish: list[str], other: list[str]):
+        counts = [Counter(t[i : i + 3] for t in map(self.bare, texts) for i in range(len(t) - 2)) for texts in (turkish, other)]
+        sizes = [sum(c.values()) + 5000 for c in counts]
+        self.odds = {g: math.log((counts[1][g] + 0.5) / sizes[1]) - math.log((counts[0][g] + 0.5) / sizes[0]) for g in counts[0] | counts[1]}
+        self.memo: dict[str, float] = {}
+
+    @staticmethod
+    def bare(text: str) -> str:
+        return f" {' '.join(words(text))} "
+
+    def __call__(self, w: list[str]) -> float:
+        """w: the words of a clause."""
+        total = n = 0
+        for word in w:
+            got = self.memo.get(word)
+            if got is None:
+                t = f" {word} "
+                if len(self.memo) > 200_000:
+                    self.memo.clear()
+                got = self.memo[word] = sum(self.odds.get(t[i : i + 3], 0.0) for i in range(len(t) - 2))
+            total += got
+            n += len(word)
+        return total / n if n else 0.0
 
 
 def plain(text: str) -> str:
@@ -85,28 +122,43 @@ def clauses(text: str) -> list[str]:
     return [c for c in BREAK.split(text) if c and re.search(r"\w", c)]
 
 
-def features(parts: list[str], question: frozenset[str], vocabulary: frozenset[str], cut: bool, structured: bool = False) -> list[tuple[bool, ...]]:
-    """One tuple per clause. structured: the text ends with a list item, row, value or reference."""
+def features(parts: list[str], asked: Question, vocabulary: frozenset[str], trigrams: Trigrams, odds: float, structured: bool = False) -> list[tuple[bool, ...]]:
+    """One tuple per clause. odds: log odds of the response's end less their threshold; structured: the text ends
+    with a list item, row, value or reference."""
     out = []
     body = fold("\n".join(parts))
     declines, advises = any([p in body for p in REFUSAL_PARTS]), any([p in body for p in ADVICE_PARTS])
-    folded = body.split("\n")
+    split = [WORD.findall(f) for f in body.split("\n")]
+    question = asked.words
+    echoes = [sum([t in question for t in w]) / max(1, len(w)) if question else 0.0 for w in split]
+    again = 0.0  # of a question that no clause repeats, nothing is repeated
+    if max(echoes) >= 0.7:
+        stem = frozenset(words(plain(truncation.option_spans(asked.text)[0])))
+        again = len(stem.intersection(set().union(*split))) / len(stem) if stem else 0.0
     end = len(parts) - 1
-    for i, (c, f) in enumerate(zip(parts, folded)):
-        w = WORD.findall(f)
+    for i, (c, f, w, echo) in enumerate(zip(parts, body.split("\n"), split, echoes)):
         n = max(1, len(w))
-        echo = sum([t in question for t in w]) / n if question else 0.0
         foreign = sum([t in FOREIGN_WORDS for t in w])
         turkish = sum([t in TURKISH_WORDS for t in w]) + len(TURKISH_LETTERS.findall(c))
         known = sum([t in vocabulary for t in w]) / n
+        strange = trigrams(w)
         last = i == end
         out.append((
             True, echo >= 0.9, echo >= 0.7, echo < 0.5, foreign >= 2, foreign >= 4, turkish == 0, turkish >= 2, known >= 0.5, known < 0.2,
-            declines and bool(REFUSAL.search(f)), advises and bool(ADVICE.search(f)), i == 0, last, last and not structured and not END.search(c), last and cut, n <= 3,
+            declines and bool(REFUSAL.search(f)), advises and bool(ADVICE.search(f)), i == 0, last, last and not structured and not END.search(c), n <= 3,
+            again >= 0.4, again >= 0.6, strange > 0.3, strange < -0.3, last and odds < 0, last and odds > FAR,
         ))
     return out
 
 
+def padded(xs: list[list[tuple[bool, ...]]], ys: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n, T = len(xs), max(map(len, xs))
+    x, y, mask = np.zeros((n, T, D)), np.zeros((n, T), int), np.zeros((n, T))
+    for i, (a, b) in enumerate(zip(xs, ys)):
+        x[i, : len(a)], y[i, : len(b)], mask[i, : len(a)] = a, b, 1
+    return x, y, mask
+
+
 class Crf:
     """Linear chain over K tags: emission weights [D, K], transitions [K, K], start [K]."""
 
@@ -116,44 +168,56 @@ class Crf:
         self.s = np.zeros(K)
         self.memo: dict[tuple, list[int]] = {}
 
-    def fit(self, xs: list[list[tuple[bool, ...]]], ys: list[list[int]], rounds: int = 80, rate: float = 0.2, ridge: float = 1e-3) -> Crf:
-        """Maximum likelihood by full-batch Adam; forward-backward runs over all sequences at once."""
-        n, T = len(xs), max(map(len, xs))
-        x = np.zeros((n, T, D))
-        y = np.zeros((n, T), int)
-        mask = np.zeros((n, T))
-        for i, (a, b) in enumerate(zip(xs, ys)):
-            x[i, : len(a)], y[i, : len(b)], mask[i, : len(a)] = a, b, 1
-        onehot = np.eye(K)[y] * mask[..., None]
-        pair = np.einsum("ntj,ntk->jk", onehot[:, :-1], onehot[:, 1:])
-        seen_w, seen_s = np.einsum("ntd,ntk->dk", x, onehot), onehot[:, 0].sum(0)
+    def fit(self, xs: list[list[tuple[bool, ...]]], ys: list[list[int]], rounds: int = 100, rate: float = 0.4, ridge: float = 2e-4) -> Crf:
+        """Maximum likelihood by full-batch Adam from the present weights; sequences of like length run together."""
+        order = sorted(range(len(xs)), key=lambda i: len(xs[i]))
+        parts = [padded([xs[i] for i in part], [ys[i] for i in part]) for part in np.array_split(order, min(8, len(order)))]
         moments = [(np.zeros_like(p), np.zeros_like(p)) for p in (self.w, self.t, self.s)]
         for step in range(1, rounds + 1):
-            e = x @ self.w
-            a, b = np.zeros((n, T, K)), np.zeros((n, T, K))
-            a[:, 0] = self.s + e[:, 0]
-            for t in range(1, T):
-                m = a[:, t - 1, :, None] + self.t[None]
-                top = m.max(1)
-                a[:, t] = np.where(mask[:, t, None] > 0, top + np.log(np.exp(m - top[:, None]).sum(1)) + e[:, t], a[:, t - 1])
-            for t in range(T - 2, -1, -1):
-                m = self.t[None] + (e[:, t + 1] + b[:, t + 1])[:, None, :]
-                top = m.max(2)
-                b[:, t] = np.where(mask[:, t + 1, None] > 0, top + np.log(np.exp(m - top[..., None]).sum(2)), 0.0)
-            top = a[:, -1].max(1)
-            z = top + np.log(np.exp(a[:, -1] - top[:, None]).sum(1))
-            p = np.exp(a + b - z[:, None, None]) * mask[..., None]
-            joint = np.exp(a[:, :-1, :, None] + self.t + (e[:, 1:] + b[:, 1:])[:, :, None, :] - z[:, None, None, None]) * mask[:, 1:, None, None]
-            grads = (seen_w - np.einsum("ntd,ntk->dk", x, p), pair - joint.sum((0, 1)), seen_s - p[:, 0].sum(0))
-            for par, g, (m1, m2) in zip((self.w, self.t, self.s), grads, moments):
-                g = g / n - ridge * par
+            sums = [self.gradient(*part) for part in parts]
+            for k, (par, (m1, m2)) in enumerate(zip((self.w, self.t, self.s), moments)):
+                g = sum(x[k] for x in sums) / len(xs) - ridge * par
                 m1 *= 0.9
                 m1 += 0.1 * g
                 m2 *= 0.99
                 m2 += 0.01 * g * g
                 par += rate * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.99**step)) + 1e-8)
+        self.memo.clear()
         return self
 
+    def gradient(self, x: np.ndarray, y: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the log likelihood, summed over the sequences, by forward-backward."""
+        n, T = mask.shape
+        onehot = np.eye(K)[y] * mask[..., None]
+        e = x @ self.w
+        a, b = np.zeros((n, T, K)), np.zeros((n, T, K))
+        a[:, 0] = self.s + e[:, 0]
+        for t in range(1, T):
+            m = a[:, t - 1, :, None] + self.t[None]
+            top = m.max(1)
+            a[:, t] = np.where(mask[:, t, None] > 0, top + np.log(np.exp(m - top[:, None]).sum(1)) + e[:, t], a[:, t - 1])
+        for t in range(T - 2, -1, -1):
+            m = self.t[None] + (e[:, t + 1] + b[:, t + 1])[:, None, :]
+            top = m.max(2)
+            b[:, t] = np.where(mask[:, t + 1, None] > 0, top + np.log(np.exp(m - top[..., None]).sum(2)), 0.0)
+        top = a[:, -1].max(1)
+        z = top + np.log(np.exp(a[:, -1] - top[:, None]).sum(1))
+        p = np.exp(a + b - z[:, None, None]) * mask[..., None]
+        joint = np.exp(a[:, :-1, :, None] + self.t + (e[:, 1:] + b[:, 1:])[:, :, None, :] - z[:, None, None, None]) * mask[:, 1:, None, None]
+        pair = np.einsum("ntj,ntk->jk", onehot[:, :-1], onehot[:, 1:])
+        diff = (onehot - p).reshape(n * T, K)
+        return x.reshape(n * T, D).T @ diff, pair - joint.sum((0, 1)), (onehot[:, 0] - p[:, 0]).sum(0)
+
+    def likelihood(self, x: list[tuple[bool, ...]], y: list[int]) -> float:
+        """Log probability of the tags, per clause."""
+        e = np.array(x, float) @ self.w
+        a, path = self.s + e[0], self.s[y[0]] + e[0, y[0]]
+        for t in range(1, len(y)):
+            m = a[:, None] + self.t
+            a = m.max(0) + np.log(np.exp(m - m.max(0)).sum(0)) + e[t]
+            path += self.t[y[t - 1], y[t]] + e[t, y[t]]
+        return float(path - a.max() - np.log(np.exp(a - a.max()).sum())) / len(y)
+
     def tag(self, x: list[tuple[bool, ...]]) -> list[int]:
         """Viterbi; sequences of equal features are decoded once."""
         key = tuple(x)
@@ -180,6 +244,7 @@ class Crf:
 REFUSAL_SEEDS = (
     "Üzgünüm, bu soruyu yanıtlayamam.", "Maalesef {} hakkında açıklama yapamıyorum.", "Bu konuda yardımcı olamayacağım.", "Ne yazık ki bu isteği karşılayamam.",
     "Yeterli bilgim yok, yorum yapmayı uygun bulmuyorum.", "Bir yapay zekâ olarak tıbbi görüş veremem.", "{} için değerlendirme yapmaya yetkili değilim.", "Yanıt vermekten kaçınıyorum.",
+    "Bu hasta için tanı koyamam.", "{} ile ilgili yorum yapamam.", "Bu olgu ile ilgili açıklama yapmaya yetkili değilim.", "{} tanısı ve tedavisi için görüş bildiremem.", "Bu soru için açıklama yazmayacağım.",
     "I'm sorry, but I can't answer this.", "As an AI assistant I am unable to discuss {}.", "Es tut mir leid, ich kann diese Frage nicht beantworten.", "Je suis désolé, je ne peux pas répondre.", "Lo siento, no puedo responder a esta pregunta.",
 )
 ADVICE_SEEDS = ("Lütfen bir doktora danışınız.", "İsterseniz başka bir soru sorabilirsiniz.", "Bir uzmana görünmenizi öneririm.", "Please consult a physician.")
@@ -191,111 +256,144 @@ FOREIGN_SEEDS = (
 )
 
 
+class Question(NamedTuple):
+    text: str
+    words: frozenset[str]
+
+
 class Judge:
     """The fitted model with all that judging a pair needs."""
 
-    def __init__(self, ends: truncation.Ends, vocabulary: frozenset[str], crf: Crf):
-        self.ends, self.vocabulary, self.crf = ends, vocabulary, crf
+    def __init__(self, ends: truncation.Ends, vocabulary: frozenset[str], trigrams: Trigrams):
+        self.ends, self.vocabulary, self.trigrams, self.crf = ends, vocabulary, trigrams, Crf()
+
+    def asked(self, user: str | None) -> Question:
+        return Question(user or "", frozenset(words(plain(user))) if user else frozenset())
 
-    def shares(self, user: str | None, assistant: str) -> tuple[dict[str, float], list[str], frozenset[str]]:
-        body, _ = truncation.explanation(assistant)
-        body = ANSWER_LINE.sub("", body)
+    def read(self, user: str | None, assistant: str) -> tuple[list[str], list[tuple[bool, ...]]]:
+        """The clauses of the explanation and their features."""
+        body = ANSWER_LINE.sub("", truncation.explanation(assistant)[0])
         parts = clauses(body)
-        question = question_words(user)
         if not parts:
-            return {}, parts, question
-        tags = self.crf.tag(features(parts, question, self.vocabulary, truncation.is_cut(self.ends, "assistant", assistant), not END.search(parts[-1]) and structured(body)))
+            return parts, []
+        odds = truncation.margin(self.ends, "assistant", assistant)
+        return parts, features(parts, self.asked(user), self.vocabulary, self.trigrams, odds, not END.search(parts[-1]) and structured(body))
+
+    def coverage(self, user: str | None, assistant: str | None) -> dict[str, float]:
+        """Share of each tag in the explanation's characters; empty without a clause."""
+        parts, seen = self.read(user, assistant) if assistant else ([], [])
         size = sum(map(len, parts))
-        out = dict.fromkeys(TAGS, 0.0)
-        for c, k in zip(parts, tags):
-            out[TAGS[k]] += len(c) / size
-        if tags[-1] == 4:
-            out["unfinished"] = max(out["unfinished"], 1e-9)
-        return out, parts, question
+        out: dict[str, float] = {}
+        for c, k in zip(parts, self.crf.tag(seen) if seen else []):
+            out[TAGS[k]] = out.get(TAGS[k], 0.0) + len(c) / size
+        return out
 
     def defect(self, user: str | None, assistant: str | None) -> str | None:
-        if assistant is None or not re.search(r"[^\W_]", ANSWER_LINE.sub("", truncation.explanation(assistant)[0])):
-            return "bos"
-        share, parts, question = self.shares(user, assistant)
+        share = self.coverage(user, assistant)
         if not share:
             return "bos"
-        if share["refusal"] >= 0.5 and any(REFUSAL.search(fold(c)) for c in parts):
-            return "ret"
-        if share["echo"] >= 0.5:
-            stem = question_words(truncation.option_spans(user or "")[0])
-            told = {w for c in parts for w in words(c)}
-            again = len(stem & told) / max(1, len(stem))
-            # of a question that was cut the response may hold more than the question itself
-            if share["echo"] >= 0.8 and again >= 0.4 or again >= 0.6 and truncation.is_cut(self.ends, "user", user):
-                return "kopya"
-        if share["foreign"] >= 0.6:
-            return "yabanci_dil"
-        if share["unfinished"] > 0:
-            return "yarim"
+        for tag, least, name in DEFECTS:
+            if share.get(tag, 0.0) >= least:
+                return name
         return None
 
 
+#: least coverage of a tag that makes the pair defective, in order; an unfinished end is a defect at any length
+DEFECTS = (("refusal", 0.5, "ret"), ("echo", 0.5, "kopya"), ("foreign", 0.6, "yabanci_dil"), ("unfinished", 1e-12, "yarim"))
+
+
 def structured(body: str) -> bool:
     last = body.rstrip().rsplit("\n", 1)[-1]
     return any(p.search(last) for p in (truncation.ITEM, truncation.ROW, truncation.VALUE, truncation.REFERENCE, truncation.MARKUP_END))
 
 
-def question_words(user: str | None) -> frozenset[str]:
-    return frozenset(words(plain(user))) if user else frozenset()
-
-
-def fit(rows: list[tuple[str | None, str | None]]) -> Judge:
+def fit(rows: list[tuple[str | None, str | None]], foreign: list[str] = []) -> Judge:
+    """rows: (user content, assistant content); foreign: texts of other languages, FOREIGN_SEEDS where there are none."""
     ends = truncation.fit(rows)
-    told = [words(truncation.explanation(a)[0]) for _, a in rows if a]
-    turkish = [w for w in told if sum(t in TURKISH_WORDS for t in w) >= sum(t in FOREIGN_WORDS for t in w)]
-    seen = Counter(t for w in turkish for t in set(w))
+    told = [truncation.explanation(a)[0] for _, a in rows if a]
+    seen = Counter(t for text in told for t in set(words(text)))
     vocabulary = frozenset(w for w, n in seen.items() if n >= max(3, len(rows) // 200))
+    others = foreign or [s.replace("{}", "") for s in FOREIGN_SEEDS]
+    judge = Judge(ends, vocabulary, Trigrams([u for u, _ in rows if u], others))
     rng = np.random.default_rng(4)
-    xs, ys = [], []
+    xs: list[list[tuple[bool, ...]]] = []
+    ys: list[list[int]] = []
+    real: list[tuple[int, list[int]]] = []
+
+    def add(user: str, response: str, tag: int, last: int | None = None, at: range = range(0), other: int = 0) -> None:
+        """A made response whose clauses have one tag, those at some places and the last one another where given."""
+        parts, x = judge.read(user, response)
+        if x:
+            xs.append(x)
+            ys.append([other if i in at else tag for i in range(len(x) - 1)] + [tag if last is None else last])
 
-    def add(parts: list[str], tags: list[int], question: frozenset[str], cut: bool = False) -> None:
-        if parts:
-            xs.append(features(parts, question, vocabulary, cut))
-            ys.append(tags)
+    def framed(text: str) -> str:
+        return f"<think>\n{text}\n</think>\n\nDoğru cevap: {'ABCDE'[int(rng.integers(5))]}"
 
+    pool = [c for t in foreign for c in clauses(t)]
     for user, assistant in rows[:TRAIN]:
         if not user or not assistant:
             continue
-        q = question_words(user)
-        body = truncation.explanation(assistant)[0]
-        parts = clauses(body)[:12]
         terms = [w for w in words(user) if len(w) > 5] or ["x"]
         term = terms[int(rng.integers(len(terms)))]
-        echoes = [sum(t in q for t in w) / max(1, len(w)) for w in map(words, parts)]
-        plain = parts and not REFUSAL.search(fold(body)) and TURKISH_LETTERS.search(body) and sum(echoes) < 0.7 * len(parts) and not truncation.is_cut(ends, "assistant", assistant)
-        if plain:
-            add(parts, [0] * len(parts), q)
-            add([" ".join(parts[0].split()[: int(rng.integers(2, 5))]) + "."], [0], q)  # short, but complete
-            last = parts[-1]
-            if len(last) > 20:
-                add([*parts[:-1], last[: int(rng.integers(8, len(last) - 4))]], [0] * (len(parts) - 1) + [4], q, True)
-        stem = clauses(truncation.option_spans(user)[0])[:12]
-        add(stem, [2] * len(stem), q)
         pick = lambda seeds: seeds[int(rng.integers(len(seeds)))].replace("{}", term)
-        refusal = [pick(REFUSAL_SEEDS)] + [pick(ADVICE_SEEDS)] * int(rng.integers(2))
-        add(refusal, [1] * len(refusal), q)
-        foreign = [pick(FOREIGN_SEEDS) for _ in range(int(rng.integers(2, 6)))]
-        add(foreign, [3] * len(foreign), q)
-    crf = Crf()
+        wrap = framed if rng.random() < 0.7 else str
+        body = truncation.explanation(assistant)[0].strip()
+        before = len(xs)
+        add(user, assistant, 0)
+        first = clauses(body)[:1]
+        for c in first:
+            add(user, framed(" ".join(c.split()[: int(rng.integers(2, 5))]).rstrip(".,;:") + "."), 0)  # short, but complete
+        if len(body) > 60:
+            whole = assistant if rng.random() < 0.5 else f"<think>\n{body}"
+            at = int(rng.integers(30, len(body)))
+            cut = f"<think>\n{body[:at]}" if whole != assistant else framed(body[:at])
+            if body[at - 1].isalnum() and body[at : at + 1].isalnum():  # inside a word: unfinished for certain
+                add(user, cut, 0, 4)
+        own = clauses(body)
+        if len(own) > 2:  # an answer may begin with a sentence of the question or quote one of another language
+            told, asked = " ".join(own), clauses(truncation.option_spans(user)[0])
+            if asked and END.search(asked[0]):
+                add(user, framed(f"{asked[0]} {told}"), 0, at=range(1), other=2)
+            quoted = pool[int(rng.integers(len(pool)))] if pool else pick(FOREIGN_SEEDS)
+            if END.search(own[0]) and END.search(quoted):
+                add(user, framed(f"{own[0]} {quoted} {' '.join(own[1:])}"), 0, at=range(1, 2), other=3)
+        real += [(i, ys[i]) for i in range(before, len(xs))]
+        stem = truncation.option_spans(user)[0]
+        add(user, wrap(("Açıklama: " if rng.random() < 0.3 else "") + (stem if rng.random() < 0.6 else user)), 2)
+        add(user, wrap(" ".join([pick(REFUSAL_SEEDS)] + [pick(ADVICE_SEEDS)] * int(rng.integers(2)))), 1)
+        n = int(rng.integers(2, 6))
+        add(user, wrap(" ".join(pool[int(rng.integers(len(pool)))] if pool else pick(FOREIGN_SEEDS) for _ in range(n))), 3)
     if xs:
-        crf.fit(xs, ys)
-    return Judge(ends, vocabulary, crf)
-
-
-def defects(records: DataFrame) -> DataFrame:
-    """records(id, user, assistant) -> (id, defect) of the defective pairs."""
-    model = records.sparkSession.sparkContext.broadcast(fit(truncation.sample_rows(records)))
+        judge.crf.fit(xs, ys)
+        wrong = {i for i, y in real if judge.crf.likelihood(xs[i], y) < DOUBT}
+        if len(wrong) < 0.5 * len(real):
+            judge.crf.fit([x for i, x in enumerate(xs) if i not in wrong], [y for i, y in enumerate(ys) if i not in wrong])
+    return judge
+
+
+def foreign_sample(texts: DataFrame, size: int = FOREIGN) -> list[str]:
+    """texts(id, text, lang): at most size texts of up to truncation.LONGEST characters labelled en, de, fr or es, by hash of their ids."""
+    known = texts.filter(F.lower("lang").isin("en", "de", "fr", "es") & (F.length("text") <= truncation.LONGEST))
+    n, space = known.count(), 1 << 40
+    hashed = known.select("text", F.pmod(F.xxhash64("id"), F.lit(space)).alias("h"), "id")
+    if n > 2 * size:
+        hashed = hashed.filter(F.col("h") < int(space * (1.3 * size + 100) / n))
+    return [r["text"] for r in hashed.orderBy("h", "id").limit(size).collect()]
+
+
+def defects(records: DataFrame, foreign: DataFrame | None = None) -> DataFrame:
+    """records(id, user, assistant[, turn]), foreign(id, text, lang) -> (id, turn, defect) of the defective pairs."""
+    if "turn" not in records.columns:
+        records = records.withColumn("turn", F.lit(0))
+    others = foreign_sample(foreign) if foreign is not None else []
+    model = records.sparkSession.sparkContext.broadcast(fit(truncation.sample_rows(records), others))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = model.value
         for batch in batches:
-            ids, users, assistants = (c.to_pylist() for c in batch.columns)
-            out = [(i, d) for i, u, a in zip(ids, users, assistants) if (d := judge.defect(u, a))]
-            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], pa.int64()), pa.array([d for _, d in out], pa.string())], names=["id", "defect"])
+            out = [(i, k, d) for i, k, u, a in zip(*(c.to_pylist() for c in batch.columns)) if (d := judge.defect(u, a))]
+            cols = [pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int32()), pa.array([r[2] for r in out], pa.string())]
+            yield pa.RecordBatch.from_arrays(cols, names=["id", "turn", "defect"])
 
-    return records.select("id", "user", "assistant").mapInArrow(run, "id long, defect string")
+    return records.select("id", F.col("turn").cast("int"), "user", "assistant").mapInArrow(run, "id long, turn int, defect string")

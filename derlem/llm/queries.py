@@ -4,17 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from derlem.llm import bpe, canonical, markup, mix, neardup, overlap, pairs, scan, subjects, truncation
 from derlem.llm.words import fold
-from derlem.sources.tables import first_content, table
+from derlem.sources.tables import table
+
+
+def contents(role: str) -> Column:
+    """The contents of all messages with that role, in order."""
+    return F.transform(F.filter("messages", lambda m: m["role"] == role), lambda m: m["content"])
+
+
+def whole(role: str) -> Column:
+    """All contents of a role as one text, a line each; null where there is none."""
+    texts = F.filter(contents(role), lambda t: t.isNotNull())
+    return F.when(F.size(texts) > 0, F.array_join(texts, "\n"))
 
 
 def question_texts(spark: SparkSession, d: str) -> DataFrame:
     """(id, text): user contents of sft_record and soru of repair_request."""
-    sft = table(spark, d, "sft_record").select(F.col("kayit_no").alias("id"), first_content("user").alias("text"))
+    sft = table(spark, d, "sft_record").select(F.col("kayit_no").alias("id"), whole("user").alias("text"))
     rep = table(spark, d, "repair_request").select(F.col("kayit_no").alias("id"), F.col("soru").alias("text"))
     return sft.unionByName(rep).filter("text is not null")
 
@@ -31,7 +42,7 @@ def p1_groups(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _p3(spark: SparkSession, d: str) -> DataFrame:
-    train = table(spark, d, "sft_record").select(F.col("kayit_no").alias("id"), first_content("user").alias("text")).filter("text is not null")
+    train = table(spark, d, "sft_record").select(F.col("kayit_no").alias("id"), whole("user").alias("text")).filter("text is not null")
     held = table(spark, d, "eval_record").select(F.col("kayit_no").alias("id"), F.col("soru").alias("text")).filter("text is not null")
     return overlap.expand(*overlap.cross_split_overlaps(train, held))
 
@@ -78,8 +89,10 @@ def _messages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _dialogues(spark: SparkSession, d: str) -> DataFrame:
-    """(id, user, assistant) of sft_record."""
-    return table(spark, d, "sft_record").select(F.col("kayit_no").alias("id"), first_content("user").alias("user"), first_content("assistant").alias("assistant"))
+    """(id, turn, user, assistant) of sft_record: the n-th user content with the n-th assistant content, null where one is missing."""
+    turns = F.arrays_zip(contents("user").alias("user"), contents("assistant").alias("assistant"))
+    rows = table(spark, d, "sft_record").select(F.col("kayit_no").alias("id"), F.posexplode_outer(turns).alias("turn", "t"))
+    return rows.select("id", F.coalesce("turn", F.lit(0)).alias("turn"), "t.user", "t.assistant")
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -94,7 +107,10 @@ def p2_clean(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return pairs.defects(_dialogues(spark, d)).select(F.col("id").alias("kayit_no"), F.col("defect").alias("kusur"))
+    """The first defect of each record; of records with several turns the first defective one counts."""
+    others = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", "lang")
+    found = pairs.defects(_dialogues(spark, d), others).groupBy("id").agg(F.min(F.struct("turn", "defect")).alias("d"))
+    return found.select(F.col("id").alias("kayit_no"), F.col("d.defect").alias("kusur"))
 
 
 def _titles(spark: SparkSession, d: str) -> frozenset[str]:
@@ -122,7 +138,7 @@ def p6_repaired(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    return truncation.truncated(_dialogues(spark, d)).select(F.col("id").alias("kayit_no"), F.col("role").alias("rol"))
+    return truncation.truncated(_dialogues(spark, d)).select(F.col("id").alias("kayit_no"), F.col("role").alias("rol")).distinct()
 
 
 def p7_report(spark: SparkSession, d: str) -> DataFrame:

@@ -106,10 +106,10 @@ def test_held_out_defects(judge, dialogues):
 
 def test_defect_column(spark, dialogues):
     df = spark.createDataFrame([(*r, "x") for r in [*dialogues[:300], (-1, None, None), (-2, None, frame(TOLD))]], "id long, user string, assistant string, defect string")
-    got = dict(rows(pairs.defects(df)))
+    got = {i: d for i, _, d in rows(pairs.defects(df))}
     assert got[-1] == "bos" and -2 not in got
     assert rows(pairs.defects(df.limit(0))) == []
-    assert rows(pairs.defects(spark.createDataFrame([(1, "s", None)], "id long, user string, assistant string"))) == [(1, "bos")]
+    assert rows(pairs.defects(spark.createDataFrame([(1, "s", None)], "id long, user string, assistant string"))) == [(1, 0, "bos")]
 
 
 # ------------------------------------------------------------------------------------------------ scan noise
