@@ -213,26 +213,47 @@ def doc(*subject_terms, filler=0):
 
 def test_subjects(spark):
     data = [
-        (1, doc("kalp debisi", "vagal tonus", "ön yük")),
-        (2, doc("kalp debisi", "vagal tonus", "sternum", "patella")),
-        (3, doc("kalp debisi", "vagal tonus", "ön yük", "sternum")),  # one stray sentence
-        (4, doc("kalp debisi", "vagal tonus", filler=9)),  # under a quarter
-        (5, None), (6, ""), (7, "  \n"), (8, "KALP DEBİSİNİN artışı vagal to-\nnusu etkiler.\n[12]\nÖn yükün değeri de öyle."),
+        (1, doc("kalp debisi", "tidal volüm", "vital kapasite")),
+        (2, doc("kalp debisi", "tidal volüm", "sternum", "patella")),
+        (3, doc("kalp debisi", "tidal volüm", "vital kapasite", "sternum")),  # one stray sentence
+        (4, doc("kalp debisi", "tidal volüm", filler=9)),  # under a quarter
+        (5, None), (6, ""), (7, "  \n"), (8, "KALP DEBİSİNİN artışı tidal vo-\nlümü etkiler.\n[12]\nVital kapasitenin değeri de öyle."),
         (9, "The cardiac output is low. A synapse was seen."), (10, (doc("kalp debisi") + " ") * 20000),
     ]
     df = spark.createDataFrame([(i, t, "x") for i, t in data], "doc_id long, text string, subject string")
     labels = spark.createDataFrame([(1, "fizyoloji"), (2, "anatomi"), (2, "fizyoloji"), (3, "fizyoloji"), (99, "hukuk"), (1, None)], "doc_id long, subject string")
-    got = rows(subjects.subjects(df, labels))
+    assert subjects.subjects(df, labels).columns == ["doc_id", "subject"] and subjects.subjects(df, labels).count() > 0
+    got = rows(subjects.subjects(df))
     assert got == [(1, "fizyoloji"), (10, "fizyoloji"), (2, "anatomi"), (2, "fizyoloji"), (3, "fizyoloji"), (8, "fizyoloji"), (9, "fizyoloji")]
     assert subjects.subjects(df.limit(0)).count() == 0
 
 
 def test_subject_terms_are_distinct():
-    _, index = subjects.automaton()
-    assert len({s for _, s in index}) == 14
     owners = {}
-    for t, s in index:
+    for t, s in subjects.general_terms():
         assert owners.setdefault(t, s) == s, t
+    assert len(set(owners.values())) == 14
+
+
+def test_terms_are_learned_from_labels():
+    labelled = [(doc(f"{a} {t}"), {s}) for a in ("erken", "geç", "hafif", "ağır") for t, s in (("torbul eğrisi", "hukuk"), ("sanıl payı", "spor"))]
+    labelled += [(t + f" Bu konuda {s} ayrıdır.", k) for (t, k), s in zip(labelled, "abcdefgh")]
+    got = dict(subjects.learn(labelled, [("ayrintili", "anatomi"), ("mahkeme", "hukuk")]))
+    assert got["torbul"] == "hukuk" and got["sanil"] == "spor" and got["mahkeme"] == "hukuk"
+    assert "burada" not in got and "ayrintili" not in got  # in documents of both; contradicted by the labels
+
+
+def test_learned_terms_place_documents_that_were_not_labelled(spark, data):
+    d = data.replace("sf0.001", "sf0.01")
+    known = {}
+    for i, s in table(spark, d, "doc_label").distinct().collect():
+        known.setdefault(i, set()).add(s)
+    texts = {r["doc_id"]: r["text"] for r in table(spark, d, "documents").filter("text is not null").collect()}
+    learnt = [(texts[i], s) for i, s in sorted(known.items()) if i in texts and i % 2]
+    terms = subjects.vocabulary(learnt, [t for i, t in sorted(texts.items()) if i not in known])
+    a, even = subjects.automaton(terms), [1.0] * len(terms)
+    held = [(set(subjects.assign(subjects.evidence(a, terms, even, texts[i]), 0.35)), s) for i, s in known.items() if i in texts and i % 2 == 0]
+    assert sum(len(x & y) for x, y in held) >= 0.85 * sum(len(y) for _, y in held)
 
 
 def test_agrees_with_labels(spark, data):
