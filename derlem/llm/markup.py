@@ -1,11 +1,17 @@
 """Markup residue (problem 2): HTML, Markdown, wiki and LaTeX to clean text, by line-block distribution.
 
-Every rule that strips something names the kind of markup it stripped; the kinds found and the clean
-text come from the same pass. Then the residual length of each line is summed over a sliding window of
-WINDOW lines; text starts where the sums surge above zero and ends where they dive to zero, and blocks
-between dives that hold neither text nor structure are dropped. Structure is kept as plain text:
-headings as lines of their own, list items with a bullet, table cells with bars, code as it is, formulas
-with their commands written out.
+Two distributions over the lines of a text are summed over sliding windows of WINDOW lines.
+
+1. Residue: the markup signs of each line. Where the sums surge above zero markup begins, after they dive to
+   zero for good it ends; the rules that strip it run between these points only, and each names the kind of
+   markup it stripped, so the kinds found and the clean text come from the same stretch.
+2. Text: the words of each stripped line outside links, and those within links. A text block starts where the
+   words outside links surge and ends where they dive: while a window holds links, but at most WORDS words
+   outside them (menus, link rows, sharing bars), its lines are between texts and are dropped, as are link-only
+   lines next to them and empty lines. Text between surge and dive is kept, whatever its length.
+
+Structure is kept as plain text: headings as lines of their own, list items with a bullet, table cells with
+bars, code as it is, formulas with their commands written out; lines of code and formulas count as text.
 
 Plain bullets, lone comparison, dollar, star or bar signs and bracketed numbers are no markup. The frame
 tags <think> and </think> are no markup either and stay. Null gives null and no kinds, "" gives "".
@@ -20,7 +26,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-WINDOW = 3
+WINDOW, WORDS = 3, 3
 KINDS = ("html", "markdown", "wiki", "latex")
 
 TAGS = (
@@ -30,6 +36,8 @@ TAGS = (
 ).split()
 TAG = re.compile(rf"</?(?:{'|'.join(TAGS)})(?:\s[^<>]*|\s*)/?>", re.I)
 COMMENT = re.compile(r"<!--.*?(?:-->|\Z)", re.S)
+ANCHOR = re.compile(r"<a\b[^<>]*>(.*?)</a\s*>", re.I | re.S)
+LINK, LINK_END = "\ue004", "\ue005"  # around the text of a link, until the blocks are chosen
 ENTITY = re.compile(r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});")
 BLOCK_TAG = re.compile(r"</?(?:p|div|tr|table|ul|ol|h[1-6]|pre|blockquote|section)\b[^<>]*>|<br\s*/?>|</li>", re.I)
 ITEM_TAG = re.compile(r"<li\b[^<>]*>", re.I)
@@ -38,7 +46,7 @@ CELL_TAG = re.compile(r"</t[dh]>\s*(?=<t[dh]\b)", re.I)
 FENCE = re.compile(r"^[ \t]{0,3}(```+|~~~+)[^\n`]*\n(.*?)(?:^[ \t]{0,3}\1[ \t]*$|\Z)", re.S | re.M)
 CODE = re.compile(r"(?<!`)`(?!`)([^`\n]+)`(?!`)")
 MD_HEAD = re.compile(r"^[ \t]{0,3}#{1,6}[ \t]+(?=\S)(.*?)[ \t]*#*[ \t]*$", re.M)
-MD_SETEXT = re.compile(r"^[ \t]{0,3}([^\W_][^\n]{0,100}?[^\s.;:,])[ \t]*\n[ \t]*(?:={3,}|-{3,})[ \t]*$", re.M)
+MD_SETEXT = re.compile(r"^[ \t]{0,3}([^\W_][^\n]*?[^\s.;:,])[ \t]*\n[ \t]*(?:={3,}|-{3,})[ \t]*$", re.M)
 MD_STRONG = re.compile(r"(\*\*|__)(?=[^\s*_])((?:(?!\n[ \t]*\n).)+?)(?<=[^\s*])\1(?!\w)", re.S)
 MD_EM = re.compile(r"(?<![\w*\\])\*(?=[^\W_]|[\"“‘(])((?:(?!\n[ \t]*\n)[^*])+?)(?<=[^\s*(])\*(?![\w*])|(?<![\w_\\])_(?=[^\W_]|[\"“‘(])((?:(?!\n[ \t]*\n)[^_])+?)(?<=[^\s_(])_(?![\w_])")
 MD_STRIKE = re.compile(r"~~(?=\S)((?:(?!\n[ \t]*\n).)+?)(?<=\S)~~", re.S)
@@ -57,7 +65,7 @@ WIKI_CELL = re.compile(r"[ \t]*(?:\|\||!!)[ \t]*")
 WIKI_FIRST = re.compile(r"^[ \t]*!(?=\s*\w)", re.M)
 
 TEX_MATH = re.compile(r"\$\$(.+?)\$\$|\\\((.+?)\\\)|\\\[(.+?)\\\]", re.S)
-TEX_INLINE = re.compile(r"(?<![\w$\\])\$(?=[^\s$])([^$\n]{1,400}?)(?<=[^\s\\])\$(?![\d$])")
+TEX_INLINE = re.compile(r"(?<![\w$\\])\$(?=[^\s$])([^$\n]+?)(?<=[^\s\\])\$(?![\d$])")
 TEX_BODY = re.compile(r"[\\^_={}<>+]|^[\w ]{1,3}$")
 TEX_ENV = re.compile(r"\\(?:begin|end)\s*\{([a-zA-Z*]+)\}(?:\{[^{}\n]*\}|\[[^\]\n]*\])?")
 TEX_HEAD = re.compile(r"\\(?:part|chapter|(?:sub)*section|paragraph)\*?\s*\{([^{}]*)\}")
@@ -91,10 +99,39 @@ def tex_plain(body: str) -> str:
     return re.sub(r"[ \t]{2,}", " ", body).strip()
 
 
-def strip_markup(text: str) -> tuple[str, list[str]]:
-    """(text without markup, kinds found in the order of KINDS)."""
+def linked(text: str) -> str:
+    """A link's text with its marks, line by line."""
+    return "\n".join(f"{LINK}{x}{LINK_END}" if x.strip() else x for x in text.split("\n"))
+
+
+def windows(sizes: list[int]) -> list[int]:
+    """Sums over each line and the lines after it, WINDOW in all."""
+    return [sum(sizes[i : i + WINDOW]) for i in range(len(sizes))]
+
+
+def residue(text: str) -> tuple[int, int]:
+    """(first line of the first surge of markup signs, line after the last dive); (0, 0) without any."""
     if not SIGNS.search(FRAME.sub("", text)):
+        return 0, 0
+    sums = windows([len(SIGNS.findall(FRAME.sub("", x))) for x in text.split("\n")])
+    raised = [i for i, n in enumerate(sums) if n]
+    return (raised[0], raised[-1] + 1) if raised else (0, 0)
+
+
+def strip_markup(text: str) -> tuple[str, list[str]]:
+    """(text without markup, kinds found in the order of KINDS), text between the blocks left out."""
+    begin, end = residue(text)
+    if begin == end:
         return text, []
+    lines = text.split("\n")
+    t, kinds = strip_stretch("\n".join(lines[begin:end]))
+    if not kinds:
+        return text, []
+    return line_blocks("\n".join([*lines[:begin], t, *lines[end:]])), kinds
+
+
+def strip_stretch(text: str) -> tuple[str, list[str]]:
+    """(stretch without markup, links marked, code and formulas in place, kinds found)."""
     found: set[str] = set()
     kept: list[str] = []
 
@@ -135,13 +172,12 @@ def strip_markup(text: str) -> tuple[str, list[str]]:
         t = sub(COMMENT, "", "html", t)
         if TAG.search(t):
             found.add("html")
+            t = ANCHOR.sub(lambda m: linked(m[1]), t)
             t = BLOCK_TAG.sub("\n", ITEM_TAG.sub("\n• ", CELL_TAG.sub(" | ", t)))
             t = TAG.sub("", t)
     if "&" in t and ENTITY.search(t):
         found.add("html")
-        for _ in range(3):  # entities may have been escaped again
-            if (new := html.unescape(t)) == t:
-                break
+        while (new := html.unescape(t)) != t:  # entities may have been escaped again and again
             t = new
         t = BLOCK_TAG.sub("\n", t)
         t = TAG.sub("", t)
@@ -150,7 +186,7 @@ def strip_markup(text: str) -> tuple[str, list[str]]:
     if "''" in t:
         t = sub(WIKI_EM, r"\1", "wiki", t)
     if "[[" in t:
-        t = sub(WIKI_LINK, lambda m: m[1].split("|")[-1], "wiki", t)
+        t = sub(WIKI_LINK, lambda m: linked(m[1].split("|")[-1]), "wiki", t)
     if "{{" in t:
         t = sub(WIKI_TEMPLATE, lambda m: "; ".join(x.replace("=", ": ", 1) for x in m[1].split("|")), "wiki", t)
     if "|" in t:
@@ -166,7 +202,7 @@ def strip_markup(text: str) -> tuple[str, list[str]]:
         t = sub(MD_HEAD, r"\1", "markdown", t)
     if "[" in t:
         t = sub(MD_IMAGE, r"\1", "markdown", t)
-        t = sub(MD_LINK, r"\1", "markdown", t)
+        t = sub(MD_LINK, lambda m: linked(m[1]), "markdown", t)
     if "~~" in t:
         t = sub(MD_STRIKE, r"\1", "markdown", t)
     if "*" in t or "_" in t:
@@ -181,38 +217,50 @@ def strip_markup(text: str) -> tuple[str, list[str]]:
     return t.replace("\ue002", "<think>").replace("\ue003", "</think>"), [k for k in KINDS if k in found]
 
 
-STRUCTURE = re.compile(r"^(?:[•*+-] |\d+[.)] | {4}\S|.* \| )|^</?think>")
+WORD = re.compile(r"[^\W_]+")
+LINKED = re.compile(f"{LINK}([^{LINK}{LINK_END}]*){LINK_END}")
+KEPT_LINE = re.compile(r"^\s*</?think>\s*$|^ {4}\S")  # frame and code
+MARKS = str.maketrans("", "", LINK + LINK_END)
 
 
 def line_blocks(text: str) -> str:
-    """Keep the text between surges and dives of the windowed line lengths."""
-    lines = [x.rstrip() for x in text.split("\n")]
-    length = [len("".join(x.split())) for x in lines]
-    sums = [sum(length[i : i + WINDOW]) for i in range(len(lines))]
+    """Keep the text between surges and dives of the windowed sums of words outside links."""
+    every = [x.rstrip() for x in text.split("\n")]
+    place = [i for i, x in enumerate(every) if x]  # empty lines part blocks, but are no lines of a window
+    lines = [every[i] for i in place]
+    inside = [sum(len(WORD.findall(m)) for m in LINKED.findall(x)) for x in lines]
+    outside = [len(WORD.findall(LINKED.sub("", x))) + bool(KEPT_LINE.match(x)) * (WORDS + 1) for x in lines]
+    # a window of links dives if few words stand outside them
+    sums, links = windows(outside), windows(inside)
+    dive = [False] * len(lines)
+    for i in range(len(lines)):
+        part = range(i, min(i + WINDOW, len(lines)))
+        rows = sum(inside[k] > 0 for k in part)
+        if links[i] and sums[i] <= WORDS and rows == WINDOW:
+            for k in part:
+                dive[k] = True
+        at = place[i]
+        if not inside[i] and not outside[i] and not any(every[max(at - 1, 0) : at] + every[at + 1 : at + 2]):  # signs alone between empty lines
+            dive[i] = True
+    for order in (range(len(lines)), reversed(range(len(lines)))):  # lines of nothing but links next to a dive
+        before = False
+        for i in order:
+            if before and inside[i] and not outside[i]:
+                dive[i] = True
+            before = dive[i] and inside[i] > 0
+    gone = {place[i] for i, d in enumerate(dive) if d}
     out: list[str] = []
-    i = 0
-    while i < len(lines):
-        if sums[i] == 0:  # a dive: nothing for a whole window
-            i += 1
-            continue
-        end = i
-        while end < len(lines) and sums[end] > 0:
-            end += 1
-        block = lines[i : min(len(lines), end)]
-        if any(re.search(r"\w", x) for x in block) or any(STRUCTURE.match(x) for x in block):
-            if out:
-                out.append("")
-            out += block
-        i = end
-    return re.sub(r"\n{3,}", "\n\n", "\n".join(out)).strip("\n")
+    for i, x in enumerate(every):
+        if i not in gone:
+            out.append(x)
+        elif out and out[-1]:
+            out.append("")
+    return re.sub(r"\n{3,}", "\n\n", "\n".join(out)).translate(MARKS).strip("\n")
 
 
 def to_text(text: str | None) -> tuple[str | None, list[str]]:
     """(clean text, kinds); text without markup comes back as it is."""
-    if text is None:
-        return None, []
-    t, kinds = strip_markup(text)
-    return (line_blocks(t) if kinds else text), kinds
+    return strip_markup(text) if text is not None else (None, [])
 
 
 def convert(texts: DataFrame, with_text: bool = True) -> DataFrame:

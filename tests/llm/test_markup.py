@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 
 from derlem.llm import markup
 from derlem.llm.markup import to_text
+from derlem.sources.tables import table
 
 KINDS = [
     ("<p>a</p>", ["html"]),
@@ -72,6 +75,46 @@ def test_line_blocks_drop_what_holds_nothing():
     assert markup.line_blocks("\n\n\n\na b\nc\n\n\n\n\n***\n\n\n\n\nd") == "a b\nc\n\nd"
 
 
+BARS = [
+    '<div><a href="/">Ana sayfa</a> | <a href="/u">Üyelik girişi</a></div>\n<div><a href="/s">Soru arşivi</a></div>\n<div><a href="/i">İletişim</a> <a href="#">Yukarı çık</a></div>',
+    "- [Ana sayfa](/)\n- [Soru arşivi](/s)\n- [Paylaş](/p) | [Yazdır](/y)\n- [İletişim](/i)",
+    "[[Ana sayfa]] • [[Arşiv|Soru arşivi]]\n[[Üyelik girişi]]\n[[İletişim]]",
+]
+
+
+@pytest.mark.parametrize("bar", BARS)
+def test_link_rows_between_texts_are_dropped(bar):
+    text = f"Kalp debisi ön yükle artar ve ard yükle azalır.\n{bar}\nBu nedenle **ikinci** seçenek doğrudur, ötekiler elenir."
+    clean, _ = to_text(text)
+    assert clean.split() == "Kalp debisi ön yükle artar ve ard yükle azalır. Bu nedenle ikinci seçenek doğrudur, ötekiler elenir.".split()
+
+
+def test_links_within_text_stay():
+    text = "Ayrıntı [burada](a.md) ve [şurada](b.md).\n[Kaynak](c.md)\nSon tümce de burada durur.\n```\n{\n}\n}\n```\nbitti, sonu"
+    assert to_text(text)[0] == "Ayrıntı burada ve şurada.\nKaynak\nSon tümce de burada durur.\n    {\n    }\n    }\nbitti, sonu"
+
+
+def test_planted_link_rows_of_whole_messages(spark, data):
+    """Link rows put between the lines of real messages go, every other word stays."""
+    rng = random.Random(3)
+    texts = [m["content"] for r in table(spark, data, "sft_record").orderBy("kayit_no").collect() for m in r["messages"] if m["content"] and m["content"].count("\n") > 3][:300]
+    lost = kept = 0
+    for t in texts:
+        plain, _ = to_text(t)
+        lines = plain.split("\n")
+        at = rng.randrange(1, len(lines))
+        clean, _ = to_text("\n".join([*lines[:at], rng.choice(BARS), *lines[at:]]))
+        kept += clean.split() == plain.split()
+        lost += not set(plain.split()) <= set(clean.split())
+    assert lost == 0 and kept >= 0.95 * len(texts)
+
+
+def test_markup_outside_limits():
+    assert to_text("$x_{1} + " + "y + " * 300 + "z$")[1] == ["latex"]
+    assert to_text("Uzun başlık " * 20 + "sonu\n======\nmetin")[1] == ["markdown"]
+    assert to_text("&amp;amp;amp;amp;lt;b&amp;amp;amp;amp;gt;x")[0] == "x"
+
+
 def test_column(spark):
     df = spark.createDataFrame([(1, "user", None, "q"), (2, "user", "<b>x</b>", "q"), (3, "user", "<i>a" * 30000, "q")], "id long, part string, text string, kinds string")
     got = {r["id"]: (r["kinds"], r["clean"]) for r in markup.convert(df).collect()}
