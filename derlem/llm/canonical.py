@@ -110,7 +110,7 @@ def formatting_duplicates(records: DataFrame) -> DataFrame:
     roots = materialize(hashed(records, False), "merkle-roots")
     twice = roots.groupBy("root").agg(F.count("*").alias("n"), F.min("id").alias("least")).filter("n > 1")
     ids = roots.join(twice.select("root"), "root", "left_semi").select("id")
-    full = hashed(records.join(ids, "id", "left_semi"), True)
+    full = materialize(hashed(records.join(ids, "id", "left_semi"), True), "merkle-full")
     sets = full.groupBy("root", "structure").agg(F.min("id").alias("first"), F.count("*").alias("copies"))
     sets = sets.filter("copies > 1")
     return full.join(sets, ["root", "structure"]).select("id", "first", "copies")
