@@ -182,18 +182,20 @@ def encoder(path: str) -> Encoder:
     return _encoder[path]
 
 
-def encode(texts: DataFrame, path: str = VOCABULARY, counts_only: bool = False) -> DataFrame:
-    """texts(doc_id, text) -> (doc_id, ids array<int>), or (doc_id, tokens) with counts_only."""
+def encode(texts: DataFrame, path: str = VOCABULARY, counts_only: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """texts(doc_id, text, *keep) -> (doc_id, *keep, ids array<int>), or (doc_id, *keep, tokens) with counts_only."""
     if not os.path.exists(path):
         raise FileNotFoundError(path)
+    known = texts.select("doc_id", *keep, "text")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in known.schema.fields[1:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                ids = e.encode(part.column(1).to_pylist())
-                second = pa.array([len(x) for x in ids], pa.int64()) if counts_only else pa.array(ids, pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column(0), second], names=["doc_id", "tokens" if counts_only else "ids"])
+                ids = e.encode(part.column(len(keep) + 1).to_pylist())
+                last = pa.array([len(x) for x in ids], pa.int64()) if counts_only else pa.array(ids, pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], last], names=["doc_id", *keep, "tokens" if counts_only else "ids"])
 
-    return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, " + ("tokens long" if counts_only else "ids array<int>"))
+    return known.mapInArrow(run, f"doc_id long, {fields}{', ' * bool(keep)}" + ("tokens long" if counts_only else "ids array<int>"))
