@@ -160,12 +160,12 @@ def all_pairs(links: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def groups(links: DataFrame, members: DataFrame) -> DataFrame:
-    """(id, group, links): one row per text; group is the smallest id of its component, links the number of
+    """(id, rep, group, links): one row per text; group is the smallest id of its component, links the number of
     other classes its own class is linked to."""
     comp = connected_components(links.select("a", "b"))
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("links"))
     return (
         members.join(comp.select(F.col("node").alias("rep"), F.col("component")), "rep", "left")
         .join(degree, "rep", "left")
-        .select("id", F.coalesce("component", "rep").alias("group"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))
+        .select("id", "rep", F.coalesce("component", "rep").alias("group"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))
     )

@@ -35,10 +35,16 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return neardup.all_pairs(links, members).select(F.col("a").alias("kayit_no_a"), F.col("b").alias("kayit_no_b"))
 
 
+def p1_links(spark: SparkSession, d: str) -> DataFrame:
+    """The links between classes of equal word multisets, by their representatives (smallest kayit_no)."""
+    links, _ = neardup.near_duplicates(question_texts(spark, d))
+    return links.select(F.col("a").alias("kayit_no_a"), F.col("b").alias("kayit_no_b"), F.round("similarity", 9).alias("benzerlik"))
+
+
 def p1_groups(spark: SparkSession, d: str) -> DataFrame:
-    """One row per question with its group (smallest kayit_no reached over links) and its class's number of links."""
+    """One row per question with its class's representative, its group (smallest kayit_no reached over links) and its class's number of links."""
     links, members = neardup.near_duplicates(question_texts(spark, d))
-    return neardup.groups(links, members).select(F.col("id").alias("kayit_no"), F.col("group").alias("grup_no"), F.col("links").alias("baglanti"))
+    return neardup.groups(links, members).select(F.col("id").alias("kayit_no"), F.col("rep").alias("temsilci"), F.col("group").alias("grup_no"), F.col("links").alias("baglanti"))
 
 
 def _p3(spark: SparkSession, d: str) -> DataFrame:
@@ -79,12 +85,12 @@ def p5_collapsed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _messages(spark: SparkSession, d: str) -> DataFrame:
-    """(id, part, text) of the user and assistant contents of sft_record."""
+    """(id, part, text, source) of the user and assistant contents of sft_record."""
     return (
         table(spark, d, "sft_record")
-        .select(F.col("kayit_no").alias("id"), F.explode("messages").alias("m"))
+        .select(F.col("kayit_no").alias("id"), F.explode("messages").alias("m"), F.col("meta.source_pdf").alias("source"))
         .filter("m.role in ('user', 'assistant') and m.content is not null")
-        .select("id", F.col("m.role").alias("part"), F.col("m.content").alias("text"))
+        .select("id", F.col("m.role").alias("part"), F.col("m.content").alias("text"), "source")
     )
 
 
@@ -121,8 +127,8 @@ def _titles(spark: SparkSession, d: str) -> frozenset[str]:
 
 
 def _scanned(spark: SparkSession, d: str) -> DataFrame:
-    """(id, part, text): messages of sft_record and soru of repair_request."""
-    soru = table(spark, d, "repair_request").filter("soru is not null").select(F.col("kayit_no").alias("id"), F.lit("soru").alias("part"), F.col("soru").alias("text"))
+    """(id, part, text, source): messages of sft_record and soru of repair_request."""
+    soru = table(spark, d, "repair_request").filter("soru is not null").select(F.col("kayit_no").alias("id"), F.lit("soru").alias("part"), F.col("soru").alias("text"), F.col("source_pdf").alias("source"))
     return _messages(spark, d).unionByName(soru)
 
 
@@ -159,8 +165,7 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
 def _mix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     goal = table(spark, d, "mix_target")
     docs = table(spark, d, "documents").join(F.broadcast(goal.select("source")), "source").select("doc_id", "source", "text")
-    sizes = bpe.encode(docs, counts_only=True).join(docs.select("doc_id", "source"), "doc_id")
-    return mix.mix(sizes, goal)
+    return mix.mix(bpe.encode(docs, counts_only=True, keep=("source",)), goal)
 
 
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
@@ -183,6 +188,7 @@ def p10_composition(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
+    "p1_links": p1_links,
     "p1_groups": p1_groups,
     "p2_found": p2_found,
     "p2_clean": p2_clean,

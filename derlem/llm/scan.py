@@ -1,19 +1,28 @@
 """Noise in text from scanned pages (problem 6): repair by joint decoding of words, lines and paragraphs.
 
-1. Lines: page numbers standing alone and running headers are recognised and taken out, so that what
-   they split lies side by side again.
-2. Stream: line ends are dropped; a hyphen or similar sign at a line end joins the two parts of a word.
-3. Words: the stream of tokens is decoded over a lexicon with word counts. A token may stand for
-   itself, for a word reached by confusions of the scanner (one cost each), for two words (split), or
-   with its neighbour for one word (merge); the cheapest path over each stretch of tokens wins.
-4. Paragraphs: breaks between the remaining lines are chosen by dynamic programming over break and
-   join costs: sentence ends, short lines, list and option lines, capital starts.
-
-Kinds of noise found: tire (a word broken across lines), karakter (at least MISREAD words decoded
-through confusions), ustbilgi (running header), sayfa_no (page number, alone or within a header).
+The text is one stream of tokens without line ends; what stood between two tokens only decides which moves
+are open there. One Viterbi pass finds the cheapest reading of the stream, in negative log probabilities:
+
+* a token stands for itself, for a word reached by confusions of the scanner (one cost each), or for two
+  words run together (split), either of which may be misread;
+* two tokens with a blank or line end between are one word (merge), or one broken at a line end with a hyphen
+  or similar sign (hyphen); both are weighed against the sign being a dash between two words;
+* a line inside the text is no part of it (skip), being a page number or a running header, and the word broken
+  before it goes on after it. A header's cost comes from HEADERS, a word model of lines that interrupt a
+  sentence and come again in the same source (page numbers aside), with the book catalogue as its prior; that
+  is weighed against what the line's words cost as text, and the sentence it would interrupt.
+
+Known words with known neighbours, no break and no line to skip near them can only stand for themselves; the
+pass runs over the rest with a token on either side. Then paragraph boundaries between the lines left are
+chosen by dynamic programming over break and join costs.
+
+Kinds of noise found, all of them moves of the cheapest path: tire (hyphen), karakter (at least MISREAD words
+decoded through confusions), ustbilgi (header skipped), sayfa_no (page number skipped, alone or in a header).
 
 The lexicon holds every word of the corpus whose share of all words is at least RARE, counted over all
-rows; as shares add up to one it has at most 1/RARE entries, so its size is bounded at any corpus size.
+rows. A share does not change with the size of a corpus, so repairs do not, either; and as shares add up to
+one there are at most 1/RARE entries. Where that asks for fewer than LEAST occurrences (a corpus of under
+LEAST/RARE words), LEAST are asked for. The header model is bounded in the same way.
 
 Null comes back as null without noise, texts without letters as they are.
 """
@@ -26,19 +35,20 @@ import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from derlem.llm.words import fold
 from derlem.session import materialize
 
-RARE = 1e-5
+RARE, HEADER_RARE = 1e-5, 1e-4
 LEAST = 3
 MISREAD = 2
+CONFUSIONS = 3  # letter pairs misread in one word, signs aside
 KINDS = ("tire", "karakter", "ustbilgi", "sayfa_no")
 
 HYPHENS = "-‑\u00ad¬=–‐"
-JOIN = re.compile(rf"([^\W\d_])[{HYPHENS}][ \t\r]*\n\s*(?=([^\W\d_]))")
+HYPHEN_GAP = re.compile(rf"[{HYPHENS}][ \t\r]*\n\s*")
 PAGE = re.compile(r"^\s*(?:\[\s?\d{1,4}\s?\]|([-–—~•])\s?\d{1,4}\s?\1|\d{1,4}\s?/\s?\d{1,4}|(?:s\.|sf\.|sayfa|page|p\.)\s?\d{1,4}|\d{1,4})\s*$", re.I)
 NUMBER_SIDE = re.compile(r"^\s*(?:\d{1,4}\s{2,}(?=\S)|(?=\S.*\S\s{2,}\d{1,4}\s*$))")
 SIDE_BEFORE, SIDE_AFTER = re.compile(r"^\s*\d{1,4}\s{2,}"), re.compile(r"\s{2,}\d{1,4}\s*$")
@@ -55,46 +65,56 @@ SIGNS = {"€": "e", "¢": "ç", "§": "ş", "!": "i", "ɑ": "a", "0": "o", "5":
 LETTER_PAIRS = (("rn", "m"), ("cl", "d"), ("ri", "n"), ("ii", "ü"), ("l", "i"), ("q", "ğ"), ("q", "g"), ("ô", "ö"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("vv", "w"))
 SUSPECT = re.compile(r"[€¢§!ɑ015 69qôﬁﬂl]|rn|cl|ri|ii|vv")
 SIGN_IN_WORD = re.compile(r"[a-zçğıöşüâîû][015 69!](?=[a-zçğıöşüâîû])|[€¢§ɑ]")
-COST_CONFUSION, COST_SPLIT, COST_MERGE, COST_CHAR = 3.5, 5.0, 3.0, 1.1
+COST_CONFUSION, COST_SPLIT, COST_MERGE, COST_CHAR, COMMON = 3.5, 5.0, 3.0, 1.1, 9.0
+COST_HYPHEN, COST_DASH, COST_PAGE, COST_HEADER = 0.5, 4.0, 2.0, 9.0
+STRANGE, TITLE, BONUS = 9.0, 2, 2.5  # a word no header has; weight of a catalogue word; what the look of a line adds
 
 
-def candidates(word: str, most: int = 3) -> list[tuple[str, int]]:
-    """(reading, confusions) of a folded word: signs are read as letters, letter pairs may be, most at a time."""
+def candidates(word: str, most: int = CONFUSIONS) -> list[tuple[str, int]]:
+    """(reading, confusions) of a folded word: signs are read as letters, up to `most` letter pairs may be."""
     base = [("", 0)]
     for c in word:
-        if c in SIGNS:
-            base = [(b + x, n + 1) for b, n in base for x in SIGNS[c]][:8]
-        else:
-            base = [(b + c, n) for b, n in base]
+        base = [(b + x, n + 1) for b, n in base for x in SIGNS[c]] if c in SIGNS else [(b + c, n) for b, n in base]
     out, seen = [], set()
     for b, n in base:
         level = {(b, 0)}
-        for _ in range(most + 1):
+        for more in range(most + 1):
             nxt = set()
             for s, start in level:
                 if s not in seen:
                     seen.add(s)
-                    out.append((s, n))
-                for old, new in LETTER_PAIRS:
-                    at = s.find(old, start)
-                    while at >= 0:
-                        nxt.add((s[:at] + new + s[at + len(old) :], at + len(new)))
-                        at = s.find(old, at + 1)
-            if len(nxt) > 40:
-                break
-            level, n = nxt, n + 1
+                    out.append((s, n + more))
+                if more < most:
+                    for old, new in LETTER_PAIRS:
+                        at = s.find(old, start)
+                        while at >= 0:
+                            nxt.add((s[:at] + new + s[at + len(old) :], at + len(new)))
+                            at = s.find(old, at + 1)
+            level = nxt
     return out
 
 
+class Headers:
+    """Costs of words as parts of a running header: counts {folded word: occurrences in repeated lines}, titles: words of
+    the book catalogue, each a pseudo-count of TITLE."""
+
+    def __init__(self, counts: dict[str, int], titles: frozenset[str] = frozenset()):
+        words = counts.keys() | titles
+        total = sum(counts.values()) + TITLE * len(titles) + 1
+        self.cost = {w: -math.log((counts.get(w, 0) + TITLE * (w in titles)) / total) for w in words}
+
+
 class Decoder:
-    """Decodes token streams over a lexicon {folded word: (count, form)}; titles: folded words of known book titles."""
+    """Decodes texts over a lexicon {folded word: (count, form)} and a header model."""
 
-    def __init__(self, lexicon: dict[str, tuple[int, str]], titles: frozenset[str] = frozenset()):
+    def __init__(self, lexicon: dict[str, tuple[int, str]], headers: Headers | None = None):
         total = sum(n for n, _ in lexicon.values()) or 1
         self.cost = {w: -math.log(n / total) for w, (n, _) in lexicon.items()}
         self.form = {w: f for w, (_, f) in lexicon.items() if f != w}
-        self.titles = titles
+        self.longest = max(map(len, lexicon), default=0)
+        self.headers = headers or Headers({})
         self.memo: dict[str, tuple[str | None, float]] = {}
+        self.cuts: dict[str, tuple[float, tuple[str, str] | None]] = {}
 
     def unknown(self, word: str) -> float:
         return 9.0 + COST_CHAR * len(word)
@@ -113,7 +133,8 @@ class Decoder:
         if w in self.cost:
             return None, self.cost[w]
         own = self.unknown(w)
-        if len(w) < 3 or not SUSPECT.search(w):
+        # a reading is shorter by its confusions at most, so longer tokens than that read as no word
+        if len(w) < 3 or not SUSPECT.search(w) or len(w) - CONFUSIONS > self.longest:
             return None, own
         letters = sum(c.isalpha() for c in token)
         if letters < 2 or token[0].isupper() and any(c.isdigit() for c in token) and letters <= 3:
@@ -129,85 +150,157 @@ class Decoder:
                 best = s, self.unknown(s) + COST_CONFUSION - 2
         return best
 
-    def stream(self, tokens: list[str]) -> tuple[list[str | tuple[str, str] | None], int]:
-        """(for each token None, its reading, its two words, or "" where it went into the word before; misread words).
-
-        Viterbi over the stretches of tokens that the lexicon lacks, each with the known word after it.
-        """
-        n = len(tokens)
-        out: list[str | tuple[str, str] | None] = [None] * n
-        cost, misread, i = self.cost, 0, 0
-        while i < n:
-            if fold(tokens[i]) in cost:
-                i += 1
+    def split(self, w: str) -> tuple[float, tuple[str, str] | None]:
+        """(cost, the two common words) that a folded token runs together; one of them may be misread."""
+        got = self.cuts.get(w)
+        if got is None:
+            got = math.inf, None
+            if len(w) >= 7 and len(w) - 2 * CONFUSIONS <= 2 * self.longest:
+                for cut in range(3, len(w) - 2):
+                    parts, price = [], COST_SPLIT
+                    a, b = w[:cut], w[cut:]
+                    known = (a in self.cost) + (b in self.cost)
+                    for x in (a, b) if known else ():
+                        read, c = (x, self.cost[x]) if x in self.cost else self.reading(x)
+                        if read is None or read not in self.cost or self.cost[read] >= COMMON:
+                            break
+                        parts.append(read)
+                        price += c
+                    if len(parts) == 2 and price < got[0]:
+                        got = price, (parts[0], parts[1])
+            if len(self.cuts) > 300_000:
+                self.cuts.clear()
+            self.cuts[w] = got
+        return got
+
+    def word(self, token: str) -> float:
+        """What a token costs where it stands, as the best of its readings."""
+        return min(self.reading(token)[1], self.split(fold(token))[0])
+
+    def header(self, line: str, tokens: list[str]) -> tuple[float, bool]:
+        """(cost of the line's words as a running header, infinite if no header has any; whether a page number stands at its side)."""
+        core = SIDE_AFTER.sub("", SIDE_BEFORE.sub("", line.strip()))
+        numbered = core != line.strip()
+        price, known = COST_HEADER + numbered, False
+        for t in tokens:
+            if t.isdigit():
+                price += 1.0
                 continue
-            start = i
-            while i < n and fold(tokens[i]) not in cost:
-                i += 1
-            seg = tokens[start : min(n, i + 1)]
-            best: list[tuple[float, int, object]] = [(0.0, 0, None)] + [(math.inf, 0, None)] * len(seg)
-            for k, t in enumerate(seg):
-                base = best[k][0]
-                read, c = self.reading(t)
-                if base + c < best[k + 1][0]:
-                    best[k + 1] = base + c, k, read
-                w = fold(t)
-                if w not in cost and 7 <= len(w) <= 40 and w.isalpha():  # two words run together
-                    for cut in range(3, len(w) - 2):
-                        a, b = cost.get(w[:cut]), cost.get(w[cut:])
-                        if a is not None and b is not None and base + a + b + COST_SPLIT < best[k + 1][0] and a < 9 and b < 9:
-                            best[k + 1] = base + a + b + COST_SPLIT, k, (w[:cut], w[cut:])
-                if k + 1 < len(seg):
-                    joined = w + fold(seg[k + 1])
-                    if joined in cost and base + cost[joined] + COST_MERGE < best[k + 2][0]:
-                        best[k + 2] = base + cost[joined] + COST_MERGE, k, joined
-            k = len(seg)
-            while k > 0:
-                _, back, how = best[k]
-                if how is not None:
-                    out[start + back] = how
-                    if k - back == 2:
-                        out[start + back + 1] = ""
-                    elif isinstance(how, str):
-                        misread += 1
-                k = back
-            i = max(i, start + len(seg))
-        return out, misread
-
-    def is_title_word(self, word: str) -> bool:
-        w = fold(word)
-        if w in self.titles:
-            return True
-        if len(w) < 5:
-            return False
-        if any(s in self.titles for s, _ in candidates(w)):
-            return True
-        return any(abs(len(t) - len(w)) <= 1 and t[:2] == w[:2] and near(t, w) for t in self.titles) or any(abs(len(t) - len(w)) <= 1 and t[-3:] == w[-3:] and near(t, w) for t in self.titles)
-
-    def header(self, line: str, around_upper: bool) -> tuple[bool, bool]:
-        """(whether the line is a running header, whether it carries a page number)."""
-        t = line.strip()
-        if not 4 <= len(t) <= 90 or not NUMBER_SIDE.match(line) and ENDING.search(t):
-            return False, False
-        core = SIDE_AFTER.sub("", SIDE_BEFORE.sub("", t))
-        numbered = core != t
-        core = core.strip()
-        words = LETTERS.findall(core)
-        if not words or len(words) > 10:
-            return False, False
-        titled = sum(map(self.is_title_word, words))
-        upper = core.isupper()
-        if m := BOXED.match(core):
-            ok = titled >= 0.6 * len(words) or m[1].istitle() and numbered
-        elif PARTED.match(core) or CHAPTER.match(core):
-            ok = titled >= 0.5 * len(words)
-        elif upper and not around_upper and len(words) >= 2:
-            ok = titled >= 0.6 * len(words)
-        elif upper and len(words) >= 2:
-            ok = titled == len(words)
-        else:
-            ok = numbered and titled == len(words) and len(words) >= 2
-        return ok, ok and numbered
+            w = fold(t)
+            c = self.headers.cost.get(w)
+            if c is None and len(w) >= 4 and len(w) - CONFUSIONS <= 40:  # a header may be misread, too
+                c = min((self.headers.cost[x] + n * COST_CONFUSION for x, n in candidates(w) if x in self.headers.cost), default=None)
+                if c is None:
+                    c = min((p + COST_CONFUSION + 2 for x, p in self.headers.cost.items() if abs(len(x) - len(w)) <= 1 and (x[:2] == w[:2] or x[-3:] == w[-3:]) and near(x, w)), default=None)
+            known |= c is not None
+            price += STRANGE + COST_CHAR * len(w) if c is None else c
+        return price if known else math.inf, numbered
+
+    def skips(self, text: str, marks: list[re.Match]) -> dict[int, tuple[int, float, str]]:
+        """first token of a line -> (token after it, cost of taking the line for no part of the text, kinds)."""
+        out: dict[int, tuple[int, float, str]] = {}
+        lines = text.split("\n")
+        at = k = 0
+        for i, line in enumerate(lines):
+            end = at + len(line)
+            first = k
+            while k < len(marks) and marks[k].start() < end:
+                k += 1
+            s = line.strip()
+            if 0 < i < len(lines) - 1 and k > first and s and first:
+                if PAGE.match(s):
+                    if LETTERS.search(text):
+                        out[first] = k, COST_PAGE, "sayfa_no"
+                elif (s[0] == "|" or s[0].isupper() or s[0].isdigit() or "•" in s or "/" in s) and not LIST_OPTION.match(s) and not (ENDING.search(s) and not NUMBER_SIDE.match(line)):
+                    words = [m[0] for m in marks[first:k]]
+                    price, numbered = self.header(line, words)
+                    before, after = lines[i - 1].strip(), lines[i + 1].strip()
+                    if price < math.inf:
+                        breaks = bool(before) and not ENDING.search(before) and not before.endswith(">")
+                        framed = bool(BOXED.match(SIDE_AFTER.sub("", SIDE_BEFORE.sub("", s))) or PARTED.match(s) or CHAPTER.match(SIDE_AFTER.sub("", SIDE_BEFORE.sub("", s))))
+                        # capitals stand out from small letters, a number stands at the side, bars and points part titles
+                        price -= BONUS * (framed + numbered + (s.isupper() and not before.isupper() and not after.isupper()) + breaks)
+                        out[first] = k, price, "ustbilgi,sayfa_no" if numbered else "ustbilgi"
+            at = end + 1
+        return out
+
+    def stream(self, text: str, marks: list[re.Match]) -> list[tuple[int, int, str, object]]:
+        """The moves of the cheapest path that are more than a token standing for itself, as (from token, to token, move, what)."""
+        n, cost = len(marks), self.cost
+        words = [fold(m[0]) for m in marks]
+        skips = self.skips(text, marks) if "\n" in text else {}
+        gaps = [text[marks[k].end() : marks[k + 1].start()] for k in range(n - 1)] + [""]
+        open_ = [False] * n  # tokens at which more than one move is open
+        for k in range(n):
+            if words[k] not in cost and not words[k].isdigit():
+                open_[max(k - 1, 0)] = open_[k] = True
+                if k + 1 < n:
+                    open_[k + 1] = True
+            elif "\n" in gaps[k] and HYPHEN_GAP.match(gaps[k]):
+                open_[k] = True
+                if k + 1 < n:
+                    open_[k + 1] = True
+        for first, (to, _, _) in skips.items():
+            for k in range(first - 1, min(to + 1, n)):
+                open_[k] = True
+        out: list[tuple[int, int, str, object]] = []
+        k = 0
+        while k < n:
+            if not open_[k]:
+                k += 1
+                continue
+            end = k
+            while end < n and open_[end]:
+                end += 1
+            out += self.viterbi(k, end, marks, words, gaps, skips)
+            k = end
+        return out
+
+    def viterbi(self, begin: int, end: int, marks: list[re.Match], words: list[str], gaps: list[str], skips: dict[int, tuple[int, float, str]]) -> list[tuple[int, int, str, object]]:
+        cost = self.cost
+        size = end - begin
+        best = [0.0] + [math.inf] * size
+        back: list[tuple[int, str, object]] = [(0, "", None)] * (size + 1)
+
+        def move(k: int, to: int, price: float, name: str, what: object) -> None:
+            if to <= size and best[k] + price < best[to]:
+                best[to], back[to] = best[k] + price, (k, name, what)
+
+        for k in range(size):
+            g = begin + k
+            token, w, gap = marks[g][0], words[g], gaps[g]
+            read, c = self.reading(token)
+            dash = COST_DASH if "\n" in gap and HYPHEN_GAP.match(gap) else 0.0
+            move(k, k + 1, c + dash, "read" if read is not None else "", read)
+            if g in skips:
+                to, price, kinds = skips[g]
+                move(k, to - begin, price, "skip", kinds)
+            if w not in cost and w.isalpha():
+                price, parts = self.split(w)
+                if parts:
+                    move(k, k + 1, price + dash, "split", parts)
+            if g + 1 < len(marks) and gap.isspace() and w not in cost or g + 1 < len(marks) and gap.isspace() and words[g + 1] not in cost:
+                joined = w + words[g + 1]
+                if joined in cost:
+                    move(k, k + 2, cost[joined] + COST_MERGE, "merge", joined)
+            if dash:
+                nxt, price, lost = g + 1, 0.0, ""
+                while nxt in skips:
+                    nxt, c, kinds = skips[nxt]
+                    price, lost = price + c, lost + "," + kinds
+                for after, add, kinds in {(g + 1, 0.0, ""), (nxt, price, lost)}:
+                    if after < len(marks) and token[-1].isalpha() and marks[after][0][0].isalpha() and not (marks[after][0][0].isupper() and not token[-1].isupper()):
+                        joined = w + words[after]
+                        read, c = self.reading(token + marks[after][0])
+                        move(k, after + 1 - begin, c + COST_HYPHEN + add, "hyphen", (after, read, kinds))
+        out = []
+        k = size
+        while k > 0:
+            start, name, what = back[k]
+            if name:
+                out.append((begin + start, begin + k, name, what))
+            k = start
+        return out[::-1]
 
 
 def near(a: str, b: str) -> bool:
@@ -220,47 +313,7 @@ def near(a: str, b: str) -> bool:
     return a[i:] == b[i + 1 :] or len(a) == len(b) and a[i + 1 :] == b[i + 1 :]
 
 
-def take_out_lines(text: str, decoder: Decoder) -> tuple[list[str], set[str]]:
-    lines = [x.rstrip("\r") for x in text.split("\n")]
-    found: set[str] = set()
-    if len(lines) < 3:
-        return lines, found
-    kept = [lines[0]]
-    for i in range(1, len(lines) - 1):
-        x = lines[i]
-        s = x.strip()
-        if s and len(s) <= 90:
-            if s[-1].isdigit() or s[-1] in "]-–—~•":
-                if PAGE.match(s) and LETTERS.search(text):
-                    found.add("sayfa_no")
-                    continue
-            if s[0] not in "<\\{!#>" and (s[0] == "|" or s.isupper() or "•" in s or "/" in s or s[:1] in "Bb" or s[0].isdigit() or s[-1].isdigit()) and not LIST_OPTION.match(s):
-                # prose in capitals: most letters of the lines around are
-                ok, numbered = decoder.header(x, lines[i - 1].isupper() and lines[i + 1].isupper())
-                if ok:
-                    found.add("ustbilgi")
-                    if numbered:
-                        found.add("sayfa_no")
-                    continue
-        kept.append(x)
-    kept.append(lines[-1])
-    return kept, found
-
-
-LIST_OPTION = re.compile(r"^\W{0,2}[A-Ea-e]\s*[).]\s|^[•*]\s")
-
-
-def join_hyphens(text: str) -> tuple[str, bool]:
-    found = False
-
-    def join(m: re.Match) -> str:
-        nonlocal found
-        if m[2].isupper() and not m[1].isupper():  # a dash before a new start
-            return m[0]
-        found = True
-        return m[1]
-
-    return JOIN.sub(join, text), found
+LIST_OPTION = re.compile(r"^\W{0,2}[A-Ea-e]\s*[).]\s|^[•*<\\{!#>]")
 
 
 def like(token: str, word: str) -> str:
@@ -319,50 +372,55 @@ def repair(text: str | None, decoder: Decoder, with_text: bool = True, every: bo
     """
     if not text:
         return text, []
+    text = text.replace("\r\n", "\n") if "\r" in text else text
+    marks = list(TOKEN.finditer(text))
+    moves = decoder.stream(text, marks)
     found: set[str] = set()
-    body = text
-    if "\n" in text:
-        lines, found = take_out_lines(text, decoder)
-        if found:
-            body = "\n".join(lines)
-        body, hyphen = join_hyphens(body)
-        if hyphen:
+    misread = sum(name == "read" or name == "hyphen" and what[1] is not None for _, _, name, what in moves)
+    edits: list[tuple[int, int, str]] = []  # (from, to, new text) in order
+
+    def torn(a: int, b: int) -> bool:
+        """Part of a word with a combining sign in it."""
+        return any(unicodedata.category(c) in ("Mn", "Cf") for c in text[max(a - 1, 0) : a] + text[b : b + 1] if c not in HYPHENS)
+
+    def form(word: str) -> str:
+        return decoder.form.get(word, word)
+
+    for i, j, name, what in moves:
+        a, b = marks[i].start(), marks[j - 1].end()
+        if name == "skip":
+            found.update(what.split(","))
+            begin = text.rfind("\n", 0, a) + 1
+            end = text.find("\n", b)
+            edits.append((begin, len(text) if end < 0 else end + 1, ""))
+        elif name == "hyphen":
             found.add("tire")
-    marks = list(TOKEN.finditer(body))
-    out, misread = decoder.stream([m[0] for m in marks])
-    for i, (m, how) in enumerate(zip(marks, out)):
-        if how is None:
+            after, read, kinds = what
+            found.update(k for k in kinds.split(",") if k)
+            whole = marks[i][0] + marks[after][0]
+            edits.append((a, b, like(whole, form(read)) if read is not None else whole))
+        elif torn(a, b):
             continue
-        torn = any(unicodedata.category(c) in ("Mn", "Cf") for c in body[max(m.start() - 1, 0) : m.start()] + body[m.end() : m.end() + 1])
-        if how and (torn or misread < MISREAD and isinstance(how, str) and how not in decoder.cost):
-            # part of a word with a sign in it, or a lone reading that no lexicon word backs
-            out[i] = None
-            if i + 1 < len(out) and out[i + 1] == "":
-                out[i + 1] = None
-        elif how == "" and body[marks[i - 1].end() : marks[i].start()].strip():  # a sign between the two: no merge
-            out[i - 1] = out[i] = None
+        elif name == "read":
+            if misread >= MISREAD or what in decoder.cost:  # a lone reading needs a word of the lexicon behind it
+                edits.append((a, b, like(marks[i][0], form(what))))
+        elif name == "split":
+            edits.append((a, b, like(marks[i][0], form(what[0])) + " " + form(what[1])))
+        elif name == "merge":
+            edits.append((a, b, like(marks[i][0], form(what))))
     if misread >= MISREAD:
         found.add("karakter")
-    decoded = any(how is not None for how in out)
-    if not found and not (every and decoded):
+    if not found and not (every and edits):
         return text, []
     if with_text:
-        if decoded:
-            it = iter(out)
-
-            def put(m: re.Match) -> str:
-                how = next(it)
-                if how is None:
-                    return m[0]
-                form = decoder.form
-                if isinstance(how, tuple):
-                    return like(m[0], form.get(how[0], how[0])) + " " + form.get(how[1], how[1])
-                return like(m[0], form.get(how, how)) if how else "\x00"
-
-            body = re.sub(r"\s*\x00", "", TOKEN.sub(put, body))
+        out, at = [], 0
+        for a, b, new in edits:
+            out += (text[at:a], new)
+            at = b
+        text = "".join(out) + text[at:]
         if found:
-            body = paragraphs(body.replace("\r", "").split("\n"))
-    return body, [k for k in KINDS if k in found]
+            text = paragraphs(text.replace("\r", "").split("\n"))
+    return text, [k for k in KINDS if k in found]
 
 
 def lexicon(texts: DataFrame) -> dict[str, tuple[int, str]]:
@@ -389,9 +447,36 @@ def without_misread(lexicon: dict[str, tuple[int, str]], factor: int = 20) -> di
     return out
 
 
+def skeleton(text: Column) -> Column:
+    """A line in folded letters, numbers as one sign, blanks collapsed."""
+    low = F.lower(F.translate(F.trim(text), "İIı", "iii"))
+    return F.trim(F.regexp_replace(F.regexp_replace(low, "[0-9]+", " "), r"[ \t\r]+", " "))
+
+
+def header_words(texts: DataFrame) -> dict[str, int]:
+    """texts(text, source) -> {folded word: occurrences} over lines that interrupt a sentence and come at two places of one
+    source or more, numbers aside; words with at least HEADER_RARE of them. Counted over all rows."""
+    lines = texts.filter(F.instr("text", "\n") > 0).select("source", F.split("text", "\n").alias("l"))
+    # inside the text: after a line that does not end a sentence, before one that goes on small; starting otherwise itself
+    near = F.transform("l", lambda x, i: F.struct(x.alias("x"), F.get("l", i - 1).alias("b"), F.get("l", i + 1).alias("a")))
+    small, ended = r"^[ \t]*[a-zçğıöşü]", r"([.?!:…>][\"'”’)*_~]*|^)[ \t\r]*$"
+    inside = F.filter(near, lambda r: r["b"].isNotNull() & r["a"].rlike(small) & ~r["b"].rlike(ended) & ~r["x"].rlike(small) & ~r["x"].rlike(ended) & ~r["x"].rlike(r"^\W{0,2}[A-Ea-e]\s*[).]\s|^[•*<\\{!#>]"))
+    found = lines.select("source", F.explode(inside).alias("r")).select("source", skeleton(F.col("r.x")).alias("line"), F.xxhash64("r.b", "r.a").alias("h")).filter("line <> ''")
+    again = found.distinct().groupBy("source", "line").agg(F.count("*").alias("n")).filter("n >= 2")  # copies of a text are one place
+    words = again.select("n", F.explode(F.split("line", r"[^\p{L}]+")).alias("w")).filter("w <> ''")
+    counted = materialize(words.groupBy("w").agg(F.sum("n").alias("n")), "scan-headers")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    out: dict[str, int] = {}
+    for r in counted.filter(F.col("n") >= max(2, HEADER_RARE * total)).collect():
+        out[fold(r["w"])] = out.get(fold(r["w"]), 0) + r["n"]
+    return out
+
+
 def repaired(texts: DataFrame, titles: frozenset[str] = frozenset(), with_text: bool = True) -> DataFrame:
-    """texts(id, part, text) -> (id, part, kinds array<string>[, clean, changed])."""
-    decoder = texts.sparkSession.sparkContext.broadcast((lexicon(texts), titles))
+    """texts(id, part, text[, source]) -> (id, part, kinds array<string>[, clean, changed])."""
+    if "source" not in texts.columns:
+        texts = texts.withColumn("source", F.lit(""))
+    decoder = texts.sparkSession.sparkContext.broadcast((lexicon(texts), Headers(header_words(texts), titles)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = Decoder(*decoder.value)

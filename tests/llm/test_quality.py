@@ -120,7 +120,7 @@ TITLES = frozenset("biyokimya patoloji genel cerrahi sofenon bölüm soru bankas
 
 @pytest.fixture(scope="module")
 def decoder():
-    return scan.Decoder(LEXICON, TITLES)
+    return scan.Decoder(LEXICON, scan.Headers({}, TITLES))
 
 
 @pytest.mark.parametrize(
@@ -160,9 +160,62 @@ def test_paragraphs_are_chosen():
     assert scan.paragraphs(text.split("\n")) == "Uzun bir satır burada başlar ve devam eder, sonunda biter.\nKısa.\n\nYeni paragraf burada.\nA) bir\nB) iki"
 
 
-def test_split_and_merge(decoder):
-    out, misread = decoder.stream(["kalpdebisi", "kara", "ciğer", "normal"])
-    assert out == [("kalp", "debisi"), "karaciğer", "", None] and misread == 0
+@pytest.mark.parametrize(
+    ("text", "moves"),
+    [
+        ("kalpdebisi kara ciğer normal", [("split", ("kalp", "debisi")), ("merge", "karaciğer")]),
+        ("normal debi si", [("merge", "debisi")]),
+        ("kalp debi\nlar", []),  # the whole is no word
+        ("kalp de-\nbisi", [("hyphen", (2, None, ""))]),
+        ("kalp -\ndebisi", []),  # a dash between two words
+        ("kalp de-\n[12]\nbisi normal", [("hyphen", (3, None, ",sayfa_no"))]),
+        ("kalpdebisl normal", [("split", ("kalp", "debisi"))]),  # one part misread
+        ("hasta1i-\nği", [("hyphen", (1, "hastaliği", ""))]),  # broken and misread
+    ],
+)
+def test_moves_of_the_decoder(decoder, text, moves):
+    assert [m[2:] for m in decoder.stream(text, list(scan.TOKEN.finditer(text)))] == moves
+
+
+def test_a_known_first_part_is_merged():
+    d = scan.Decoder(LEXICON | {"kara": (30, "kara")})
+    assert scan.repair("kara ciğer normal", d, every=True)[0] == "karaciğer normal"
+
+
+def test_readings_are_complete():
+    """Every word that up to CONFUSIONS letter pairs turn the token into is a candidate."""
+    def brute(w, left):
+        out = {w}
+        if left:
+            for old, new in scan.LETTER_PAIRS:
+                for i in range(len(w)):
+                    if w.startswith(old, i):
+                        out |= {w[:i] + new + r for r in brute(w[i + len(old) :], left - 1)} | {w[:i] + new + w[i + len(old) :]}
+        return out
+
+    for w in ("clrnriil", "rnrnrnrn", "lllllll"):
+        assert brute(w, 3) <= {s for s, _ in scan.candidates(w)}
+
+
+def test_headers_are_known_by_coming_again_in_a_source(spark):
+    page = "Bu tabloyu en iyi {0}\n{1}   Torbul Biyoloji • Sanıl\naçıklayan düzenek budur.\nSon satır burada."
+    rows = [("k1", page.format(w, n)) for w, n in (("bir", 12), ("iki", 99), ("üç", 140))] + [("k2", page.format("x", 7).replace("Torbul Biyoloji", "Merdan Fizik"))] * 2
+    rows += [("k1", "Bir yıldır süren\nTSH yüksekliği olan\nkişide bakılır.\nSon.")] * 3  # copies are one place
+    texts = spark.createDataFrame(rows, "source string, text string")
+    got = scan.header_words(texts)
+    assert got == {"torbul": 3, "biyoloji": 3, "sanil": 3}
+    d = scan.Decoder({}, scan.Headers(got))
+    assert scan.repair(page.format("dört", 55), d)[1] == ["ustbilgi", "sayfa_no"]
+    assert scan.repair(rows[-1][1], d)[1] == []
+
+
+def test_doubling_the_corpus_changes_nothing(spark, data):
+    d = data.replace("sf0.001", "sf0.1")
+    texts = table(spark, d, "sft_record").select(F.explode("messages.content").alias("text")).filter("text is not null")
+    once, twice = scan.lexicon(texts), scan.lexicon(texts.unionAll(texts))
+    total = sum(n for n, _ in once.values())
+    assert total * scan.RARE > scan.LEAST  # large enough for the share to decide
+    assert {w: (2 * n, f) for w, (n, f) in once.items()} == twice
 
 
 def test_split_and_merge_in_text(decoder):
