@@ -2,9 +2,13 @@
 
 Each task keeps the merge table in an in-process DuckDB. The words a batch brings that the task has
 not met yet become rows (word, position, token), one per byte. A recursive query joins neighbouring
-rows with the merge table and contracts, in each round and word, the leftmost pair of the lowest rank,
-until no pair of the word is in the table (words of over LONG bytes: see CONTRACT_LONG); an ordered aggregate then gives the word's ids. Texts are
-split into words by the vocabulary's public pattern first, as merges never cross words.
+rows with the merge table and contracts each word's pairs of the lowest rank, leftmost first, until no pair of
+the word is in the table; an ordered aggregate then gives the word's ids. A round contracts all pairs of the
+lowest rank, of pairs that overlap every other one from the left: that is what contracting the leftmost one
+again and again comes to, since a pair that a merge makes holds the merged token and so ranks above it (a
+token ranks above its parts). ROUNDS rounds at a time bound the rows held; words with pairs left go on.
+
+Texts are split into words by the vocabulary's public pattern first, as merges never cross words.
 
 Null and empty texts give an empty list; blank texts are encoded as they are. No special tokens: their
 strings are ordinary text. The vocabulary's path is a parameter; it is read where it lies.
@@ -27,63 +31,37 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 KNOWN = 300_000
 CHUNK = 20_000
 
-CONTRACT = """
+ROUNDS = 40
+
+CONTRACT = f"""
 WITH RECURSIVE state(round, word, pos, token) AS (
     SELECT 0, word, pos, token FROM start
     UNION ALL
-    SELECT round + 1, word, pos, CASE WHEN here THEN merged ELSE token END
-    FROM (
-        SELECT round, word, pos, token, merged,
-               coalesce(rank_at = best, false) AS here,
-               coalesce(lag(rank_at) OVER (PARTITION BY word ORDER BY pos) = best, false) AS gone,
-               best
-        FROM (
-            SELECT *, min(rank_at) OVER (PARTITION BY word) AS best
-            FROM (
-                SELECT n.round, n.word, n.pos, n.token, m.merged, m.merged::BIGINT * 1048576 + n.pos AS rank_at
-                FROM (SELECT *, lead(token) OVER (PARTITION BY word ORDER BY pos) AS following FROM state) n
-                LEFT JOIN merges m ON m.a = n.token AND m.b = n.following
-            )
-        )
-    )
-    WHERE best IS NOT NULL AND NOT gone
-)
-SELECT word, list(token ORDER BY pos) AS ids
-FROM (SELECT *, max(round) OVER (PARTITION BY word) AS final FROM state)
-WHERE round = final
-GROUP BY word
-"""
-
-#: for a word of many bytes: a round contracts all its pairs of the lowest rank, in a run every other one
-#: from the left, which is what contracting the leftmost again and again comes to, since pairs that a
-#: merge makes rank above it. ROUNDS rounds at a time bound the rows held.
-LONG, ROUNDS = 256, 40
-CONTRACT_LONG = f"""
-WITH RECURSIVE state(round, pos, token) AS (
-    SELECT 0, pos, token FROM start
-    UNION ALL
-    SELECT round + 1, row_number() OVER (ORDER BY pos), CASE WHEN here THEN merged ELSE token END
+    SELECT round + 1, word, row_number() OVER (PARTITION BY word ORDER BY pos), CASE WHEN here THEN merged ELSE token END
     FROM (
-        SELECT *, coalesce(lag(here) OVER (ORDER BY pos), false) AS gone
+        SELECT *, coalesce(lag(here) OVER (PARTITION BY word ORDER BY pos), false) AS gone
         FROM (
-            SELECT *, hit AND row_number() OVER (PARTITION BY hit, run ORDER BY pos) % 2 = 1 AS here
+            SELECT *, hit AND row_number() OVER (PARTITION BY word, hit, run ORDER BY pos) % 2 = 1 AS here
             FROM (
-                SELECT *, pos - row_number() OVER (PARTITION BY hit ORDER BY pos) AS run
+                SELECT *, pos - row_number() OVER (PARTITION BY word, hit ORDER BY pos) AS run
                 FROM (
                     SELECT *, coalesce(merged = best, false) AS hit
                     FROM (
-                        SELECT n.round, n.pos, n.token, m.merged, min(m.merged) OVER () AS best
-                        FROM (SELECT *, lead(token) OVER (ORDER BY pos) AS following FROM state) n
+                        SELECT n.round, n.word, n.pos, n.token, m.merged, min(m.merged) OVER (PARTITION BY n.word) AS best
+                        FROM (SELECT *, lead(token) OVER (PARTITION BY word ORDER BY pos) AS following FROM state) n
                         LEFT JOIN merges m ON m.a = n.token AND m.b = n.following
                     )
+                    WHERE best IS NOT NULL
                 )
             )
         )
-        WHERE best IS NOT NULL
     )
     WHERE NOT gone AND round < {ROUNDS}
 )
-SELECT list(token ORDER BY pos) FROM state WHERE round = (SELECT max(round) FROM state)
+SELECT word, list(token ORDER BY pos) AS ids, final = {ROUNDS} AS unfinished
+FROM (SELECT *, max(round) OVER (PARTITION BY word) AS final FROM state)
+WHERE round = final
+GROUP BY word, final
 """
 
 
@@ -125,41 +103,28 @@ class Encoder:
         size, chunk = 0, []
         for w in words:
             b = w.encode("utf-8", "replace")
-            if len(b) > LONG:
-                self.known[w] = self._long(b)
-                continue
             if chunk and size + len(b) > CHUNK * 8:
                 self._learn(chunk)
                 size, chunk = 0, []
             size += len(b)
-            chunk.append((w, b))
+            chunk.append((w, [self.byte[x] for x in b]))
         if chunk:
             self._learn(chunk)
 
-    def _learn(self, chunk: list[tuple[str, bytes]]) -> None:
-        start = pa.table(
-            {
-                "word": pa.array([k for k, (_, b) in enumerate(chunk) for _ in b], pa.int32()),
-                "pos": pa.array([i for _, b in chunk for i in range(len(b))], pa.int32()),
-                "token": pa.array([self.byte[x] for _, b in chunk for x in b], pa.int32()),
-            }
-        )
-        self.db.register("start", start)
-        got = self.db.execute(CONTRACT).fetchall()
-        self.db.unregister("start")
-        for k, ids in got:
-            self.known[chunk[k][0]] = ids
-
-    def _long(self, b: bytes) -> list[int]:
-        ids = [self.byte[x] for x in b]
-        while True:
-            start = pa.table({"pos": pa.array(range(1, len(ids) + 1), pa.int64()), "token": pa.array(ids, pa.int32())})
+    def _learn(self, chunk: list[tuple[str, list[int]]]) -> None:
+        while chunk:
+            start = pa.table(
+                {
+                    "word": pa.array([k for k, (_, ids) in enumerate(chunk) for _ in ids], pa.int32()),
+                    "pos": pa.array([i for _, ids in chunk for i in range(1, len(ids) + 1)], pa.int64()),
+                    "token": pa.array([x for _, ids in chunk for x in ids], pa.int32()),
+                }
+            )
             self.db.register("start", start)
-            got = self.db.execute(CONTRACT_LONG).fetchall()[0][0]
+            got = self.db.execute(CONTRACT).fetchall()
             self.db.unregister("start")
-            if len(got) == len(ids):
-                return ids
-            ids = got
+            self.known.update((chunk[k][0], ids) for k, ids, more in got if not more)
+            chunk = [(chunk[k][0], ids) for k, ids, more in got if more]
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         split = [self.pattern.findall(t) if t else [] for t in texts]

@@ -38,6 +38,31 @@ def test_special_strings_blanks_and_long_words(encoder, exact):
     assert encoder.encode(texts) == [exact.encode_ordinary(t) for t in texts]
 
 
+@pytest.mark.parametrize("script", ["abcçdeğ", "абвгдежз", "漢字仮名交文", "ابتثجحخ", "אבגדה", "กขคงจ", "0123456789", "-_=+*/", "😀😁👩\u200d🔬"])
+def test_long_words_of_every_script(encoder, exact, script):
+    random.seed(5)
+    texts = ["".join(random.choices(script, k=n)) for n in (200, 257, 700, 3000)] + [script * 300, script[0] * 2001]
+    assert encoder.encode(texts) == [exact.encode_ordinary(t) for t in texts]
+
+
+def leftmost(ranks, word: bytes) -> list[int]:
+    """The rule itself: the leftmost pair of the lowest rank, one at a time."""
+    parts = [bytes([b]) for b in word]
+    while True:
+        pairs = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]
+        if not pairs:
+            return [ranks[p] for p in parts]
+        _, i = min(pairs)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+
+
+def test_rounds_are_the_leftmost_rule(encoder):
+    ranks = bpe.read_ranks(bpe.VOCABULARY)
+    random.seed(6)
+    words = ["".join(random.choices("aeintrlkm", k=random.randrange(1, 40))) for _ in range(300)] + ["a" * n for n in range(1, 40)]
+    assert encoder.encode(words) == [leftmost(ranks, w.encode()) for w in words]
+
+
 def test_round_trip(encoder):
     back = {v: k for k, v in bpe.read_ranks(bpe.VOCABULARY).items()}
     text = "Ağrı, çocuk ve 12 mg/dL.\n\n  ﬁn"
