@@ -41,7 +41,15 @@ def route(records: DataFrame, log: DataFrame) -> DataFrame:
 
 def queue(routed: DataFrame) -> DataFrame:
     """(bayrak, id): records of the review queue by flag, in long form; a flag may hold any share of them."""
-    return routed.filter("yol = 'kuyruk'").select(F.explode("bayrak").alias("bayrak"), "id")
+    flags = routed.filter("yol = 'kuyruk'").select(F.explode("bayrak").alias("bayrak"), "id")
+    if "hata" not in routed.columns:
+        return flags
+    return flags.unionByName(routed.filter("hata is not null").select(F.col("hata").alias("bayrak"), "id"))  # fixes that could not be made in full
+
+
+def bulk_ok(ids: DataFrame, time: str) -> DataFrame:
+    """Decision rows that accept every id of ids(id) at one time, once each."""
+    return ids.select("id").distinct().select("id", F.lit("ok").alias("karar"), F.lit(time).alias("zaman"))
 
 
 def options_from_map(options: Column) -> Column:
@@ -50,7 +58,7 @@ def options_from_map(options: Column) -> Column:
 
 
 def patched(records: DataFrame, log: DataFrame) -> DataFrame:
-    """records(id, govde, siklar_dizi, soru, aciklama, cevap) with the patch of each latest 'duzelt' decision.
+    """records(id, govde, siklar array<struct<harf,metin>>, soru, aciklama, cevap, ...) with the patch of each latest 'duzelt' decision.
 
     Order: siklar (with govde), else govde; then soru; then aciklama_paragraf, aciklama_kes, aciklama; cevap.
     `hata`: sik_cevapsiz (options without an answer, nothing patched) or kes_bulunamadi (mark not found, text kept).
@@ -61,16 +69,17 @@ def patched(records: DataFrame, log: DataFrame) -> DataFrame:
     bad = F.col("_siklar").isNotNull() & F.col("_cevap").isNull()
     on = F.coalesce(F.col("_on"), F.lit(False)) & ~bad
     stem = F.coalesce("_govde", "govde")
-    asked = F.when(F.col("_siklar").isNotNull(), X.render_question(stem, options_from_map(F.col("_siklar")))).when(F.col("_govde").isNotNull(), X.render_question(stem, F.col("siklar_dizi"))).otherwise(F.col("soru"))
+    asked = F.when(F.col("_siklar").isNotNull(), X.render_question(stem, options_from_map(F.col("_siklar")))).when(F.col("_govde").isNotNull(), X.render_question(stem, F.col("siklar"))).otherwise(F.col("soru"))
     told = X.paragraph_slice("aciklama", "_aciklama_paragraf")
     cut = X.cut_from(told, F.col("_aciklama_kes"))
     missing = on & F.col("_aciklama_kes").isNotNull() & cut.isNull()
+    error = F.get(codes(("sik_cevapsiz", bad), ("kes_bulunamadi", missing)), F.lit(0))
     return out.select(
-        "id",
+        *[c for c in records.columns if c not in ("soru", "aciklama", "cevap")],
         F.when(on, F.coalesce(F.col("_soru"), asked)).otherwise(F.col("soru")).alias("soru"),
         F.when(on, F.coalesce(F.col("_aciklama"), cut, told)).otherwise(F.col("aciklama")).alias("aciklama"),
         F.when(on, F.coalesce("_cevap", "cevap")).otherwise(F.col("cevap")).alias("cevap"),
-        F.get(codes(("sik_cevapsiz", bad), ("kes_bulunamadi", missing)), F.lit(0)).alias("hata"),
+        error.alias("hata"),
     )
 
 

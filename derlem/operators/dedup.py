@@ -16,6 +16,20 @@ def keep_longest(records: DataFrame, key: str, text: str, tie: str, source: str)
     return records.groupBy(key).agg(best.alias(tie), F.count("*").alias("copies"), F.array_sort(F.collect_set(source)).alias("sources"))
 
 
+def settled(records: DataFrame, key: str, answer: str, text: str, tie: str, source: str) -> DataFrame:
+    """keep_longest over the records whose key has one answer; keys with contradicting answers are left out as a whole."""
+    clash = records.filter(F.col(answer).isNotNull()).groupBy(key).agg(F.min(answer).alias("_a"), F.max(answer).alias("_z")).filter("_a <> _z").select(key)
+    return keep_longest(records.join(clash, key, "left_anti"), key, text, tie, source)
+
+
+def preferred_copies(files: DataFrame, first: str) -> DataFrame:
+    """files(path, root-relative rel, md5) -> (path, keep) of each file that is the copy of another: the one kept of byte-identical files is no
+    "(1)" of another, in the folder `first`, and the first by path, in that order."""
+    rank = F.struct(F.substring_index("rel", "/", -1).contains("(1)"), F.substring_index("rel", "/", 1) != first, F.col("path"))
+    best = files.groupBy("md5").agg(F.min_by("path", rank).alias("keep"), F.count("*").alias("n")).filter("n > 1")
+    return files.join(best, "md5").filter("path <> keep").select("path", "keep")
+
+
 def contradictions(records: DataFrame, key: str, answer: str) -> DataFrame:
     """Rows whose key has more than one distinct answer, with those answers. The answers per key are few, rows are joined back."""
     many = records.filter(F.col(answer).isNotNull()).groupBy(key).agg(F.array_join(F.array_sort(F.collect_set(answer)), "").alias("letters")).filter("length(letters) > 1")

@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from derlem.functions import latex
 from derlem.functions import text as X
-from derlem.functions.dictionary import Dictionary
+from derlem.functions.dictionary import Dictionary, Vocabulary, repaired_rows
 from derlem.functions.text import MONTHS, UPPER
 from derlem.operators import dedup, extract, quality
 
@@ -26,33 +24,28 @@ def provenance_id(source: Column, first: Column, last: Column, question: Column)
     return X.short_hash(F.concat(source, F.lit("|["), first.cast("string"), F.lit(", "), last.cast("string"), F.lit("]|"), F.substring(question, 1, 80)))
 
 
-def repaired(questions: DataFrame, counts: dict[str, int]) -> DataFrame:
+def repaired(questions: DataFrame, words: dict[str, int] | Vocabulary) -> DataFrame:
     """questions(soru, aciklama, ...) after the mechanical repairs and those that look words up, with their counts."""
-    shared = questions.sparkSession.sparkContext.broadcast(counts)
     base = questions.withColumns({c: X.mechanical_repair(latex.nfc(c)) for c in ("soru", "aciklama")})
-    both = base.withColumn("_torn_q", X.syllable_share("soru")).withColumn("_torn_e", X.syllable_share("aciklama"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        d = Dictionary(shared.value)
-        for pdf in batches:
-            told = []
-            for column, torn in (("soru", "_torn_q"), ("aciklama", "_torn_e")):
-                fixed, n = [], []
-                for text, share in zip(pdf[column], pdf[torn]):
-                    text, joined = d.join_torn(text)
-                    text, syllables = d.join_syllables(text) if share > 0.40 else (text, 0)
-                    fixed.append(text)
-                    n.append((joined, syllables))
-                pdf[column] = fixed
-                told.append(n)
-            pdf["onarim"] = [{k: v for k, v in (("bosluk_birlestirme", a[0] + b[0]), ("hece_birlestirme", a[1] + b[1])) if v} for a, b in zip(*told)]
-            yield pdf.drop(columns=["_torn_q", "_torn_e"])
+    both = base.withColumns({f"torn_{c}": X.syllable_share(c) for c in ("soru", "aciklama")})
+    columns = base.columns
+
+    def run(d: Dictionary, row) -> tuple:
+        got, kinds = row._asdict(), {"bosluk_birlestirme": 0, "hece_birlestirme": 0}
+        for c in ("soru", "aciklama"):
+            text, n = d.join_torn(got[c])
+            kinds["bosluk_birlestirme"] += n
+            if got[f"torn_{c}"] > 0.40:
+                text, n = d.join_syllables(text)
+                kinds["hece_birlestirme"] += n
+            got[c] = text
+        return (*(got[c] for c in columns), {k: n for k, n in kinds.items() if n})
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
-    return both.mapInPandas(run, f"{fields}, onarim map<string,int>")
+    return repaired_rows(both, words, run, f"{fields}, onarim map<string,int>".replace("`", ""))
 
 
-def built_records(questions: DataFrame, counts: dict[str, int]) -> DataFrame:
+def built_records(questions: DataFrame, words: dict[str, int] | Vocabulary) -> DataFrame:
     """Segmented questions -> records with id, key, measures and `sorunlar`; accepted where that is empty.
 
     Several records of one document and number are one: with an answer first, then the longest explanation.
@@ -60,7 +53,7 @@ def built_records(questions: DataFrame, counts: dict[str, int]) -> DataFrame:
     score = F.struct(F.col("cevap").isNotNull().cast("int"), F.length("aciklama"), -F.col("ilk_blok"))
     best = questions.groupBy("doc", "no").agg(F.max_by(F.struct(*[c for c in questions.columns if c not in ("doc", "no")]), score).alias("q")).select("doc", "no", "q.*")
     raw = best.withColumn("soru", F.concat_ws("\n", "govde", "siklar"))
-    rec = repaired(raw.drop("govde"), counts).withColumn("aciklama", X.tidy_explanation("aciklama"))
+    rec = repaired(raw.drop("govde"), words).withColumn("aciklama", X.tidy_explanation("aciklama"))
     gates = quality.stage_one(F.col("soru"), F.col("siklar"), F.col("aciklama"), F.col("cevap"), F.col("cevap_adaylari"))
     return rec.select(
         provenance_id(F.col("doc"), F.col("ilk_blok"), F.col("son_blok"), F.col("soru")).alias("id"),
@@ -125,23 +118,18 @@ CLEAN = (
 )
 
 
-def cleaned_records(records: DataFrame, counts: dict[str, int]) -> DataFrame:
+def cleaned_records(records: DataFrame, words: dict[str, int] | Vocabulary) -> DataFrame:
     """records(kayit_no, id, soru, aciklama, cevap, elle boolean) -> CLEAN; a null explanation or letter stays null, records without a question are left out."""
-    shared = records.sparkSession.sparkContext.broadcast(counts)
-    names = [c.split()[0] for c in CLEAN.replace("struct<harf:string,metin:string>", "x").split(", ")]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        d = Dictionary(shared.value)
-        for pdf in batches:
-            out = []
-            for no, i, asked, told, letter, by_hand in zip(*(pdf[c] for c in ("kayit_no", "id", "soru", "aciklama", "cevap", "elle"))):
-                q = clean_question(d, asked)
-                text, cut, dropped = clean_explanation(d, told, bool(by_hand)) if isinstance(told, str) else (None, "", 0)
-                rendered = q["govde"] + "\n" + "\n".join(f"{o['harf']}) {o['metin']}" for o in q["siklar"]) if q["siklar"] else q["metin"]
-                out.append((no, i, d.turkish(rendered, careful=True), q["govde"], q["siklar"], q["esleme"], q["onarim"], q["sorun"], q["sinav"], text, letter if isinstance(letter, str) else None, len(cut), dropped, d.unknown_share(text or "")[0], d.unknown_share(q["govde"])[0]))
-            yield pd.DataFrame(out, columns=names)
+    def run(d: Dictionary, r) -> tuple:
+        q = clean_question(d, r.soru)
+        text, cut, dropped = clean_explanation(d, r.aciklama, bool(r.elle)) if isinstance(r.aciklama, str) else (None, "", 0)
+        rendered = extract.rendered(q["govde"], q["siklar"]) if q["siklar"] else q["metin"]
+        letter = r.cevap if isinstance(r.cevap, str) else None
+        shares = d.unknown_share(text or "")[0], d.unknown_share(q["govde"])[0]
+        return (r.kayit_no, r.id, d.turkish(rendered, careful=True), q["govde"], q["siklar"], q["esleme"], q["onarim"], q["sorun"], q["sinav"], text, letter, len(cut), dropped, *shares)
 
-    return records.filter("soru is not null").select("kayit_no", "id", "soru", "aciklama", "cevap", "elle").mapInPandas(run, CLEAN)
+    return repaired_rows(records.filter("soru is not null").select("kayit_no", "id", "soru", "aciklama", "cevap", "elle"), words, run, CLEAN)
 
 
 def flagged_clean(clean: DataFrame, images: DataFrame | None = None) -> DataFrame:
@@ -171,8 +159,19 @@ def unrepeated(records: DataFrame, reviewed: Column) -> tuple[DataFrame, DataFra
     return kept, records.join(best.select("kayit_no"), "kayit_no", "left_anti").withColumn("elenme", F.lit("tekrar"))
 
 
-def review_view(clean: DataFrame, log: DataFrame, n: int, paragraph: int = 300, whole: int = 700) -> DataFrame:
-    """The first n undecided records as a reviewer sees them: numbered paragraphs, each and all of them shortened."""
-    ps = F.transform(X.paragraphs("aciklama"), lambda p, i: F.concat(F.lit("["), i.cast("string"), F.lit("] "), F.substring(p, 1, paragraph)))
+def review_view(clean: DataFrame, log: DataFrame, n: int, short: bool = True) -> DataFrame:
+    """The first n undecided records as a reviewer sees them: numbered paragraphs, each shortened, until they come to a limit.
+
+    short: 300 characters a paragraph and 700 in all for records without a flag to show, else 500 and 2500. Options under five are shown
+    as sik_sayisi, whatever the flags say.
+    """
     open_ = clean.join(log.select("id").distinct(), "id", "left_anti").orderBy("kayit_no").limit(n)
-    return open_.select("kayit_no", "id", "soru", F.substring(F.array_join(ps, "\n"), 1, whole).alias("gosterim"), "bayrak")
+    few = F.when(F.size("siklar") < 5, F.array(F.concat(F.lit("sik_sayisi="), F.size("siklar").cast("string")))).otherwise(F.array().cast("array<string>"))
+    shown = open_.withColumn("isaret", F.concat(few, F.filter("bayrak", lambda b: b != "sik_sayisi_az")))
+    brief = F.lit(short) & (F.size("isaret") == 0)
+    each, whole = F.when(brief, 300).otherwise(500), F.when(brief, 700).otherwise(2500)
+    ps = F.transform(X.paragraphs("aciklama"), lambda p, i: F.concat(F.lit("["), i.cast("string"), F.lit("] "), F.substring(p, F.lit(1), each), F.when(F.length(p) > each, " ...").otherwise("")))
+    # a paragraph is shown while those before it come to no more than the limit
+    sizes = F.transform(X.paragraphs("aciklama"), lambda p: F.least(F.length(p), each))
+    ps = F.filter(ps, lambda p, i: F.aggregate(F.slice(sizes, F.lit(1), i), F.lit(0), lambda a, b: a + b) <= whole)
+    return shown.select("kayit_no", "id", "soru", F.array_join(ps, "\n").alias("gosterim"), F.col("isaret").alias("bayrak"))

@@ -58,7 +58,7 @@ def stage_one(question: Column, options: Column, explanation: Column, answer: Co
         ("aciklama_kisa", short),
         ("iceriksiz_gerekce", comment),
         ("yarim_gerekce", ~short & ~comment & F.trim(text).rlike(r"[:;,\-–—][ \t\r\n]*$") & (F.length(text) < 200)),
-        (F.concat(F.lit("hece_bolunmesi("), F.format_string("%.2f", torn), F.lit(")")), torn > 0.40),
+        (F.concat(F.lit("hece_bolunmesi("), F.format_number(torn, 2), F.lit(")")), torn > 0.40),
     )
 
 
@@ -171,8 +171,10 @@ def excluded_document(name: Column) -> Column:
 REASONS = ("soru_bozuk", "gorsel_gerekli", "cevap_supheli", "eksik_bilgi", "sik_kayip", "baglam_gerekli", "tekrar", "diger")
 
 
-def decision_errors() -> Column:
-    """What is wrong with a decision row; needs its columns as stored in the log."""
+def decision_errors(explanation: Column | None = None) -> Column:
+    """What is wrong with a decision row; needs its columns as stored in the log. explanation: the text aciklama_kes must stand in,
+    null where the record is not known. Fields that no decision has are found where logs are read (sources.files.unknown_fields)."""
+    told = F.lit(None).cast("string") if explanation is None else explanation
     return codes(
         ("karar", ~F.coalesce(F.col("karar").isin("ok", "at", "duzelt"), F.lit(False))),
         ("neden", (F.col("karar") == "at") & ~F.coalesce(F.col("neden").isin(*REASONS), F.lit(False))),
@@ -180,4 +182,5 @@ def decision_errors() -> Column:
         ("cevap", F.col("cevap").isNotNull() & ~F.col("cevap").rlike("^[A-E]$")),
         ("cevap_siklarda_yok", F.col("siklar").isNotNull() & F.col("cevap").isNotNull() & ~F.map_contains_key("siklar", F.coalesce("cevap", F.lit("")))),
         ("aciklama_paragraf", F.col("aciklama_paragraf").isNotNull() & ~F.col("aciklama_paragraf").rlike("^[0-9]+(-[0-9]*)?$")),
+        ("aciklama_kes", F.col("aciklama_kes").isNotNull() & told.isNotNull() & ~told.contains(F.col("aciklama_kes"))),
     )

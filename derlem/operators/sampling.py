@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from derlem.session import materialize
+
 
 def first_by_hash(df: DataFrame, key: str, n: int) -> DataFrame:
     """The n rows with the smallest keys (a hash): the same rows on every run."""
@@ -33,7 +35,7 @@ def round_robin(df: DataFrame, order: list[Column], shards: int) -> DataFrame:
     Global positions come from the sizes of range partitions, so no task sees more than its own range.
     """
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id())
-    ranged = ranged.withColumn("_i", F.col("_i") - F.shiftleft(F.col("_p").cast("long"), 33))
+    ranged = materialize(ranged.withColumn("_i", F.col("_i") - F.shiftleft(F.col("_p").cast("long"), 33)), "ranged")  # read twice below
     sizes = ranged.groupBy("_p").agg(F.count("*").alias("_c"))  # one row per partition
     before = F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = sizes.select("_p", before.alias("_s"))

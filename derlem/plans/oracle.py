@@ -136,8 +136,8 @@ def html_table(x: str) -> str:
     return sub(t, r"[ \t]{2,}", " ")
 
 
-def nearest(shares: list[float]) -> str:
-    sorted_ = "(SELECT n_chars AS v, row_number() OVER (ORDER BY n_chars) AS r, count(*) OVER () AS n FROM documents WHERE n_chars IS NOT NULL)"
+def nearest(shares: list[float], source: str | None = None) -> str:
+    sorted_ = source or "(SELECT n_chars AS v, row_number() OVER (ORDER BY n_chars) AS r, count(*) OVER () AS n FROM documents WHERE n_chars IS NOT NULL)"
     return " UNION ALL ".join(f"SELECT {s}::DOUBLE AS pay, v AS deger FROM {sorted_} WHERE r = CASE WHEN floor(n * {s}::DOUBLE) < 1 THEN n ELSE floor(n * {s}::DOUBLE) END" for s in shares)
 
 
@@ -156,19 +156,19 @@ STRICT = r"(?s)^<think>\n(.+)\n</think>\n\nDoğru cevap: ([A-E])$"
 def findings() -> str:
     """Validator: one row per record with what its checks need."""
     rows = "list_filter(string_split(u, chr(10)), lambda s: regexp_matches(s, '^[A-E]\\) .'))"
-    return f"""(SELECT *, ord AND framed AND u IS NOT NULL AS ok FROM (SELECT id, u, a, rows, list_transform(rows, lambda s: substring(s, 1, 1)) AS letters,
+    return f"""(SELECT *, ord AND framed AND u IS NOT NULL AS ok FROM (SELECT row, id, u, a, rows, list_transform(rows, lambda s: substring(s, 1, 1)) AS letters,
         list_transform(rows, lambda s: lower(trim(regexp_replace(s, '^[A-E]\\) ', '')))) AS texts,
         coalesce(roles = ['user', 'assistant'], false) AS ord, coalesce(regexp_matches(a, '{STRICT}'), false) AS framed,
         regexp_extract(a, '{STRICT}', 1) AS told, regexp_extract(a, '{STRICT}', 2) AS letter,
         CASE WHEN instr(u, chr(10) || 'A) ') > 0 THEN substring(u, 1, instr(u, chr(10) || 'A) ') - 1) ELSE '' END AS stem
-        FROM (SELECT id, {content('user')} AS u, {content('assistant')} AS a, list_transform(messages, lambda m: m.role) AS roles, list_filter(string_split({content('user')}, chr(10)), lambda s: regexp_matches(s, '^[A-E]\\) .')) AS rows FROM sft_record)))"""
+        FROM (SELECT kayit_no AS row, id, {content('user')} AS u, {content('assistant')} AS a, list_transform(messages, lambda m: m.role) AS roles, list_filter(string_split({content('user')}, chr(10)), lambda s: regexp_matches(s, '^[A-E]\\) .')) AS rows FROM sft_record)))"""
 
 
 def report() -> str:
     f = findings()
     size, signs = f"length(regexp_replace(told, '[^{LETTER}]', '', 'g'))", "length(regexp_replace(told, '[^çğıöşüÇĞİÖŞÜ]', '', 'g'))"
     tests = [
-        ("hata", "rol", "NOT ord"), ("hata", "cevap_bicimi", "ord AND NOT framed"), ("hata", "sik_harfleri", "ok AND NOT (letters = ['A','B','C','D','E'] OR letters = ['A','B','C','D'])"),
+        ("hata", "rol", "NOT ord"), ("hata", "cevap_bicimi", "ord AND NOT framed"), ("hata", "bos_sik", "ok AND len(list_filter(texts, lambda x: regexp_matches(x, '^\\s*$'))) > 0"), ("hata", "sik_harfleri", "ok AND NOT (letters = ['A','B','C','D','E'] OR letters = ['A','B','C','D'])"),
         ("hata", "cevap_siklarda_yok", "ok AND NOT list_contains(letters, letter)"), ("hata", "govde_yok", "ok AND length(trim(stem)) < 10"),
         ("hata", "latex", r"ok AND regexp_matches(u || told, '\$[^$]{1,80}\$|\\(?:math|frac|left|right)')"), ("hata", "html", "ok AND regexp_matches(u || told, '&(?:#x?[0-9a-fA-F]+|amp|lt|gt|quot|nbsp);')"),
         ("hata", "aciklama_cok_kisa", "ok AND length(told) < 40"), ("uyari", "ayni_sik_metni", "ok AND len(list_distinct(texts)) < len(texts)"), ("uyari", "aciklamada_dogru_cevap", "ok AND contains(told, 'Doğru cevap')"),
@@ -178,7 +178,12 @@ def report() -> str:
     parts.append("SELECT 'hata', 'tekrar_id', count(*) FROM (SELECT id FROM f GROUP BY id HAVING count(*) > 1)")
     parts.append(f"SELECT 'uyari', 'tekrar_soru', count(*) FROM (SELECT {content_hash('u')} AS k FROM f GROUP BY k HAVING count(*) > 1)")
     parts.append(f"SELECT 'hata', 'eval_sizintisi', count(*) FROM eval_record WHERE {content_hash('soru')} IN (SELECT {content_hash('u')} FROM f)")
-    return f"WITH f AS {f} SELECT * FROM (" + " UNION ALL ".join(parts) + ") WHERE n > 0"
+    wide = lambda x: f"regexp_extract_all(lower(replace(replace({x}, 'İ', 'i'), 'I', 'ı')), '[{LETTER}âîû]{{3,}}')"
+    for column, limit, code in (("told", 0.2, "aciklama_bozuk>0.2"), ("stem", 0.15, "govde_bozuk>0.15")):
+        words = f"(SELECT row, unnest({wide(column)}) AS w FROM f WHERE ok)"
+        parts.append(f"SELECT 'uyari', '{code}', count(*) FROM (SELECT row FROM {words} GROUP BY row HAVING count(*) FILTER (w NOT IN (SELECT w FROM known))::DOUBLE / count(*) > {limit})")
+    known = f"(SELECT w FROM (SELECT unnest({wide('concat_ws(chr(10), u, a)')}) AS w FROM f) GROUP BY w HAVING count(*) >= 5)"
+    return f"WITH f AS {f}, known AS {known} SELECT * FROM (" + " UNION ALL ".join(parts) + ") WHERE n > 0"
 
 
 FIGURE = (
@@ -193,19 +198,34 @@ EARLIER = (
 COMMENT = r"(?i)(?:^|[^\p{L}0-9_])(?:kolay|zor|klasik|spot|temel bilgi|sınav|soru(?:su|dur|lardan)|kurtarıcı|vazgeçilmez|çeldirici|hatırlat|dikkat edin|bilmek yeterli)(?:$|[^\p{L}0-9_])"
 
 
-def gates() -> str:
-    t = "coalesce(aciklama, '')"
-    keys = "list_sort(list_distinct(coalesce(meta.cevap_adaylari, [])))"
+def gate_list(q: str, options: str, explanation: str, answer: str, candidates: str) -> str:
+    """The list of gate codes that a record fails, as a SQL expression."""
+    t = f"coalesce({explanation}, '')"
+    keys = f"list_sort(list_distinct(coalesce({candidates}, [])))"
     sentences = f"list_filter(regexp_split_to_array({t}, '[.!]|\\n'), lambda s: trim(s) <> '')"
     comment = f"(length({t}) >= 40 AND len({sentences}) > 0 AND len(list_filter({sentences}, lambda s: NOT (length(s) <= 250 AND regexp_matches(s, '{COMMENT}')))) = 0)"
+    torn = syllables(f"{q} || ' ' || {t}")
     tests = [
-        ("'cevap_yok'", "coalesce(cevap, '') = ''"), (f"'coklu_anahtar(' || array_to_string({keys}, '') || ')'", f"len({keys}) > 1"), ("'sekle_bagli'", f"regexp_matches(soru, '{FIGURE}')"),
-        ("'onceki_soruya_bagimli'", f"regexp_matches(soru, '{EARLIER}')"), ("'tablo_kalintisi'", f"len(list_filter(string_split({t}, chr(10)), lambda s: regexp_matches(s, '\\|.*\\|.*\\|'))) >= 2"),
-        ("'sik_eksik'", f"{option_letters('siklar')} < 3"), ("'soru_kisa'", "length(soru) < 40"), ("'ocr_bozuk'", f"round({vowelless(f'soru || {t}')}, 3) > 0.12"), ("'aciklama_kisa'", f"length({t}) < 40"),
+        ("'cevap_yok'", f"coalesce({answer}, '') = ''"), (f"'coklu_anahtar(' || array_to_string({keys}, '') || ')'", f"len({keys}) > 1"), ("'sekle_bagli'", f"regexp_matches({q}, '{FIGURE}')"),
+        ("'onceki_soruya_bagimli'", f"regexp_matches({q}, '{EARLIER}')"), ("'tablo_kalintisi'", f"len(list_filter(string_split({t}, chr(10)), lambda s: regexp_matches(s, '\\|.*\\|.*\\|'))) >= 2"),
+        ("'sik_eksik'", f"{option_letters(options)} < 3"), ("'soru_kisa'", f"length({q}) < 40"), ("'ocr_bozuk'", f"round({vowelless(f'{q} || {t}')}, 3) > 0.12"), ("'aciklama_kisa'", f"length({t}) < 40"),
         ("'iceriksiz_gerekce'", comment), ("'yarim_gerekce'", f"length({t}) >= 40 AND NOT {comment} AND regexp_matches(trim({t}), '[:;,\\-–—][ \\t\\r\\n]*$') AND length({t}) < 200"),
+        (f"'hece_bolunmesi(' || printf('%.2f', {torn}) || ')'", f"{torn} > 0.40"),
     ]
     items = ", ".join(f"CASE WHEN {c} THEN {k} END" for k, c in tests)
-    return f"SELECT kayit_no, array_to_string(list_filter([{items}], lambda c: c IS NOT NULL), ',') AS sorunlar FROM flagged_record"
+    return f"list_filter([{items}], lambda c: c IS NOT NULL)"
+
+
+def gates() -> str:
+    return f"SELECT kayit_no, array_to_string({gate_list('soru', 'siklar', 'aciklama', 'cevap', 'meta.cevap_adaylari')}, ',') AS sorunlar FROM flagged_record"
+
+
+def gated() -> str:
+    rows = f"(SELECT kayit_no, soru, icerik, source_pdf, {told('icerik')} AS t, {letter('icerik')} AS harf, adaylar FROM (SELECT kayit_no, {content('user')} AS soru, {content('assistant')} AS icerik, meta.source_pdf AS source_pdf, meta.cevap_adaylari AS adaylar FROM sft_record) WHERE soru IS NOT NULL)"
+    return f"(SELECT kayit_no, {key_id('soru')} AS anahtar_id, icerik, source_pdf, harf FROM {rows} WHERE len({gate_list('soru', 'soru', 't', 'harf', 'adaylar')}) = 0)"
+
+
+THOUGHT = r"coalesce(regexp_extract(icerik, '(?s)<think>\n?(.*?)\n?</think>', 1), '')"
 
 
 def contamination() -> str:
@@ -215,9 +235,11 @@ def contamination() -> str:
         ("cevap_satiri", r"regexp_matches(t, '(?i)(?:do[ğg]ru[ \t]*)?cevap[ \t]*[:\-–—]?[ \t]*[A-Ea-e](?:$|[^a-zA-ZçğıöşüÇĞİÖŞÜ0-9_])')"), ("soru_etiketi", r"regexp_matches(t, '(?i)(?:^|[^A-Za-z])SORU[ \t]*[0-9]{1,3}(?:[^0-9]|$)')"),
         ("kitapcik_metni", r"regexp_matches(t, '(?i)K[İI]TAP[ÇC]I[ĞG]I|DENEME SINAVI|Önce TUS|ABONE OL|www\.|Bedava')"), ("dusuk_ortusme", f"{overlap('soru', 't')} < 0.10"),
     ]
-    rec = f"(SELECT soru, {told('icerik')} AS t FROM {SFT} WHERE soru IS NOT NULL)"
-    parts = " UNION ALL ".join(f"SELECT '{k}' AS bayrak, count(*) AS n FROM r WHERE {c}" for k, c in tests)
-    return f"WITH r AS (SELECT * FROM {rec} WHERE trim(t) <> '') SELECT * FROM ({parts}) WHERE n > 0"
+    items = ", ".join(f"CASE WHEN {c} THEN '{k}' END" for k, c in tests)
+    rec = f"(SELECT coalesce(soru, '') AS soru, {THOUGHT} AS t FROM {SFT})"
+    flags = f"(SELECT t, list_filter([{items}], lambda c: c IS NOT NULL) AS f FROM {rec})"
+    return f"""SELECT bayrak, count(*) AS n FROM (SELECT unnest(CASE WHEN NOT regexp_matches(t, '[^ \t\r\n]') THEN ['aciklama_bos'] WHEN len(f) = 0 THEN ['temiz'] ELSE list_append(f, 'bayrak_sayisi_' || len(f)) END) AS bayrak
+        FROM {flags}) GROUP BY bayrak"""
 
 
 def patches() -> str:
@@ -226,22 +248,38 @@ def patches() -> str:
     lo = f"CASE WHEN contains({w}, '-') THEN coalesce(TRY_CAST(regexp_extract({w}, '^([0-9]+)-', 1) AS INT), 0) ELSE 0 END"
     hi = f"coalesce(CASE WHEN contains({w}, '-') THEN TRY_CAST(regexp_extract({w}, '-([0-9]+)$', 1) AS INT) + 1 ELSE TRY_CAST({w} AS INT) END, len({para}))"
     sliced = f"CASE WHEN {w} IS NULL THEN f.aciklama ELSE array_to_string(list_slice({para}, {lo} + 1, {hi}), chr(10)) END"
+    lines = "list_filter(string_split(f.siklar, chr(10)), lambda x: regexp_matches(x, '^[A-E]\\) .'))"
+    own = f"array_to_string(list_transform({lines}, lambda x: substring(x, 1, 1) || ') ' || trim(substring(x, 3))), chr(10))"
+    both = f"(SELECT kayit_no, id, soru, siklar, aciklama, cevap FROM flagged_record UNION ALL SELECT kayit_no, id, soru, soru, {told('icerik')}, {letter('icerik')} FROM {SFT})"
+    first = f"(SELECT id, arg_min({{'soru': soru, 'siklar': siklar, 'aciklama': aciklama, 'cevap': cevap}}, kayit_no) AS f FROM {both} GROUP BY id)"
     options = "array_to_string(list_transform(list_sort(map_keys(d.siklar)), lambda k: k || ') ' || d.siklar[k]), chr(10))"
     at, flat, mark = "instr(s, d.aciklama_kes)", squeezed("s"), squeezed("d.aciklama_kes")
     cut = f"CASE WHEN d.aciklama_kes IS NULL THEN s WHEN {at} > 0 THEN regexp_replace(substring(s, 1, {at} - 1), '[ \\t\\r\\n]+$', '') WHEN instr({flat}, {mark}) > 0 THEN rtrim(substring({flat}, 1, instr({flat}, {mark}) - 1)) END"
-    return f"""WITH f AS (SELECT id, f.soru AS soru, f.aciklama AS aciklama, f.cevap AS cevap, {stem('f.soru')} AS govde FROM {FIRST_FLAGGED}),
+    return f"""WITH f AS (SELECT id, f.soru AS soru, f.aciklama AS aciklama, f.cevap AS cevap, f.siklar AS siklar, {stem('f.soru')} AS govde FROM {first}),
         j AS (SELECT f.*, d, {sliced} AS s FROM f JOIN (SELECT * FROM {LATEST} WHERE karar = 'duzelt') d ON f.id = d.id)
-        SELECT id, CASE WHEN bad THEN soru ELSE coalesce(d.soru, CASE WHEN d.siklar IS NOT NULL THEN trim(coalesce(d.govde, govde)) || chr(10) || {options} WHEN d.govde IS NOT NULL THEN trim(d.govde) || chr(10) ELSE soru END) END AS soru,
+        SELECT id, CASE WHEN bad THEN soru ELSE coalesce(d.soru, CASE WHEN d.siklar IS NOT NULL THEN trim(coalesce(d.govde, govde)) || chr(10) || {options} WHEN d.govde IS NOT NULL THEN trim(d.govde) || chr(10) || coalesce(o, '') ELSE soru END) END AS soru,
         CASE WHEN bad THEN aciklama ELSE coalesce(d.aciklama, c, s) END AS aciklama, CASE WHEN bad THEN cevap ELSE coalesce(d.cevap, cevap) END AS cevap,
         CASE WHEN bad THEN 'sik_cevapsiz' WHEN d.aciklama_kes IS NOT NULL AND c IS NULL THEN 'kes_bulunamadi' END AS hata
-        FROM (SELECT *, d.siklar IS NOT NULL AND d.cevap IS NULL AS bad, {cut} AS c FROM j)"""
+        FROM (SELECT *, d.siklar IS NOT NULL AND d.cevap IS NULL AS bad, {cut} AS c FROM (SELECT *, {own.replace('f.siklar', 'siklar')} AS o FROM j))"""
 
 
-SETS = {"egitim": KEYED, "degerlendirme": HELD, "isaretli": FLAGGED, "onarilmis": REPAIRED}
+DROPPED = f"(SELECT x.anahtar_id, coalesce(l.neden IN ('cevap_supheli', 'tibbi'), false) AS itiraz FROM {FLAGGED} x JOIN (SELECT * FROM {LATEST} WHERE karar = 'at') l ON x.id = l.id)"
+SETS = {
+    "egitim": KEYED, "eval": f"(SELECT * FROM {HELD} WHERE ayrim = 'tus_mcq_eval')", "eval_aciklamali": f"(SELECT * FROM {HELD} WHERE ayrim = 'tus_mcq_eval_aciklamali')", "eval_sinama": f"(SELECT * FROM {HELD} WHERE ayrim = 'tus_mcq_sinama')",
+    "onarilmis": REPAIRED, "itiraz": f"(SELECT * FROM {DROPPED} WHERE itiraz)", "kullanilamaz": f"(SELECT * FROM {DROPPED} WHERE NOT itiraz)", "isaretli": FLAGGED,
+}
 NAMES = list(SETS)
 
 ORACLE: dict[str, str] = {
-    "train_set": f"SELECT anahtar_id, {LONGEST} FROM {KEYED} WHERE length(soru) >= 40 AND length({told('icerik')}) >= 60 AND anahtar_id NOT IN (SELECT anahtar_id FROM {HELD} WHERE anahtar_id IS NOT NULL) GROUP BY anahtar_id",
+    "train_set": f"SELECT anahtar_id, {LONGEST} FROM {gated()} WHERE anahtar_id NOT IN (SELECT anahtar_id FROM {HELD} WHERE anahtar_id IS NOT NULL) GROUP BY anahtar_id",
+    "settled_records": f"WITH g AS {gated()} SELECT anahtar_id, {LONGEST} FROM g WHERE anahtar_id NOT IN (SELECT anahtar_id FROM g GROUP BY 1 HAVING count(DISTINCT harf) > 1) GROUP BY anahtar_id",
+    "surviving_records": f"""SELECT kayit_no, id FROM (SELECT kayit_no, id, row_number() OVER (PARTITION BY {content_hash('soru')}
+        ORDER BY id IN (SELECT id FROM decision) DESC, length(coalesce(icerik, '')) DESC, kayit_no) AS r FROM {SFT} WHERE soru IS NOT NULL) WHERE r = 1 ORDER BY kayit_no""",
+    "sample_record": f"SELECT kayit_no, id FROM {SFT} WHERE length(icerik) > 300 AND length(icerik) < 900 AND contains(soru, chr(10) || 'E) ') ORDER BY kayit_no LIMIT 1",
+    "exam_chronology": rf"SELECT m || ' ' || y AS sinav, count(*) AS n FROM (SELECT regexp_extract(soru, '\(({MONTHS})[ \t]*([0-9]{{4}})\)', 1) AS m, regexp_extract(soru, '\(({MONTHS})[ \t]*([0-9]{{4}})\)', 2) AS y FROM {SFT}) WHERE m <> '' GROUP BY m, y ORDER BY y, m <> 'Nisan', 1",
+    "distinct_keys": " UNION ALL ".join(f"SELECT '{n}' AS kume, count(anahtar_id) AS satir, count(DISTINCT anahtar_id) AS tekil FROM {t}" for n, t in (("egitim", KEYED), ("isaretli", FLAGGED), ("degerlendirme", HELD))),
+    "source_shares": f"SELECT source_pdf, count(*) AS n, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 4) AS yuzde, round(100.0::DOUBLE * count(*) / max(count(*)) OVER (), 4) AS en_buyuge FROM {SFT} WHERE source_pdf IS NOT NULL GROUP BY 1",
+    "overlap_percentiles": nearest([0.1, 0.25, 0.5], f"(SELECT o AS v, row_number() OVER (ORDER BY o) AS r, count(*) OVER () AS n FROM (SELECT round({overlap('soru', 't')}, 6) AS o FROM (SELECT coalesce(soru, '') AS soru, {THOUGHT} AS t FROM {SFT}) WHERE regexp_matches(t, '[^ \\t\\r\\n]')))"),
     "question_keys": f"SELECT kayit_no, anahtar_id, {content_hash('soru')} AS icerik_ozeti FROM {KEYED}",
     "stale_keys": f"SELECT kayit_no, eski, yeni FROM (SELECT kayit_no, meta.anahtar_id AS eski, {key_id(content('user'))} AS yeni FROM sft_record WHERE {content('user')} IS NOT NULL) WHERE eski IS DISTINCT FROM yeni",
     "duplicates_kept": f"SELECT * FROM (SELECT anahtar_id, {LONGEST} FROM {KEYED} WHERE icerik IS NOT NULL GROUP BY anahtar_id) WHERE copies > 1",
@@ -255,7 +293,8 @@ ORACLE: dict[str, str] = {
     "decision_errors": f"""SELECT kayit_no, hata FROM (SELECT kayit_no, unnest(list_filter([CASE WHEN NOT coalesce(karar IN ('ok', 'at', 'duzelt'), false) THEN 'karar' END, CASE WHEN karar = 'at' AND NOT coalesce(neden IN ({REASONS}), false) THEN 'neden' END,
         CASE WHEN siklar IS NOT NULL AND cevap IS NULL THEN 'siklar_cevapsiz' END, CASE WHEN NOT regexp_matches(cevap, '^[A-E]$') THEN 'cevap' END,
         CASE WHEN siklar IS NOT NULL AND cevap IS NOT NULL AND NOT list_contains(map_keys(siklar), cevap) THEN 'cevap_siklarda_yok' END,
-        CASE WHEN NOT regexp_matches(aciklama_paragraf, '^[0-9]+(-[0-9]*)?$') THEN 'aciklama_paragraf' END], lambda c: c IS NOT NULL)) AS hata FROM decision)""",
+        CASE WHEN NOT regexp_matches(aciklama_paragraf, '^[0-9]+(-[0-9]*)?$') THEN 'aciklama_paragraf' END, CASE WHEN aciklama_kes IS NOT NULL AND t IS NOT NULL AND NOT contains(t, aciklama_kes) THEN 'aciklama_kes' END], lambda c: c IS NOT NULL)) AS hata
+        FROM decision LEFT JOIN (SELECT id AS i, arg_min({told('icerik')}, kayit_no) AS t FROM {SFT} WHERE {told('icerik')} IS NOT NULL GROUP BY id) ON id = i)""",
     "decision_fields": f"WITH d AS (SELECT * FROM {LATEST} WHERE karar = 'duzelt') " + unpivot(["soru", "govde", "siklar", "cevap", "aciklama", "aciklama_kes", "aciklama_paragraf"], "d"),
     "repaired_records": f"SELECT kayit_no, id, tur, soru_degistirildi, anahtar_id, icerik_ozeti FROM {REPAIRED}",
     "repair_kinds": f"SELECT tur, count(*) AS n FROM {REPAIRED} GROUP BY tur",
@@ -301,7 +340,9 @@ ORACLE: dict[str, str] = {
     "stage_one_gates": gates(),
     "patched_records": patches(),
     "decision_progress": f"SELECT karar, count(*) AS n FROM {LATEST} GROUP BY karar",
-    "funnel": " UNION ALL ".join(f"SELECT '{a}' AS adim, count(*) AS n FROM {t}" for a, t in (("ham", "sft_record"), ("isaretli", "flagged_record"), ("onarim_istegi", "repair_request"), ("degerlendirme", "eval_record"), ("karar", "decision"))),
+    "funnel": f"""WITH g AS {gated()}, steps AS (SELECT 'cerceveli' AS adim, count(*) AS n FROM {KEYED} WHERE {letter('icerik')} IS NOT NULL UNION ALL SELECT 'kapidan_gecen', count(*) FROM g UNION ALL SELECT 'tekil', count(DISTINCT anahtar_id) FROM g
+        UNION ALL SELECT 'sizintisiz', count(DISTINCT anahtar_id) FROM g WHERE anahtar_id NOT IN (SELECT anahtar_id FROM {HELD} WHERE anahtar_id IS NOT NULL)) SELECT * FROM steps UNION ALL """
+    + " UNION ALL ".join(f"SELECT '{a}' AS adim, count(*) AS n FROM {t}" for a, t in (("ham", "sft_record"), ("isaretli", "flagged_record"), ("onarim_istegi", "repair_request"), ("degerlendirme", "eval_record"), ("karar", "decision"))),
     "before_and_after": f"""WITH r AS (SELECT kayit_no, anahtar_id, length(icerik) AS u FROM {KEYED} WHERE icerik IS NOT NULL), k AS (SELECT arg_max(kayit_no, {{'n': u, 'k': -kayit_no}}) AS kayit_no FROM r GROUP BY anahtar_id)
         SELECT 'once' AS surum, count(*) AS n, max(u)::INT AS en_uzun, count(*) FILTER (u >= 200) AS uzun FROM r UNION ALL SELECT 'sonra', count(*), max(u)::INT, count(*) FILTER (u >= 200) FROM r WHERE kayit_no IN (SELECT kayit_no FROM k)""",
 }

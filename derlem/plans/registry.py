@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from derlem.functions import dictionary, latex
@@ -13,6 +13,8 @@ from derlem.operators import decisions, dedup, extract, pipeline, quality, sampl
 from derlem.session import materialize
 from derlem.sources.tables import first_content, table
 
+# fixed values: reasons for which a dropped record is disputed rather than unusable
+DISPUTED = ("cevap_supheli", "tibbi")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -44,19 +46,36 @@ def held_out(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, d: str) -> DataFrame:
-    """Parsed records with their flags: kayit_no, id, govde, siklar, aciklama, cevap, bayrak; null fields and cerceve_bozuk where the frame is broken."""
-    rec = sft(spark, d).select("kayit_no", "id", extract.options_of(latex.clean_text("soru")).alias("p"), X.explanation("icerik").alias("aciklama"), X.answer_letter("icerik").alias("cevap"))
-    flags = quality.review_flags(F.col("p.govde"), F.col("p.siklar"), F.col("aciklama"), F.col("cevap"), F.lit(False), F.col("p.onarim"), F.col("p.sorun"))
-    return rec.select("kayit_no", "id", "p.govde", "p.siklar", "aciklama", "cevap", flags.alias("bayrak"))
+    """Every training record in its cleaned form with its flags (see pipeline.flagged_clean); null fields and cerceve_bozuk where the frame is broken."""
+    rec = sft(spark, d).select("kayit_no", "id", "soru", X.explanation("icerik").alias("aciklama"), X.answer_letter("icerik").alias("cevap"), F.lit(False).alias("elle"))
+    texts = rec.select(F.concat_ws("\n", "soru", "aciklama").alias("text"))
+    words = dictionary.Vocabulary(dictionary.word_counts(texts, turkish=True))
+    clean = pipeline.flagged_clean(pipeline.cleaned_records(rec.fillna("", "soru"), words))  # one without a question is kept, and flagged for its options
+    return clean.withColumn("soru", F.expr("nullif(soru, '')"))
+
+
+def produced(spark: SparkSession, d: str) -> DataFrame:
+    """cleaned, patched by the latest fixes, routed by the latest decisions, repeats taken out: `yol`, `elenme`, `durum`, `hata`."""
+    log = table(spark, d, "decision")
+    routed = materialize(decisions.route(decisions.patched(cleaned(spark, d), log), log), "routed")
+    kept, repeats = pipeline.unrepeated(routed.filter("yol <> 'elenen'"), F.col("durum") == "incelendi")
+    return kept.unionByName(repeats.withColumn("yol", F.lit("elenen"))).unionByName(routed.filter("yol = 'elenen'"))
 
 
 # ---------------------------------------------------------------------------------------------- queries
 
 
+def gated(spark: SparkSession, d: str) -> DataFrame:
+    """Training records that pass every gate of the first stage: kayit_no, anahtar_id, icerik, source_pdf, harf."""
+    adaylar = table(spark, d, "sft_record").select("kayit_no", F.col("meta.cevap_adaylari").alias("adaylar"), first_content("user").alias("soru"), first_content("assistant").alias("icerik"), F.col("meta.source_pdf").alias("source_pdf"))
+    rec = adaylar.filter("soru is not null").withColumn("aciklama", X.explanation("icerik")).withColumn("harf", X.answer_letter("icerik"))
+    ok = rec.filter(F.size(quality.stage_one(F.col("soru"), F.col("soru"), F.col("aciklama"), F.col("harf"), F.col("adaylar"))) == 0)
+    return ok.select("kayit_no", X.short_hash(X.question_key("soru")).alias("anahtar_id"), "icerik", "source_pdf", "harf")
+
+
 def train_set(spark: SparkSession, d: str) -> DataFrame:
-    """Accepted training records: gates, longest per question, none that the evaluation splits hold."""
-    told = X.explanation("icerik")
-    ok = keyed(spark, d).filter((F.length("soru") >= 40) & (F.length(told) >= 60))
+    """Accepted training records: all gates, longest per question, none that the evaluation splits hold."""
+    ok = gated(spark, d)
     best = dedup.keep_longest(ok, "anahtar_id", "icerik", "kayit_no", "source_pdf")
     return dedup.without(best, held_out(spark, d), on="anahtar_id").select("anahtar_id", "kayit_no", "copies", F.array_join("sources", ",").alias("sources"))
 
@@ -71,6 +90,51 @@ def stale_keys(spark: SparkSession, d: str) -> DataFrame:
     return rec.filter("soru is not null").withColumn("yeni", X.short_hash(X.question_key("soru"))).filter("not (eski <=> yeni)").select("kayit_no", "eski", "yeni")
 
 
+def settled_records(spark: SparkSession, d: str) -> DataFrame:
+    """Accepted records, the longest per question; questions whose records contradict each other are out as a whole."""
+    best = dedup.settled(gated(spark, d), "anahtar_id", "harf", "icerik", "kayit_no", "source_pdf")
+    return best.select("anahtar_id", "kayit_no", "copies", F.array_join("sources", ",").alias("sources"))
+
+
+def surviving_records(spark: SparkSession, d: str) -> DataFrame:
+    """The records that near-exact repeats leave, in the order of the input."""
+    rec = sft(spark, d).filter("soru is not null").select("kayit_no", "id")
+    return rec.join(near_exact_losers(spark, d).select("kayit_no"), "kayit_no", "left_anti").orderBy("kayit_no")
+
+
+def sample_record(spark: SparkSession, d: str) -> DataFrame:
+    """The first record of five options and between 300 and 900 characters of answer."""
+    good = (F.length("icerik") > 300) & (F.length("icerik") < 900) & F.col("soru").contains("\nE) ")
+    return sft(spark, d).filter(good).select("kayit_no", "id").orderBy("kayit_no").limit(1)
+
+
+def exam_chronology(spark: SparkSession, d: str) -> DataFrame:
+    """Exams with their questions in order of time, April before September."""
+    tags = exam_tags(spark, d).withColumn("yil", F.substring_index("sinav", " ", -1)).withColumn("sonra", ~F.col("sinav").startswith("Nisan"))
+    return tags.orderBy("yil", "sonra", "sinav").select("sinav", "n")
+
+
+def distinct_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Rows and distinct question keys of each set."""
+    out = None
+    for name, df in (("egitim", keyed(spark, d)), ("isaretli", flagged(spark, d)), ("degerlendirme", held_out(spark, d))):
+        row = df.agg(F.lit(name).alias("kume"), F.count("anahtar_id").alias("satir"), F.count_distinct("anahtar_id").alias("tekil"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def source_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Training questions per source, as a share of all and of the largest."""
+    n = sampling.share_of_total(sft(spark, d).filter("source_pdf is not null"), "source_pdf")
+    return n.withColumn("en_buyuge", F.round(F.lit(100.0) * F.col("n") / F.max("n").over(Window.partitionBy()), 4))
+
+
+def split_questions(spark: SparkSession, d: str) -> DataFrame:
+    """What the plain splitter of options finds in each question."""
+    split = F.pandas_udf(lambda s: s.map(lambda t: ",".join([str(len(p["siklar"])), *p["sorun"]]) if (p := extract.split_options(t)) else None), "string")
+    return sft(spark, d).filter("soru is not null").select("kayit_no", split("soru").alias("sonuc"))
+
+
 def duplicates_kept(spark: SparkSession, d: str) -> DataFrame:
     best = dedup.keep_longest(keyed(spark, d).filter("icerik is not null"), "anahtar_id", "icerik", "kayit_no", "source_pdf")
     return best.filter("copies > 1").select("anahtar_id", "kayit_no", "copies", F.array_join("sources", ",").alias("sources"))
@@ -101,7 +165,12 @@ def latest_decisions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def decision_errors(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "decision").select("kayit_no", F.explode(quality.decision_errors()).alias("hata"))
+    """All decisions that break a rule, by rule. aciklama_kes is looked for in the explanation of the training record with that id, the first
+    of several that has one."""
+    told = sft(spark, d).select("id", "kayit_no", X.explanation("icerik").alias("t")).filter("t is not null").groupBy("id").agg(F.min_by("t", "kayit_no").alias("_told"))
+    log = table(spark, d, "decision")
+    cut = log.filter("aciklama_kes is not null").join(told, "id", "left").unionByName(log.filter("aciklama_kes is null").withColumn("_told", F.lit(None).cast("string")))
+    return cut.select("kayit_no", F.explode(quality.decision_errors(F.col("_told"))).alias("hata"))
 
 
 def decision_fields(spark: SparkSession, d: str) -> DataFrame:
@@ -113,19 +182,26 @@ def decision_fields(spark: SparkSession, d: str) -> DataFrame:
 
 
 def routed_records(spark: SparkSession, d: str) -> DataFrame:
-    return decisions.route(cleaned(spark, d), table(spark, d, "decision")).select("kayit_no", "yol", "elenme", "durum", F.array_join("bayrak", ",").alias("bayrak"))
+    log = table(spark, d, "decision")
+    return decisions.route(decisions.patched(cleaned(spark, d), log), log).select("kayit_no", "yol", "elenme", "durum", F.array_join("bayrak", ",").alias("bayrak"))
 
 
 def review_queue(spark: SparkSession, d: str) -> DataFrame:
-    routed = decisions.route(cleaned(spark, d), table(spark, d, "decision"))
+    """Records that wait for review, by flag; fixes that could not be made in full wait under their error."""
+    log = table(spark, d, "decision")
+    routed = decisions.route(decisions.patched(cleaned(spark, d), log), log)
     return decisions.queue(routed).groupBy("bayrak").agg(F.count("*").alias("n"))
 
 
 def patched_records(spark: SparkSession, d: str) -> DataFrame:
-    rec = table(spark, d, "flagged_record").groupBy("id").agg(F.min_by(F.struct("soru", "aciklama", "cevap"), "kayit_no").alias("f"))
-    opts = F.array().cast("array<struct<harf:string,metin:string>>")
-    rec = rec.select("id", X.stem("f.soru").alias("govde"), opts.alias("siklar_dizi"), "f.soru", "f.aciklama", "f.cevap")
-    out = decisions.patched(rec, table(spark, d, "decision"))
+    """Flagged and training records as the latest fixes leave them; a changed stem keeps the record's own options, its lines 'X) text'."""
+    old = table(spark, d, "flagged_record").select("kayit_no", "id", "soru", "siklar", "aciklama", "cevap")
+    rec = sft(spark, d).select("kayit_no", "id", "soru", F.col("soru").alias("siklar"), X.explanation("icerik").alias("aciklama"), X.answer_letter("icerik").alias("cevap"))
+    rec = old.unionByName(rec).groupBy("id").agg(F.min_by(F.struct("soru", "siklar", "aciklama", "cevap"), "kayit_no").alias("f"))
+    lines = F.filter(F.split("f.siklar", "\n"), lambda s: s.rlike(r"^[A-E]\) ."))
+    opts = F.transform(lines, lambda s: F.struct(F.substring(s, 1, 1).alias("harf"), F.trim(F.substring(s, F.lit(3), F.length(s))).alias("metin")))
+    rec = rec.select("id", X.stem("f.soru").alias("govde"), opts.alias("siklar"), "f.soru", "f.aciklama", "f.cevap")
+    out = decisions.patched(rec, table(spark, d, "decision")).select("id", "soru", "aciklama", "cevap", "hata")
     return out.join(decisions.latest(table(spark, d, "decision")).filter("karar = 'duzelt'").select("id"), "id", "left_semi")
 
 
@@ -172,7 +248,15 @@ def final_training(spark: SparkSession, d: str) -> DataFrame:
 
 
 def leakage_matrix(spark: SparkSession, d: str) -> DataFrame:
-    sets = {"egitim": keyed(spark, d), "degerlendirme": held_out(spark, d), "isaretli": flagged(spark, d), "onarilmis": repaired_records(spark, d)}
+    """Question keys that two sets share: training, the two evaluation splits, repaired, disputed (dropped for a doubtful answer or its key) and
+    unusable (dropped for another reason) flagged records. The nine pairs that must be empty, and the rest."""
+    held = held_out(spark, d)
+    drop = decisions.latest(table(spark, d, "decision")).filter("karar = 'at'").select("id", "neden")
+    dropped = flagged(spark, d).join(drop, "id").select("anahtar_id", F.coalesce(F.col("neden").isin(*DISPUTED), F.lit(False)).alias("itiraz"))
+    sets = {
+        "egitim": keys(spark, d), "eval": held.filter("ayrim = 'tus_mcq_eval'"), "eval_aciklamali": held.filter("ayrim = 'tus_mcq_eval_aciklamali'"), "eval_sinama": held.filter("ayrim = 'tus_mcq_sinama'"),
+        "onarilmis": repaired_records(spark, d), "itiraz": dropped.filter("itiraz"), "kullanilamaz": dropped.filter("not itiraz"), "isaretli": flagged(spark, d),
+    }
     return dedup.leakage(sets, "anahtar_id")
 
 
@@ -193,14 +277,8 @@ def priority_list(spark: SparkSession, d: str) -> DataFrame:
 
     Class 1 fails the validator, 2 is flagged, 3 is not in the accepted set (rejected by its flags, or another record's repeat), 4 is the rest.
     """
-    log = table(spark, d, "decision")
-    asked = F.when(F.size("siklar") > 0, X.render_question(F.col("govde"), F.col("siklar"))).otherwise(F.col("govde"))
-    routed = materialize(decisions.route(cleaned(spark, d).withColumn("soru", asked), log), "routed")
-    kept, repeats = pipeline.unrepeated(routed.filter("yol <> 'elenen'"), F.col("durum") == "incelendi")
-    every = kept.unionByName(repeats.withColumn("yol", F.lit("elenen"))).unionByName(routed.filter("yol = 'elenen'"))
-    rec = every.join(log.select("id").distinct(), "id", "left_anti")
-    wrong = F.array_contains("bayrak", "cevap_sikki_kayip") | F.array_contains("bayrak", "sik_sayisi_az") | (F.length("aciklama") < 40)
-    group = F.when(F.col("yol") == "elenen", 3).when(wrong, 1).when(F.size("bayrak") > 0, 2).otherwise(4)
+    rec = produced(spark, d).join(table(spark, d, "decision").select("id").distinct(), "id", "left_anti")
+    group = F.when(F.col("yol") == "elenen", 3).when(validate.hatali(F.col("soru"), F.col("aciklama"), F.col("cevap")), 1).when(F.size("bayrak") > 0, 2).otherwise(4)
     return rec.select("kayit_no", group.alias("sinif"), sampling.flag_rank(F.col("bayrak")).alias("bayrak_sirasi")).orderBy("sinif", "bayrak_sirasi", "kayit_no")
 
 
@@ -211,7 +289,7 @@ def token_vocabulary(spark: SparkSession, d: str) -> DataFrame:
 def stage_one_gates(spark: SparkSession, d: str) -> DataFrame:
     f = table(spark, d, "flagged_record")
     got = quality.stage_one(F.col("soru"), F.col("siklar"), F.col("aciklama"), F.col("cevap"), F.col("meta.cevap_adaylari"))
-    return f.select("kayit_no", F.array_join(F.filter(got, lambda c: ~c.startswith("hece")), ",").alias("sorunlar"))
+    return f.select("kayit_no", F.array_join(got, ",").alias("sorunlar"))
 
 
 def quality_measures(spark: SparkSession, d: str) -> DataFrame:
@@ -246,8 +324,18 @@ def topic_overlaps(spark: SparkSession, d: str) -> DataFrame:
 
 
 def contamination_scan(spark: SparkSession, d: str) -> DataFrame:
-    rec = sft(spark, d).select("kayit_no", "soru", X.explanation("icerik").alias("aciklama")).filter("soru is not null and trim(aciklama) <> ''")
-    return rec.select("kayit_no", F.explode(quality.contamination_flags(F.col("soru"), F.col("aciklama"))).alias("bayrak")).groupBy("bayrak").agg(F.count("*").alias("n"))
+    """Records per sign of contamination, those without an explanation, clean ones, and records by their number of signs."""
+    rec = sft(spark, d).select(F.coalesce("soru", F.lit("")).alias("soru"), X.thought("icerik").alias("aciklama"))
+    told = F.col("aciklama").rlike(r"[^ \t\r\n]")
+    flags = F.when(told, quality.contamination_flags(F.col("soru"), F.col("aciklama")))
+    few = F.when(~told, F.array(F.lit("aciklama_bos"))).when(F.size("f") == 0, F.array(F.lit("temiz"))).otherwise(F.concat("f", F.array(F.concat(F.lit("bayrak_sayisi_"), F.size("f").cast("string")))))
+    return rec.withColumn("f", flags).select(F.explode(few).alias("bayrak")).groupBy("bayrak").agg(F.count("*").alias("n"))
+
+
+def overlap_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    """The overlap of question and explanation at its tenth, quarter and half, of records with an explanation."""
+    rec = sft(spark, d).select(F.coalesce("soru", F.lit("")).alias("soru"), X.thought("icerik").alias("aciklama")).filter(r"aciklama rlike '[^ \\t\\r\\n]'")
+    return sampling.nearest_rank(rec.select(F.round(X.topic_overlap("soru", "aciklama"), 6).alias("o")), "o", [0.1, 0.25, 0.5])
 
 
 def word_shares(spark: SparkSession, d: str) -> DataFrame:
@@ -285,9 +373,10 @@ def question_stems(spark: SparkSession, d: str) -> DataFrame:
 def repairable_pool(spark: SparkSession, d: str) -> DataFrame:
     """Flagged records worth repairing, by problem, those already done left out."""
     f = flagged(spark, d).filter(quality.repairable(F.concat(F.lit("1. "), F.col("soru")), F.col("aciklama")))
-    f = dedup.without(f, repaired_records(spark, d), held_out(spark, d), on="anahtar_id")
+    drop = decisions.latest(table(spark, d, "decision")).filter("karar = 'at'").select("id")  # disputed and unusable ones
+    f = dedup.without(f, repaired_records(spark, d), held_out(spark, d), flagged(spark, d).join(drop, "id", "left_semi"), on="anahtar_id")
     p = quality.problem_set(F.col("sorunlar"))
-    pool = F.when(F.array_join(p, ",") == "cevap_yok", "cevap_yok").when(F.array_join(p, ",") == "aciklama_kisa", "aciklama_kisa").when(F.array_contains(p, "coklu_anahtar"), "coklu_anahtar")
+    pool = F.when(F.array_join(p, ",") == "cevap_yok", "cevap_yok").when(F.array_join(p, ",") == "aciklama_kisa", "aciklama_kisa").when(F.array_contains(p, "celiskili_cevap"), "celiskili").when(F.array_contains(p, "coklu_anahtar"), "coklu_anahtar")
     return f.select("kayit_no", pool.alias("havuz")).filter("havuz is not null")
 
 
@@ -305,7 +394,7 @@ def package_questions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def validator_report(spark: SparkSession, d: str) -> DataFrame:
-    rec = table(spark, d, "sft_record").select("id", first_content("user").alias("user"), first_content("assistant").alias("assistant"), F.transform("messages", lambda m: m["role"]).alias("roles"))
+    rec = table(spark, d, "sft_record").select(F.col("kayit_no").alias("row"), "id", first_content("user").alias("user"), first_content("assistant").alias("assistant"), F.transform("messages", lambda m: m["role"]).alias("roles"))
     return validate.report(rec, table(spark, d, "eval_record").select("soru"))
 
 
@@ -342,19 +431,19 @@ def segmented_questions(spark: SparkSession, d: str) -> DataFrame:
 def dictionary_repair(spark: SparkSession, d: str) -> DataFrame:
     """Explanations in Turkish spelling, glued words split, junk sentences dropped."""
     texts = sft(spark, d).select("kayit_no", X.explanation("icerik").alias("text")).filter("text is not null")
-    words = dictionary.vocabulary(dictionary.word_counts(texts, turkish=True))
+    words = dictionary.Vocabulary(dictionary.word_counts(texts, turkish=True))
 
-    def run(t: dictionary.Dictionary, text: str) -> str:
-        return t.drop_junk(t.split_glued(t.turkish(t.join_torn(text)[0], careful=True)))[0]
+    def run(t: dictionary.Dictionary, row) -> tuple:
+        return row.kayit_no, row.text, t.drop_junk(t.split_glued(t.turkish(t.join_torn(row.text)[0], careful=True)))[0]
 
-    fixed = dictionary.with_dictionary(spark, words, run)
-    return texts.withColumn("yeni", fixed("text")).filter("text <> yeni").select("kayit_no", F.length("text").alias("once"), F.length("yeni").alias("sonra"))
+    fixed = dictionary.repaired_rows(texts, words, run, "kayit_no long, text string, yeni string")
+    return fixed.filter("text <> yeni").select("kayit_no", F.length("text").alias("once"), F.length("yeni").alias("sonra"))
 
 
 def built_questions(spark: SparkSession, d: str) -> DataFrame:
     """Questions segmented from the documents, repaired and gated."""
     docs = table(spark, d, "documents").filter("text is not null")
-    words = dictionary.vocabulary(dictionary.word_counts(docs))
+    words = dictionary.Vocabulary(dictionary.word_counts(docs))
     got = pipeline.built_records(extract.segment_questions(extract.line_blocks(docs)), words)
     return got.select("id", "anahtar_id", F.col("doc").cast("long").alias("doc_id"), "no", "cevap", "sinav", "olcu.cop", "olcu.hece", F.array_join("sorunlar", ",").alias("sorunlar"))
 
@@ -365,20 +454,9 @@ def document_kinds(spark: SparkSession, d: str) -> DataFrame:
     return pipeline.document_summary(built).withColumnRenamed("doc", "doc_id")
 
 
-def _clean(spark: SparkSession, d: str) -> DataFrame:
-    rec = sft(spark, d).select("kayit_no", "id", "soru", X.explanation("icerik").alias("aciklama"), X.answer_letter("icerik").alias("cevap"), F.lit(False).alias("elle"))
-    texts = rec.select(F.concat_ws("\n", "soru", "aciklama").alias("text"))
-    words = dictionary.vocabulary(dictionary.word_counts(texts, turkish=True))
-    clean = pipeline.flagged_clean(pipeline.cleaned_records(rec.fillna("", "soru"), words))  # one without a question is kept, and flagged for its options
-    return clean.withColumn("soru", F.expr("nullif(soru, '')"))
-
-
 def produced_records(spark: SparkSession, d: str) -> DataFrame:
-    """Every training record cleaned, flagged, routed by its latest decision, repeats taken out."""
-    routed = materialize(decisions.route(_clean(spark, d), table(spark, d, "decision")), "routed")
-    kept, repeats = pipeline.unrepeated(routed.filter("yol <> 'elenen'"), F.col("durum") == "incelendi")
-    out = kept.unionByName(repeats.withColumn("yol", F.lit("elenen"))).unionByName(routed.filter("yol = 'elenen'"))
-    return out.select("kayit_no", "yol", "elenme", "durum", F.array_join("bayrak", ",").alias("bayrak"), F.md5("soru").alias("soru_ozeti"), F.md5("aciklama").alias("aciklama_ozeti"), "cevap")
+    """Every training record cleaned, flagged, patched and routed by its latest decision, repeats taken out."""
+    return produced(spark, d).select("kayit_no", "yol", "elenme", "durum", "hata", F.array_join("bayrak", ",").alias("bayrak"), F.md5("soru").alias("soru_ozeti"), F.md5("aciklama").alias("aciklama_ozeti"), "cevap")
 
 
 def option_repairs(spark: SparkSession, d: str) -> DataFrame:
@@ -390,7 +468,7 @@ def option_repairs(spark: SparkSession, d: str) -> DataFrame:
 
 def review_page(spark: SparkSession, d: str) -> DataFrame:
     """The first 40 undecided records as a reviewer sees them."""
-    return pipeline.review_view(_clean(spark, d), table(spark, d, "decision"), 40).select("kayit_no", "id", "gosterim", F.array_join("bayrak", ",").alias("bayrak"))
+    return pipeline.review_view(cleaned(spark, d), table(spark, d, "decision"), 40).select("kayit_no", "id", "gosterim", F.array_join("bayrak", ",").alias("bayrak"))
 
 
 def decision_progress(spark: SparkSession, d: str) -> DataFrame:
@@ -398,8 +476,10 @@ def decision_progress(spark: SparkSession, d: str) -> DataFrame:
 
 
 def funnel(spark: SparkSession, d: str) -> DataFrame:
-    """Records at each step of the pipeline."""
-    steps = {"ham": table(spark, d, "sft_record"), "isaretli": table(spark, d, "flagged_record"), "onarim_istegi": table(spark, d, "repair_request"), "degerlendirme": table(spark, d, "eval_record"), "karar": table(spark, d, "decision")}
+    """Rows of each input, and training records at each step: with a readable frame, through the gates, one per question, none held out."""
+    unique = train_set(spark, d)
+    kept = dedup.keep_longest(gated(spark, d), "anahtar_id", "icerik", "kayit_no", "source_pdf")
+    steps = {"cerceveli": keyed(spark, d).filter(X.answer_letter("icerik").isNotNull()), "kapidan_gecen": gated(spark, d), "tekil": kept, "sizintisiz": unique, "ham": table(spark, d, "sft_record"), "isaretli": table(spark, d, "flagged_record"), "onarim_istegi": table(spark, d, "repair_request"), "degerlendirme": table(spark, d, "eval_record"), "karar": table(spark, d, "decision")}
     out = None
     for name, df in steps.items():
         row = df.agg(F.lit(name).alias("adim"), F.count("*").alias("n"))
@@ -420,9 +500,10 @@ SQL_READY: tuple[Query, ...] = (
     train_set, question_keys, stale_keys, duplicates_kept, contradicting, near_exact_losers, best_in_document, latest_decisions, decision_errors, decision_fields, repaired_records, repair_kinds, orphan_requests,
     eval_candidates, eval_chosen, stratified_holdout, final_training, leakage_matrix, round_robin_shards, shard_progress, token_vocabulary, problem_frequency, problem_histogram, length_buckets,
     nearest_rank_percentiles, upper_median, topic_overlaps, word_shares, html_tables, option_counts, boilerplate_lines, exam_tags, answer_letters, question_stems, subjects_of_sources, package_questions, normal_form,
+    settled_records, surviving_records, sample_record, exam_chronology, distinct_keys, source_shares, overlap_percentiles,
     patched_records, quality_measures, contamination_scan, validator_report, stage_one_gates, decision_progress, funnel, before_and_after,
 )
-ROWS_ONLY: tuple[Query, ...] = (routed_records, review_queue, priority_list, repairable_pool, answer_audit, clean_questions, parsed_options, embedded_questions, segmented_questions, dictionary_repair, built_questions, document_kinds, produced_records, option_repairs, review_page)
+ROWS_ONLY: tuple[Query, ...] = (routed_records, review_queue, priority_list, repairable_pool, answer_audit, clean_questions, parsed_options, embedded_questions, segmented_questions, dictionary_repair, built_questions, document_kinds, produced_records, option_repairs, review_page, split_questions)
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (*SQL_READY, *ROWS_ONLY)}
 

@@ -5,8 +5,11 @@ Schemas are given, never inferred; a path that does not exist reads as an empty
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,10 +45,49 @@ def json_document(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return _empty_if_missing(spark, schema, lambda: spark.read.schema(schema).option("multiLine", True).json(path))
 
 
+def _log_lines(spark: SparkSession, pattern: str) -> DataFrame:
+    """(dosya, satir, value) of the non-blank lines of logs. A log is written by hand, so a file is read whole, which keeps its lines' order."""
+
+    def read() -> DataFrame:
+        files = spark.read.text(pattern, wholetext=True).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("dosya"), F.posexplode(F.split("value", "\n")).alias("satir", "value"))
+        return files.filter("trim(value) <> ''")
+
+    return _empty_if_missing(spark, "dosya string, satir int, value string", read)
+
+
 def decision_logs(spark: SparkSession, pattern: str) -> DataFrame:
-    """All decision logs with `dosya`, their file's name; order within a file is not part of a row, equal times are told apart by file."""
-    schema = DECISION
-    return _empty_if_missing(spark, schema + ", dosya string", lambda: spark.read.schema(schema).json(pattern).withColumn("dosya", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)))
+    """All decision logs with `dosya` and `satir`, the place of each decision: later files and lines come later. `kayit_no` orders them for
+    operators.decisions.latest: the rank of the file by name, then the line."""
+    rows = _log_lines(spark, pattern)
+    ranks = rows.select("dosya").distinct().select("dosya", F.row_number().over(Window.orderBy("dosya")).cast("long").alias("_f"))  # one row per file
+    fields = F.from_json("value", DECISION.replace(" string", ":string").replace(" map", ":map").join(("struct<", ",`not`:string>")))
+    d = rows.select("dosya", "satir", fields.alias("d")).join(F.broadcast(ranks), "dosya").select("d.*", "dosya", "satir", (F.col("_f") * (1 << 32) + F.col("satir")).alias("kayit_no"))
+    return d.withColumn("not_", F.coalesce("not_", "not")).drop("not")
+
+
+def unknown_fields(spark: SparkSession, pattern: str) -> DataFrame:
+    """(dosya, satir, alan): fields of decision logs that no decision has."""
+    known = {c.split()[0] for c in DECISION.split(", ")} | {"not"}
+    return _log_lines(spark, pattern).select("dosya", "satir", F.explode(F.json_object_keys("value")).alias("alan")).filter(~F.col("alan").isin(*known))
+
+
+def wait_for_ids(read: Callable[[], DataFrame], wanted: DataFrame, key: str = "id", tries: int = 4, pause: float = 20.0) -> DataFrame:
+    """read() once it holds every id of wanted(id): a table that is being written anew is read again after a pause, up to `tries` times;
+    then a LookupError names some of the ids that are missing."""
+    for attempt in range(tries):
+        df = read()
+        missing = [r[0] for r in wanted.select(key).join(df.select(key), key, "left_anti").distinct().limit(3).collect()]
+        if not missing:
+            return df
+        if attempt + 1 < tries:
+            time.sleep(pause)
+    raise LookupError(f"ids that never came: {missing}")
+
+
+def request_batch(spark: SparkSession, text: str) -> DataFrame:
+    """Repair requests handed over as one JSON array."""
+    request = "array<struct<id:string,cevap:string,gerekce:string,soru:string,cekince:string>>"
+    return spark.createDataFrame([(text,)], "t string").select(F.inline(F.from_json("t", request)))
 
 
 def block_files(spark: SparkSession, root: str) -> DataFrame:
@@ -125,4 +167,6 @@ def write_list(df: DataFrame, column: str, order: list, path: str) -> None:
 
 
 def write_csv(df: DataFrame, columns: list[str], path: str) -> None:
-    df.select(*columns).write.mode("overwrite").csv(path, header=True)
+    """CSV with a header, each file beginning with a byte-order mark; other columns are left out."""
+    first, *rest = columns
+    df.select(F.col(first).alias("\ufeff" + first), *rest).write.mode("overwrite").csv(path, header=True)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
 from derlem.operators import decisions
 from derlem.sources import files
 from derlem.streaming.decisions import LatestDecisions, late_counts
@@ -27,7 +29,13 @@ def test_logs_and_lists(spark, tmp_path):
     put(tmp_path / "kararlar_1.jsonl", '{"id": "x", "karar": "ok", "zaman": "2"}\n')
     put(tmp_path / "kararlar_2.jsonl", '{"id": "x", "karar": "at", "zaman": "2"}\n')
     log = files.decision_logs(spark, str(tmp_path / "kararlar*.jsonl"))
-    assert rows(decisions.latest(log, order="dosya").select("id", "karar")) == [("x", "at")]
+    assert rows(decisions.latest(log).select("id", "karar")) == [("x", "at")]
+    put(tmp_path / "kararlar_3.jsonl", '{"id": "y", "karar": "at", "zaman": "5", "not": "n", "fazla": 1}\n\n{"id": "y", "karar": "ok", "zaman": "5"}\n')
+    log = files.decision_logs(spark, str(tmp_path / "kararlar*.jsonl"))
+    assert rows(log.filter("id = 'y'").select("karar", "not_", "dosya", "satir")) == [("at", "n", "kararlar_3.jsonl", 0), ("ok", None, "kararlar_3.jsonl", 2)]
+    assert rows(decisions.latest(log).filter("id = 'y'").select("karar")) == [("ok",)]  # the later line of equal times
+    assert rows(files.unknown_fields(spark, str(tmp_path / "kararlar*.jsonl"))) == [("kararlar_3.jsonl", 0, "fazla")]
+    assert files.decision_logs(spark, str(tmp_path / "none*.jsonl")).count() == 0
     p = put(tmp_path / "ids.txt", "a\n\n b \n")
     assert rows(files.id_list(spark, p)) == [("a",), ("b",)]
     assert files.line_count(spark, p) == 2 and files.line_count(spark, str(tmp_path / "no.txt")) == 0
@@ -65,6 +73,26 @@ def test_writers(spark, tmp_path):
     assert "".join(p.read_text() for p in sorted((tmp_path / "list").glob("part*"))) == "b\na\n"
     files.write_csv(df, ["id", "n"], str(tmp_path / "csv"))
     assert spark.read.csv(str(tmp_path / "csv"), header=True).columns == ["id", "n"]
+    assert all(p.read_bytes().startswith(b"\xef\xbb\xbfid,n") for p in (tmp_path / "csv").glob("*.csv"))
+
+
+def test_waiting_for_ids(spark):
+    tables = [spark.createDataFrame([(i,) for i in ids], "id string") for ids in ("a", "ab")]
+    seen = []
+
+    def read():
+        seen.append(1)
+        return tables[min(len(seen), 2) - 1]
+
+    wanted = spark.createDataFrame([("a",), ("b",)], "id string")
+    assert files.wait_for_ids(read, wanted, pause=0).count() == 2 and len(seen) == 2
+    with pytest.raises(LookupError, match="c"):
+        files.wait_for_ids(read, spark.createDataFrame([("c",)], "id string"), tries=2, pause=0)
+
+
+def test_request_batch(spark):
+    got = files.request_batch(spark, '[{"id": "x", "cevap": "A", "gerekce": "g"}, {"id": "y", "cevap": "B", "soru": "s"}]')
+    assert rows(got.select("id", "cevap", "soru")) == [("x", "A", None), ("y", "B", "s")]
 
 
 def test_stream_of_decisions_equals_batch(spark, data, tmp_path):
@@ -79,6 +107,21 @@ def test_stream_of_decisions_equals_batch(spark, data, tmp_path):
     assert rows(sink.current()) == rows(decisions.latest(log).select(*sink.current().columns))
 
 
+def test_a_restart_goes_on_from_the_last_complete_version(spark, tmp_path):
+    schema = "kayit_no long, id string, karar string, zaman string"
+    batch = lambda *r: spark.createDataFrame(r, schema)
+    LatestDecisions(spark, str(tmp_path), schema).merge(batch((1, "a", "ok", "1"), (2, "b", "ok", "1")), 0)
+    (tmp_path / "v=00000001").mkdir()  # a version that was never finished
+    again = LatestDecisions(spark, str(tmp_path), schema)
+    again.merge(batch((3, "c", "at", "2"), (4, "a", "at", "2")), 1)
+    want = [("a", "at"), ("b", "ok"), ("c", "at")]
+    assert rows(again.current().select("id", "karar")) == want and again.versions() == [0, 1]
+    again.merge(batch((3, "c", "at", "2"), (4, "a", "at", "2")), 1)  # replayed
+    assert rows(again.current().select("id", "karar")) == want
+    again.merge(batch((5, "b", "at", "3")), 2)
+    assert again.versions() == [1, 2] and rows(again.current().select("id", "karar"))[1] == ("b", "at")
+
+
 def test_late_counts(spark, data, tmp_path):
     from pyspark.sql import functions as F
 

@@ -61,11 +61,30 @@ def test_route(spark):
     ],
 )
 def test_patch(spark, patch, want):
-    rec = spark.createDataFrame([("a", "Kök?", [("A", "eski")], "Soru", "p1\np2\np3", "A")], "id string, govde string, siklar_dizi array<struct<harf:string,metin:string>>, soru string, aciklama string, cevap string")
+    rec = spark.createDataFrame([("a", "Kök?", [("A", "eski")], "Soru", "p1\np2\np3", "A")], "id string, govde string, siklar array<struct<harf:string,metin:string>>, soru string, aciklama string, cevap string")
     out = decisions.patched(rec, log(spark, {"kayit_no": 1, "id": "a", "karar": "duzelt"} | patch)).first()
     assert (out["soru"], out["aciklama"], out["cevap"], out["hata"]) == want
 
 
+def test_fixes_that_fail_wait_in_the_queue(spark):
+    rec = spark.createDataFrame([(1, "a", "Kök?", [("A", "eski")], "Soru", "p1", "A", [], None), (2, "b", "Kök?", [("A", "eski")], "Soru", "p1", "A", ["aciklama_kisa"], None)], "kayit_no long, id string, govde string, siklar array<struct<harf:string,metin:string>>, soru string, aciklama string, cevap string, bayrak array<string>, x string")
+    fix = log(spark, {"kayit_no": 1, "id": "a", "karar": "duzelt", "aciklama_kes": "yok"})
+    routed = decisions.route(decisions.patched(rec, fix), fix)
+    assert rows(decisions.queue(routed)) == [("aciklama_kisa", "b"), ("kes_bulunamadi", "a")]
+    assert rows(routed.select("kayit_no", "yol", "x")) == [(1, "egitim", None), (2, "kuyruk", None)]
+    assert rows(decisions.bulk_ok(rec.unionByName(rec), "2024")) == [("a", "ok", "2024"), ("b", "ok", "2024")]
+
+
+def test_contradicting_keys_are_out_as_a_whole(spark):
+    rec = spark.createDataFrame([(1, "k", "A", "kısa", "s"), (2, "k", "B", "uzun metin", "t"), (3, "m", "C", "x", "s"), (4, "m", "C", "xx", "t"), (5, "m", None, "x", None)], "no int, k string, harf string, t string, src string")
+    assert [tuple(r) for r in dedup.settled(rec, "k", "harf", "t", "no", "src").collect()] == [("m", 4, 3, ["s", "t"])]
+
+
+def test_preferred_copies(spark):
+    files = spark.createDataFrame([("/r/X/a.pdf", "X/a.pdf", "1"), ("/r/T/a (1).pdf", "T/a (1).pdf", "1"), ("/r/T/b.pdf", "T/b.pdf", "1"), ("/r/X/c.pdf", "X/c.pdf", "2")], "path string, rel string, md5 string")
+    assert rows(dedup.preferred_copies(files, "T")) == [("/r/T/a (1).pdf", "/r/T/b.pdf"), ("/r/X/a.pdf", "/r/T/b.pdf")]
+
+
 def test_repairs_and_final_set(spark):
     flagged = spark.createDataFrame([(1, "a", "Eski soru", "B"), (2, "a", "Başka", "C"), (3, "b", "Soru b", None)], "kayit_no long, id string, soru string, cevap string")
     req = spark.createDataFrame([(10, "a", "B", "g", None), (11, "a", "C", "g", "Yeni"), (12, "b", "A", "g", ""), (13, "z", "A", "g", None)], "kayit_no long, id string, cevap string, gerekce string, soru string")
@@ -165,6 +184,9 @@ def test_decision_errors(spark):
         {"kayit_no": 5, "karar": "ok", "cevap": "AB"},
         {"kayit_no": 6, "karar": "at", "neden": "diger"},
     )
+    cut = log(spark, {"kayit_no": 7, "karar": "duzelt", "aciklama_kes": "yok"}, {"kayit_no": 8, "karar": "duzelt", "aciklama_kes": "var"})
+    assert [r[0] for r in cut.orderBy("kayit_no").select(quality.decision_errors(F.lit("burada var"))).collect()] == [["aciklama_kes"], []]
+    assert [r[0] for r in cut.select(quality.decision_errors()).collect()] == [[], []]  # the record is not known
     got = {r["kayit_no"]: r["e"] for r in d.select("kayit_no", quality.decision_errors().alias("e")).collect()}
     assert got == {1: ["karar"], 2: ["neden"], 3: ["siklar_cevapsiz"], 4: ["cevap_siklarda_yok", "aciklama_paragraf"], 5: ["cevap"], 6: []}
 
@@ -182,12 +204,14 @@ def test_validator(spark):
     frame = lambda t, k="A": f"<think>\n{t}\n</think>\n\nDoğru cevap: {k}"
     both = ["user", "assistant"]
     rec = spark.createDataFrame(
-        [("1", good, frame(told), both), ("1", good, frame(told, "E"), both), ("2", good, "bozuk", both), ("3", None, None, ["user"]), ("4", "A) x\nB) x\nC) z", frame("kısa &amp; $x$ Doğru cevap: A"), both)],
+        [("1", good, frame(told), both), ("1", good, frame(told, "E"), both), ("2", good, "bozuk", both), ("3", None, None, ["user"]), ("4", "A) x\nB) x\nC) z", frame("kısa &amp; $x$ Doğru cevap: A"), both),
+         *[("u" + str(i), good + str(i), frame(told), both) for i in range(4)], ("5", "Bambaşka garip sözler?\nA) x\nB)   \nC) z\nD) t", frame("Zxcv qwer tyui asdf ghjk açıklama metni en az kırk karakter uzunluğunda."), both)],
         "id string, user string, assistant string, roles array<string>",
-    )
+    ).withColumn("row", F.monotonically_increasing_id())
     held = spark.createDataFrame([(good.upper().replace("İ", "I"),), (good,)], "soru string")
     got = {(r["tur"], r["kod"]): r["n"] for r in validate.report(rec, held).collect()}
     assert got == {
         ("hata", "rol"): 1, ("hata", "cevap_bicimi"): 1, ("hata", "sik_harfleri"): 1, ("hata", "cevap_siklarda_yok"): 1, ("hata", "govde_yok"): 1, ("hata", "latex"): 1, ("hata", "html"): 1, ("hata", "aciklama_cok_kisa"): 1,
         ("uyari", "ayni_sik_metni"): 1, ("uyari", "aciklamada_dogru_cevap"): 1, ("hata", "tekrar_id"): 1, ("uyari", "tekrar_soru"): 1, ("hata", "eval_sizintisi"): 2,
+        ("hata", "bos_sik"): 1, ("uyari", "aciklama_bozuk>0.2"): 2, ("uyari", "govde_bozuk>0.15"): 1,
     }

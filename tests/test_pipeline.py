@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from derlem.functions import text as X
@@ -63,9 +65,14 @@ def test_repeats_and_review(spark):
     df = spark.createDataFrame([(1, "a", "Soru  x", "kısa", ["f"], "otomatik"), (2, "b", "soru x", "daha uzun", [], "otomatik"), (3, "c", "SORU X", "k", [], "incelendi"), (4, "d", "başka", "p1\n\np2" + "y" * 400, [], "otomatik")], "kayit_no long, id string, soru string, aciklama string, bayrak array<string>, durum string")
     kept, repeats = pipeline.unrepeated(df, F.col("durum") == "incelendi")
     assert sorted(r["kayit_no"] for r in kept.collect()) == [3, 4] and {r["elenme"] for r in repeats.collect()} == {"tekrar"}
+    df = df.withColumn("siklar", F.expr("array_repeat(named_struct('harf', 'A', 'metin', 'x'), if(id = 'c', 4, 5))"))
     page = pipeline.review_view(df, df.filter("kayit_no < 3"), 1).collect()
-    assert [r["id"] for r in page] == ["c"]
-    assert pipeline.review_view(df, df.limit(0), 9).filter("id = 'd'").first()["gosterim"] == "[0] p1\n[1] p2" + "y" * 298
+    assert [(r["id"], r["bayrak"]) for r in page] == [("c", ["sik_sayisi=4"])]
+    shown = pipeline.review_view(df, df.limit(0), 9).filter("id = 'd'").first()
+    assert shown["gosterim"] == "[0] p1\n[1] p2" + "y" * 298 + " ..." and shown["bayrak"] == []
+    long = df.filter("id = 'd'").withColumn("aciklama", F.expr("repeat(concat(repeat('y', 400), '\n'), 9)"))
+    assert len(pipeline.review_view(long, df.limit(0), 9).first()["gosterim"].split("\n")) == 3
+    assert len(pipeline.review_view(long.withColumn("bayrak", F.array(F.lit("f"))), df.limit(0), 9).first()["gosterim"].split("\n")) == 7
 
 
 def test_broken_frames_are_kept_and_rejected(spark):
@@ -78,6 +85,25 @@ def test_broken_frames_are_kept_and_rejected(spark):
     assert [(got[i]["yol"], got[i]["elenme"], got[i]["durum"]) for i in "ab"] == [("elenen", "cerceve_bozuk", "otomatik"), ("elenen", "diger", "incelendi")]
 
 
+def test_fixes_reach_the_produced_records(spark, data):
+    """Every latest fix of a training record changes what is produced, unless its options came without an answer or the frame is broken."""
+    log, rec = decisions.latest(table(spark, data, "decision")), table(spark, data, "sft_record")
+    fixes = log.filter("karar = 'duzelt' and (cevap is not null or siklar is null)").join(rec.select("kayit_no", "id").withColumnRenamed("kayit_no", "no"), "id")
+    got = {r["kayit_no"]: r for r in QUERIES["produced_records"](spark, data).collect()}
+    seen = 0
+    for f in fixes.collect():
+        r = got[f["no"]]
+        if r["elenme"] == "cerceve_bozuk":
+            continue
+        seen += 1
+        assert r["durum"] == "incelendi"
+        if f["cevap"]:
+            assert r["cevap"] == f["cevap"]
+        if f["aciklama"]:
+            assert r["aciklama_ozeti"] == hashlib.md5(f["aciklama"].encode()).hexdigest()
+    assert seen
+
+
 def test_every_record_is_listed(spark, data):
     rec, done = table(spark, data, "sft_record").select("kayit_no", "id"), table(spark, data, "decision").select("id").distinct()
     undecided = {r[0] for r in rec.join(done, "id", "left_anti").select("kayit_no").collect()}
