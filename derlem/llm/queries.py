@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from derlem.llm import bpe, canonical, markup, mix, neardup, overlap, pairs, scan, subjects, truncation
 from derlem.llm.words import fold
-from derlem.sources.tables import table
+from derlem.sources.tables import spread, table
 
 
 def contents(role: str) -> Column:
@@ -27,7 +27,7 @@ def question_texts(spark: SparkSession, d: str) -> DataFrame:
     """(id, text): user contents of sft_record and soru of repair_request."""
     sft = table(spark, d, "sft_record").select(F.col("kayit_no").alias("id"), whole("user").alias("text"))
     rep = table(spark, d, "repair_request").select(F.col("kayit_no").alias("id"), F.col("soru").alias("text"))
-    return sft.unionByName(rep).filter("text is not null")
+    return spread(sft).unionByName(spread(rep)).filter("text is not null")
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -50,7 +50,7 @@ def p1_groups(spark: SparkSession, d: str) -> DataFrame:
 def _p3(spark: SparkSession, d: str) -> DataFrame:
     train = table(spark, d, "sft_record").select(F.col("kayit_no").alias("id"), whole("user").alias("text")).filter("text is not null")
     held = table(spark, d, "eval_record").select(F.col("kayit_no").alias("id"), F.col("soru").alias("text")).filter("text is not null")
-    return overlap.expand(*overlap.cross_split_overlaps(train, held))
+    return overlap.expand(*overlap.cross_split_overlaps(spread(train), spread(held)))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -70,7 +70,7 @@ def p3_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _records(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "sft_record").select(F.col("kayit_no").alias("id"), "messages")
+    return spread(table(spark, d, "sft_record").select(F.col("kayit_no").alias("id"), "messages"))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -86,7 +86,7 @@ def p5_collapsed(spark: SparkSession, d: str) -> DataFrame:
 
 def _messages(spark: SparkSession, d: str) -> DataFrame:
     """(id, part, text, source) of the user and assistant contents of sft_record."""
-    return (
+    return spread(
         table(spark, d, "sft_record")
         .select(F.col("kayit_no").alias("id"), F.explode("messages").alias("m"), F.col("meta.source_pdf").alias("source"))
         .filter("m.role in ('user', 'assistant') and m.content is not null")
@@ -98,7 +98,7 @@ def _dialogues(spark: SparkSession, d: str) -> DataFrame:
     """(id, turn, user, assistant) of sft_record: the n-th user content with the n-th assistant content, null where one is missing."""
     turns = F.arrays_zip(contents("user").alias("user"), contents("assistant").alias("assistant"))
     rows = table(spark, d, "sft_record").select(F.col("kayit_no").alias("id"), F.posexplode_outer(turns).alias("turn", "t"))
-    return rows.select("id", F.coalesce("turn", F.lit(0)).alias("turn"), "t.user", "t.assistant")
+    return spread(rows).select("id", F.coalesce("turn", F.lit(0)).alias("turn"), "t.user", "t.assistant")
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -129,7 +129,7 @@ def _titles(spark: SparkSession, d: str) -> frozenset[str]:
 def _scanned(spark: SparkSession, d: str) -> DataFrame:
     """(id, part, text, source): messages of sft_record and soru of repair_request."""
     soru = table(spark, d, "repair_request").filter("soru is not null").select(F.col("kayit_no").alias("id"), F.lit("soru").alias("part"), F.col("soru").alias("text"), F.col("source_pdf").alias("source"))
-    return _messages(spark, d).unionByName(soru)
+    return _messages(spark, d).unionByName(spread(soru))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
@@ -159,12 +159,13 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
-    return bpe.encode(table(spark, d, "documents"))
+    return bpe.encode(spread(table(spark, d, "documents").select("doc_id", "text")))
 
 
 def _mix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     goal = table(spark, d, "mix_target")
     docs = table(spark, d, "documents").join(F.broadcast(goal.select("source")), "source").select("doc_id", "source", "text")
+    docs = spread(docs)
     return mix.mix(bpe.encode(docs, counts_only=True, keep=("source",)), goal)
 
 
@@ -177,7 +178,7 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
-    return subjects.subjects(table(spark, d, "documents"), table(spark, d, "doc_label"))
+    return subjects.subjects(spread(table(spark, d, "documents").select("doc_id", "text")), table(spark, d, "doc_label"))
 
 
 def p10_composition(spark: SparkSession, d: str) -> DataFrame:
