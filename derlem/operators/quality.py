@@ -32,35 +32,43 @@ COMMENT = r"(?iu)\b(?:kolay|zor|klasik|spot|temel bilgi|sınav|soru(?:su|dur|lar
 
 
 def only_comment(x: Column) -> Column:
-    """Every sentence is a remark on the exam and at most 250 characters long; no nested repetition, so no deep regex recursion."""
+    """Every sentence of a folded text is a remark on the exam and at most 250 characters long; no nested repetition, so no deep regex recursion."""
     parts = F.filter(F.split(x, r"[.!]|\n"), lambda s: F.trim(s) != "")
-    return X.let(parts, lambda p: (F.size(p) > 0) & F.forall(p, lambda s: (F.length(s) <= 250) & s.rlike(COMMENT)))
+    return X.let(parts, lambda p: (F.size(p) > 0) & F.forall(p, lambda s: (F.length(s) <= 250) & s.rlike(X.folded(COMMENT))))
 
 
 def stage_one(question: Column, options: Column, explanation: Column, answer: Column, candidates: Column) -> Column:
     """The gates a parsed question must pass; it is accepted if the array is empty."""
     text = F.coalesce(explanation, F.lit(""))
-    both = F.concat(question, text)
-    junk = F.round(X.vowelless_share(both), 3)
-    torn = X.syllable_share(F.concat_ws(" ", question, text))
-    keys = F.array_sort(F.array_distinct(F.coalesce(candidates, F.array().cast("array<string>"))))
-    short = F.length(text) < 40
-    comment = ~short & only_comment(text)
-    return codes(
-        ("cevap_yok", F.coalesce(answer, F.lit("")) == ""),
-        (F.concat(F.lit("coklu_anahtar("), F.array_join(keys, ""), F.lit(")")), F.size(keys) > 1),
-        ("sekle_bagli", question.rlike(FIGURE)),
-        ("onceki_soruya_bagimli", question.rlike(EARLIER)),
-        ("tablo_kalintisi", F.size(F.filter(F.split(text, "\n"), lambda s: s.rlike(r"\|.*\|.*\|"))) >= 2),
-        ("sik_eksik", X.option_count(options) < 3),
-        ("soru_kisa", F.length(question) < 40),
-        ("ocr_bozuk", junk > 0.12),
-        ("aciklama_kisa", short),
-        ("iceriksiz_gerekce", comment),
-        ("yarim_gerekce", ~short & ~comment & F.trim(text).rlike(r"[:;,\-–—][ \t\r\n]*$") & (F.length(text) < 200)),
-        (F.concat(F.lit("hece_bolunmesi("), F.format_number(torn, 2), F.lit(")")), torn > 0.40),
+    low = X.fold(text)
+    seen = F.struct(
+        X.fold(question).alias("q"),
+        text.alias("t"),
+        ((F.length(text) >= 40) & only_comment(low)).alias("comment"),
+        F.round(X.vowelless_share(F.concat(question, text)), 3).alias("junk"),
+        X.syllable_share(F.concat_ws(" ", question, text)).alias("torn"),
+        F.array_sort(F.array_distinct(F.coalesce(candidates, F.array().cast("array<string>")))).alias("keys"),
     )
 
+    def gates(v: Column) -> Column:
+        t, short = v["t"], F.length(v["t"]) < 40
+        return codes(
+            ("cevap_yok", F.coalesce(answer, F.lit("")) == ""),
+            (F.concat(F.lit("coklu_anahtar("), F.array_join(v["keys"], ""), F.lit(")")), F.size(v["keys"]) > 1),
+            ("sekle_bagli", v["q"].rlike(X.folded(FIGURE))),
+            ("onceki_soruya_bagimli", v["q"].rlike(X.folded(EARLIER))),
+            ("tablo_kalintisi", F.size(F.filter(F.split(t, "\n"), lambda s: s.rlike(r"\|.*\|.*\|"))) >= 2),
+            ("sik_eksik", X.option_count(options) < 3),
+            ("soru_kisa", F.length(question) < 40),
+            ("ocr_bozuk", v["junk"] > 0.12),
+            ("aciklama_kisa", short),
+            ("iceriksiz_gerekce", v["comment"]),
+            ("yarim_gerekce", ~short & ~v["comment"] & F.trim(t).rlike(r"[:;,\-–—][ \t\r\n]*$") & (F.length(t) < 200)),
+            (F.concat(F.lit("hece_bolunmesi("), F.format_number(v["torn"], 2), F.lit(")")), v["torn"] > 0.40),
+        )
+
+    return X.let(seen, gates)
+
 
 def measures(question: Column, explanation: Column) -> Column:
     """struct<cop, tr, aciklama_uz, hece> of a record, shares to three places."""
@@ -84,12 +92,12 @@ def weak_option_repair(repairs: Column, problems: Column) -> Column:
 
 def review_flags(stem: Column, options: Column, explanation: Column, letter: Column, has_image: Column, repairs: Column, problems: Column) -> Column:
     """Flags for review of a cleaned record: options array<struct<harf,metin>>, letter the recorded answer. cerceve_bozuk: explanation or letter is null."""
-    cited = F.transform(F.regexp_extract_all(F.coalesce(explanation, F.lit("")), F.lit(CITED), F.lit(1)), F.upper)
+    cited = F.transform(F.regexp_extract_all(X.fold(F.coalesce(explanation, F.lit(""))), F.lit(X.folded(CITED)), F.lit(1)), F.upper)
     contradicts = X.let(cited, lambda c: (F.size(c) > 0) & ~F.array_contains(c, letter))
     return codes(
         ("cerceve_bozuk", explanation.isNull() | letter.isNull()),
         ("cevap_sikki_kayip", ~F.exists(options, lambda o: o["harf"] == letter)),
-        ("onceki_soruya_bagli", stem.rlike(EARLIER_STEM)),
+        ("onceki_soruya_bagli", X.fold(stem).rlike(X.folded(EARLIER_STEM))),
         ("soruda_gorsel", has_image),
         ("sik_onarimi", weak_option_repair(repairs, problems)),
         ("sik_sayisi_az", F.size(options) < 4),
@@ -111,13 +119,13 @@ BOOKLET = r"(?iu)K[İI]TAP[ÇC]I[ĞG]I|DENEME SINAVI|Önce TUS|ABONE OL|www\.|Be
 def contamination_flags(question: Column, explanation: Column) -> Column:
     """Signs that a neighbour question ran into the explanation; explanation must not be blank."""
     letters = F.array_distinct(F.transform(F.regexp_extract_all(explanation, F.lit(OPTION_IN_TEXT), F.lit(1)), F.upper))
-    overlap = X.topic_overlap(question, explanation)
+    overlap, low = X.topic_overlap(question, explanation), X.fold(explanation)
     return codes(
         ("yeni_soru_basligi", explanation.rlike(NEW_HEADING)),
         ("sik_blogu", F.size(letters) >= 4),
-        ("cevap_satiri", explanation.rlike(ANSWER_ROW)),
-        ("soru_etiketi", explanation.rlike(QUESTION_TAG)),
-        ("kitapcik_metni", explanation.rlike(BOOKLET)),
+        ("cevap_satiri", low.rlike(X.folded(ANSWER_ROW))),
+        ("soru_etiketi", low.rlike(X.folded(QUESTION_TAG))),
+        ("kitapcik_metni", low.rlike(X.folded(BOOKLET))),
         ("dusuk_ortusme", overlap < 0.10),
     )
 
@@ -129,7 +137,7 @@ KEY_LIST = r"[0-9]{1,2}[ \t]*[-–][ \t]*[A-E](?:[ \t]*,[ \t]*[0-9]{1,2}[ \t]*[-
 def repairable(question: Column, explanation: Column) -> Column:
     """Worth repairing: asks something, is numbered, has four options, no key list, no options in the explanation."""
     q, e = X.squeeze(F.coalesce(question, F.lit(""))), X.squeeze(F.coalesce(explanation, F.lit("")))
-    return X.stem(q).rlike(ASKING) & q.rlike(r"^[0-9]{1,3}[ \t]*[.)]") & ~e.rlike(KEY_LIST) & ~q.rlike(KEY_LIST) & (X.option_count(e) < 4) & (X.option_count(q) >= 4)
+    return X.fold(X.stem(q)).rlike(X.folded(ASKING)) & q.rlike(r"^[0-9]{1,3}[ \t]*[.)]") & ~e.rlike(KEY_LIST) & ~q.rlike(KEY_LIST) & (X.option_count(e) < 4) & (X.option_count(q) >= 4)
 
 
 def problem_set(problems: Column) -> Column:

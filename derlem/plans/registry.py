@@ -11,7 +11,7 @@ from derlem.functions import dictionary, latex
 from derlem.functions import text as X
 from derlem.operators import decisions, dedup, extract, pipeline, quality, sampling, validate
 from derlem.session import materialize
-from derlem.sources.tables import first_content, table
+from derlem.sources.tables import first_content, spread, table
 
 # fixed values: reasons for which a dropped record is disputed rather than unusable
 DISPUTED = ("cevap_supheli", "tibbi")
@@ -23,9 +23,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def sft(spark: SparkSession, d: str) -> DataFrame:
     """kayit_no, id, user, assistant, source_pdf, grup of sft_record."""
-    return table(spark, d, "sft_record").select(
+    rec = table(spark, d, "sft_record").select(
         "kayit_no", "id", first_content("user").alias("soru"), first_content("assistant").alias("icerik"), F.col("meta.source_pdf").alias("source_pdf"), F.col("meta.grup").alias("grup")
     )
+    return spread(rec)
+
+
+def documents(spark: SparkSession, d: str) -> DataFrame:
+    """The documents that have a text."""
+    return spread(table(spark, d, "documents").filter("text is not null"))
 
 
 def keyed(spark: SparkSession, d: str) -> DataFrame:
@@ -68,8 +74,10 @@ def produced(spark: SparkSession, d: str) -> DataFrame:
 def gated(spark: SparkSession, d: str) -> DataFrame:
     """Training records that pass every gate of the first stage: kayit_no, anahtar_id, icerik, source_pdf, harf."""
     adaylar = table(spark, d, "sft_record").select("kayit_no", F.col("meta.cevap_adaylari").alias("adaylar"), first_content("user").alias("soru"), first_content("assistant").alias("icerik"), F.col("meta.source_pdf").alias("source_pdf"))
-    rec = adaylar.filter("soru is not null").withColumn("aciklama", X.explanation("icerik")).withColumn("harf", X.answer_letter("icerik"))
-    ok = rec.filter(F.size(quality.stage_one(F.col("soru"), F.col("soru"), F.col("aciklama"), F.col("harf"), F.col("adaylar"))) == 0)
+    rec = spread(adaylar.filter("soru is not null")).withColumn("aciklama", X.explanation("icerik")).withColumn("harf", X.answer_letter("icerik"))
+    passes = F.size(quality.stage_one(F.col("soru"), F.col("soru"), F.col("aciklama"), F.col("harf"), F.col("adaylar"))) == 0
+    # no partition has a number under 0: this only keeps the filter above the exchange of spread(), where all cores are, and the explanation computed once
+    ok = rec.filter((F.spark_partition_id() < 0) | passes)
     return ok.select("kayit_no", X.short_hash(X.question_key("soru")).alias("anahtar_id"), "icerik", "source_pdf", "harf")
 
 
@@ -283,17 +291,17 @@ def priority_list(spark: SparkSession, d: str) -> DataFrame:
 
 
 def token_vocabulary(spark: SparkSession, d: str) -> DataFrame:
-    return dictionary.word_counts(table(spark, d, "documents")).filter("n >= 3")
+    return dictionary.word_counts(documents(spark, d)).filter("n >= 3")
 
 
 def stage_one_gates(spark: SparkSession, d: str) -> DataFrame:
-    f = table(spark, d, "flagged_record")
+    f = spread(table(spark, d, "flagged_record"))
     got = quality.stage_one(F.col("soru"), F.col("siklar"), F.col("aciklama"), F.col("cevap"), F.col("meta.cevap_adaylari"))
     return f.select("kayit_no", F.array_join(got, ",").alias("sorunlar"))
 
 
 def quality_measures(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "flagged_record").select("kayit_no", quality.measures(F.col("soru"), F.col("aciklama")).alias("q")).select("kayit_no", "q.cop", "q.tr", "q.aciklama_uz", "q.hece")
+    return spread(table(spark, d, "flagged_record")).select("kayit_no", quality.measures(F.col("soru"), F.col("aciklama")).alias("q")).select("kayit_no", "q.cop", "q.tr", "q.aciklama_uz", "q.hece")
 
 
 def problem_frequency(spark: SparkSession, d: str) -> DataFrame:
@@ -339,7 +347,7 @@ def overlap_percentiles(spark: SparkSession, d: str) -> DataFrame:
 
 
 def word_shares(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").filter("text is not null")
+    docs = documents(spark, d)
     return docs.select("doc_id", F.round(X.vowelless_share("text"), 6).alias("cop"), F.round(X.turkish_letter_share("text"), 6).alias("tr"), F.round(X.syllable_share("text"), 6).alias("hece"))
 
 
@@ -395,12 +403,12 @@ def package_questions(spark: SparkSession, d: str) -> DataFrame:
 
 def validator_report(spark: SparkSession, d: str) -> DataFrame:
     rec = table(spark, d, "sft_record").select(F.col("kayit_no").alias("row"), "id", first_content("user").alias("user"), first_content("assistant").alias("assistant"), F.transform("messages", lambda m: m["role"]).alias("roles"))
-    return validate.report(rec, table(spark, d, "eval_record").select("soru"))
+    return validate.report(spread(rec), table(spark, d, "eval_record").select("soru"))
 
 
 def answer_audit(spark: SparkSession, d: str) -> DataFrame:
     rec = sft(spark, d).filter("soru is not null").select(F.col("kayit_no").alias("id"), F.col("source_pdf").alias("source"), F.col("soru").alias("question"), X.answer_letter("icerik").alias("letter"))
-    texts = table(spark, d, "documents").filter("text is not null").select("source", "text")
+    texts = documents(spark, d).select("source", "text")
     return extract.audit_answers(rec, texts).select(F.col("id").alias("kayit_no"), "durum", "kaynak", "farkli")
 
 
@@ -424,7 +432,7 @@ def embedded_questions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def segmented_questions(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").filter("text is not null")
+    docs = documents(spark, d)
     return extract.segment_questions(extract.line_blocks(docs)).select(F.col("doc").cast("long").alias("doc_id"), "no", X.option_count("siklar").alias("sik"), "cevap", F.length("aciklama").alias("aciklama_uz"), "ilk_blok", "son_blok")
 
 
@@ -442,7 +450,7 @@ def dictionary_repair(spark: SparkSession, d: str) -> DataFrame:
 
 def built_questions(spark: SparkSession, d: str) -> DataFrame:
     """Questions segmented from the documents, repaired and gated."""
-    docs = table(spark, d, "documents").filter("text is not null")
+    docs = documents(spark, d)
     words = dictionary.Vocabulary(dictionary.word_counts(docs))
     got = pipeline.built_records(extract.segment_questions(extract.line_blocks(docs)), words)
     return got.select("id", "anahtar_id", F.col("doc").cast("long").alias("doc_id"), "no", "cevap", "sinav", "olcu.cop", "olcu.hece", F.array_join("sorunlar", ",").alias("sorunlar"))

@@ -11,6 +11,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df in at least as many partitions as the session has cores, for work that is heavy per row: a table of one or two
+    row groups would keep the other cores idle. Where there are enough partitions, as with any large table, nothing is moved."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def first_content(role: str, messages: str | Column = "messages") -> Column:
     """Content of the first message with that role; null if there is none."""
     col = F.col(messages) if isinstance(messages, str) else messages
