@@ -24,7 +24,13 @@ P3 = f"""WITH w AS ({_words(SFT)}), v AS ({_words(HELD)}), n AS (SELECT id, sum(
     s AS (SELECT w.id AS a, v.id AS b, sum(least(w.c, v.c)) AS m FROM w JOIN v ON w.word = v.word GROUP BY 1, 2)
     SELECT a AS sft_kayit_no, b AS eval_kayit_no FROM s JOIN n ON s.a = n.id JOIN k ON s.b = k.id WHERE 4 * m >= 3 * (n.n + k.n - m)"""
 
+P1_LINKS = f"""WITH w AS ({_words(ASKED)}), g AS (SELECT id, string_agg(word || ' ' || c, chr(10) ORDER BY word) AS s FROM w GROUP BY id), r AS (SELECT min(id) AS id FROM g GROUP BY s),
+    v AS (SELECT w.* FROM w JOIN r ON w.id = r.id), n AS (SELECT id, sum(c) AS n FROM v GROUP BY id),
+    s AS (SELECT a.id AS a, b.id AS b, sum(least(a.c, b.c)) AS m FROM v a JOIN v b ON a.word = b.word AND a.id < b.id GROUP BY 1, 2)
+    SELECT a AS kayit_no_a, b AS kayit_no_b, round(m::DOUBLE / (x.n + y.n - m), 9) AS benzerlik FROM s JOIN n x ON s.a = x.id JOIN n y ON s.b = y.id WHERE 4 * m >= 3 * (x.n + y.n - m)"""
+
 ORACLE: dict[str, str] = {
+    "p1_links": P1_LINKS,
     "p1_found": P1,
     "p3_found": P3,
     "p3_report": f"""SELECT e.ayrim, r.meta.source_pdf AS source_pdf, count(*) AS cift, count(DISTINCT e.kayit_no) AS eval_kayit, count(DISTINCT r.kayit_no) AS sft_kayit
