@@ -264,6 +264,35 @@ def patches() -> str:
 
 
 DROPPED = f"(SELECT x.anahtar_id, coalesce(l.neden IN ('cevap_supheli', 'tibbi'), false) AS itiraz FROM {FLAGGED} x JOIN (SELECT * FROM {LATEST} WHERE karar = 'at') l ON x.id = l.id)"
+def pool() -> str:
+    """Flagged records worth repairing, by problem."""
+    q, e = squeezed("'1. ' || soru"), squeezed("coalesce(aciklama, '')")
+    asking = "hangisi|hangileri|nedir|kaçtir|değildir|yanliş|doğru olan|beklenmez|görülmez|söylenebilir|düşünülür|uygundur|seçiniz|işaretleyiniz"
+    keys = "[0-9]{1,2}[ \\t]*[-–][ \\t]*[A-E](?:[ \\t]*,[ \\t]*[0-9]{1,2}[ \\t]*[-–][ \\t]*[A-E]){2,}"
+    good = f"regexp_matches(lower(translate({stem('q')}, 'Iİı', 'iii')), '{asking}') AND NOT regexp_matches(e, '{keys}') AND NOT regexp_matches(q, '{keys}') AND {option_letters('e')} < 4 AND {option_letters('q')} >= 4"
+    p = problem_set("sorunlar")
+    done = f"SELECT anahtar_id FROM {REPAIRED} WHERE anahtar_id IS NOT NULL UNION ALL SELECT anahtar_id FROM {HELD} WHERE anahtar_id IS NOT NULL UNION ALL SELECT anahtar_id FROM {FLAGGED} WHERE id IN (SELECT id FROM {LATEST} WHERE karar = 'at')"
+    kind = f"CASE WHEN array_to_string({p}, ',') = 'cevap_yok' THEN 'cevap_yok' WHEN array_to_string({p}, ',') = 'aciklama_kisa' THEN 'aciklama_kisa' WHEN list_contains({p}, 'celiskili_cevap') THEN 'celiskili' WHEN list_contains({p}, 'coklu_anahtar') THEN 'coklu_anahtar' END"
+    return f"SELECT kayit_no, havuz FROM (SELECT kayit_no, anahtar_id, {kind} AS havuz, {q} AS q, {e} AS e FROM {FLAGGED}) WHERE havuz IS NOT NULL AND {good} AND anahtar_id NOT IN ({done})"
+
+
+def audit() -> str:
+    """Answer audit: both lookups over all texts of the source, answer lines up to the next heading."""
+    blank = "[ \\t\\r\\n\\f\\v\\x{a0}\\x{2000}-\\x{200a}\\x{202f}\\x{3000}]+"
+    asked = f"(SELECT kayit_no, source_pdf AS source, {letter('icerik')} AS letter, trim(regexp_replace(regexp_extract(soru, '^([^\\n]*)', 1), '{blank}', ' ', 'g')) AS line FROM {SFT} WHERE soru IS NOT NULL)"
+    heading = "regexp_extract(substring(win, 40), '(\\n\\s*[0-9]{1,3}\\s*[.)]\\s+\\S)', 1)"
+    row = "(?m)^\\s*#?\\s*(?:Doğru\\s+)?[CcĞğ]?[Ee]vap\\s*[:.]?\\s*([A-Ea-e])\\s*[.)]?\\s*$"
+    return f"""WITH q AS {asked}, p AS (SELECT DISTINCT source, line, k, CASE k WHEN 0 THEN substring(line, 1, 60) ELSE array_to_string(list_slice(string_split(line, ' '), 2, 9), ' ') END AS pattern FROM q, (VALUES (0), (1)) v(k) WHERE source IS NOT NULL),
+        hit AS (SELECT p.source, p.line, p.k, substring(d.text, instr(d.text, p.pattern), 1800) AS win, row_number() OVER (PARTITION BY p.source, p.line ORDER BY p.k, md5(d.text)) AS r
+            FROM p JOIN documents d ON d.source = p.source AND contains(d.text, p.pattern) WHERE p.pattern <> ''),
+        cut AS (SELECT source, line, CASE WHEN h <> '' THEN substring(win, 1, 39 + instr(substring(win, 40), h)) ELSE win END AS win FROM (SELECT *, {heading} AS h FROM hit WHERE r = 1)),
+        found AS (SELECT source, line, list_transform(regexp_extract_all(win, '{row}', 1), lambda x: upper(x)) AS l FROM cut),
+        one AS (SELECT source, line, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), '') AS keys FROM found)
+        SELECT kayit_no, CASE WHEN q.source IS NULL THEN 'META_YOK' WHEN q.source NOT IN (SELECT source FROM documents WHERE source IS NOT NULL AND text IS NOT NULL) THEN 'KAYNAK_YOK' WHEN keys IS NULL THEN 'BULUNAMADI'
+            WHEN length(keys) = 0 THEN 'ANAHTAR_YOK' WHEN length(keys) > 1 THEN 'COKLU_ANAHTAR' ELSE 'TEK' END AS durum, keys AS kaynak, coalesce(length(keys) = 1 AND keys <> q.letter, false) AS farkli
+        FROM q LEFT JOIN one ON q.source = one.source AND q.line = one.line"""
+
+
 SETS = {
     "egitim": KEYED, "eval": f"(SELECT * FROM {HELD} WHERE ayrim = 'tus_mcq_eval')", "eval_aciklamali": f"(SELECT * FROM {HELD} WHERE ayrim = 'tus_mcq_eval_aciklamali')", "eval_sinama": f"(SELECT * FROM {HELD} WHERE ayrim = 'tus_mcq_sinama')",
     "onarilmis": REPAIRED, "itiraz": f"(SELECT * FROM {DROPPED} WHERE itiraz)", "kullanilamaz": f"(SELECT * FROM {DROPPED} WHERE NOT itiraz)", "isaretli": FLAGGED,
@@ -340,6 +369,8 @@ ORACLE: dict[str, str] = {
     "stage_one_gates": gates(),
     "patched_records": patches(),
     "decision_progress": f"SELECT karar, count(*) AS n FROM {LATEST} GROUP BY karar",
+    "answer_audit": audit(),
+    "repairable_pool": pool(),
     "funnel": f"""WITH g AS {gated()}, steps AS (SELECT 'cerceveli' AS adim, count(*) AS n FROM {KEYED} WHERE {letter('icerik')} IS NOT NULL UNION ALL SELECT 'kapidan_gecen', count(*) FROM g UNION ALL SELECT 'tekil', count(DISTINCT anahtar_id) FROM g
         UNION ALL SELECT 'sizintisiz', count(DISTINCT anahtar_id) FROM g WHERE anahtar_id NOT IN (SELECT anahtar_id FROM {HELD} WHERE anahtar_id IS NOT NULL)) SELECT * FROM steps UNION ALL """
     + " UNION ALL ".join(f"SELECT '{a}' AS adim, count(*) AS n FROM {t}" for a, t in (("ham", "sft_record"), ("isaretli", "flagged_record"), ("onarim_istegi", "repair_request"), ("degerlendirme", "eval_record"), ("karar", "decision"))),

@@ -508,10 +508,10 @@ SQL_READY: tuple[Query, ...] = (
     train_set, question_keys, stale_keys, duplicates_kept, contradicting, near_exact_losers, best_in_document, latest_decisions, decision_errors, decision_fields, repaired_records, repair_kinds, orphan_requests,
     eval_candidates, eval_chosen, stratified_holdout, final_training, leakage_matrix, round_robin_shards, shard_progress, token_vocabulary, problem_frequency, problem_histogram, length_buckets,
     nearest_rank_percentiles, upper_median, topic_overlaps, word_shares, html_tables, option_counts, boilerplate_lines, exam_tags, answer_letters, question_stems, subjects_of_sources, package_questions, normal_form,
-    settled_records, surviving_records, sample_record, exam_chronology, distinct_keys, source_shares, overlap_percentiles,
+    settled_records, surviving_records, sample_record, exam_chronology, distinct_keys, source_shares, overlap_percentiles, answer_audit, repairable_pool,
     patched_records, quality_measures, contamination_scan, validator_report, stage_one_gates, decision_progress, funnel, before_and_after,
 )
-ROWS_ONLY: tuple[Query, ...] = (routed_records, review_queue, priority_list, repairable_pool, answer_audit, clean_questions, parsed_options, embedded_questions, segmented_questions, dictionary_repair, built_questions, document_kinds, produced_records, option_repairs, review_page, split_questions)
+ROWS_ONLY: tuple[Query, ...] = (routed_records, review_queue, priority_list, clean_questions, parsed_options, embedded_questions, segmented_questions, dictionary_repair, built_questions, document_kinds, produced_records, option_repairs, review_page, split_questions)
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (*SQL_READY, *ROWS_ONLY)}
 
