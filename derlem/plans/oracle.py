@@ -369,6 +369,13 @@ ORACLE: dict[str, str] = {
     "stage_one_gates": gates(),
     "patched_records": patches(),
     "decision_progress": f"SELECT karar, count(*) AS n FROM {LATEST} GROUP BY karar",
+    "dimension_counts": " UNION ALL ".join(
+        f"SELECT '{k}' AS boyut, {v} AS deger, count(*) AS n FROM {SFT} GROUP BY 2"
+        for k, v in (
+            ("tur", "split_part(source_pdf, '/', 1)"), ("ders", SUBJECT.replace(" ELSE '?' END", " END")), ("harf", letter("icerik")),
+            ("sinav", rf"CASE WHEN regexp_matches(soru, '\(({MONTHS})[ \t]*([0-9]{{4}})\)') THEN regexp_extract(soru, '\(({MONTHS})[ \t]*([0-9]{{4}})\)', 1) || ' ' || regexp_extract(soru, '\(({MONTHS})[ \t]*([0-9]{{4}})\)', 2) END"),
+        )
+    ),
     "answer_audit": audit(),
     "repairable_pool": pool(),
     "funnel": f"""WITH g AS {gated()}, steps AS (SELECT 'cerceveli' AS adim, count(*) AS n FROM {KEYED} WHERE {letter('icerik')} IS NOT NULL UNION ALL SELECT 'kapidan_gecen', count(*) FROM g UNION ALL SELECT 'tekil', count(DISTINCT anahtar_id) FROM g

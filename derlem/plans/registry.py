@@ -395,6 +395,13 @@ def subjects_of_sources(spark: SparkSession, d: str) -> DataFrame:
     return rec.groupBy(title.alias("ders"), quality.source_group(F.col("source_pdf")).alias("tur")).agg(F.count("*").alias("n"))
 
 
+def dimension_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Training questions by each derived dimension: kind of source, subject of its title, exam, answer letter; null where there is none."""
+    dims = {"tur": quality.source_group(F.col("source_pdf")), "ders": quality.subject_of(F.col("source_pdf")), "sinav": X.exam_tag("soru"), "harf": X.answer_letter("icerik")}
+    long = sft(spark, d).select(F.inline(F.array(*[F.struct(F.lit(k).alias("boyut"), v.alias("deger")) for k, v in dims.items()])))
+    return long.groupBy("boyut", "deger").agg(F.count("*").alias("n"))
+
+
 def package_questions(spark: SparkSession, d: str) -> DataFrame:
     """Every package with the questions its source really has beside the stored, stale number."""
     n = sft(spark, d).groupBy(latex.nfc(F.trim("source_pdf")).alias("drive_pdf")).agg(F.count("*").alias("n"))
@@ -508,7 +515,7 @@ SQL_READY: tuple[Query, ...] = (
     train_set, question_keys, stale_keys, duplicates_kept, contradicting, near_exact_losers, best_in_document, latest_decisions, decision_errors, decision_fields, repaired_records, repair_kinds, orphan_requests,
     eval_candidates, eval_chosen, stratified_holdout, final_training, leakage_matrix, round_robin_shards, shard_progress, token_vocabulary, problem_frequency, problem_histogram, length_buckets,
     nearest_rank_percentiles, upper_median, topic_overlaps, word_shares, html_tables, option_counts, boilerplate_lines, exam_tags, answer_letters, question_stems, subjects_of_sources, package_questions, normal_form,
-    settled_records, surviving_records, sample_record, exam_chronology, distinct_keys, source_shares, overlap_percentiles, answer_audit, repairable_pool,
+    settled_records, surviving_records, sample_record, exam_chronology, distinct_keys, source_shares, dimension_counts, overlap_percentiles, answer_audit, repairable_pool,
     patched_records, quality_measures, contamination_scan, validator_report, stage_one_gates, decision_progress, funnel, before_and_after,
 )
 ROWS_ONLY: tuple[Query, ...] = (routed_records, review_queue, priority_list, clean_questions, parsed_options, embedded_questions, segmented_questions, dictionary_repair, built_questions, document_kinds, produced_records, option_repairs, review_page, split_questions)
