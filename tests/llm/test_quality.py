@@ -79,6 +79,15 @@ def test_truncated_column(spark, dialogues):
     assert truncation.truncated(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 150])
+def test_small_tables(dialogues, n):
+    """A model of few rows judges without failing, long texts and repeated rows among them."""
+    rows_ = [(u, a) for _, u, a in dialogues if u and a][:n] + [(Q * 3000, frame(TOLD * 2000))] * (n > 2)
+    model = pairs.fit(rows_)
+    for u, a in [*rows_[:5], (None, None), ("", ""), (Q, frame(TOLD))]:
+        model.defect(u, a), truncation.is_cut(model.ends, "user", u), truncation.is_cut(model.ends, "assistant", a)
+
+
 @pytest.mark.parametrize(
     ("assistant", "want"),
     [
