@@ -102,6 +102,7 @@ class Headers:
         words = counts.keys() | titles
         total = sum(counts.values()) + TITLE * len(titles) + 1
         self.cost = {w: -math.log((counts.get(w, 0) + TITLE * (w in titles)) / total) for w in words}
+        self.longest = max(map(len, words), default=0)
 
 
 class Decoder:
@@ -114,6 +115,7 @@ class Decoder:
         self.longest = max(map(len, lexicon), default=0)
         self.headers = headers or Headers({})
         self.memo: dict[str, tuple[str | None, float]] = {}
+        self.titled: dict[str, float | None] = {}
         self.cuts: dict[str, tuple[float, tuple[str, str] | None]] = {}
 
     def unknown(self, word: str) -> float:
@@ -177,6 +179,21 @@ class Decoder:
         """What a token costs where it stands, as the best of its readings."""
         return min(self.reading(token)[1], self.split(fold(token))[0])
 
+    def header_word(self, w: str) -> float | None:
+        """What a folded word costs in a header, where it may be misread, too; None if no header has it."""
+        cost = self.headers.cost
+        c = cost.get(w)
+        if c is not None or len(w) < 4 or len(w) - CONFUSIONS > self.headers.longest:
+            return c
+        if w not in self.titled:
+            if len(self.titled) > 300_000:
+                self.titled.clear()
+            c = min((cost[x] + n * COST_CONFUSION for x, n in candidates(w) if x in cost), default=None)
+            if c is None:
+                c = min((p + COST_CONFUSION + 2 for x, p in cost.items() if abs(len(x) - len(w)) <= 1 and (x[:2] == w[:2] or x[-3:] == w[-3:]) and near(x, w)), default=None)
+            self.titled[w] = c
+        return self.titled[w]
+
     def header(self, line: str, tokens: list[str]) -> tuple[float, bool]:
         """(cost of the line's words as a running header, infinite if no header has any; whether a page number stands at its side)."""
         core = SIDE_AFTER.sub("", SIDE_BEFORE.sub("", line.strip()))
@@ -187,11 +204,7 @@ class Decoder:
                 price += 1.0
                 continue
             w = fold(t)
-            c = self.headers.cost.get(w)
-            if c is None and len(w) >= 4 and len(w) - CONFUSIONS <= 40:  # a header may be misread, too
-                c = min((self.headers.cost[x] + n * COST_CONFUSION for x, n in candidates(w) if x in self.headers.cost), default=None)
-                if c is None:
-                    c = min((p + COST_CONFUSION + 2 for x, p in self.headers.cost.items() if abs(len(x) - len(w)) <= 1 and (x[:2] == w[:2] or x[-3:] == w[-3:]) and near(x, w)), default=None)
+            c = self.header_word(w)
             known |= c is not None
             price += STRANGE + COST_CHAR * len(w) if c is None else c
         return price if known else math.inf, numbered
@@ -227,7 +240,8 @@ class Decoder:
     def stream(self, text: str, marks: list[re.Match]) -> list[tuple[int, int, str, object]]:
         """The moves of the cheapest path that are more than a token standing for itself, as (from token, to token, move, what)."""
         n, cost = len(marks), self.cost
-        words = [fold(m[0]) for m in marks]
+        low = fold(text)
+        words = [low[m.start() : m.end()] for m in marks] if len(low) == len(text) and unicodedata.is_normalized("NFC", text) else [fold(m[0]) for m in marks]
         skips = self.skips(text, marks) if "\n" in text else {}
         gaps = [text[marks[k].end() : marks[k + 1].start()] for k in range(n - 1)] + [""]
         open_ = [False] * n  # tokens at which more than one move is open
