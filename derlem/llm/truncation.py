@@ -10,17 +10,19 @@ by an end and how often by more text.
   response) are a context of their own: how often a value that reached this unit ended there.
 
 The log odds of end against continuation of both together are compared with a threshold per language and
-column. It is calibrated on the sampled values as they are and on copies of them cut at random places:
-the share p of cut values is the share of sampled values as low as the lowest 0.3 of the made cuts, over 0.3;
-among the sampled values around rank p (from p/2 to 2p) the threshold is the middle of the widest gap. Scores
-beyond CLEAR are equally clear. Languages with under FEW sampled values share one threshold.
+column. It is calibrated on all values as they are and on a copy of each cut at a random place:
+the share p of cut values is the share of values as low as the lowest 0.3 of the made cuts, over 0.3;
+among the values around rank p (from p/2 to 2p) the threshold is the middle of the widest gap. Scores
+beyond CLEAR are equally clear. Languages with under FEW values share one threshold.
 
 What is whole by definition is no question of odds: text that ends on a list item, a table row, a measured
 value or a page or source reference, or with closed markup, ends its unit; of items and rows the last word
 is still judged. A value ending in a broken character or on a comma or dash is cut.
 
-The model is a classifier fitted on SAMPLE rows of the table, chosen by the hash of their ids: a bound
-on its size, a few MB, and cost, not on the rows judged, which are all.
+All rows are counted and all are judged. What a value's end asks of the model is known from its text (ending),
+so that no model travels: the contexts asked for are joined with their counts. A bitmap of the contexts asked for
+keeps others from being shuffled and changes no count. Scores have DIGITS decimals, so that the driver sees
+a bounded histogram of them.
 
 Null and blank values, and responses without a word of explanation, are not cut.
 """
@@ -28,16 +30,23 @@ Null and blank values, and responses without a word of explanation, are not cut.
 from __future__ import annotations
 
 import math
+import random
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterable, Iterator
+from functools import cache, reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE, LONGEST = 4000, 20_000
+from derlem.llm.overlap import FILTER_BITS, key_bitmap
+from derlem.session import materialize
+
+SAMPLE, LONGEST = 4000, 20_000  # of pairs.py
 ORDERS = (3, 5, 7, 10, 14)
 LEAST = 3
 MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -67,28 +76,30 @@ def norm(text: str) -> str:
     return DIGIT.sub("0", SPACE.sub(" ", BREAK.sub(r"\1", text))).lower()
 
 
-def hashes(codes: np.ndarray, order: int) -> np.ndarray:
-    """For each position p >= order, a 64-bit hash of the order characters before it, read backwards."""
-    h = np.full(len(codes) - order + 1, order, np.uint64)
-    for k in range(order):
-        h = (h ^ codes[order - 1 - k : len(codes) - k].astype(np.uint64)) * MULT
+KINDS = ("word", "sentence", "stop")
+SALT = {(kind, order): (0xD1B54A32D192ED03 * (16 * i + order + 1)) & ((1 << 64) - 1) for i, kind in enumerate(KINDS) for order in ORDERS}
+
+
+def hashes(codes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """For each order, a 64-bit hash of the order characters before each position p >= order, read backwards."""
+    n, h = len(codes), np.zeros(len(codes) + 1, np.uint64)
+    wide = codes.astype(np.uint64)
+    for k in range(min(n, ORDERS[-1])):
+        h = (h[1:] ^ wide[: n - k]) * MULT
         h ^= h >> np.uint64(31)
-    return h
+        if k + 1 in ORDERS:
+            yield k + 1, h
 
 
-def context_hashes(context: str) -> list[tuple[int, int]]:
-    """(order, hash) of each order that the context is long enough for, longest first; as hashes()."""
+def context_keys(kind: str, context: str) -> list[int]:
+    """The key of each order that the context is long enough for, shortest first; as tally()."""
     out = []
-    mask, mult = (1 << 64) - 1, int(MULT)
-    chars = [ord(c) for c in reversed(context[-ORDERS[-1] :])]
-    for n in reversed(ORDERS):
-        if len(chars) < n:
-            continue
-        h = n
-        for c in chars[:n]:
-            h = ((h ^ c) * mult) & mask
-            h ^= h >> 31
-        out.append((n, h))
+    mask, mult, h = (1 << 64) - 1, int(MULT), 0
+    for n, c in enumerate(reversed(context[-ORDERS[-1] :]), 1):
+        h = ((h ^ ord(c)) * mult) & mask
+        h ^= h >> 31
+        if n in ORDERS:
+            out.append((h ^ SALT[kind, n]) >> 1)
     return out
 
 
@@ -96,37 +107,25 @@ CERTAIN = 9.0
 PRIOR, MASS = {"stop": 0.98}, 4.0  # what contexts without counts say (else even odds), and how much it weighs against counts
 KNOWN = 7
 CLEAR = 8.0
-FEW = 100  # a threshold of its own needs so many sampled values
+FEW = 100  # a threshold of its own needs so many values
+DIGITS = 3
 
 
 class Ends:
     """Counts of ends and of all continuations per context seen at least LEAST times, and the thresholds."""
 
     def __init__(self) -> None:
-        self.seen: dict[tuple[str, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.seen = NOTHING
         self.units: dict[tuple[str, str], tuple[int, int]] = {}
         self.threshold: dict[tuple[str, str], float] = {}
         self.memo: dict[tuple[str, str], tuple[float, int]] = {}
 
-    def count(self, kind: str, text: str, end: np.ndarray, use: np.ndarray) -> None:
-        """text: its characters; end, use: for each position, whether the text ends before it, whether it counts."""
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        for order in ORDERS:
-            if len(codes) <= order:
-                continue
-            h, e, u = hashes(codes[:-1], order), end[order:], use[order:]
-            keys, total = np.unique(h[u], return_counts=True)
-            ends = np.zeros(len(keys), np.int64)
-            at, n = np.unique(h[u & e], return_counts=True)
-            ends[np.searchsorted(keys, at)] = n
-            keep = total >= LEAST
-            self.seen[kind, order] = keys[keep], ends[keep].astype(np.int32), total[keep].astype(np.int32)
-
-    def count_units(self, column: str, passed: list[str]) -> None:
-        """One value's units in order; it ended at the last of them."""
-        for i, u in enumerate(passed):
+    def count_units(self, column: str, unit: str, n: int = 1) -> None:
+        """n values ended at this unit and passed those before it."""
+        passed = [str(k) for k in range(int(unit) + 1)] if column == "user" else PASSED[unit]
+        for u in passed:
             ends, total = self.units.get((column, u), (0, 0))
-            self.units[column, u] = ends + (i == len(passed) - 1), total + 1
+            self.units[column, u] = ends + n * (u == unit), total + n
 
     def unit_odds(self, column: str, unit: str) -> float:
         """Log odds that a value which reached this unit has no further one; 0 for a unit never seen."""
@@ -140,19 +139,23 @@ class Ends:
         got = self.memo.get(key)
         if got is None:
             p, known = PRIOR.get(kind, 0.5), 0
-            for order, h in reversed(context_hashes(key[1])):
-                keys, ends, total = self.seen.get((kind, order), NOTHING)
-                i = int(np.searchsorted(keys, np.uint64(h)))
-                if i >= len(keys) or int(keys[i]) != h:
+            q = 1 - p  # kept beside p, which counts can bring to 1
+            keys, ends, total = self.seen
+            for order, k in zip(ORDERS, context_keys(*key)):
+                i = int(np.searchsorted(keys, k))
+                if i >= len(keys) or int(keys[i]) != k:
                     break
-                p, known = (int(ends[i]) + MASS * p) / (int(total[i]) + MASS), order
+                n = int(total[i]) + MASS
+                p, q, known = (int(ends[i]) + MASS * p) / n, (int(total[i] - ends[i]) + MASS * q) / n, order
             if len(self.memo) > 200_000:
                 self.memo.clear()
-            got = self.memo[key] = math.log(p / (1 - p)), known
+            got = self.memo[key] = math.log(p) - math.log(q), known
         return got
 
 
-NOTHING = (np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32))
+NOTHING = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+#: the units an explanation passed that ended at one
+PASSED = {"free": ["free"], "open": ["open"], "closed": ["open", "closed"], "begun": ["open", "closed", "begun"], "answered": ["open", "closed", "begun", "answered"]}
 
 
 def both(a: float, b: float) -> float:
@@ -192,9 +195,18 @@ def flat(text: str) -> str:
     return DIGIT.sub("0", SPACE.sub(" ", BREAK.sub(r"\1", text)))
 
 
-def _alnum(codes: np.ndarray) -> np.ndarray:
-    kinds, at = np.unique(codes, return_inverse=True)
-    return np.array([chr(c).isalnum() for c in kinds])[at]
+@cache
+def _table(test: Callable[[str], bool]) -> np.ndarray:
+    return np.array([test(chr(c)) for c in range(0x3000)])
+
+
+def _kind(test: Callable[[str], bool], codes: np.ndarray) -> np.ndarray:
+    """For each code point, whether the test holds."""
+    table = _table(test)
+    out, high = table[np.minimum(codes, len(table) - 1)], codes >= len(table)
+    if high.any():
+        out[high] = [test(chr(c)) for c in codes[high]]
+    return out
 
 
 def _codes(text: str) -> np.ndarray:
@@ -205,77 +217,122 @@ STOPS = [ord(c) for c in ".?!…;"]
 AFTER_STOP = [ord(c) for c in "\x00 \n\"<*'_"]
 
 
-def fit(rows: list[tuple[str | None, str | None]]) -> Ends:
-    """rows: (user content, assistant content)."""
-    model = Ends()
+def tally(rows: list[tuple[str | None, str | None]], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, ends, all continuations) of the contexts in rows of (user content, assistant content); with a bitmap only of keys in it."""
     sentences, options = [], []
     for user, assistant in rows:
         if user and re.search(r"\w", user):
             stem, opts = option_spans(user)
             sentences.append(flat(stem).strip())
             options += [flat(t).strip() for _, t in opts[:-1]]  # the last may be cut
-            model.count_units("user", user_units(user)[0])
         if assistant and re.search(r"\w", explanation(assistant)[0]):
             sentences.append(flat(explanation(assistant)[0]).strip())
-            model.count_units("assistant", assistant_units(assistant))
-    cased = "\x00" + "\x00".join(sentences) + "\x00"
-    text = cased.translate(ONE_FOR_ONE)
-    codes = _codes(text)
-    nxt = np.concatenate([codes, [0]])
-    letter, inside = _alnum(nxt), nxt != 0
-    after_letter = np.concatenate([[False], letter[:-1]])
-    stop = np.isin(nxt, STOPS) & np.concatenate([np.isin(nxt[1:], AFTER_STOP), [True]])
-    model.count("sentence", text + "\x00", stop, inside & after_letter)
-    # after a stop: an end unless the next word is small
-    kinds, at = np.unique(_codes(cased), return_inverse=True)
-    small = np.array([chr(c).islower() for c in kinds])[at]
-    following = np.concatenate([small[1:], [False, False]]) & (nxt == 32)
-    after_stop = np.concatenate([[False], np.isin(nxt[:-1], STOPS)])
-    model.count("stop", text + "\x00", ~following, after_stop & np.isin(nxt, AFTER_STOP))
-    words = [(text + "\x00", ~letter, inside & after_letter)]
-    text = ("\x00" + "\x00\x00".join(options) + "\x00").translate(ONE_FOR_ONE)
-    letter = _alnum(np.concatenate([_codes(text), [0]]))
-    words.append((text + "\x00", ~letter, np.concatenate([[False], letter[:-1]])))
-    model.count("word", "".join(w[0] for w in words), *(np.concatenate([w[i] for w in words]) for i in (1, 2)))
-    calibrate(model, rows)
-    return model
-
-
-#: lower case without a change of length, so that positions stay
-ONE_FOR_ONE = {c: chr(c).lower() for c in range(0x250) if len(chr(c).lower()) == 1} | {ord("İ"): "i"}
+    out = []
+    for texts, running in ((sentences, True), (options, False)):
+        cased = "\x00" + "\x00".join(texts) + "\x00"
+        codes = _codes(cased.translate(ONE_FOR_ONE))
+        nxt = np.concatenate([codes, codes[:1]])  # followed by a zero, as it begins with one
+        letter = _kind(str.isalnum, nxt)
+        after_letter = np.concatenate([[False], letter[:-1]])
+        uses = {"word": (~letter, after_letter & (nxt != 0) if running else after_letter)}
+        if running:
+            stop = np.isin(nxt, STOPS) & np.concatenate([np.isin(nxt[1:], AFTER_STOP), [True]])
+            uses["sentence"] = stop, (nxt != 0) & after_letter
+            # after a stop: an end unless the next word is small
+            small = _kind(str.islower, _codes(cased))
+            following = np.concatenate([small[1:], [False, False]]) & (nxt == 32)
+            uses["stop"] = ~following, np.concatenate([[False], np.isin(nxt[:-1], STOPS)]) & np.isin(nxt, AFTER_STOP)
+        places = np.arange(len(codes))
+        room = np.concatenate([[0], places - np.maximum.accumulate(np.where(codes == 0, places, 0))])  # characters of the text before a position
+        for order, h in hashes(codes):
+            for kind, (end, use) in uses.items():
+                here = use[order:] & (room[order:] >= order)
+                keys, e = (h[here] ^ np.uint64(SALT[kind, order])) >> np.uint64(1), end[order:][here]
+                if wanted is not None:
+                    bit = keys & np.uint64((1 << FILTER_BITS) - 1)
+                    asked = (wanted[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+                    keys, e = keys[asked], e[asked]
+                out.append(keys << np.uint64(1) | e)
+    marked = np.sort(np.concatenate(out))
+    return summed((marked >> np.uint64(1)).astype(np.int64), (marked & np.uint64(1)).astype(np.int64), np.ones(len(marked), np.int64))
+
+
+def summed(keys: np.ndarray, ends: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of sorted keys."""
+    if not len(keys):
+        return NOTHING
+    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[at], np.add.reduceat(ends, at), np.add.reduceat(total, at)
 
 
-def calibrate(model: Ends, rows: list[tuple[str | None, str | None]]) -> None:
-    """The thresholds per language and column, and per column for languages with few sampled values."""
-    rng = np.random.default_rng(7)
-    scores: dict[tuple[str, str], tuple[list[float], list[float]]] = {}
+def fit(rows: list[tuple[str | None, str | None]]) -> Ends:
+    """The model of rows (user content, assistant content) in memory; as scores() has it of a table."""
+    model = Ends()
+    keys, ends, total = tally(rows)
+    model.seen = keys[total >= LEAST], ends[total >= LEAST], total[total >= LEAST]
     for pair in rows:
+        for column, text in zip(("user", "assistant"), pair):
+            got = ending(column, text)
+            if got and got[1]:
+                model.count_units(column, got[0])
+    seen: Counter[tuple[str, str, bool, float]] = Counter()
+    for i, pair in enumerate(rows):
         for column, text in zip(("user", "assistant"), pair):
             score = end_score(model, column, text)
             if score is None or len(text) < 40:
                 continue
-            keep = text[: int(rng.integers(20, len(text)))]
-            if column == "assistant" and rng.random() < 0.5:  # only the explanation is cut, the frame is whole
-                body, after = explanation(text)
-                if after is not None and len(body) > 30:
-                    keep = f"{FRAME_OPEN}\n{body.strip()[: int(rng.integers(15, len(body)))]}\n{FRAME_CLOSE}{after}"
-            made = end_score(model, column, keep)
-            for key in ((language(text), column), ("", column)):
-                real, cut = scores.setdefault(key, ([], []))
-                real.append(score)
-                if made is not None:
-                    cut.append(made)
-    for key, (real, cut) in scores.items():
-        if len(real) < FEW and key[0] or not cut:
+            key = language(text), column
+            seen[*key, False, score] += 1
+            made = end_score(model, column, made_cut(column, text, f"{i} 0"))
+            if made is not None:
+                seen[*key, True, made] += 1
+    model.threshold = thresholds((*k, n) for k, n in seen.items())
+    return model
+
+
+#: lower case without a change of length, so that positions stay
+ONE_FOR_ONE = {c: chr(c).lower() for c in range(0x250) if len(chr(c).lower()) == 1} | {ord("İ"): "i"}
+
+
+def made_cut(column: str, text: str, seed: str) -> str:
+    """The text cut at a random place; seed: its row."""
+    rng = random.Random(f"{seed} {column}")
+    keep = text[: rng.randrange(20, len(text))]
+    if column == "assistant" and rng.random() < 0.5:  # only the explanation is cut, the frame is whole
+        body, after = explanation(text)
+        if after is not None and len(body) > 30:
+            keep = f"{FRAME_OPEN}\n{body.strip()[: rng.randrange(15, len(body))]}\n{FRAME_CLOSE}{after}"
+    return keep
+
+
+def thresholds(seen: Iterable[tuple[str, str, bool, float, int]]) -> dict[tuple[str, str], float]:
+    """seen: (language, column, made, score, its number). The thresholds per language and column, and per column ("")
+    for languages with few values."""
+    scores: dict[tuple[str, str], tuple[Counter[float], Counter[float]]] = defaultdict(lambda: (Counter(), Counter()))
+    for lang, column, made, score, n in seen:
+        for key in ((lang, column), ("", column)):
+            scores[key][made][score] += n
+    out = {}
+    for key, both_ in scores.items():
+        (f, upto), (g, below) = (ranks(c) for c in both_)
+        if not len(f) or not len(g) or upto[-1] < FEW and key[0]:
             continue
-        f, g = np.sort(real), np.sort(cut)
-        low = g[int(0.3 * len(g))]
-        share = float(np.clip(np.searchsorted(f, low, "right") / len(f) / 0.3, 0.002, 0.25))
-        inside = np.clip(f[int(len(f) * share / 2) : int(len(f) * share * 2) + 2], -CLEAR, CLEAR)
-        if len(inside) < 2:
+        n = int(upto[-1])
+        low = g[np.searchsorted(below, int(0.3 * below[-1]), "right")]
+        at = int(np.searchsorted(f, low, "right"))
+        share = float(np.clip((upto[at - 1] if at else 0) / n / 0.3, 0.002, 0.25))
+        first, last = int(n * share / 2), min(n, int(n * share * 2) + 2) - 1
+        if last <= first:
             continue
-        at = int(np.argmax(np.diff(inside)))
-        model.threshold[key] = float((inside[at] + inside[at + 1]) / 2)
+        inside = np.clip(f[np.searchsorted(upto, first, "right") : np.searchsorted(upto, last, "right") + 1], -CLEAR, CLEAR)
+        gap = int(np.argmax(np.diff(inside))) if len(inside) > 1 else 0
+        out[key] = float((inside[gap] + inside[min(gap + 1, len(inside) - 1)]) / 2)
+    return out
+
+
+def ranks(seen: Counter[float]) -> tuple[np.ndarray, np.ndarray]:
+    """The values in order, and the number of those up to each."""
+    return np.array(sorted(seen)), np.cumsum([seen[x] for x in sorted(seen)])
 
 
 def user_units(text: str) -> tuple[list[str], list[tuple[str, str]]]:
@@ -295,74 +352,100 @@ def assistant_units(text: str) -> list[str]:
     return ["open", "closed", "begun", *(["answered"] if ANSWER.match(after) else [])]
 
 
-def word_end(model: Ends, context: str, free: bool = False) -> float:
-    """Log odds that the last word is a whole one. free: in options, items and rows, where names are made up, only
+class End(NamedTuple):
+    """What decides whether a text ends: the least of the log odds given or asked for."""
+
+    fixed: float | None = None
+    word: str | None = None  # context
+    free: bool = False
+    kind: str | None = None
+    rest: str | None = None  # context of that kind
+
+
+def word_end(context: str, free: bool = False) -> End:
+    """Whether the last word is a whole one. free: in options, items and rows, where names are made up, only
     contexts of KNOWN characters or more say anything."""
-    if not context[-1:].isalpha():
-        return CERTAIN
-    odds, order = model.odds("word", context)
-    return CERTAIN if free and order < KNOWN else odds
+    return End(word=context[-ORDERS[-1] :], free=free) if context[-1:].isalpha() else End(CERTAIN)
+
 
+def end_odds(model: Ends, end: End) -> float:
+    found = [] if end.fixed is None else [end.fixed]
+    if end.word is not None:
+        odds, order = model.odds("word", end.word)
+        found.append(CERTAIN if end.free and order < KNOWN else odds)
+    if end.rest is not None:
+        found.append(model.odds(end.kind, end.rest)[0])
+    return min(found)
 
-def running_end(model: Ends, text: str) -> float:
-    """Log odds that running text (an explanation or stem) stops at the end of a sentence, item, row or reference."""
+
+def running_end(text: str) -> End:
+    """Whether running text (an explanation or stem) stops at the end of a sentence, item, row or reference."""
     t = text.rstrip()
     last = t.rsplit("\n", 1)[-1]
     if PAGE_LINE.match(last) and "\n" in t and not VALUE.match(last):  # a page number below the last line
-        return running_end(model, t.rsplit("\n", 1)[0])
+        return running_end(t.rsplit("\n", 1)[0])
     bare = t.rstrip(CLOSERS)
     if MARKUP_END.search(t):
         inner = re.sub(r"(?:</?[A-Za-z][^<>]*>|\s)+$", "", t)
         judged = t.endswith(">") and not t.endswith("-->") and inner and inner != t and not MARKUP_END.search(inner)
-        return running_end(model, inner) if judged else CERTAIN
+        return running_end(inner) if judged else End(CERTAIN)
     if "�" in t[-2:]:
-        return -CERTAIN
+        return End(-CERTAIN)
     if TERMINAL.search(bare):
         if ITEM.match(last[:3] + "x"):
-            return CERTAIN
-        return model.odds("stop", norm(bare[-40:]))[0]
+            return End(CERTAIN)
+        return End(kind="stop", rest=norm(bare[-40:])[-ORDERS[-1] :])
     line = last.strip()
     if REFERENCE.search(line) or VALUE.match(line) or bare != t and t[-1] in ")]" and "(" not in bare[-1:]:
-        return CERTAIN
+        return End(CERTAIN)
     context = norm(t[-60:]).rstrip(CLOSERS)
     if ROW.search(line) or ITEM.search(line) and len(line) < 120:
-        return word_end(model, context, free=True)
+        return word_end(context, free=True)
     if not bare[-1:].isalnum():
-        return -CERTAIN
-    return min(word_end(model, context), model.odds("sentence", context)[0])
+        return End(-CERTAIN)
+    return word_end(context)._replace(kind="sentence", rest=context[-ORDERS[-1] :])
 
 
-def option_end(model: Ends, text: str) -> float:
-    """Log odds that the last option stops at the end of a word; what options say is free, so only that is asked."""
+def option_end(text: str) -> End:
+    """Whether the last option stops at the end of a word; what options say is free, so only that is asked."""
     last = text.rstrip(CLOSERS)
     tail = last.rsplit("\n", 1)
     if len(tail) == 2 and PAGE_LINE.match(tail[1]):
         last = tail[0].rstrip(CLOSERS)
     if not re.search(r"\w", last):
-        return -CERTAIN
+        return End(-CERTAIN)
     if TERMINAL.search(last) or MARKUP_END.search(text.rstrip()):
-        return CERTAIN
-    return word_end(model, norm(last[-60:]), free=True)
+        return End(CERTAIN)
+    return word_end(norm(last[-60:]), free=True)
 
 
-def end_score(model: Ends, column: str, text: str | None) -> float | None:
-    """Log odds of an end against a continuation after the value; None for one without a word to judge."""
+def ending(column: str, text: str | None) -> tuple[str, End | None] | None:
+    """(the unit a value reached, what is asked of its end or None without a word in an open frame); None for one without a word to judge."""
     if not text or not re.search(r"\w", text):
         return None
     if column == "user":
         t = text.rstrip()
         units, opts = user_units(t)
-        end = -CERTAIN if "�" in t[-2:] else option_end(model, opts[-1][1]) if opts else running_end(model, t)
-        return both(model.unit_odds(column, units[-1]), end)
+        return units[-1], End(-CERTAIN) if "�" in t[-2:] else option_end(opts[-1][1]) if opts else running_end(t)
     body = explanation(text)[0]
     units = assistant_units(text)
     if units == ["open"]:
         body = re.sub(r"<[a-z/]*$", "", body)
     if not re.search(r"\w", body):
-        return None if units[-1] != "open" else model.unit_odds(column, "open")
+        return None if units[-1] != "open" else ("open", None)
     _, opts = option_spans(body)
     repeats = len({k for k, _ in opts}) >= 4 and len(opts[-1][1]) < 160  # it repeats the question with its options
-    return both(model.unit_odds(column, units[-1]), option_end(model, opts[-1][1]) if repeats else running_end(model, body))
+    return units[-1], option_end(opts[-1][1]) if repeats else running_end(body)
+
+
+def end_score(model: Ends, column: str, text: str | None) -> float | None:
+    """Log odds of an end against a continuation after the value; None for one without a word to judge."""
+    got = ending(column, text)
+    if got is None:
+        return None
+    unit, end = got
+    odds = model.unit_odds(column, unit)
+    return round(odds if end is None else both(odds, end_odds(model, end)), DIGITS)
 
 
 def margin(model: Ends, role: str, text: str | None) -> float:
@@ -394,15 +477,133 @@ def sample_rows(records: DataFrame, size: int = SAMPLE) -> list[tuple[str | None
     return [(r["user"], r["assistant"]) for r in hashed.orderBy("h", "id").limit(size).collect()]
 
 
-def truncated(records: DataFrame) -> DataFrame:
-    """records(id, user, assistant) -> (id, role) of each cut message."""
-    model = records.sparkSession.sparkContext.broadcast(fit(sample_rows(records)))
+PLAN = "id long, turn int, role string, made boolean, lang string, long boolean, unit string, fixed double, word string, free boolean, kind string, rest string"
+
+
+def plans(records: DataFrame) -> DataFrame:
+    """records(id, turn, user, assistant) -> the ending of each value, and of a cut made of it (made)."""
+    schema = pa.schema([(n, {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64()}[t]) for n, t in (c.split(" ") for c in PLAN.split(", "))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ends = model.value
         for batch in batches:
-            ids, users, assistants = (c.to_pylist() for c in batch.columns)
-            out = [(i, role) for i, u, a in zip(ids, users, assistants) for role, t in (("user", u), ("assistant", a)) if is_cut(ends, role, t)]
-            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], pa.int64()), pa.array([r for _, r in out], pa.string())], names=["id", "role"])
+            out = []
+            for i, k, *pair in zip(*(c.to_pylist() for c in batch.columns)):
+                for role, text in zip(("user", "assistant"), pair):
+                    got = ending(role, text)
+                    if got is None:
+                        continue
+                    lang, size = language(text), len(text) >= 40
+                    out.append((i, k, role, False, lang, size, got[0], *(got[1] or End())))
+                    made = ending(role, made_cut(role, text, f"{i} {k}")) if size else None
+                    if made:
+                        out.append((i, k, role, True, lang, size, made[0], *(made[1] or End())))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * len(schema), schema.types)], schema=schema)
+
+    return records.select("id", F.col("turn").cast("int"), "user", "assistant").mapInArrow(run, PLAN)
+
+
+def asked_odds(asked: DataFrame, records: DataFrame) -> DataFrame:
+    """asked(kind, context), records(user, assistant) -> (kind, context, odds, known): Ends.odds counted over all records, of the contexts
+    of which any order has been seen LEAST times."""
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [context_keys(k, c) for k, c in zip(*(c.to_pylist() for c in batch.columns))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.list_(pa.int64()))], names=["kind", "context", "keys"])
+
+    needs = materialize(asked.distinct().mapInArrow(keyed, "kind string, context string, keys array<long>"), "truncation-asked")
+    bitmap = records.sparkSession.sparkContext.broadcast(key_bitmap(needs))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.frombuffer(bitmap.value, np.uint8)
+        for batch in batches:
+            rows = list(zip(*(c.to_pylist() for c in batch.columns)))
+            got = [tally(part, wanted) for part in parts(rows)]
+            keys, ends, total = (np.concatenate(c) for c in zip(*got)) if got else NOTHING
+            order = np.argsort(keys, kind="stable")
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in summed(keys[order], ends[order], total[order])], names=["key", "ends", "total"])
+
+    counts = records.select("user", "assistant").mapInArrow(counted, "key long, ends long, total long")
+    counts = counts.groupBy("key").agg(F.sum("ends").alias("ends"), F.sum("total").alias("total")).filter(F.col("total") >= LEAST)
+    met = needs.select("kind", "context", F.posexplode("keys").alias("i", "key")).join(counts, "key")
+    at = [F.max(F.when(F.col("i") == i, F.struct("ends", "total"))).alias(f"c{i}") for i in range(len(ORDERS))]
+    met = met.groupBy("kind", "context").agg(*at)
+    p, known, on = prior(F.col("kind")), F.lit(0), F.lit(True)
+    q = 1 - p
+    for i, order in enumerate(ORDERS):
+        on = on & F.col(f"c{i}").isNotNull()
+        ends, total = F.col(f"c{i}.ends"), F.col(f"c{i}.total")
+        met = met.withColumns({f"{name}{i}": F.when(on, (n + MASS * x) / (total + MASS)).otherwise(x) for name, n, x in (("p", ends, p), ("q", total - ends, q))})
+        p, q, known = F.col(f"p{i}"), F.col(f"q{i}"), F.when(on, order).otherwise(known)
+    return met.select("kind", "context", (F.ln(p) - F.ln(q)).alias("odds"), known.alias("known"))
+
+
+def prior(kind: Column) -> Column:
+    return reduce(lambda rest, k: F.when(kind == k, PRIOR[k]).otherwise(rest), PRIOR, F.lit(0.5))
+
+
+def parts(rows: list[tuple[str | None, str | None]], size: int = 250_000) -> Iterator[list[tuple[str | None, str | None]]]:
+    """The rows in runs of about size characters."""
+    run, n = [], 0
+    for r in rows:
+        run.append(r)
+        n += len(r[0] or "") + len(r[1] or "")
+        if n >= size:
+            yield run
+            run, n = [], 0
+    if run:
+        yield run
+
+
+def scored(plan: DataFrame, odds: DataFrame, units: DataFrame) -> DataFrame:
+    """plan with the column score, as end_score()."""
+    start = prior(F.col("kind"))
+    words = odds.filter("kind = 'word'").select(F.col("context").alias("word"), F.col("odds").alias("o1"), "known")
+    rest = odds.filter("kind <> 'word'").select("kind", F.col("context").alias("rest"), F.col("odds").alias("o2"))
+    of_word = F.when(F.col("free") & (F.coalesce("known", F.lit(0)) < KNOWN), CERTAIN).otherwise(F.coalesce("o1", F.lit(0.0)))
+    of_rest = F.coalesce("o2", F.ln(start) - F.ln(1 - start))
+    end = F.least("fixed", F.when(F.col("word").isNotNull(), of_word), F.when(F.col("rest").isNotNull(), of_rest))
+    x = F.log1p(F.exp(-F.col("u"))) + F.log1p(F.exp(-F.col("e")))
+    score = F.when(F.col("e").isNull(), F.col("u")).otherwise(F.when(x > 1e-12, -F.ln(F.expm1(x))).otherwise(25.0))
+    plan = plan.join(words, "word", "left").join(rest, ["kind", "rest"], "left").join(F.broadcast(units), ["role", "unit"], "left")
+    return plan.withColumn("u", F.coalesce("u", F.lit(0.0))).withColumn("e", end).withColumn("score", F.round(score, DIGITS))
+
+
+def asked_of(plan: DataFrame) -> DataFrame:
+    """The (kind, context) that endings ask for."""
+    return plan.filter("word is not null").select(F.lit("word").alias("kind"), F.col("word").alias("context")).unionByName(plan.filter("rest is not null").select("kind", F.col("rest").alias("context")))
+
+
+def unit_table(plan: DataFrame) -> tuple[Ends, DataFrame]:
+    """The unit counts of all values (a few units), and their log odds u as a table (role, unit, u)."""
+    model = Ends()
+    real = plan.filter("not made and coalesce(fixed, length(word), length(rest)) is not null")
+    for r in real.groupBy("role", "unit").count().collect():
+        model.count_units(r["role"], r["unit"], r["count"])
+    rows = [(column, unit, model.unit_odds(column, unit)) for column, unit in model.units]
+    return model, plan.sparkSession.createDataFrame(rows, "role string, unit string, u double")
 
-    return records.select("id", "user", "assistant").mapInArrow(run, "id long, role string")
+
+def score_thresholds(values: DataFrame) -> dict[tuple[str, str], float]:
+    """values(lang, role, made, long, score) -> thresholds(), over a histogram of at most some ten thousand scores each."""
+    seen = values.filter(F.col("long")).groupBy("lang", "role", "made", "score").count().collect()
+    return thresholds(tuple(r) for r in seen)
+
+
+def least_score(threshold: dict[tuple[str, str], float]) -> Column:
+    """The threshold of a row of (lang, role)."""
+    out = F.when(F.col("role") == "user", threshold.get(("", "user"), -3.0)).otherwise(threshold.get(("", "assistant"), -3.0))
+    for (lang, role), t in threshold.items():
+        if lang:
+            out = F.when((F.col("lang") == lang) & (F.col("role") == role), t).otherwise(out)
+    return out
+
+
+def truncated(records: DataFrame) -> DataFrame:
+    """records(id, user, assistant[, turn]) -> (id, role) of each cut message."""
+    if "turn" not in records.columns:
+        records = records.withColumn("turn", F.lit(0))
+    plan = materialize(plans(records), "truncation-ends")
+    values = scored(plan, asked_odds(asked_of(plan), records), unit_table(plan)[1])
+    values = materialize(values.select("id", "role", "made", "lang", "long", "score"), "truncation-scores")
+    return values.filter(~F.col("made") & (F.col("score") < least_score(score_thresholds(values)))).select("id", "role")

@@ -328,3 +328,18 @@ def test_agrees_with_labels(spark, data):
     for i, s in labels.collect():
         want.setdefault(i, set()).add(s)
     assert sum(got.get(i, set()) == s for i, s in want.items()) >= 0.93 * len(want)  # a few labels are wrong
+
+
+# ------------------------------------------------------------------------------------------------ whole tables
+
+
+def test_all_rows_make_the_end_model(spark, dialogues, monkeypatch):
+    """A table is judged by the counts and thresholds of all its rows, the long ones too."""
+    monkeypatch.setattr(truncation, "SAMPLE", 40, raising=False)
+    monkeypatch.setattr(truncation, "LONGEST", 300, raising=False)
+    told = [(i, u, a) for i, (_, u, a) in enumerate(dialogues[:600])]
+    schema = "id long, user string, assistant string"
+    # the model of the rows in memory, with each row's own place for its made cut
+    model = truncation.fit([(u, a) for _, u, a in told])
+    want = sorted((i, role) for i, u, a in told for role, t in (("user", u), ("assistant", a)) if truncation.is_cut(model, role, t))
+    assert len(want) > 10 and rows(truncation.truncated(spark.createDataFrame(told, schema).repartition(3))) == sorted(want, key=repr)
