@@ -343,3 +343,22 @@ def test_all_rows_make_the_end_model(spark, dialogues, monkeypatch):
     model = truncation.fit([(u, a) for _, u, a in told])
     want = sorted((i, role) for i, u, a in told for role, t in (("user", u), ("assistant", a)) if truncation.is_cut(model, role, t))
     assert len(want) > 10 and rows(truncation.truncated(spark.createDataFrame(told, schema).repartition(3))) == sorted(want, key=repr)
+
+
+def test_all_documents_teach_terms(spark, monkeypatch):
+    """Terms are learned from all labelled documents, long ones too, and from all others where few are labelled."""
+    for name, value in (("LABELLED", 6), ("FILL", 6), ("LONGEST", 400)):
+        monkeypatch.setattr(subjects, name, value, raising=False)
+    words_ = ["torbul", "sanil", "merkot", "zulfen", "karpit", "dontal", "feltem", "gorzan"]
+    data = [(i, doc(f"{words_[i % 8]} eğrisi", f"{words_[i % 8]} payı") + f" Bu bölüm {i} sayfadır." * (1 + 30 * (i % 8 > 3))) for i in range(48)]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    names = sorted(subjects.TERMS)[:8]
+    labels = spark.createDataFrame([(i, names[i % 8]) for i, _ in data], "doc_id long, subject string")
+    labelled = subjects.with_labels(df, labels)
+    got = subjects.learned(subjects.distinct(labelled), subjects.general_terms())
+    assert {w: s for w, s in got if w in words_} == dict(zip(words_, names))
+    assert got == subjects.learn([(t, {names[i % 8]}) for i, t in data], subjects.general_terms())
+    some = labels.filter("doc_id < 2 or doc_id between 8 and 9 or doc_id between 16 and 17")
+    other = spark.createDataFrame([(100 + i, doc("kalp debisi ve lentor", "tidal volüm ve lentor", "vital kapasite ve lentor") + f" Sayı {i}.") for i in range(30)], df.schema)
+    n = subjects.with_labels(df, some).count()
+    assert ("lentor", "fizyoloji") in subjects.table_vocabulary(df.unionByName(other), subjects.with_labels(df, some), n)
