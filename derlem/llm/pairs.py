@@ -7,8 +7,8 @@ words and character trigrams of Turkish against other languages, phrases of decl
 odds of truncation.py that the response ends where it does. The shares of the tags in the explanation's
 characters decide the pair's defect, and nothing but them.
 
-The CRF is a classifier fitted on a bounded sample: TRAIN of the rows truncation.SAMPLE draws and FOREIGN
-texts of known other languages. What a training sequence is called does not come from its features: a
+The CRF is fitted on all rows and on the texts of known other languages, by gradients summed over blocks of a table in
+which equal sequences are one with their number; vocabulary, trigrams and odds of ends are counted over all rows, too. What a training sequence is called does not come from its features: a
 question put as the response is an echo, a response cut at a random place ends unfinished, a text of another
 language is foreign, a sentence that declines a refusal. Responses as they are count as answers in a first
 fit; a second one leaves those out of whose tags the first is not sure (DOUBT). All rows are judged.
@@ -22,7 +22,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -32,8 +32,10 @@ from pyspark.sql import functions as F
 
 from derlem.llm import truncation
 from derlem.llm.words import WORD, fold, words
+from derlem.session import materialize
 
-TRAIN, FOREIGN = 400, 300
+GROUP, CLAUSES = 1000, 50  # records that share foreign documents, and about how many of these
+BLOCK = 2000
 TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 BREAK = re.compile(r"(?<=[.!?…;])[\"'”’)*_~]*\s+|\s*[\r\n]+\s*")
 OPENER = re.compile(r"^\W*(?:merhaba|selam|açıklama|aciklama|yanıt|cevap|soru|çözüm|gerekçe|tabii|elbette|hello|answer|explanation|question)\s*(?:[:.,!\-–]\s+|\n)", re.I)
@@ -83,12 +85,16 @@ DOUBT = math.log(0.8)
 class Trigrams:
     """Log odds per character of other languages against Turkish, from the character trigrams of two samples."""
 
-    def __init__(self, turkish: list[str], other: list[str]):
-        counts = [Counter(t[i : i + 3] for t in map(self.bare, texts) for i in range(len(t) - 2)) for texts in (turkish, other)]
+    def __init__(self, turkish: Counter[str], other: Counter[str]):
+        counts = [turkish, other]
         sizes = [sum(c.values()) + 5000 for c in counts]
         self.odds = {g: math.log((counts[1][g] + 0.5) / sizes[1]) - math.log((counts[0][g] + 0.5) / sizes[0]) for g in counts[0] | counts[1]}
         self.memo: dict[str, float] = {}
 
+    @classmethod
+    def counted(cls, texts: Iterable[str]) -> Counter[str]:
+        return Counter(t[i : i + 3] for t in map(cls.bare, texts) for i in range(len(t) - 2))
+
     @staticmethod
     def bare(text: str) -> str:
         return f" {' '.join(words(text))} "
@@ -172,11 +178,15 @@ class Crf:
         """Maximum likelihood by full-batch Adam from the present weights; sequences of like length run together."""
         order = sorted(range(len(xs)), key=lambda i: len(xs[i]))
         parts = [padded([xs[i] for i in part], [ys[i] for i in part]) for part in np.array_split(order, min(8, len(order)))]
+        return self.climb(lambda: [sum(x) for x in zip(*(self.gradient(*part) for part in parts))], len(xs), rounds, rate, ridge)
+
+    def climb(self, gradient: Callable[[], list[np.ndarray]], size: int, rounds: int = 100, rate: float = 0.4, ridge: float = 2e-4) -> Crf:
+        """gradient: the sum over size sequences at the present weights."""
         moments = [(np.zeros_like(p), np.zeros_like(p)) for p in (self.w, self.t, self.s)]
         for step in range(1, rounds + 1):
-            sums = [self.gradient(*part) for part in parts]
+            sums = gradient()
             for k, (par, (m1, m2)) in enumerate(zip((self.w, self.t, self.s), moments)):
-                g = sum(x[k] for x in sums) / len(xs) - ridge * par
+                g = sums[k] / size - ridge * par
                 m1 *= 0.9
                 m1 += 0.1 * g
                 m2 *= 0.99
@@ -185,9 +195,10 @@ class Crf:
         self.memo.clear()
         return self
 
-    def gradient(self, x: np.ndarray, y: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the log likelihood, summed over the sequences, by forward-backward."""
+    def gradient(self, x: np.ndarray, y: np.ndarray, mask: np.ndarray, number: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the log likelihood, summed over the sequences, each so many times, by forward-backward."""
         n, T = mask.shape
+        number = np.ones(n) if number is None else number
         onehot = np.eye(K)[y] * mask[..., None]
         e = x @ self.w
         a, b = np.zeros((n, T, K)), np.zeros((n, T, K))
@@ -204,9 +215,9 @@ class Crf:
         z = top + np.log(np.exp(a[:, -1] - top[:, None]).sum(1))
         p = np.exp(a + b - z[:, None, None]) * mask[..., None]
         joint = np.exp(a[:, :-1, :, None] + self.t + (e[:, 1:] + b[:, 1:])[:, :, None, :] - z[:, None, None, None]) * mask[:, 1:, None, None]
-        pair = np.einsum("ntj,ntk->jk", onehot[:, :-1], onehot[:, 1:])
-        diff = (onehot - p).reshape(n * T, K)
-        return x.reshape(n * T, D).T @ diff, pair - joint.sum((0, 1)), (onehot[:, 0] - p[:, 0]).sum(0)
+        pair = np.einsum("n,ntj,ntk->jk", number, onehot[:, :-1], onehot[:, 1:])
+        diff = (onehot - p) * number[:, None, None]
+        return x.reshape(n * T, D).T @ diff.reshape(n * T, K), pair - np.einsum("n,ntjk->jk", number, joint), diff[:, 0].sum(0)
 
     def likelihood(self, x: list[tuple[bool, ...]], y: list[int]) -> float:
         """Log probability of the tags, per clause."""
@@ -270,13 +281,13 @@ class Judge:
     def asked(self, user: str | None) -> Question:
         return Question(user or "", frozenset(words(plain(user))) if user else frozenset())
 
-    def read(self, user: str | None, assistant: str) -> tuple[list[str], list[tuple[bool, ...]]]:
-        """The clauses of the explanation and their features."""
+    def read(self, user: str | None, assistant: str, odds: float | None = None) -> tuple[list[str], list[tuple[bool, ...]]]:
+        """The clauses of the explanation and their features; odds: in place of the model's."""
         body = ANSWER_LINE.sub("", truncation.explanation(assistant)[0])
         parts = clauses(body)
         if not parts:
             return parts, []
-        odds = truncation.margin(self.ends, "assistant", assistant)
+        odds = truncation.margin(self.ends, "assistant", assistant) if odds is None else odds
         return parts, features(parts, self.asked(user), self.vocabulary, self.trigrams, odds, not END.search(parts[-1]) and structured(body))
 
     def coverage(self, user: str | None, assistant: str | None) -> dict[str, float]:
@@ -289,81 +300,100 @@ class Judge:
         return out
 
     def defect(self, user: str | None, assistant: str | None) -> str | None:
-        share = self.coverage(user, assistant)
-        if not share:
-            return "bos"
-        for tag, least, name in DEFECTS:
-            if share.get(tag, 0.0) >= least:
-                return name
-        return None
+        return worst(self.coverage(user, assistant))
 
 
 #: least coverage of a tag that makes the pair defective, in order; an unfinished end is a defect at any length
 DEFECTS = (("refusal", 0.5, "ret"), ("echo", 0.5, "kopya"), ("foreign", 0.6, "yabanci_dil"), ("unfinished", 1e-12, "yarim"))
 
 
+def worst(share: dict[str, float]) -> str | None:
+    if not share:
+        return "bos"
+    for tag, least, name in DEFECTS:
+        if share.get(tag, 0.0) >= least:
+            return name
+    return None
+
+
 def structured(body: str) -> bool:
     last = body.rstrip().rsplit("\n", 1)[-1]
     return any(p.search(last) for p in (truncation.ITEM, truncation.ROW, truncation.VALUE, truncation.REFERENCE, truncation.MARKUP_END))
 
 
-def fit(rows: list[tuple[str | None, str | None]], foreign: list[str] = []) -> Judge:
-    """rows: (user content, assistant content); foreign: texts of other languages, FOREIGN_SEEDS where there are none."""
-    ends = truncation.fit(rows)
-    told = [truncation.explanation(a)[0] for _, a in rows if a]
-    seen = Counter(t for text in told for t in set(words(text)))
-    vocabulary = frozenset(w for w, n in seen.items() if n >= max(3, len(rows) // 200))
-    others = foreign or [s.replace("{}", "") for s in FOREIGN_SEEDS]
-    judge = Judge(ends, vocabulary, Trigrams([u for u, _ in rows if u], others))
-    rng = np.random.default_rng(4)
-    xs: list[list[tuple[bool, ...]]] = []
-    ys: list[list[int]] = []
-    real: list[tuple[int, list[int]]] = []
+def taught(user: str, assistant: str, pool: list[str], rng: np.random.Generator) -> list[tuple[str, int, int | None, range, int, bool]]:
+    """The training responses of a row: (text, tag of its clauses, that of the last one and, at some places, another; whether made of the answer).
+    pool: clauses of other languages."""
+    out: list[tuple[str, int, int | None, range, int, bool]] = []
+    real = True
 
     def add(user: str, response: str, tag: int, last: int | None = None, at: range = range(0), other: int = 0) -> None:
-        """A made response whose clauses have one tag, those at some places and the last one another where given."""
-        parts, x = judge.read(user, response)
-        if x:
-            xs.append(x)
-            ys.append([other if i in at else tag for i in range(len(x) - 1)] + [tag if last is None else last])
+        out.append((response, tag, last, at, other, real))
 
     def framed(text: str) -> str:
         return f"<think>\n{text}\n</think>\n\nDoğru cevap: {'ABCDE'[int(rng.integers(5))]}"
 
+    terms = [w for w in words(user) if len(w) > 5] or ["x"]
+    term = terms[int(rng.integers(len(terms)))]
+    pick = lambda seeds: seeds[int(rng.integers(len(seeds)))].replace("{}", term)
+    wrap = framed if rng.random() < 0.7 else str
+    body = truncation.explanation(assistant)[0].strip()
+    add(user, assistant, 0)
+    first = clauses(body)[:1]
+    for c in first:
+        add(user, framed(" ".join(c.split()[: int(rng.integers(2, 5))]).rstrip(".,;:") + "."), 0)  # short, but complete
+    if len(body) > 60:
+        whole = assistant if rng.random() < 0.5 else f"<think>\n{body}"
+        at = int(rng.integers(30, len(body)))
+        cut = f"<think>\n{body[:at]}" if whole != assistant else framed(body[:at])
+        if body[at - 1].isalnum() and body[at : at + 1].isalnum():  # inside a word: unfinished for certain
+            add(user, cut, 0, 4)
+    own = clauses(body)
+    if len(own) > 2:  # an answer may begin with a sentence of the question or quote one of another language
+        told, asked = " ".join(own), clauses(truncation.option_spans(user)[0])
+        if asked and END.search(asked[0]):
+            add(user, framed(f"{asked[0]} {told}"), 0, at=range(1), other=2)
+        quoted = pool[int(rng.integers(len(pool)))] if pool else pick(FOREIGN_SEEDS)
+        if END.search(own[0]) and END.search(quoted):
+            add(user, framed(f"{own[0]} {quoted} {' '.join(own[1:])}"), 0, at=range(1, 2), other=3)
+    real = False
+    stem = truncation.option_spans(user)[0]
+    add(user, wrap(("Açıklama: " if rng.random() < 0.3 else "") + (stem if rng.random() < 0.6 else user)), 2)
+    add(user, wrap(" ".join([pick(REFUSAL_SEEDS)] + [pick(ADVICE_SEEDS)] * int(rng.integers(2)))), 1)
+    n = int(rng.integers(2, 6))
+    add(user, wrap(" ".join(pool[int(rng.integers(len(pool)))] if pool else pick(FOREIGN_SEEDS) for _ in range(n))), 3)
+    return out
+
+
+def tags(n: int, tag: int, last: int | None, at: range, other: int) -> list[int]:
+    """Of a training response of n clauses."""
+    return [other if i in at else tag for i in range(n - 1)] + [tag if last is None else last]
+
+
+def told_words(texts: Iterable[str | None]) -> Counter[str]:
+    """Responses per word of their explanations."""
+    return Counter(t for a in texts if a for t in set(words(truncation.explanation(a)[0])))
+
+
+def fit(rows: list[tuple[str | None, str | None]], foreign: list[str] = []) -> Judge:
+    """The model of rows (user content, assistant content) in memory; foreign: texts of other languages, FOREIGN_SEEDS where there are none."""
+    vocabulary = frozenset(w for w, n in told_words(a for _, a in rows).items() if n >= max(3, len(rows) // 200))
+    others = foreign or [s.replace("{}", "") for s in FOREIGN_SEEDS]
+    judge = Judge(truncation.fit(rows), vocabulary, Trigrams(Trigrams.counted(u for u, _ in rows if u), Trigrams.counted(others)))
+    rng = np.random.default_rng(4)
+    xs: list[list[tuple[bool, ...]]] = []
+    ys: list[list[int]] = []
+    real: list[tuple[int, list[int]]] = []
     pool = [c for t in foreign for c in clauses(t)]
-    for user, assistant in rows[:TRAIN]:
+    for user, assistant in rows:
         if not user or not assistant:
             continue
-        terms = [w for w in words(user) if len(w) > 5] or ["x"]
-        term = terms[int(rng.integers(len(terms)))]
-        pick = lambda seeds: seeds[int(rng.integers(len(seeds)))].replace("{}", term)
-        wrap = framed if rng.random() < 0.7 else str
-        body = truncation.explanation(assistant)[0].strip()
-        before = len(xs)
-        add(user, assistant, 0)
-        first = clauses(body)[:1]
-        for c in first:
-            add(user, framed(" ".join(c.split()[: int(rng.integers(2, 5))]).rstrip(".,;:") + "."), 0)  # short, but complete
-        if len(body) > 60:
-            whole = assistant if rng.random() < 0.5 else f"<think>\n{body}"
-            at = int(rng.integers(30, len(body)))
-            cut = f"<think>\n{body[:at]}" if whole != assistant else framed(body[:at])
-            if body[at - 1].isalnum() and body[at : at + 1].isalnum():  # inside a word: unfinished for certain
-                add(user, cut, 0, 4)
-        own = clauses(body)
-        if len(own) > 2:  # an answer may begin with a sentence of the question or quote one of another language
-            told, asked = " ".join(own), clauses(truncation.option_spans(user)[0])
-            if asked and END.search(asked[0]):
-                add(user, framed(f"{asked[0]} {told}"), 0, at=range(1), other=2)
-            quoted = pool[int(rng.integers(len(pool)))] if pool else pick(FOREIGN_SEEDS)
-            if END.search(own[0]) and END.search(quoted):
-                add(user, framed(f"{own[0]} {quoted} {' '.join(own[1:])}"), 0, at=range(1, 2), other=3)
-        real += [(i, ys[i]) for i in range(before, len(xs))]
-        stem = truncation.option_spans(user)[0]
-        add(user, wrap(("Açıklama: " if rng.random() < 0.3 else "") + (stem if rng.random() < 0.6 else user)), 2)
-        add(user, wrap(" ".join([pick(REFUSAL_SEEDS)] + [pick(ADVICE_SEEDS)] * int(rng.integers(2)))), 1)
-        n = int(rng.integers(2, 6))
-        add(user, wrap(" ".join(pool[int(rng.integers(len(pool)))] if pool else pick(FOREIGN_SEEDS) for _ in range(n))), 3)
+        for response, *how, own in taught(user, assistant, pool, rng):
+            x = judge.read(user, response)[1]
+            if x:
+                xs.append(x)
+                ys.append(tags(len(x), *how))
+                real += [(len(xs) - 1, ys[-1])] * own
     if xs:
         judge.crf.fit(xs, ys)
         wrong = {i for i, y in real if judge.crf.likelihood(xs[i], y) < DOUBT}
@@ -372,28 +402,161 @@ def fit(rows: list[tuple[str | None, str | None]], foreign: list[str] = []) -> J
     return judge
 
 
-def foreign_sample(texts: DataFrame, size: int = FOREIGN) -> list[str]:
-    """texts(id, text, lang): at most size texts of up to truncation.LONGEST characters labelled en, de, fr or es, by hash of their ids."""
-    known = texts.filter(F.lower("lang").isin("en", "de", "fr", "es") & (F.length("text") <= truncation.LONGEST))
-    n, space = known.count(), 1 << 40
-    hashed = known.select("text", F.pmod(F.xxhash64("id"), F.lit(space)).alias("h"), "id")
-    if n > 2 * size:
-        hashed = hashed.filter(F.col("h") < int(space * (1.3 * size + 100) / n))
-    return [r["text"] for r in hashed.orderBy("h", "id").limit(size).collect()]
+def counted(rows: DataFrame, count: Callable[[list], Counter[str]], least: int = 1) -> Counter[str]:
+    """The sums of count over all rows of one text column; those under least are not sent to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = count([t for t in batch.column(0).to_pylist() if t])
+            yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.string()), pa.array(list(got.values()), pa.int64())], names=["key", "n"])
+
+    sums = rows.mapInArrow(run, "key string, n long").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    return Counter({r["key"]: r["n"] for r in sums.collect()})
+
+
+def packed(x: list[tuple[bool, ...]]) -> list[int]:
+    return [sum(1 << i for i, on in enumerate(f) if on) for f in x]
+
+
+def unpacked(x: np.ndarray) -> np.ndarray:
+    return (np.asarray(x, np.int32)[..., None] >> np.arange(D) & 1).astype(float)
+
+
+SEEN = truncation.PLAN + ", n int, x array<int>, y array<int>, own boolean, sizes array<int>"
+
+
+def sequences(records: DataFrame, foreign: DataFrame, judge: Judge) -> DataFrame:
+    """records(id, turn, user, assistant), foreign(id, text) -> for each response (n = 0), a cut made of it (-1) and its training responses (1 and
+    up) the ending and the features, the odds of its end left open."""
+    shared = records.sparkSession.sparkContext.broadcast(judge)
+    size, texts = records.count(), foreign.count()
+    groups = max(1, size // GROUP, texts // GROUP)
+    copies = min(groups, max(1, math.ceil(CLAUSES * groups / max(1, texts))))
+    place = F.pmod(F.xxhash64("id"), F.lit(groups))
+    left = records.withColumn("g", place).select("g", "id", F.col("turn").cast("int"), "user", "assistant")
+    right = foreign.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(copies - 1)), lambda j: F.pmod(F.xxhash64("id") + j, F.lit(groups)))).alias("g"), "id", "text")
+
+    def run(one: pa.Table, other: pa.Table) -> pa.Table:
+        judge = shared.value
+        pool = [c for _, t in sorted(zip(other.column("id").to_pylist(), other.column("text").to_pylist())) for c in clauses(t)]
+        out = []
+
+        def add(head: tuple, user: str | None, text: str | None, size: bool, n: int, how: list, own: bool) -> None:
+            parts, x = judge.read(user, text, 0.0) if text and n >= 0 else ([], [])
+            got = truncation.ending("assistant", text) or (None, None)
+            y = tags(len(x), *how) if how and x else None
+            if n <= 0 or x:
+                out.append((*head, "assistant", n < 0, truncation.language(text or ""), size, got[0], *(got[1] or truncation.End()), n, packed(x), y, own, [len(c) for c in parts]))
+
+        for i, k, user, text in zip(*(one.column(c).to_pylist() for c in ("id", "turn", "user", "assistant"))):
+            size = len(text or "") >= 40
+            add((i, k), user, text, size, 0, [], False)
+            if size and truncation.ending("assistant", text):
+                cut = truncation.made_cut("assistant", text, f"{i} {k}")
+                if truncation.ending("assistant", cut):
+                    add((i, k), user, cut, True, -1, [], False)
+                    out[-1] = (*out[-1][:4], truncation.language(text), *out[-1][5:])
+            if user and text:
+                for n, (response, *how, own) in enumerate(taught(user, text, pool, np.random.default_rng([4, i & (1 << 63) - 1, k])), 1):
+                    add((i, k), user, response, False, n, how, own)
+        kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64(), "array<int>": pa.list_(pa.int32())}
+        schema = pa.schema([(n, kinds[t]) for n, t in (c.split(" ") for c in SEEN.split(", "))])
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * len(schema), schema.types)], schema=schema)
+
+    return left.groupBy("g").cogroup(right.groupBy("g")).applyInArrow(run, SEEN)
+
+
+def blocks(taught: DataFrame) -> DataFrame:
+    """taught(x, y, count) -> blocks of at most BLOCK padded sequences of like length."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = sorted(zip(*(c.to_pylist() for c in batch.columns)), key=lambda r: len(r[0]))
+            for at in range(0, len(rows), BLOCK):
+                part = rows[at : at + BLOCK]
+                T = max(len(x) for x, _, _ in part)
+                a = np.full((len(part), 2 * T + 1), -1, np.int32)
+                for i, (x, y, n) in enumerate(part):
+                    a[i, : len(x)], a[i, T : T + len(y)], a[i, -1] = x, y, n
+                yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()], pa.binary()), pa.array([T], pa.int32())], names=["b", "t"])
+
+    return materialize(taught.select("x", "y", F.col("count").cast("int")).mapInArrow(run, "b binary, t int"), "pairs-blocks")
+
+
+def climb(crf: Crf, parts: DataFrame, size: int) -> None:
+    """Crf.fit() over blocks()."""
+    shapes = [crf.w.shape, crf.t.shape, crf.s.shape]
+
+    def gradient() -> list[np.ndarray]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for b, T in zip(*(c.to_pylist() for c in batch.columns)):
+                    a = np.frombuffer(b, np.int32).reshape(-1, 2 * T + 1)
+                    mask = (a[:, T:-1] >= 0).astype(float)
+                    g = crf.gradient(unpacked(np.maximum(a[:, :T], 0)) * mask[..., None], np.maximum(a[:, T:-1], 0), mask, a[:, -1].astype(float))
+                    yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([x.ravel() for x in g]).tolist()], pa.list_(pa.float64()))], names=["g"])
+
+        total = np.sum([r["g"] for r in parts.mapInArrow(run, "g array<double>").collect()], axis=0)
+        cuts = np.cumsum([math.prod(x) for x in shapes])[:-1]
+        return [x.reshape(shape) for x, shape in zip(np.split(total, cuts), shapes)]
+
+    crf.climb(gradient, size)
+
+
+def train(crf: Crf, seen: DataFrame) -> None:
+    """seen(x, y, own, count): all training sequences, equal ones once with their number."""
+    size = seen.agg(F.sum("count")).first()[0]
+    if not size:
+        return
+    climb(crf, blocks(seen), size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y, own, n = (c.to_pylist() for c in batch.columns)
+            wrong = [o and crf.likelihood(unpacked(a), b) < DOUBT for a, b, o in zip(x, y, own)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(wrong, pa.bool_())], names=["x", "y", "own", "count", "wrong"])
+
+    judged = materialize(seen.select("x", "y", "own", "count").mapInArrow(run, "x array<int>, y array<int>, own boolean, count long, wrong boolean"), "pairs-doubted")
+    wrong, real = judged.agg(F.sum(F.when(F.col("wrong"), F.col("count"))), F.sum(F.when(F.col("own"), F.col("count")))).first()
+    if (wrong or 0) < 0.5 * (real or 0):
+        climb(crf, blocks(judged.filter(~F.col("wrong"))), size - (wrong or 0))
 
 
 def defects(records: DataFrame, foreign: DataFrame | None = None) -> DataFrame:
     """records(id, user, assistant[, turn]), foreign(id, text, lang) -> (id, turn, defect) of the defective pairs."""
     if "turn" not in records.columns:
         records = records.withColumn("turn", F.lit(0))
-    others = foreign_sample(foreign) if foreign is not None else []
-    model = records.sparkSession.sparkContext.broadcast(fit(truncation.sample_rows(records), others))
+    spark = records.sparkSession
+    if foreign is None:
+        foreign = spark.createDataFrame([], "id long, text string, lang string")
+    others = foreign.filter(F.lower("lang").isin("en", "de", "fr", "es") & F.col("text").isNotNull())
+    known = counted(records.select("assistant"), told_words, max(3, records.count() // 200))
+    other = counted(others.select("text"), Trigrams.counted) or Trigrams.counted(s.replace("{}", "") for s in FOREIGN_SEEDS)
+    judge = Judge(truncation.Ends(), frozenset(known), Trigrams(counted(records.select("user"), Trigrams.counted), other))
+    plan = materialize(sequences(records, others, judge), "pairs-seen")
+    values = truncation.scored(plan, truncation.asked_odds(truncation.asked_of(plan), records), truncation.unit_table(plan.filter("n <= 0"))[1])
+    values = materialize(values.select("id", "turn", "n", "role", "made", "lang", "long", "unit", "x", "y", "own", "sizes", "score"), "pairs-scores")
+    odds = F.when(F.col("unit").isNull(), truncation.CERTAIN).otherwise(F.col("score") - truncation.least_score(truncation.score_thresholds(values)))
+    last = F.element_at("x", -1).bitwiseOR(F.when(odds < 0, 1 << FEATURES.index("cut")).when(odds > FAR, 1 << FEATURES.index("not cut by far")).otherwise(0))
+    seen = values.withColumn("x", F.when(F.size("x") > 0, F.concat(F.slice("x", F.lit(1), F.size("x") - 1), F.array(last))).otherwise(F.col("x")))
+    train(judge.crf, materialize(seen.filter("n > 0").groupBy("x", "y", "own").count(), "pairs-taught"))
+    model = spark.sparkContext.broadcast(judge.crf)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = model.value
+        crf, memo = model.value, {}
         for batch in batches:
-            out = [(i, k, d) for i, k, u, a in zip(*(c.to_pylist() for c in batch.columns)) if (d := judge.defect(u, a))]
+            out = []
+            for i, k, x, sizes in zip(*(c.to_pylist() for c in batch.columns)):
+                key, share = tuple(x), {}
+                if x and key not in memo:
+                    if len(memo) > 20_000:
+                        memo.clear()
+                    memo[key] = crf.viterbi(unpacked(x))
+                for n, tag in zip(sizes, memo[key] if x else []):
+                    share[TAGS[tag]] = share.get(TAGS[tag], 0.0) + n / sum(sizes)
+                if defect := worst(share):
+                    out.append((i, k, defect))
             cols = [pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int32()), pa.array([r[2] for r in out], pa.string())]
             yield pa.RecordBatch.from_arrays(cols, names=["id", "turn", "defect"])
 
-    return records.select("id", F.col("turn").cast("int"), "user", "assistant").mapInArrow(run, "id long, turn int, defect string")
+    return seen.filter("n = 0").select("id", "turn", "x", "sizes").mapInArrow(run, "id long, turn int, defect string")

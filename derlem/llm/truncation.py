@@ -46,7 +46,6 @@ from pyspark.sql import functions as F
 from derlem.llm.overlap import FILTER_BITS, key_bitmap
 from derlem.session import materialize
 
-SAMPLE, LONGEST = 4000, 20_000  # of pairs.py
 ORDERS = (3, 5, 7, 10, 14)
 LEAST = 3
 MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -461,22 +460,6 @@ def is_cut(model: Ends, role: str, text: str | None) -> bool:
     return margin(model, role, text) < 0
 
 
-def sample_rows(records: DataFrame, size: int = SAMPLE) -> list[tuple[str | None, str | None]]:
-    """records(id, user, assistant): at most size rows, those with the smallest hashes of their ids among the rows
-    whose texts have at most LONGEST characters each, so that the driver's share is bounded in bytes, too.
-
-    Hashes that cannot be among the smallest are filtered out first, so that what tasks send to the driver
-    does not grow with their number.
-    """
-    space = 1 << 40
-    records = records.filter(F.length(F.coalesce("user", F.lit(""))) <= LONGEST).filter(F.length(F.coalesce("assistant", F.lit(""))) <= LONGEST)
-    n = records.count()
-    hashed = records.select("user", "assistant", F.pmod(F.xxhash64("id"), F.lit(space)).alias("h"), "id")
-    if n > 2 * size:
-        hashed = hashed.filter(F.col("h") < int(space * (1.3 * size + 100) / n))
-    return [(r["user"], r["assistant"]) for r in hashed.orderBy("h", "id").limit(size).collect()]
-
-
 PLAN = "id long, turn int, role string, made boolean, lang string, long boolean, unit string, fixed double, word string, free boolean, kind string, rest string"
 
 

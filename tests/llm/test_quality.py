@@ -362,3 +362,27 @@ def test_all_documents_teach_terms(spark, monkeypatch):
     other = spark.createDataFrame([(100 + i, doc("kalp debisi ve lentor", "tidal volüm ve lentor", "vital kapasite ve lentor") + f" Sayı {i}.") for i in range(30)], df.schema)
     n = subjects.with_labels(df, some).count()
     assert ("lentor", "fizyoloji") in subjects.table_vocabulary(df.unionByName(other), subjects.with_labels(df, some), n)
+
+
+def test_all_rows_make_the_pair_model(spark, dialogues, monkeypatch):
+    """The model of a table is of all its rows; fitted over blocks of equal sequences it is that of the rows in memory."""
+    monkeypatch.setattr(truncation, "SAMPLE", 12, raising=False)
+    told = [(i, u, a) for i, (_, u, a) in enumerate(dialogues[:600])]
+    judge = pairs.fit([(u, a) for _, u, a in told])
+    want = {(i, d) for i, u, a in told if (d := judge.defect(u, a))}
+    got = {(i, d) for i, _, d in rows(pairs.defects(spark.createDataFrame(told, "id long, user string, assistant string")))}
+    assert len(want) > 20 and len(want ^ got) <= 0.05 * len(want)
+
+
+def test_crf_over_blocks(spark):
+    xs = [[tuple(bool((i * 7 + j * 3 + d) % 5 == 0) for d in range(pairs.D)) for j in range(1 + i % 4)] for i in range(40)]
+    ys = [[(i + j) % pairs.K for j in range(len(x))] for i, x in enumerate(xs)]
+    want = pairs.Crf().fit(xs + xs[:9], ys + ys[:9], rounds=3)
+    df = spark.createDataFrame([(pairs.packed(x), y, 2 if i < 9 else 1) for i, (x, y) in enumerate(zip(xs, ys))], "x array<int>, y array<int>, count long").repartition(3)
+    got = pairs.Crf()
+    monkey, pairs.Crf.climb = pairs.Crf.climb, lambda self, g, n: monkey(self, g, n, rounds=3)
+    try:
+        pairs.climb(got, pairs.blocks(df), 49)
+    finally:
+        pairs.Crf.climb = monkey
+    assert abs(got.w - want.w).max() < 1e-6 and abs(got.t - want.t).max() < 1e-6 and abs(got.s - want.s).max() < 1e-6
