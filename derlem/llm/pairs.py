@@ -8,7 +8,7 @@ odds of truncation.py that the response ends where it does. The shares of the ta
 characters decide the pair's defect, and nothing but them.
 
 The CRF is fitted on all rows and on the texts of known other languages, by gradients summed over blocks of a table in
-which equal sequences are one with their number; vocabulary, trigrams and odds of ends are counted over all rows, too. What a training sequence is called does not come from its features: a
+which equal sequences are one with their number, and equal clauses of a block, too. Few blocks are summed in the driver, many by a job a gradient. vocabulary, trigrams and odds of ends are counted over all rows, too. What a training sequence is called does not come from its features: a
 question put as the response is an echo, a response cut at a random place ends unfinished, a text of another
 language is foreign, a sentence that declines a refusal. Responses as they are count as answers in a first
 fit; a second one leaves those out of whose tags the first is not sure (DOUBT). All rows are judged.
@@ -23,7 +23,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
-from typing import NamedTuple
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,8 @@ from derlem.llm.words import WORD, fold, words
 from derlem.session import materialize
 
 GROUP, CLAUSES = 1000, 50  # records that share foreign documents, and about how many of these
-BLOCK = 2000
+BLOCK, PART = 20_000, 50_000  # places of a block of sequences; sequences of a partition of blocks
+HELD = 1 << 22  # blocks of so many bytes in all are summed in the driver
 TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 BREAK = re.compile(r"(?<=[.!?…;])[\"'”’)*_~]*\s+|\s*[\r\n]+\s*")
 OPENER = re.compile(r"^\W*(?:merhaba|selam|açıklama|aciklama|yanıt|cevap|soru|çözüm|gerekçe|tabii|elbette|hello|answer|explanation|question)\s*(?:[:.,!\-–]\s+|\n)", re.I)
@@ -78,6 +79,9 @@ FEATURES = (
     "cut", "not cut by far",
 )
 D, K = len(FEATURES), len(TAGS)
+AT = {name: 1 << i for i, name in enumerate(FEATURES)}
+ECHO_05, ECHO_07 = AT["echo<0.5"], AT["echo>=0.7"]
+ECHO_09 = ECHO_07 | AT["echo>=0.9"]
 FAR = 3.0
 DOUBT = math.log(0.8)
 
@@ -114,46 +118,76 @@ class Trigrams:
         return total / n if n else 0.0
 
 
+def bits(on: Iterable[tuple[str, bool]]) -> int:
+    return sum(AT[name] for name, is_on in on if is_on)
+
+
 def plain(text: str) -> str:
     """Without line-end hyphens and the commonest markup."""
     if "\n" in text:
-        text = truncation.BREAK.sub(r"\1", text)
+        text = truncation.joined(text)
     return MARKUP.sub(" ", text) if SIGN.search(text) else text
 
 
 def clauses(text: str) -> list[str]:
     text = plain(text)
     for _ in range(2):
-        text = OPENER.sub("", text, count=1)
-    return [c for c in BREAK.split(text) if c and re.search(r"\w", c)]
+        if opener := OPENER.match(text):
+            text = text[opener.end() :]
+    return [c for c in BREAK.split(text) if c and truncation.LETTER.search(c)]
 
 
-def features(parts: list[str], asked: Question, vocabulary: frozenset[str], trigrams: Trigrams, odds: float, structured: bool = False) -> list[tuple[bool, ...]]:
-    """One tuple per clause. odds: log odds of the response's end less their threshold; structured: the text ends
-    with a list item, row, value or reference."""
-    out = []
-    body = fold("\n".join(parts))
-    declines, advises = any([p in body for p in REFUSAL_PARTS]), any([p in body for p in ADVICE_PARTS])
-    split = [WORD.findall(f) for f in body.split("\n")]
-    question = asked.words
-    echoes = [sum([t in question for t in w]) / max(1, len(w)) if question else 0.0 for w in split]
-    again = 0.0  # of a question that no clause repeats, nothing is repeated
-    if max(echoes) >= 0.7:
-        stem = frozenset(words(plain(truncation.option_spans(asked.text)[0])))
-        again = len(stem.intersection(set().union(*split))) / len(stem) if stem else 0.0
-    end = len(parts) - 1
-    for i, (c, f, w, echo) in enumerate(zip(parts, body.split("\n"), split, echoes)):
+def without_answer(body: str) -> str:
+    """Without ANSWER_LINE, whose words are among the last three."""
+    tail = body.rstrip()[-60:].casefold()
+    return ANSWER_LINE.sub("", body) if "cevap" in tail or "answer" in tail or len(tail.split()) < 4 else body
+
+
+class Clause:
+    """What a clause's features have of the clause alone."""
+
+    def __init__(self, text: str, vocabulary: frozenset[str], trigrams: Trigrams):
+        self.folded = fold(text)
+        self.words = w = WORD.findall(self.folded)
+        self.declines, self.advises = any([p in self.folded for p in REFUSAL_PARTS]), any([p in self.folded for p in ADVICE_PARTS])
+        self.said: tuple[bool, bool] | None = None
         n = max(1, len(w))
         foreign = sum([t in FOREIGN_WORDS for t in w])
-        turkish = sum([t in TURKISH_WORDS for t in w]) + len(TURKISH_LETTERS.findall(c))
+        turkish = sum([t in TURKISH_WORDS for t in w]) + len(TURKISH_LETTERS.findall(text))
         known = sum([t in vocabulary for t in w]) / n
         strange = trigrams(w)
-        last = i == end
-        out.append((
-            True, echo >= 0.9, echo >= 0.7, echo < 0.5, foreign >= 2, foreign >= 4, turkish == 0, turkish >= 2, known >= 0.5, known < 0.2,
-            declines and bool(REFUSAL.search(f)), advises and bool(ADVICE.search(f)), i == 0, last, last and not structured and not END.search(c), n <= 3,
-            again >= 0.4, again >= 0.6, strange > 0.3, strange < -0.3, last and odds < 0, last and odds > FAR,
+        self.open = not END.search(text)
+        self.bits = bits((
+            ("bias", True), ("foreign>=2", foreign >= 2), ("foreign>=4", foreign >= 4), ("no turkish", turkish == 0), ("turkish", turkish >= 2), ("vocabulary>=0.5", known >= 0.5),
+            ("vocabulary<0.2", known < 0.2), ("short", n <= 3), ("trigrams foreign", strange > 0.3), ("trigrams turkish", strange < -0.3),
         ))
+
+    def phrases(self) -> tuple[bool, bool]:
+        if self.said is None:
+            self.said = bool(REFUSAL.search(self.folded)), bool(ADVICE.search(self.folded))
+        return self.said
+
+
+def features(parts: list[Clause], asked: Question, odds: float, structured: bool = False) -> list[int]:
+    """One number per clause, with a bit for each of FEATURES. odds: log odds of the response's end less their threshold; structured: the text ends
+    with a list item, row, value or reference."""
+    out = []
+    declines, advises = any([c.declines for c in parts]), any([c.advises for c in parts])
+    question = asked.words
+    echoes = [sum([t in question for t in c.words]) / max(1, len(c.words)) if question else 0.0 for c in parts]
+    again = 0.0  # of a question that no clause repeats, nothing is repeated
+    if max(echoes) >= 0.7:
+        stem = asked.stem
+        again = len(stem.intersection(set().union(*(c.words for c in parts)))) / len(stem) if stem else 0.0
+    repeats = AT["repeats>=0.4"] * (again >= 0.4) | AT["repeats>=0.6"] * (again >= 0.6)
+    for c, echo in zip(parts, echoes):
+        x = c.bits | repeats | (ECHO_09 if echo >= 0.9 else ECHO_07 if echo >= 0.7 else ECHO_05 if echo < 0.5 else 0)
+        if declines or advises:
+            refuses, offers = c.phrases()
+            x |= AT["refusal"] * (declines and refuses) | AT["advice"] * (advises and offers)
+        out.append(x)
+    out[0] |= AT["first"]
+    out[-1] |= AT["last"] | AT["no end"] * (not structured and parts[-1].open) | AT["cut"] * (odds < 0) | AT["not cut by far"] * (odds > FAR)
     return out
 
 
@@ -267,9 +301,14 @@ FOREIGN_SEEDS = (
 )
 
 
-class Question(NamedTuple):
-    text: str
-    words: frozenset[str]
+class Question:
+    def __init__(self, text: str | None):
+        self.text = text or ""
+        self.words = frozenset(words(plain(text))) if text else frozenset()
+
+    @cached_property
+    def stem(self) -> frozenset[str]:
+        return frozenset(words(plain(truncation.option_spans(self.text)[0])))
 
 
 class Judge:
@@ -277,25 +316,39 @@ class Judge:
 
     def __init__(self, ends: truncation.Ends, vocabulary: frozenset[str], trigrams: Trigrams):
         self.ends, self.vocabulary, self.trigrams, self.crf = ends, vocabulary, trigrams, Crf()
+        self.memo: dict[str, Clause] = {}
+        self.last: tuple[str | None, Question] = None, Question(None)
 
     def asked(self, user: str | None) -> Question:
-        return Question(user or "", frozenset(words(plain(user))) if user else frozenset())
+        """A row's question is read once for all of its responses."""
+        if self.last[0] != user:
+            self.last = user, Question(user)
+        return self.last[1]
+
+    def clause(self, text: str) -> Clause:
+        got = self.memo.get(text)
+        if got is None:
+            if len(self.memo) > 20_000:
+                self.memo.clear()
+            got = self.memo[text] = Clause(text, self.vocabulary, self.trigrams)
+        return got
 
-    def read(self, user: str | None, assistant: str, odds: float | None = None) -> tuple[list[str], list[tuple[bool, ...]]]:
+    def read(self, user: str | None, assistant: str, odds: float | None = None) -> tuple[list[str], list[int]]:
         """The clauses of the explanation and their features; odds: in place of the model's."""
-        body = ANSWER_LINE.sub("", truncation.explanation(assistant)[0])
+        body = without_answer(truncation.explanation(assistant)[0])
         parts = clauses(body)
         if not parts:
             return parts, []
         odds = truncation.margin(self.ends, "assistant", assistant) if odds is None else odds
-        return parts, features(parts, self.asked(user), self.vocabulary, self.trigrams, odds, not END.search(parts[-1]) and structured(body))
+        found = [self.clause(c) for c in parts]
+        return parts, features(found, self.asked(user), odds, found[-1].open and structured(body))
 
     def coverage(self, user: str | None, assistant: str | None) -> dict[str, float]:
         """Share of each tag in the explanation's characters; empty without a clause."""
         parts, seen = self.read(user, assistant) if assistant else ([], [])
         size = sum(map(len, parts))
         out: dict[str, float] = {}
-        for c, k in zip(parts, self.crf.tag(seen) if seen else []):
+        for c, k in zip(parts, self.crf.tag(list(map(tuple, unpacked(seen)))) if seen else []):
             out[TAGS[k]] = out.get(TAGS[k], 0.0) + len(c) / size
         return out
 
@@ -339,8 +392,8 @@ def taught(user: str, assistant: str, pool: list[str], rng: np.random.Generator)
     wrap = framed if rng.random() < 0.7 else str
     body = truncation.explanation(assistant)[0].strip()
     add(user, assistant, 0)
-    first = clauses(body)[:1]
-    for c in first:
+    own, (stem, _) = clauses(body), truncation.option_spans(user)
+    for c in own[:1]:
         add(user, framed(" ".join(c.split()[: int(rng.integers(2, 5))]).rstrip(".,;:") + "."), 0)  # short, but complete
     if len(body) > 60:
         whole = assistant if rng.random() < 0.5 else f"<think>\n{body}"
@@ -348,16 +401,14 @@ def taught(user: str, assistant: str, pool: list[str], rng: np.random.Generator)
         cut = f"<think>\n{body[:at]}" if whole != assistant else framed(body[:at])
         if body[at - 1].isalnum() and body[at : at + 1].isalnum():  # inside a word: unfinished for certain
             add(user, cut, 0, 4)
-    own = clauses(body)
     if len(own) > 2:  # an answer may begin with a sentence of the question or quote one of another language
-        told, asked = " ".join(own), clauses(truncation.option_spans(user)[0])
+        told, asked = " ".join(own), clauses(stem)
         if asked and END.search(asked[0]):
             add(user, framed(f"{asked[0]} {told}"), 0, at=range(1), other=2)
         quoted = pool[int(rng.integers(len(pool)))] if pool else pick(FOREIGN_SEEDS)
         if END.search(own[0]) and END.search(quoted):
             add(user, framed(f"{own[0]} {quoted} {' '.join(own[1:])}"), 0, at=range(1, 2), other=3)
     real = False
-    stem = truncation.option_spans(user)[0]
     add(user, wrap(("Açıklama: " if rng.random() < 0.3 else "") + (stem if rng.random() < 0.6 else user)), 2)
     add(user, wrap(" ".join([pick(REFUSAL_SEEDS)] + [pick(ADVICE_SEEDS)] * int(rng.integers(2)))), 1)
     n = int(rng.integers(2, 6))
@@ -391,7 +442,7 @@ def fit(rows: list[tuple[str | None, str | None]], foreign: list[str] = []) -> J
         for response, *how, own in taught(user, assistant, pool, rng):
             x = judge.read(user, response)[1]
             if x:
-                xs.append(x)
+                xs.append(list(map(tuple, unpacked(x))))
                 ys.append(tags(len(x), *how))
                 real += [(len(xs) - 1, ys[-1])] * own
     if xs:
@@ -439,14 +490,21 @@ def sequences(records: DataFrame, foreign: DataFrame, judge: Judge) -> DataFrame
     def run(one: pa.Table, other: pa.Table) -> pa.Table:
         judge = shared.value
         pool = [c for _, t in sorted(zip(other.column("id").to_pylist(), other.column("text").to_pylist())) for c in clauses(t)]
-        out = []
+        out, last, real = [], [], []
 
-        def add(head: tuple, user: str | None, text: str | None, size: bool, n: int, how: list, own: bool) -> None:
+        def seen(user: str | None, text: str | None, n: int) -> tuple:
             parts, x = judge.read(user, text, 0.0) if text and n >= 0 else ([], [])
-            got = truncation.ending("assistant", text) or (None, None)
+            return [len(c) for c in parts], x, truncation.ending("assistant", text) or (None, None), truncation.language(text or "")
+
+        def add(head: tuple, user: str | None, text: str | None, size: bool, n: int, how: list, own: bool) -> None:
+            if n != 1:  # the first training response is the row's own, which has been seen
+                last[:] = seen(user, text, n)
+            sizes, x, got, lang = last if n != 1 else real
+            if n == 0:
+                real[:] = last
             y = tags(len(x), *how) if how and x else None
             if n <= 0 or x:
-                out.append((*head, "assistant", n < 0, truncation.language(text or ""), size, got[0], *(got[1] or truncation.End()), n, packed(x), y, own, [len(c) for c in parts]))
+                out.append((*head, "assistant", n < 0, lang, size, got[0], *(got[1] or truncation.End()), n, x, y, own, sizes))
 
         for i, k, user, text in zip(*(one.column(c).to_pylist() for c in ("id", "turn", "user", "assistant"))):
             size = len(text or "") >= 40
@@ -455,7 +513,7 @@ def sequences(records: DataFrame, foreign: DataFrame, judge: Judge) -> DataFrame
                 cut = truncation.made_cut("assistant", text, f"{i} {k}")
                 if truncation.ending("assistant", cut):
                     add((i, k), user, cut, True, -1, [], False)
-                    out[-1] = (*out[-1][:4], truncation.language(text), *out[-1][5:])
+                    out[-1] = (*out[-1][:4], real[3], *out[-1][5:])
             if user and text:
                 for n, (response, *how, own) in enumerate(taught(user, text, pool, np.random.default_rng([4, i & (1 << 63) - 1, k])), 1):
                     add((i, k), user, response, False, n, how, own)
@@ -466,43 +524,139 @@ def sequences(records: DataFrame, foreign: DataFrame, judge: Judge) -> DataFrame
     return left.groupBy("g").cogroup(right.groupBy("g")).applyInArrow(run, SEEN)
 
 
+BLOCKS = "x binary, at binary, n binary, t int, gold array<double>"
+
+
+def block(rows: list[tuple[list[int], list[int], int]]) -> tuple:
+    """(x, y, number) of sequences of like length -> the distinct clauses, each sequence's places among them (-1: over), the numbers, the length, and
+    the part of the gradient that no weight changes."""
+    T = max(len(x) for x, _, _ in rows)
+    seqs, y, number = np.full((len(rows), T), -1, np.int32), np.zeros((len(rows), T), int), np.array([n for _, _, n in rows], float)
+    for i, (a, b, _) in enumerate(rows):
+        seqs[i, : len(a)], y[i, : len(b)] = a, b
+    live = seqs >= 0
+    distinct = np.unique(seqs[live])
+    at = np.where(live, np.searchsorted(distinct, seqs), -1).astype(np.int32)
+    weight = number[:, None] * live
+    counts = np.bincount((at * K + y)[live], weight[live], len(distinct) * K).reshape(-1, K)
+    moves = np.bincount((y[:, :-1] * K + y[:, 1:])[live[:, 1:]], weight[:, 1:][live[:, 1:]], K * K)
+    gold = np.concatenate([(unpacked(distinct).T @ counts).ravel(), moves, np.bincount(y[:, 0], number, K)])
+    return distinct.tobytes(), at.tobytes(), number.tobytes(), T, gold.tolist()
+
+
+def expected(crf: Crf, x: bytes, at: bytes, n: bytes, T: int) -> np.ndarray:
+    """The other part: what the weights expect of a block, by forward-backward with each place scaled."""
+    clauses_, number = unpacked(np.frombuffer(x, np.int32)), np.frombuffer(n, float)
+    e = clauses_ @ crf.w
+    e, move, start = np.exp(e - e.max(1, keepdims=True)), np.exp(crf.t - crf.t.max()), np.exp(crf.s - crf.s.max())
+    places = np.ascontiguousarray(np.frombuffer(at, np.int32).reshape(-1, T).T)
+    live, places = places >= 0, np.maximum(places, 0)
+    e = e[places]
+    a, p = np.empty_like(e), np.empty_like(e)
+    a[0] = start * e[0]
+    a[0] /= a[0].sum(1, keepdims=True)
+    for t in range(1, T):
+        np.multiply(a[t - 1] @ move, e[t], out=a[t])
+        a[t] /= a[t].sum(1, keepdims=True)
+    b, pair = np.ones(e.shape[1:]), np.zeros((K, K))
+    for t in range(T - 1, -1, -1):
+        if t < T - 1:
+            ahead = e[t + 1] * b
+            b = ahead @ move.T
+            weight = np.where(live[t + 1], number / (a[t] * b).sum(1), 0.0)
+            pair += (a[t] * weight[:, None]).T @ ahead
+            b = np.where(live[t + 1, :, None], b / b.max(1, keepdims=True), 1.0)
+        np.multiply(a[t], b, out=p[t])
+        p[t] *= (number * live[t] / p[t].sum(1))[:, None]
+    counts = np.stack([np.bincount(places.ravel(), p[..., k].ravel(), len(clauses_)) for k in range(K)], axis=1)
+    return np.concatenate([(clauses_.T @ counts).ravel(), (pair * move).ravel(), p[0].sum(0)])
+
+
 def blocks(taught: DataFrame) -> DataFrame:
-    """taught(x, y, count) -> blocks of at most BLOCK padded sequences of like length."""
+    """taught(x, y, count) -> blocks of about BLOCK places of sequences of like length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = sorted(zip(*(c.to_pylist() for c in batch.columns)), key=lambda r: len(r[0]))
-            for at in range(0, len(rows), BLOCK):
-                part = rows[at : at + BLOCK]
-                T = max(len(x) for x, _, _ in part)
-                a = np.full((len(part), 2 * T + 1), -1, np.int32)
-                for i, (x, y, n) in enumerate(part):
-                    a[i, : len(x)], a[i, T : T + len(y)], a[i, -1] = x, y, n
-                yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()], pa.binary()), pa.array([T], pa.int32())], names=["b", "t"])
+        held: dict[int, list] = {}  # by length up to an eighth
 
-    return materialize(taught.select("x", "y", F.col("count").cast("int")).mapInArrow(run, "b binary, t int"), "pairs-blocks")
+        def out(rows: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(block(rows), types)], names=["x", "at", "n", "t", "gold"])
+
+        types, full = (pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.list_(pa.float64())), 0
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                size = len(row[0])
+                step = 1 << max(0, size.bit_length() - 4)
+                key = -(-size // step) * step
+                held.setdefault(key, []).append(row)
+                full += size
+                if len(held[key]) * key >= BLOCK:
+                    full -= sum(len(r[0]) for r in held[key])
+                    yield out(held.pop(key))
+            if full > 20 * BLOCK:
+                yield from map(out, held.values())
+                held, full = {}, 0
+        yield from map(out, held.values())
+
+    few = taught.coalesce(max(1, math.ceil(taught.count() / PART)))
+    return materialize(few.select("x", "y", F.col("count").cast("int")).mapInArrow(run, BLOCKS), "pairs-blocks")
 
 
 def climb(crf: Crf, parts: DataFrame, size: int) -> None:
     """Crf.fit() over blocks()."""
     shapes = [crf.w.shape, crf.t.shape, crf.s.shape]
+    gold = np.zeros(sum(map(math.prod, shapes)))
+    for r in parts.mapInArrow(sums_of(lambda gold, **_: np.array(gold)), "g array<double>").collect():
+        gold += r["g"]
+    size_held = parts.agg(F.sum(F.length("at") + F.length("x"))).first()[0] or 0
+    held = [tuple(r)[:4] for r in parts.collect()] if size_held <= HELD else None
 
     def gradient() -> list[np.ndarray]:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for b, T in zip(*(c.to_pylist() for c in batch.columns)):
-                    a = np.frombuffer(b, np.int32).reshape(-1, 2 * T + 1)
-                    mask = (a[:, T:-1] >= 0).astype(float)
-                    g = crf.gradient(unpacked(np.maximum(a[:, :T], 0)) * mask[..., None], np.maximum(a[:, T:-1], 0), mask, a[:, -1].astype(float))
-                    yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([x.ravel() for x in g]).tolist()], pa.list_(pa.float64()))], names=["g"])
-
-        total = np.sum([r["g"] for r in parts.mapInArrow(run, "g array<double>").collect()], axis=0)
+        if held is None:
+            got = [r["g"] for r in parts.mapInArrow(sums_of(lambda x, at, n, t, **_: expected(crf, x, at, n, t)), "g array<double>").collect()]
+        else:
+            got = [expected(crf, *b) for b in held]
         cuts = np.cumsum([math.prod(x) for x in shapes])[:-1]
-        return [x.reshape(shape) for x, shape in zip(np.split(total, cuts), shapes)]
+        return [x.reshape(shape) for x, shape in zip(np.split(gold - np.sum(got, axis=0), cuts), shapes)]
 
     crf.climb(gradient, size)
 
 
+def sums_of(of: Callable[..., np.ndarray]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For mapInArrow over blocks: the sum of a partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = 0
+        for batch in batches:
+            for x, at, n, t, gold in zip(*(c.to_pylist() for c in batch.columns)):
+                total = total + of(x=x, at=at, n=n, t=t, gold=gold)
+        if not isinstance(total, int):
+            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], names=["g"])
+
+    return run
+
+
+def likelihoods(crf: Crf, xs: list[list[int]], ys: list[list[int]]) -> np.ndarray:
+    """Crf.likelihood() of many sequences; those of like length run together."""
+    out, order = np.zeros(len(xs)), sorted(range(len(xs)), key=lambda i: len(xs[i]))
+    for at in range(0, len(order), 500):
+        part = order[at : at + 500]
+        size = np.array([len(xs[i]) for i in part])
+        x, y = np.zeros((len(part), size[-1]), np.int32), np.zeros((len(part), size[-1]), int)
+        for j, i in enumerate(part):
+            x[j, : size[j]], y[j, : size[j]] = xs[i], ys[i]
+        e, rows = unpacked(x) @ crf.w, np.arange(len(part))
+        a, path = crf.s + e[:, 0], crf.s[y[:, 0]] + e[rows, 0, y[:, 0]]
+        for t in range(1, size[-1]):
+            m = a[:, :, None] + crf.t
+            top = m.max(1)
+            live = t < size
+            a = np.where(live[:, None], top + np.log(np.exp(m - top[:, None]).sum(1)) + e[:, t], a)
+            path += np.where(live, crf.t[y[:, t - 1], y[:, t]] + e[rows, t, y[:, t]], 0.0)
+        top = a.max(1)
+        out[part] = (path - top - np.log(np.exp(a - top[:, None]).sum(1))) / size
+    return out
+
+
 def train(crf: Crf, seen: DataFrame) -> None:
     """seen(x, y, own, count): all training sequences, equal ones once with their number."""
     size = seen.agg(F.sum("count")).first()[0]
@@ -513,7 +667,8 @@ def train(crf: Crf, seen: DataFrame) -> None:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y, own, n = (c.to_pylist() for c in batch.columns)
-            wrong = [o and crf.likelihood(unpacked(a), b) < DOUBT for a, b, o in zip(x, y, own)]
+            wrong, at = np.zeros(len(x), bool), [i for i, o in enumerate(own) if o]
+            wrong[at] = likelihoods(crf, [x[i] for i in at], [y[i] for i in at]) < DOUBT
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(wrong, pa.bool_())], names=["x", "y", "own", "count", "wrong"])
 
     judged = materialize(seen.select("x", "y", "own", "count").mapInArrow(run, "x array<int>, y array<int>, own boolean, count long, wrong boolean"), "pairs-doubted")

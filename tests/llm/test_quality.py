@@ -386,3 +386,26 @@ def test_crf_over_blocks(spark):
     finally:
         pairs.Crf.climb = monkey
     assert abs(got.w - want.w).max() < 1e-6 and abs(got.t - want.t).max() < 1e-6 and abs(got.s - want.s).max() < 1e-6
+
+
+def test_gradients_of_few_blocks_take_no_job_each(spark, monkeypatch):
+    """What few blocks hold is summed in the driver, with the result of a job a gradient, as many blocks need."""
+    xs = [[(i * 7 + j * 3) % 5 + 8 * (i % 3) for j in range(1 + i % 40)] for i in range(90)]
+    seen = [(x, [(i + j) % pairs.K for j in range(len(x))], i % 2 == 0, 1 + i % 4) for i, x in enumerate(xs)]
+    df = spark.createDataFrame(seen, "x array<int>, y array<int>, own boolean, count long").repartition(3)
+    got = pairs.Crf()
+    spark.sparkContext.setJobGroup("few blocks", "")
+    try:
+        pairs.train(got, df)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert abs(got.w).max() > 0.1 and len(spark.sparkContext.statusTracker().getJobIdsForGroup("few blocks")) < 30
+    climb, few = pairs.Crf.climb, []
+    monkeypatch.setattr(pairs.Crf, "climb", lambda self, g, n: climb(self, g, n, rounds=2))
+    for size in (1 << 22, 0):
+        monkeypatch.setattr(pairs, "HELD", size, raising=False)
+        few.append(pairs.Crf())
+        pairs.climb(few[-1], pairs.blocks(df), 90)
+    assert abs(few[0].w - few[1].w).max() < 1e-9 and abs(few[0].t - few[1].t).max() < 1e-9
+    want = [few[0].likelihood(pairs.unpacked(x), y) for x, y, _, _ in seen]
+    assert abs(pairs.likelihoods(few[0], *([r[k] for r in seen] for k in (0, 1))) - want).max() < 1e-9
