@@ -53,7 +53,7 @@ MULT = np.uint64(0x9E3779B97F4A7C15)
 FRAME_OPEN, FRAME_CLOSE = "<think>", "</think>"
 ANSWER = re.compile(r"^\s*(?:do[ğg]ru\s+cevap|correct answer|cevap|answer|richtige antwort|bonne réponse|respuesta correcta)\s*[:.]?\s*(?:\(?[a-e]\b.*)?\s*$", re.I | re.S)
 CLOSERS = " \t\r\n\xa0\u200b\"'”’»)*_~`]"
-TERMINAL = re.compile(r"[.?!…]$")
+TERMINAL = tuple(".?!…")
 ORDINAL = re.compile(r"(?:^|\s)(?:[%#]?\d{1,4}|bkz|örn|no|dr|prof|vs|sf)\.$", re.I)
 MARKUP_END = re.compile(r"(?:</?[A-Za-z][A-Za-z0-9]*\s*/?>|-->|\|\}|\}\}|\]\]|\\end\{[a-z]+\*?\}|`[^`\n]+`|```|\$\$?|={2,}|-{3,}|&[A-Za-z]+;|\\\\|\\\)|\}|''|\]\([^()\n]*\)|\.(?:png|jpg|md))\s*$")
 ITEM = re.compile(r"^\s*(?:[•*+\-–]|\d{1,2}[.)]|[a-e]\s*[).]|<li\b[^>]*>|\\item\b)\s*\S|(?:\b\d\)\s*\S[^.]*){2,}$", re.I)
@@ -63,7 +63,7 @@ REFERENCE = re.compile(r"(?:^|\b)(?:sayfa|bölüm|bolum|s\.|page|seite|página|k
 DOSE = re.compile(r"\b0+ mg \w+$")
 PAGE_LINE = re.compile(r"^\W*(?:sayfa|s\.)?\s*\d{1,4}\W*(?:/\s*\d{1,4}\W*)?$", re.I)
 
-OPTION_START = re.compile(r"(?:^|(?<=[\s>(\"]))\(?([A-Ea-e])\s*(?:[).](?=\s|\xa0)|-(?=[\s\xa0]))\s*")
+OPTION_START = re.compile(r"([A-Ea-e])\s*(?:[).](?=\s|\xa0)|-(?=[\s\xa0]))\s*")
 BREAK = re.compile(r"(\w)[-‑\u00ad¬=–‐][ \t\r]*\n\s*(?=\w)")
 BROKEN = re.compile(r"[-‑\u00ad¬=–‐][ \t\r]*\n")
 SPACE = re.compile(r"\s+")
@@ -88,11 +88,13 @@ SALT = {(kind, order): (0xD1B54A32D192ED03 * (16 * i + order + 1)) & ((1 << 64)
 
 def hashes(codes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """For each order, a 64-bit hash of the order characters before each position p >= order, read backwards."""
-    n, h = len(codes), np.zeros(len(codes) + 1, np.uint64)
+    n, h, shifted = len(codes), np.zeros(len(codes) + 1, np.uint64), np.empty(len(codes), np.uint64)
     wide = codes.astype(np.uint64)
     for k in range(min(n, ORDERS[-1])):
-        h = (h[1:] ^ wide[: n - k]) * MULT
-        h ^= h >> np.uint64(31)
+        h = h[1:]  # in place: what is read is not behind what is written
+        h ^= wide[: n - k]
+        h *= MULT
+        h ^= np.right_shift(h, np.uint64(31), out=shifted[: n - k])
         if k + 1 in ORDERS:
             yield k + 1, h
 
@@ -115,6 +117,7 @@ KNOWN = 7
 CLEAR = 8.0
 FEW = 100  # a threshold of its own needs so many values
 DIGITS = 3
+MOST = 1 << 20  # counts that a task holds before it passes them on; more are merged or passed on in parts
 
 
 class Ends:
@@ -173,8 +176,20 @@ def both(a: float, b: float) -> float:
 TURKISH = re.compile(r"[çğışöüı]|\b(?:ve|ile|bir|bu|olarak)\b", re.I)
 
 
+#: what TURKISH finds, faster: letters, the commonest first, and words without one of them (in bir and ile a letter is found already)
+TURKISH_LETTERS = "iıIüşğöçİÜŞĞÖÇ"
+TURKISH_WORDS = re.compile(r"[VvBbOo](?<!\w.)(?:(?<=[Vv])[Ee]|(?<=[Bb])[Uu]|(?<=[Oo])[Ll][Aa][Rr][Aa][Kk\u212a])\b", re.S)
+
+
 def language(text: str) -> str:
-    return "tr" if len(TURKISH.findall(text[-400:])) * 40 >= min(400, len(text)) else "other"
+    """"tr" where TURKISH is found once or more in 40 characters of the text's end."""
+    tail, n = text[-400:], 0
+    least = len(tail)
+    for c in TURKISH_LETTERS:
+        n += tail.count(c)
+        if n * 40 >= least:
+            return "tr"
+    return "tr" if (n + len(TURKISH_WORDS.findall(tail))) * 40 >= least else "other"
 
 
 def explanation(text: str) -> tuple[str, str | None]:
@@ -187,18 +202,26 @@ def explanation(text: str) -> tuple[str, str | None]:
 
 def option_spans(text: str) -> tuple[str, list[tuple[str, str]]]:
     """(stem, (letter, option text) in order of appearance), on lines or run on."""
-    found = list(OPTION_START.finditer(text))
+    found = [(m, at) for m in OPTION_START.finditer(text) if (at := option_at(text, m.start())) is not None]
     if not found:
         return text, []
-    ends = [m.start() for m in found[1:]] + [len(text)]
-    return text[: found[0].start()], [(m[1].upper(), text[m.end() : e]) for m, e in zip(found, ends)]
+    ends = [at for _, at in found[1:]] + [len(text)]
+    return text[: found[0][1]], [(m[1].upper(), text[m.end() : e]) for (m, _), e in zip(found, ends)]
+
+
+def option_at(text: str, at: int) -> int | None:
+    """Where an option begins whose letter is here, its bracket included; None if something else is before it."""
+    for p in (at - 1, at) if text[at - 1 : at] == "(" else (at,):
+        if p == 0 or text[p - 1].isspace() or text[p - 1] in '>("':
+            return p
+    return None
 
 
 def flat(text: str) -> str:
-    """norm() before the case is folded."""
+    """norm() without white space around it, before digits and case are folded."""
     if not text.isascii():
         text = unicodedata.normalize("NFC", text).replace("İ", "I")
-    return DIGIT.sub("0", SPACE.sub(" ", joined(text)))
+    return " ".join(joined(text).split())
 
 
 @cache
@@ -219,48 +242,99 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-STOPS = [ord(c) for c in ".?!…;"]
-AFTER_STOP = [ord(c) for c in "\x00 \n\"<*'_"]
+STOPS, AFTER_STOP = ".?!…;".__contains__, "\x00 \n\"<*'_".__contains__
+
 
+Counts = tuple[np.ndarray, np.ndarray, np.ndarray]
 
-def tally(rows: list[tuple[str | None, str | None]], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, ends, all continuations) of the contexts in rows of (user content, assistant content); with a bitmap only of keys in it."""
+
+def tally(rows: list[tuple[str | None, str | None]]) -> Counts:
+    """(key, ends, all continuations) of the contexts in rows of (user content, assistant content)."""
+    return merged(list(contexts(rows)))
+
+
+def contexts(rows: list[tuple[str | None, str | None]], wanted: np.ndarray | None = None) -> Iterator[Counts]:
+    """tally() in parts, in which a key may come more than once; with a bitmap only of keys in it."""
     sentences, options = [], []
     for user, assistant in rows:
-        if user and re.search(r"\w", user):
+        if user and LETTER.search(user):
             stem, opts = option_spans(user)
-            sentences.append(flat(stem).strip())
-            options += [flat(t).strip() for _, t in opts[:-1]]  # the last may be cut
-        if assistant and re.search(r"\w", explanation(assistant)[0]):
-            sentences.append(flat(explanation(assistant)[0]).strip())
-    out = []
+            sentences.append(flat(stem))
+            options += [flat(t) for _, t in opts[:-1]]  # the last may be cut
+        if assistant and LETTER.search(explanation(assistant)[0]):
+            sentences.append(flat(explanation(assistant)[0]))
     for texts, running in ((sentences, True), (options, False)):
-        cased = "\x00" + "\x00".join(texts) + "\x00"
-        codes = _codes(cased.translate(ONE_FOR_ONE))
+        cased = _codes("\x00" + "\x00".join(texts) + "\x00")
+        codes = np.where(cased < len(SMALL), SMALL[np.minimum(cased, len(SMALL) - 1)], cased)
+        codes[_kind(str.isdecimal, codes)] = ord("0")
         nxt = np.concatenate([codes, codes[:1]])  # followed by a zero, as it begins with one
         letter = _kind(str.isalnum, nxt)
         after_letter = np.concatenate([[False], letter[:-1]])
-        uses = {"word": (~letter, after_letter & (nxt != 0) if running else after_letter)}
-        if running:
-            stop = np.isin(nxt, STOPS) & np.concatenate([np.isin(nxt[1:], AFTER_STOP), [True]])
-            uses["sentence"] = stop, (nxt != 0) & after_letter
-            # after a stop: an end unless the next word is small
-            small = _kind(str.islower, _codes(cased))
-            following = np.concatenate([small[1:], [False, False]]) & (nxt == 32)
-            uses["stop"] = ~following, np.concatenate([[False], np.isin(nxt[:-1], STOPS)]) & np.isin(nxt, AFTER_STOP)
         places = np.arange(len(codes))
         room = np.concatenate([[0], places - np.maximum.accumulate(np.where(codes == 0, places, 0))])  # characters of the text before a position
-        for order, h in hashes(codes):
-            for kind, (end, use) in uses.items():
-                here = use[order:] & (room[order:] >= order)
-                keys, e = (h[here] ^ np.uint64(SALT[kind, order])) >> np.uint64(1), end[order:][here]
-                if wanted is not None:
-                    bit = keys & np.uint64((1 << FILTER_BITS) - 1)
-                    asked = (wanted[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-                    keys, e = keys[asked], e[asked]
-                out.append(keys << np.uint64(1) | e)
-    marked = np.sort(np.concatenate(out))
-    return summed((marked >> np.uint64(1)).astype(np.int64), (marked & np.uint64(1)).astype(np.int64), np.ones(len(marked), np.int64))
+        back = {order: np.zeros(len(room), np.uint64) for order in ORDERS if order <= len(codes)}  # of the contexts before each position, 0 if it has fewer characters
+        order = np.zeros(len(room), np.uint64)
+        for (k, h), width in zip(hashes(codes), WIDTHS):
+            np.multiply(h, room[k:] >= k, out=back[k][k:])
+            order <<= np.uint64(width)
+            order |= back[k] >> np.uint64(64 - width)
+        if not running:
+            yield from grouped(np.flatnonzero(after_letter & (room >= ORDERS[0])), back, order, {"word": ~letter}, wanted)
+            continue
+        after_stop = _kind(AFTER_STOP, nxt)
+        at_stop = _kind(STOPS, nxt)
+        stop = at_stop & np.concatenate([after_stop[1:], [True]])
+        yield from grouped(np.flatnonzero(after_letter & (nxt != 0) & (room >= ORDERS[0])), back, order, {"word": ~letter, "sentence": stop}, wanted)
+        # after a stop: an end unless the next word is small
+        small = _kind(str.islower, cased)
+        following = np.concatenate([small[1:], [False, False]]) & (nxt == 32)
+        use = np.concatenate([[False], at_stop[:-1]]) & after_stop & (room >= ORDERS[0])
+        yield from grouped(np.flatnonzero(use), back, order, {"stop": ~following}, wanted)
+
+
+#: bits of each order's hash that positions are sorted by, so that those of equal contexts meet
+WIDTHS = (16, 10, 7, 6, 5)
+
+
+def grouped(at: np.ndarray, back: dict[int, np.ndarray], order: np.ndarray, ends: dict[str, np.ndarray], wanted: np.ndarray | None) -> Iterator[Counts]:
+    """The contexts before the positions at, counted once for all orders and kinds. One sort brings the positions of a context together, for each order
+    within those of the shorter ones; where other contexts share the sorted bits, one may come in several parts."""
+    if not len(at):
+        return
+    digits = int(len(at) - 1).bit_length()
+    order = order[at] >> np.uint64(max(0, digits + sum(WIDTHS) - 64))
+    order <<= np.uint64(digits)
+    order |= np.arange(len(at), dtype=np.uint64)
+    order.sort()
+    at = at[(order & np.uint64((1 << digits) - 1)).view(np.int64)]
+    for k, hashed in back.items():
+        h = hashed[at]
+        first = np.concatenate([[0], np.flatnonzero(h[1:] != h[:-1]) + 1])
+        end = np.concatenate([first[1:], [len(at)]])
+        h = h[first]
+        further = np.zeros(len(h), bool)
+        for kind, is_end in ends.items():
+            upto = np.concatenate([[0], np.cumsum(is_end[at], dtype=np.int32)])
+            keys, a, b = (h ^ np.uint64(SALT[kind, k])) >> np.uint64(1), first, end
+            if wanted is not None:
+                bit = keys & np.uint64((1 << FILTER_BITS) - 1)
+                asked = (wanted[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool) & (h != 0)
+                further |= asked
+            else:
+                asked = h != 0
+            keys, a, b = keys[asked], a[asked], b[asked]
+            yield keys.view(np.int64), (upto[b] - upto[a]).astype(np.int64), b - a
+        if wanted is not None:  # who asks for a context asks for its shorter ones
+            at = at[np.repeat(further, end - first)]
+            if not len(at):
+                return
+
+
+def merged(counts: list[Counts]) -> Counts:
+    """The sum of counts, by key."""
+    keys, ends, total = (np.concatenate(c) for c in zip(*counts)) if counts else NOTHING
+    order = np.argsort(keys)
+    return summed(keys[order], ends[order], total[order])
 
 
 def summed(keys: np.ndarray, ends: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -297,7 +371,7 @@ def fit(rows: list[tuple[str | None, str | None]]) -> Ends:
 
 
 #: lower case without a change of length, so that positions stay
-ONE_FOR_ONE = {c: chr(c).lower() for c in range(0x250) if len(chr(c).lower()) == 1} | {ord("İ"): "i"}
+SMALL = np.array([ord(chr(c).lower()[0]) for c in range(0x250)], np.uint32)
 
 
 def made_cut(column: str, text: str, seed: str) -> str:
@@ -384,28 +458,43 @@ def end_odds(model: Ends, end: End) -> float:
     return min(found)
 
 
+#: one of these ends what MARKUP_END finds
+MARKS = tuple(">}]`$=-;\\)'gd")
+
+
+def ends_in_markup(text: str) -> bool:
+    """text: without white space at its end."""
+    return text.endswith(MARKS) and bool(MARKUP_END.search(text))
+
+
+def is_reference(line: str) -> bool:
+    """line: stripped. A reference ends on a bracket or its last word on a digit."""
+    last = next((c for c in reversed(line) if c.isalnum() or c == "_"), "")
+    return (line.endswith(")") or last.isdecimal()) and bool(REFERENCE.search(line))
+
+
 def running_end(text: str) -> End:
     """Whether running text (an explanation or stem) stops at the end of a sentence, item, row or reference."""
     t = text.rstrip()
     last = t.rsplit("\n", 1)[-1]
-    if PAGE_LINE.match(last) and "\n" in t and not VALUE.match(last):  # a page number below the last line
+    if "\n" in t and PAGE_LINE.match(last) and not VALUE.match(last):  # a page number below the last line
         return running_end(t.rsplit("\n", 1)[0])
     bare = t.rstrip(CLOSERS)
-    if MARKUP_END.search(t):
+    if ends_in_markup(t):
         inner = re.sub(r"(?:</?[A-Za-z][^<>]*>|\s)+$", "", t)
-        judged = t.endswith(">") and not t.endswith("-->") and inner and inner != t and not MARKUP_END.search(inner)
+        judged = t.endswith(">") and not t.endswith("-->") and inner and inner != t and not ends_in_markup(inner)
         return running_end(inner) if judged else End(CERTAIN)
     if "�" in t[-2:]:
         return End(-CERTAIN)
-    if TERMINAL.search(bare):
+    if bare.endswith(TERMINAL):
         if ITEM.match(last[:3] + "x"):
             return End(CERTAIN)
         return End(kind="stop", rest=norm(bare[-40:])[-ORDERS[-1] :])
     line = last.strip()
-    if REFERENCE.search(line) or VALUE.match(line) or bare != t and t[-1] in ")]" and "(" not in bare[-1:]:
+    if is_reference(line) or VALUE.match(line) or bare != t and t[-1] in ")]" and "(" not in bare[-1:]:
         return End(CERTAIN)
     context = norm(t[-60:]).rstrip(CLOSERS)
-    if ROW.search(line) or ITEM.search(line) and len(line) < 120:
+    if ("|" in line or "&" in line or "!" in line) and ROW.search(line) or len(line) < 120 and ITEM.search(line):
         return word_end(context, free=True)
     if not bare[-1:].isalnum():
         return End(-CERTAIN)
@@ -418,16 +507,16 @@ def option_end(text: str) -> End:
     tail = last.rsplit("\n", 1)
     if len(tail) == 2 and PAGE_LINE.match(tail[1]):
         last = tail[0].rstrip(CLOSERS)
-    if not re.search(r"\w", last):
+    if not LETTER.search(last):
         return End(-CERTAIN)
-    if TERMINAL.search(last) or MARKUP_END.search(text.rstrip()):
+    if last.endswith(TERMINAL) or ends_in_markup(text.rstrip()):
         return End(CERTAIN)
     return word_end(norm(last[-60:]), free=True)
 
 
 def ending(column: str, text: str | None) -> tuple[str, End | None] | None:
     """(the unit a value reached, what is asked of its end or None without a word in an open frame); None for one without a word to judge."""
-    if not text or not re.search(r"\w", text):
+    if not text or not LETTER.search(text):
         return None
     if column == "user":
         t = text.rstrip()
@@ -437,7 +526,7 @@ def ending(column: str, text: str | None) -> tuple[str, End | None] | None:
     units = assistant_units(text)
     if units == ["open"]:
         body = re.sub(r"<[a-z/]*$", "", body)
-    if not re.search(r"\w", body):
+    if not LETTER.search(body):
         return None if units[-1] != "open" else ("open", None)
     _, opts = option_spans(body)
     repeats = len({k for k, _ in opts}) >= 4 and len(opts[-1][1]) < 160  # it repeats the question with its options
@@ -505,13 +594,9 @@ def asked_odds(asked: DataFrame, records: DataFrame) -> DataFrame:
     bitmap = records.sparkSession.sparkContext.broadcast(key_bitmap(needs))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.frombuffer(bitmap.value, np.uint8)
-        for batch in batches:
-            rows = list(zip(*(c.to_pylist() for c in batch.columns)))
-            got = [tally(part, wanted) for part in parts(rows)]
-            keys, ends, total = (np.concatenate(c) for c in zip(*got)) if got else NOTHING
-            order = np.argsort(keys, kind="stable")
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in summed(keys[order], ends[order], total[order])], names=["key", "ends", "total"])
+        pairs = (pair for batch in batches for pair in zip(*(c.to_pylist() for c in batch.columns)))
+        for counts in summed_parts(pairs, np.frombuffer(bitmap.value, np.uint8)):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in counts], names=["key", "ends", "total"])
 
     counts = records.select("user", "assistant").mapInArrow(counted, "key long, ends long, total long")
     counts = counts.groupBy("key").agg(F.sum("ends").alias("ends"), F.sum("total").alias("total")).filter(F.col("total") >= LEAST)
@@ -532,7 +617,7 @@ def prior(kind: Column) -> Column:
     return reduce(lambda rest, k: F.when(kind == k, PRIOR[k]).otherwise(rest), PRIOR, F.lit(0.5))
 
 
-def parts(rows: list[tuple[str | None, str | None]], size: int = 250_000) -> Iterator[list[tuple[str | None, str | None]]]:
+def parts(rows: Iterable[tuple[str | None, str | None]], size: int = 250_000) -> Iterator[list[tuple[str | None, str | None]]]:
     """The rows in runs of about size characters."""
     run, n = [], 0
     for r in rows:
@@ -545,6 +630,23 @@ def parts(rows: list[tuple[str | None, str | None]], size: int = 250_000) -> Ite
         yield run
 
 
+def summed_parts(rows: Iterable[tuple[str | None, str | None]], wanted: np.ndarray) -> Iterator[Counts]:
+    """contexts() of any number of rows, summed as far as some MOST counts are held at a time."""
+    held, size = [], 0
+    for part in parts(rows):
+        for got in contexts(part, wanted):
+            held.append(got)
+            size += len(got[0])
+            if size > MOST:
+                held = [merged(held)]
+                size = len(held[0][0])
+                if size > MOST // 2:
+                    yield held.pop()
+                    size = 0
+    if held:
+        yield merged(held)
+
+
 def scored(plan: DataFrame, odds: DataFrame, units: DataFrame) -> DataFrame:
     """plan with the column score, as end_score()."""
     start = prior(F.col("kind"))

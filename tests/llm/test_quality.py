@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from derlem.llm import pairs, scan, subjects, truncation
+from derlem.llm import overlap, pairs, scan, subjects, truncation
 from derlem.sources.tables import first_content, table
 from tests.conftest import rows
 
@@ -409,3 +411,37 @@ def test_gradients_of_few_blocks_take_no_job_each(spark, monkeypatch):
     assert abs(few[0].w - few[1].w).max() < 1e-9 and abs(few[0].t - few[1].t).max() < 1e-9
     want = [few[0].likelihood(pairs.unpacked(x), y) for x, y, _, _ in seen]
     assert abs(pairs.likelihoods(few[0], *([r[k] for r in seen] for k in (0, 1))) - want).max() < 1e-9
+
+
+def test_counting_holds_a_bounded_part(dialogues):
+    """A task's memory does not follow its rows; what it passes on in parts is the count of all."""
+    told = [(f"{i} {u}", f"{a} {i * 7919}") for i, (_, u, a) in enumerate(dialogues[:900] * 3)]
+    wanted = np.full(1 << (overlap.FILTER_BITS - 3), 255, np.uint8)
+    tracemalloc.start()
+    parts, peak = [], 0
+    for got in truncation.summed_parts(iter(told), wanted):
+        peak = max(peak, tracemalloc.get_traced_memory()[1])
+        parts.append(tuple(c.copy() for c in got))
+        del got
+        tracemalloc.reset_peak()
+    tracemalloc.stop()
+    assert len(parts) > 1 and peak < 350e6
+    want = truncation.merged([c for r in truncation.parts(told, 20_000) for c in [truncation.tally(r)]])
+    assert all((a == b).all() for a, b in zip(truncation.merged(parts), want))
+    # with a bitmap, all that is asked for is counted
+    asked = {("word", "kalp debisi"), ("sentence", "kalp debisi"), ("word", "hangisi"), ("stop", "doğrudur?")}
+    keys = np.array([k for kind, context in sorted(asked) for k in truncation.context_keys(kind, context)], np.int64)
+    few = np.zeros_like(wanted)
+    for k in keys.astype(np.uint64) & np.uint64((1 << overlap.FILTER_BITS) - 1):
+        few[int(k) >> 3] |= 1 << (int(k) & 7)
+    got = truncation.merged(list(truncation.summed_parts(iter(told), few)))
+    (a, b), (c, d) = ((x[0], np.isin(x[0], keys)) for x in (got, want))
+    assert all((x[b] == y[d]).all() for x, y in zip(got, want)) and d.sum() > 8
+
+
+def test_faster_patterns_find_the_same():
+    told = [chr(c) for c in range(0x3000)] + ["ve", "ve ve-ve", "İLE", "bır", "BU", "Bu,bu", "olara\u212a", "olara", "vex", "xve", "\nve", " bir.", "bu_", "", "x" * 500 + "bu" * 9]
+    told += ["x" * n + " " + t for t in told for n in (33, 36, 38, 77)]
+    assert [t for t in told if (len(truncation.TURKISH.findall(t[-400:])) * 40 >= min(400, len(t))) != (truncation.language(t) == "tr")] == []
+    for text, want in [("A) x (B) y", [("A", "x "), ("B", "y")]), ("(a) x", [("A", "x")]), ("xA) y", []), ("((C) x", [("C", "x")]), ("d(D) x", [("D", "x")]), ("A - x\nB. y", [("A", "x\n"), ("B", "y")])]:
+        assert truncation.option_spans(text)[1] == want
