@@ -36,7 +36,7 @@ from derlem.session import materialize
 
 GROUP, CLAUSES = 1000, 50  # records that share foreign documents, and about how many of these
 BLOCK, PART = 20_000, 50_000  # places of a block of sequences; sequences of a partition of blocks
-HELD = 1 << 22  # blocks of so many bytes in all are summed in the driver
+HELD = 1 << 25  # blocks of so many bytes in all are summed in the driver
 TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 BREAK = re.compile(r"(?<=[.!?…;])[\"'”’)*_~]*\s+|\s*[\r\n]+\s*")
 OPENER = re.compile(r"^\W*(?:merhaba|selam|açıklama|aciklama|yanıt|cevap|soru|çözüm|gerekçe|tabii|elbette|hello|answer|explanation|question)\s*(?:[:.,!\-–]\s+|\n)", re.I)
@@ -551,25 +551,26 @@ def expected(crf: Crf, x: bytes, at: bytes, n: bytes, T: int) -> np.ndarray:
     e, move, start = np.exp(e - e.max(1, keepdims=True)), np.exp(crf.t - crf.t.max()), np.exp(crf.s - crf.s.max())
     places = np.ascontiguousarray(np.frombuffer(at, np.int32).reshape(-1, T).T)
     live, places = places >= 0, np.maximum(places, 0)
-    e = e[places]
-    a, p = np.empty_like(e), np.empty_like(e)
-    a[0] = start * e[0]
-    a[0] /= a[0].sum(1, keepdims=True)
+    e = [np.take(np.ascontiguousarray(e.T), p, axis=1) for p in places]  # by place, tag and sequence
+    a, one = [start[:, None] * e[0]], np.ones(K)
+    a[0] /= one @ a[0]
     for t in range(1, T):
-        np.multiply(a[t - 1] @ move, e[t], out=a[t])
-        a[t] /= a[t].sum(1, keepdims=True)
-    b, pair = np.ones(e.shape[1:]), np.zeros((K, K))
+        a.append((move.T @ a[-1]) * e[t])
+        a[t] /= one @ a[t]
+    b, pair, counts = np.ones(a[0].shape), np.zeros((K, K)), np.zeros((K, len(clauses_)))
     for t in range(T - 1, -1, -1):
         if t < T - 1:
             ahead = e[t + 1] * b
-            b = ahead @ move.T
-            weight = np.where(live[t + 1], number / (a[t] * b).sum(1), 0.0)
-            pair += (a[t] * weight[:, None]).T @ ahead
-            b = np.where(live[t + 1, :, None], b / b.max(1, keepdims=True), 1.0)
-        np.multiply(a[t], b, out=p[t])
-        p[t] *= (number * live[t] / p[t].sum(1))[:, None]
-    counts = np.stack([np.bincount(places.ravel(), p[..., k].ravel(), len(clauses_)) for k in range(K)], axis=1)
-    return np.concatenate([(clauses_.T @ counts).ravel(), (pair * move).ravel(), p[0].sum(0)])
+            b = np.where(live[t + 1], move @ ahead, 1.0)
+        p = a[t] * b
+        weight = number / (one @ p)
+        if t < T - 1:
+            pair += (a[t] * (weight * live[t + 1])) @ ahead.T
+            b /= one @ b
+        p *= weight * live[t]
+        for k in range(K):
+            counts[k] += np.bincount(places[t], p[k], len(clauses_))
+    return np.concatenate([(clauses_.T @ counts.T).ravel(), (pair * move).ravel(), p.sum(1)])
 
 
 def blocks(taught: DataFrame) -> DataFrame:

@@ -404,7 +404,7 @@ def test_gradients_of_few_blocks_take_no_job_each(spark, monkeypatch):
     assert abs(got.w).max() > 0.1 and len(spark.sparkContext.statusTracker().getJobIdsForGroup("few blocks")) < 30
     climb, few = pairs.Crf.climb, []
     monkeypatch.setattr(pairs.Crf, "climb", lambda self, g, n: climb(self, g, n, rounds=2))
-    for size in (1 << 22, 0):
+    for size in (1 << 25, 0):
         monkeypatch.setattr(pairs, "HELD", size, raising=False)
         few.append(pairs.Crf())
         pairs.climb(few[-1], pairs.blocks(df), 90)
