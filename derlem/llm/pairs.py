@@ -23,7 +23,10 @@ import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
-from functools import cached_property
+from typing import NamedTuple
+from functools import cached_property, reduce
+from itertools import chain
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +42,10 @@ BLOCK, PART = 20_000, 50_000  # places of a block of sequences; sequences of a p
 HELD = 1 << 25  # blocks of so many bytes in all are summed in the driver
 TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 BREAK = re.compile(r"(?<=[.!?…;])[\"'”’)*_~]*\s+|\s*[\r\n]+\s*")
+LINES = re.compile(r"[\r\n]+")
+STOP = re.compile(r"[.!?…;][\"'”’)*_~]*\s+")  # a BREAK within a line and what is before it
+STOPS, CLOSERS = tuple(".!?…;"), "\"'”’)*_~"
+CLOSING = tuple(CLOSERS)
 OPENER = re.compile(r"^\W*(?:merhaba|selam|açıklama|aciklama|yanıt|cevap|soru|çözüm|gerekçe|tabii|elbette|hello|answer|explanation|question)\s*(?:[:.,!\-–]\s+|\n)", re.I)
 ANSWER_LINE = re.compile(r"\s*(?:do[ğg]ru\s+cevap|correct answer)\s*:?\s*\(?[a-e]?\)?\s*$", re.I)
 MARKUP = re.compile(r"<[^<>]{1,60}>|[*_~`#|]+|&[a-zA-Z]+;")
@@ -54,7 +61,6 @@ FOREIGN_WORDS = frozenset(
     "il gli della che di per non sono nel alla um uma não mais com os".split()
 ) - {"o", "en", "de", "da", "on", "an", "a", "ya", "ne", "ay", "has"}
 TURKISH_WORDS = frozenset("ve ile bir bu için olan daha ise olarak yer alan göre da de en çok gibi kadar sonra önce ya veya ancak çünkü zira her ne ki o şu değil ama ilk son".translate(str.maketrans("ı", "i")).split())
-TURKISH_LETTERS = re.compile(r"[ğışİĞŞ]")
 #: the first person's inability or unwillingness, and phrases of declining, in folded letters; other persons do not count
 REFUSAL = re.compile(
     r"[ae]m[ae]m\b|[ae]m[iuü]yorum\b|m[ae]y[ae]ca[ğg]im\b|m[iuü]yorum\b|\b(?:yetkili|uzman|doktor|hekim) de[ğg]ilim|\büzgünüm|\bmaalesef|\bne yazik ki"
@@ -64,7 +70,7 @@ REFUSAL = re.compile(
 )
 #: what a refusal adds: advice and offers to the reader
 ADVICE = re.compile(r"m[ae]nizi? öner|\blütfen\b|\bisterseniz\b|\bmemnuniyetle\b|\byardimci ol|\bbaşvurunuz\b|\bbakiniz\b|\bdanişin|\bplease\b|\bconsult\b|\bhappy to help\b|\bbitte\b|\bteşekkür")
-#: each match of REFUSAL or ADVICE holds one of these; looking for them first spares the patterns most texts
+#: a response declines or advises with one of these; looking for them first spares the patterns most texts
 REFUSAL_PARTS = (
     "emem", "amam", "emam", "amem", "miyorum", "muyorum", "müyorum", "ayaca", "eyece", "ilim", "üzgün", "maalesef", "yazik ki", "dil modeli", "yapay zek", "kurallarim", "kaçin",
     "uygun bulm", "uygun de", "ru olmaz", "ediyorum", "çözümsüz", "mümkün de", "anlayişiniz", "yetkimi", "sorry", "cannot", "can't", "can’t", "can not", "won't", "afraid", "not able", "unable",
@@ -72,6 +78,19 @@ REFUSAL_PARTS = (
 )
 ADVICE_PARTS = ("öner", "lütfen", "isterseniz", "memnuniyetle", "yardimci", "başvurunuz", "bakiniz", "danişin", "please", "consult", "happy", "bitte", "teşekkür")
 END = re.compile(r"[.!?…:;][\"'”’)*_~`\s]*$")
+ENDS = tuple(".!?…:;")
+SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+REFUSAL_OTHERS = ("yeca", "yaca", " ai")  # each match of REFUSAL holds one of these or of its parts
+#: one of these is within a word of each text that holds a part, or that REFUSAL or ADVICE matches
+REFUSAL_PIECES, ADVICE_PIECES = (tuple({max(WORD.findall(p), key=len) for p in parts}) for parts in ((*REFUSAL_PARTS, *REFUSAL_OTHERS), ADVICE_PARTS))
+TOKEN = re.compile(rf"{WORD.pattern}|\n")
+
+
+def ended(text: str) -> bool:
+    """Whether END is found, looked for from behind."""
+    if text.endswith(ENDS):
+        return True
+    return not text[-1:].isalnum() and text.rstrip("\"'”’)*_~`" + SPACES).endswith(ENDS)
 
 FEATURES = (
     "bias", "echo>=0.9", "echo>=0.7", "echo<0.5", "foreign>=2", "foreign>=4", "no turkish", "turkish", "vocabulary>=0.5", "vocabulary<0.2",
@@ -86,6 +105,22 @@ FAR = 3.0
 DOUBT = math.log(0.8)
 
 
+class Memo(dict):
+    """of(key), kept for some keys."""
+
+    def __init__(self, of: Callable[[str], float], most: int = 200_000):
+        self.of, self.most = of, most
+
+    def __missing__(self, key: str) -> float:
+        if len(self) > self.most:
+            self.clear()
+        got = self[key] = self.of(key)
+        return got
+
+    def __reduce__(self) -> tuple:
+        return Memo, (self.of, self.most)
+
+
 class Trigrams:
     """Log odds per character of other languages against Turkish, from the character trigrams of two samples."""
 
@@ -93,33 +128,36 @@ class Trigrams:
         counts = [turkish, other]
         sizes = [sum(c.values()) + 5000 for c in counts]
         self.odds = {g: math.log((counts[1][g] + 0.5) / sizes[1]) - math.log((counts[0][g] + 0.5) / sizes[0]) for g in counts[0] | counts[1]}
-        self.memo: dict[str, float] = {}
-
-    @classmethod
-    def counted(cls, texts: Iterable[str]) -> Counter[str]:
-        return Counter(t[i : i + 3] for t in map(cls.bare, texts) for i in range(len(t) - 2))
+        self.memo = Memo(self.of_word)
 
     @staticmethod
-    def bare(text: str) -> str:
-        return f" {' '.join(words(text))} "
+    def counted(texts: Iterable[str]) -> Counter[str]:
+        """The trigrams of the words, each between spaces, once for each distinct word; BETWEEN counts those across two words, which no word asks for."""
+        seen: Counter[str] = Counter()
+        between = 0
+        for w in map(words, texts):
+            seen.update(w)
+            between += max(0, len(w) - 1)
+        out: Counter[str] = Counter({BETWEEN: between} if between else {})
+        for word, n in seen.items():
+            for g in trigrams(word):
+                out[g] += n
+        return out
+
+    def of_word(self, word: str) -> float:
+        return sum(self.odds.get(g, 0.0) for g in trigrams(word))
 
     def __call__(self, w: list[str]) -> float:
         """w: the words of a clause."""
-        total = n = 0
-        for word in w:
-            got = self.memo.get(word)
-            if got is None:
-                t = f" {word} "
-                if len(self.memo) > 200_000:
-                    self.memo.clear()
-                got = self.memo[word] = sum(self.odds.get(t[i : i + 3], 0.0) for i in range(len(t) - 2))
-            total += got
-            n += len(word)
-        return total / n if n else 0.0
+        return reduce(add, map(self.memo.__getitem__, w), 0.0) / n if (n := sum(map(len, w))) else 0.0
 
 
-def bits(on: Iterable[tuple[str, bool]]) -> int:
-    return sum(AT[name] for name, is_on in on if is_on)
+BETWEEN = "  "
+
+
+def trigrams(word: str) -> list[str]:
+    t = f" {word} "
+    return [t[i : i + 3] for i in range(len(word))]
 
 
 def plain(text: str) -> str:
@@ -134,58 +172,133 @@ def clauses(text: str) -> list[str]:
     for _ in range(2):
         if opener := OPENER.match(text):
             text = text[opener.end() :]
-    return [c for c in BREAK.split(text) if c and truncation.LETTER.search(c)]
+    return lettered(broken(text))
+
+
+def lettered(parts: list[str]) -> list[str]:
+    return [c for c in parts if c[0].isalpha() or truncation.LETTER.search(c)]
+
+
+def broken(text: str) -> list[str]:
+    """BREAK.split() without empty parts, faster: line by line, from one STOP to the next."""
+    if "\n" not in text and "\r" not in text:
+        lines = [text]
+    else:
+        lines = LINES.split(text)
+        for i, line in enumerate(lines):
+            lines[i] = line = line.lstrip() if i == len(lines) - 1 else line.strip() if i else line.rstrip()
+            if i < len(lines) - 1 and line.endswith(CLOSING) and (bare := line.rstrip(CLOSERS)).endswith(STOPS):
+                lines[i] = bare
+    out = []
+    for line in lines:
+        at = 0
+        for m in STOP.finditer(line):
+            out.append(line[at : m.start() + 1])
+            at = m.end()
+        out.append(line[at:])
+    return [c for c in out if c]
 
 
 def without_answer(body: str) -> str:
-    """Without ANSWER_LINE, whose words are among the last three."""
+    """Without ANSWER_LINE."""
+    return ANSWER_LINE.sub("", body) if may_answer(body) else body
+
+
+def may_answer(body: str) -> bool:
+    """ANSWER_LINE's words are among the last three."""
     tail = body.rstrip()[-60:].casefold()
-    return ANSWER_LINE.sub("", body) if "cevap" in tail or "answer" in tail or len(tail.split()) < 4 else body
+    return "cevap" in tail or "answer" in tail or len(tail.split()) < 4
 
 
-class Clause:
+class Clause(NamedTuple):
     """What a clause's features have of the clause alone."""
 
-    def __init__(self, text: str, vocabulary: frozenset[str], trigrams: Trigrams):
-        self.folded = fold(text)
-        self.words = w = WORD.findall(self.folded)
-        self.declines, self.advises = any([p in self.folded for p in REFUSAL_PARTS]), any([p in self.folded for p in ADVICE_PARTS])
-        self.said: tuple[bool, bool] | None = None
-        n = max(1, len(w))
-        foreign = sum([t in FOREIGN_WORDS for t in w])
-        turkish = sum([t in TURKISH_WORDS for t in w]) + len(TURKISH_LETTERS.findall(text))
-        known = sum([t in vocabulary for t in w]) / n
-        strange = trigrams(w)
-        self.open = not END.search(text)
-        self.bits = bits((
-            ("bias", True), ("foreign>=2", foreign >= 2), ("foreign>=4", foreign >= 4), ("no turkish", turkish == 0), ("turkish", turkish >= 2), ("vocabulary>=0.5", known >= 0.5),
-            ("vocabulary<0.2", known < 0.2), ("short", n <= 3), ("trigrams foreign", strange > 0.3), ("trigrams turkish", strange < -0.3),
-        ))
-
-    def phrases(self) -> tuple[bool, bool]:
-        if self.said is None:
-            self.said = bool(REFUSAL.search(self.folded)), bool(ADVICE.search(self.folded))
-        return self.said
-
-
-def features(parts: list[Clause], asked: Question, odds: float, structured: bool = False) -> list[int]:
-    """One number per clause, with a bit for each of FEATURES. odds: log odds of the response's end less their threshold; structured: the text ends
+    words: list[str]
+    size: int
+    bits: int
+    open: bool
+    declines: bool
+    advises: bool
+
+
+def read_clauses(texts: list[str], vocabulary: frozenset[str], trigrams: Trigrams) -> list[Clause]:
+    """Clauses without line ends, all at once."""
+    folded = fold("\n".join(texts))
+    tokens = TOKEN.findall(folded)
+    tokens.append("\n")
+    at: dict[str, int] = {}
+    every = np.fromiter((at.setdefault(t, len(at)) for t in tokens), np.int64, len(tokens))
+    distinct = list(at)
+    last = np.flatnonzero(every == at["\n"])  # each clause has its words and one line end
+    first = np.concatenate([[0], last[:-1] + 1])
+
+    def total(of: Iterable[float], kind: type) -> np.ndarray:
+        x = np.fromiter(of, kind, len(distinct))
+        x[at["\n"]] = 0
+        return np.add.reduceat(x[every], first)
+
+    n = np.maximum(1, last - first)
+    foreign, turkish, known = (total(map(w.__contains__, distinct), np.int64) for w in (FOREIGN_WORDS, TURKISH_WORDS, vocabulary))
+    turkish += np.fromiter(map(turkish_letters, texts), np.int64, len(texts))
+    strange = total(map(trigrams.memo.__getitem__, distinct), float) / np.maximum(1, total(map(len, distinct), np.int64))
+    kinds = [PIECES[w] for w in distinct]
+    refuses, offers = (total([k & bit for k in kinds], np.int64) > 0 for bit in (1, 2))
+    x = AT["bias"] + sum(
+        AT[name] * on
+        for name, on in (
+            ("foreign>=2", foreign >= 2), ("foreign>=4", foreign >= 4), ("no turkish", turkish == 0), ("turkish", turkish >= 2), ("vocabulary>=0.5", known / n >= 0.5),
+            ("vocabulary<0.2", known / n < 0.2), ("short", n <= 3), ("trigrams foreign", strange > 0.3), ("trigrams turkish", strange < -0.3),
+        )
+    )
+    lines = folded.split("\n")
+    declines, advises = [False] * len(texts), [False] * len(texts)
+    for i in np.flatnonzero(refuses):
+        declines[i] = any([p in lines[i] for p in REFUSAL_PARTS])
+        if declines[i] or any([p in lines[i] for p in REFUSAL_OTHERS]):
+            x[i] |= AT["refusal"] * bool(REFUSAL.search(lines[i]))
+    for i in np.flatnonzero(offers):
+        advises[i] = any([p in lines[i] for p in ADVICE_PARTS])
+        x[i] |= AT["advice"] * bool(ADVICE.search(lines[i]))
+    return [
+        Clause(tokens[a:b], size, bits, not ended(text), declining, advising)
+        for text, a, b, size, bits, declining, advising in zip(texts, first.tolist(), last.tolist(), n.tolist(), x.tolist(), declines, advises)
+    ]
+
+
+def turkish_letters(text: str) -> int:
+    """How many there are, from 2 on perhaps fewer."""
+    n = 0
+    for c in "ışğİŞĞ":
+        n += text.count(c)
+        if n > 1:
+            break
+    return n
+
+
+#: 1 for a word with one of REFUSAL_PIECES, 2 for one of ADVICE_PIECES, 3 for both
+PIECES = Memo(lambda word: any([p in word for p in REFUSAL_PIECES]) + 2 * any([p in word for p in ADVICE_PIECES]))
+UNSAID, UNADVISED = ~AT["refusal"], ~AT["advice"]
+
+
+def features(parts: list[Clause], texts: list[str], asked: Question, odds: float, structured: bool = False) -> list[int]:
+    """One number per clause, with a bit for each of FEATURES. texts: the clauses'; odds: log odds of the response's end less their threshold; structured: the text ends
     with a list item, row, value or reference."""
-    out = []
-    declines, advises = any([c.declines for c in parts]), any([c.advises for c in parts])
     question = asked.words
-    echoes = [sum([t in question for t in c.words]) / max(1, len(c.words)) if question else 0.0 for c in parts]
-    again = 0.0  # of a question that no clause repeats, nothing is repeated
-    if max(echoes) >= 0.7:
+    echoes, common = [], 0
+    for c, text in zip(parts, texts):
+        echo = asked.echoes.get(text)
+        if echo is None:
+            echo = asked.echoes[text] = sum(map(question.__contains__, c.words)) / c.size if question else 0.0
+        echoes.append(echo)
+    if max(echoes) >= 0.7:  # of a question that no clause repeats, nothing is repeated
         stem = asked.stem
-        again = len(stem.intersection(set().union(*(c.words for c in parts)))) / len(stem) if stem else 0.0
-    repeats = AT["repeats>=0.4"] * (again >= 0.4) | AT["repeats>=0.6"] * (again >= 0.6)
-    for c, echo in zip(parts, echoes):
-        x = c.bits | repeats | (ECHO_09 if echo >= 0.9 else ECHO_07 if echo >= 0.7 else ECHO_05 if echo < 0.5 else 0)
-        if declines or advises:
-            refuses, offers = c.phrases()
-            x |= AT["refusal"] * (declines and refuses) | AT["advice"] * (advises and offers)
-        out.append(x)
+        again = len(stem.intersection(chain.from_iterable([c.words for c in parts]))) / len(stem) if stem else 0.0
+        common = AT["repeats>=0.4"] * (again >= 0.4) | AT["repeats>=0.6"] * (again >= 0.6)
+    out = [c.bits | common | (ECHO_05 if echo < 0.5 else 0 if echo < 0.7 else ECHO_07 if echo < 0.9 else ECHO_09) for c, echo in zip(parts, echoes)]
+    if not any([c.declines for c in parts]):  # what declines without a part counts beside one with it
+        out = [x & UNSAID for x in out]
+    if not any([c.advises for c in parts]):
+        out = [x & UNADVISED for x in out]
     out[0] |= AT["first"]
     out[-1] |= AT["last"] | AT["no end"] * (not structured and parts[-1].open) | AT["cut"] * (odds < 0) | AT["not cut by far"] * (odds > FAR)
     return out
@@ -304,11 +417,32 @@ FOREIGN_SEEDS = (
 class Question:
     def __init__(self, text: str | None):
         self.text = text or ""
-        self.words = frozenset(words(plain(text))) if text else frozenset()
+        self.plain = plain(self.text)
+        self.listed = words(self.plain)
+        self.words = frozenset(self.listed)
+        self.echoes: dict[str, float] = {}  # share of a clause's words that the question holds
+
+    @cached_property
+    def stem_text(self) -> str:
+        return truncation.option_spans(self.text)[0]
+
+    @cached_property
+    def stem_parts(self) -> list[str]:
+        return clauses(self.stem_text)
+
+    def told_stem(self) -> list[str] | None:
+        """The clauses of a response of the stem, begun by an opener or not, where they are those of the stem; None where they have to be read."""
+        stem = self.stem_text
+        same = stem and stem[0].isalnum() and ends_alike(stem) and not SIGN.search(stem) and not truncation.BROKEN.search(f"{stem}\n")
+        return self.stem_parts if same and not OPENER.match(f"{stem}\n") and not may_answer(stem) else None
+
+    @cached_property
+    def terms(self) -> list[str]:
+        return [w for w in (self.listed if self.plain == self.text else words(self.text)) if len(w) > 5] or ["x"]
 
     @cached_property
     def stem(self) -> frozenset[str]:
-        return frozenset(words(plain(truncation.option_spans(self.text)[0])))
+        return frozenset(words(plain(self.stem_text)))
 
 
 class Judge:
@@ -325,13 +459,18 @@ class Judge:
             self.last = user, Question(user)
         return self.last[1]
 
-    def clause(self, text: str) -> Clause:
-        got = self.memo.get(text)
-        if got is None:
+    def clauses(self, parts: list[str]) -> list[Clause]:
+        self.learn(parts)
+        return [self.memo[c] for c in parts]
+
+    def learn(self, parts: Iterable[str]) -> None:
+        """Reads what is not in memory."""
+        new = list(dict.fromkeys(c for c in parts if c not in self.memo))
+        if new:
             if len(self.memo) > 20_000:
                 self.memo.clear()
-            got = self.memo[text] = Clause(text, self.vocabulary, self.trigrams)
-        return got
+                new = list(dict.fromkeys(parts))
+            self.memo.update(zip(new, read_clauses(new, self.vocabulary, self.trigrams)))
 
     def read(self, user: str | None, assistant: str, odds: float | None = None) -> tuple[list[str], list[int]]:
         """The clauses of the explanation and their features; odds: in place of the model's."""
@@ -340,8 +479,8 @@ class Judge:
         if not parts:
             return parts, []
         odds = truncation.margin(self.ends, "assistant", assistant) if odds is None else odds
-        found = [self.clause(c) for c in parts]
-        return parts, features(found, self.asked(user), odds, found[-1].open and structured(body))
+        found = self.clauses(parts)
+        return parts, features(found, parts, self.asked(user), odds, found[-1].open and structured(body))
 
     def coverage(self, user: str | None, assistant: str | None) -> dict[str, float]:
         """Share of each tag in the explanation's characters; empty without a clause."""
@@ -371,51 +510,92 @@ def worst(share: dict[str, float]) -> str | None:
 
 def structured(body: str) -> bool:
     last = body.rstrip().rsplit("\n", 1)[-1]
-    return any(p.search(last) for p in (truncation.ITEM, truncation.ROW, truncation.VALUE, truncation.REFERENCE, truncation.MARKUP_END))
+    return bool(truncation.is_item(last) or truncation.is_row(last) or truncation.VALUE.search(last) or truncation.is_reference(last.strip()) or truncation.ends_in_markup(last))
+
+
+class Lesson(NamedTuple):
+    """A training response: the tag of its clauses, that of the last one and, at some places, another; whether made of the answer. parts: its clauses, where
+    they are known without reading it."""
 
+    response: str
+    tag: int
+    last: int | None
+    at: range
+    other: int
+    own: bool
+    parts: list[str] | None
 
-def taught(user: str, assistant: str, pool: list[str], rng: np.random.Generator) -> list[tuple[str, int, int | None, range, int, bool]]:
-    """The training responses of a row: (text, tag of its clauses, that of the last one and, at some places, another; whether made of the answer).
-    pool: clauses of other languages."""
-    out: list[tuple[str, int, int | None, range, int, bool]] = []
-    real = True
 
-    def add(user: str, response: str, tag: int, last: int | None = None, at: range = range(0), other: int = 0) -> None:
-        out.append((response, tag, last, at, other, real))
+def taught(asked: Question, assistant: str, pool: list[str], rng: np.random.Generator, own: list[str] | None = None) -> list[Lesson]:
+    """The training responses of a row. pool: clauses of other languages; own: those of the response, where they are known."""
+    out: list[Lesson] = []
+    real, user = True, asked.text
+
+    def add(response: str, tag: int, last: int | None = None, at: range = range(0), other: int = 0, parts: list[str] | None = None) -> None:
+        out.append(Lesson(response, tag, last, at, other, real, parts))
 
     def framed(text: str) -> str:
         return f"<think>\n{text}\n</think>\n\nDoğru cevap: {'ABCDE'[int(rng.integers(5))]}"
 
-    terms = [w for w in words(user) if len(w) > 5] or ["x"]
+    terms = asked.terms
     term = terms[int(rng.integers(len(terms)))]
     pick = lambda seeds: seeds[int(rng.integers(len(seeds)))].replace("{}", term)
     wrap = framed if rng.random() < 0.7 else str
     body = truncation.explanation(assistant)[0].strip()
-    add(user, assistant, 0)
-    own, (stem, _) = clauses(body), truncation.option_spans(user)
+    add(assistant, 0)
+    own, stem = clauses(body) if own is None else own, asked.stem_text
+    simple = bool(own) and not SIGN.search(body) and not OPENER.match(body) and not truncation.BROKEN.search(body)  # its clauses stand in it as they are
     for c in own[:1]:
-        add(user, framed(" ".join(c.split()[: int(rng.integers(2, 5))]).rstrip(".,;:") + "."), 0)  # short, but complete
+        add(framed(" ".join(c.split()[: int(rng.integers(2, 5))]).rstrip(".,;:") + "."), 0)  # short, but complete
     if len(body) > 60:
         whole = assistant if rng.random() < 0.5 else f"<think>\n{body}"
         at = int(rng.integers(30, len(body)))
         cut = f"<think>\n{body[:at]}" if whole != assistant else framed(body[:at])
         if body[at - 1].isalnum() and body[at : at + 1].isalnum():  # inside a word: unfinished for certain
-            add(user, cut, 0, 4)
+            add(cut, 0, 4, parts=before(own, body, at) if simple else None)
     if len(own) > 2:  # an answer may begin with a sentence of the question or quote one of another language
-        told, asked = " ".join(own), clauses(stem)
-        if asked and END.search(asked[0]):
-            add(user, framed(f"{asked[0]} {told}"), 0, at=range(1), other=2)
+        told, first = " ".join(own), next(iter(asked.stem_parts), None)
+        again = lettered(broken(f"\n{told}\n")) if simple and len(told) >= 60 and not may_answer(told) and not told[0].isspace() else []
+        if first and ended(first):
+            add(framed(f"{first} {told}"), 0, at=range(1), other=2, parts=[first, *again] if again and starts(first) else None)
         quoted = pool[int(rng.integers(len(pool)))] if pool else pick(FOREIGN_SEEDS)
-        if END.search(own[0]) and END.search(quoted):
-            add(user, framed(f"{own[0]} {quoted} {' '.join(own[1:])}"), 0, at=range(1, 2), other=3)
+        if ended(own[0]) and ended(quoted):
+            known = again and starts(own[0]) and quoted.endswith(STOPS) and not quoted[0].isspace() and not SIGN.search(quoted)
+            add(framed(f"{own[0]} {quoted} {' '.join(own[1:])}"), 0, at=range(1, 2), other=3, parts=[own[0], quoted, *again[1:]] if known else None)
     real = False
-    add(user, wrap(("Açıklama: " if rng.random() < 0.3 else "") + (stem if rng.random() < 0.6 else user)), 2)
-    add(user, wrap(" ".join([pick(REFUSAL_SEEDS)] + [pick(ADVICE_SEEDS)] * int(rng.integers(2)))), 1)
-    n = int(rng.integers(2, 6))
-    add(user, wrap(" ".join(pool[int(rng.integers(len(pool)))] if pool else pick(FOREIGN_SEEDS) for _ in range(n))), 3)
+    begun, of_stem = rng.random() < 0.3, rng.random() < 0.6
+    add(wrap(("Açıklama: " if begun else "") + (stem if of_stem else user)), 2, parts=asked.told_stem() if of_stem else None)
+    said = [pick(REFUSAL_SEEDS)] + [pick(ADVICE_SEEDS)] * int(rng.integers(2))
+    add(wrap(" ".join(said)), 1, parts=as_told(said))
+    said = [pool[int(rng.integers(len(pool)))] if pool else pick(FOREIGN_SEEDS) for _ in range(int(rng.integers(2, 6)))]
+    add(wrap(" ".join(said)), 3, parts=as_told(said))
     return out
 
 
+def before(own: list[str], body: str, at: int) -> list[str] | None:
+    """The clauses of body up to at, a place inside a word, where body holds its clauses own as they are; None where they have to be read."""
+    head = body[:at]
+    if may_answer(head) or OPENER.match(f"{head}\n"):
+        return None
+    p = 0
+    for i, c in enumerate(own):
+        p = body.index(c, p)
+        if p + len(c) >= at:
+            return [*own[:i], head[p:]]
+        p += len(c)
+    return None
+
+
+def as_told(parts: list[str]) -> list[str] | None:
+    """The clauses of a response that tells these one after another, where they are the same; None where they have to be read."""
+    return parts if all(map(starts, parts)) and not may_answer(" ".join(parts)) else None
+
+
+def starts(clause: str) -> bool:
+    """Whether a text that begins with the clause and a space has it as its first one."""
+    return clause.endswith(STOPS) and not clause[0].isspace() and not SIGN.search(clause) and not OPENER.match(f"{clause} ")
+
+
 def tags(n: int, tag: int, last: int | None, at: range, other: int) -> list[int]:
     """Of a training response of n clauses."""
     return [other if i in at else tag for i in range(n - 1)] + [tag if last is None else last]
@@ -423,7 +603,11 @@ def tags(n: int, tag: int, last: int | None, at: range, other: int) -> list[int]
 
 def told_words(texts: Iterable[str | None]) -> Counter[str]:
     """Responses per word of their explanations."""
-    return Counter(t for a in texts if a for t in set(words(truncation.explanation(a)[0])))
+    out: Counter[str] = Counter()
+    for a in texts:
+        if a:
+            out.update(set(words(truncation.explanation(a)[0])))
+    return out
 
 
 def fit(rows: list[tuple[str | None, str | None]], foreign: list[str] = []) -> Judge:
@@ -439,7 +623,7 @@ def fit(rows: list[tuple[str | None, str | None]], foreign: list[str] = []) -> J
     for user, assistant in rows:
         if not user or not assistant:
             continue
-        for response, *how, own in taught(user, assistant, pool, rng):
+        for response, *how, own, _ in taught(judge.asked(user), assistant, pool, rng):
             x = judge.read(user, response)[1]
             if x:
                 xs.append(list(map(tuple, unpacked(x))))
@@ -473,6 +657,32 @@ def unpacked(x: np.ndarray) -> np.ndarray:
     return (np.asarray(x, np.int32)[..., None] >> np.arange(D) & 1).astype(float)
 
 
+NO_END = truncation.End()
+HELD_ROWS = 4000  # responses whose clauses are read at once
+
+
+class Seen(NamedTuple):
+    """What a response's row needs."""
+
+    parts: list[str]
+    body: str
+    asked: Question
+    got: tuple[str, truncation.End | None] | None
+    lang: str
+
+
+def ends_alike(text: str) -> bool:
+    """Whether its last clause is the same before a line end, before none and without the white space behind it."""
+    bare = text.rstrip()
+    return bare[-1:] not in CLOSERS and (len(bare) == len(text) or "\n" in text[len(bare) :])
+
+
+def stripped(text: str, body: str) -> bool:
+    """Whether the clauses of a response's body, as it was read, are those of its explanation without white space around it."""
+    bare = body.strip()
+    return bool(bare) and truncation.explanation(text)[0] == body and (body[0] == "\n" or not body[0].isspace()) and ends_alike(body) and not SIGN.search(bare) and not OPENER.match(body)
+
+
 SEEN = truncation.PLAN + ", n int, x array<int>, y array<int>, own boolean, sizes array<int>"
 
 
@@ -490,33 +700,48 @@ def sequences(records: DataFrame, foreign: DataFrame, judge: Judge) -> DataFrame
     def run(one: pa.Table, other: pa.Table) -> pa.Table:
         judge = shared.value
         pool = [c for _, t in sorted(zip(other.column("id").to_pylist(), other.column("text").to_pylist())) for c in clauses(t)]
-        out, last, real = [], [], []
-
-        def seen(user: str | None, text: str | None, n: int) -> tuple:
-            parts, x = judge.read(user, text, 0.0) if text and n >= 0 else ([], [])
-            return [len(c) for c in parts], x, truncation.ending("assistant", text) or (None, None), truncation.language(text or "")
-
-        def add(head: tuple, user: str | None, text: str | None, size: bool, n: int, how: list, own: bool) -> None:
-            if n != 1:  # the first training response is the row's own, which has been seen
-                last[:] = seen(user, text, n)
-            sizes, x, got, lang = last if n != 1 else real
-            if n == 0:
-                real[:] = last
-            y = tags(len(x), *how) if how and x else None
-            if n <= 0 or x:
-                out.append((*head, "assistant", n < 0, lang, size, got[0], *(got[1] or truncation.End()), n, x, y, own, sizes))
+        out = []
+
+        def seen(user: str | None, text: str | None, parts: list[str] | None = None, optionless: bool = False) -> Seen:
+            """parts: its clauses, where they are known; optionless: it is known to have no options."""
+            if not text:
+                return Seen([], "", judge.asked(user), None, truncation.language(""))
+            body, after = truncation.explanation(text)
+            got = truncation.response_ending(text, body, after, optionless)
+            if parts is None:
+                body = without_answer(body)
+                parts = clauses(body)
+            return Seen(parts, body, judge.asked(user), got, truncation.language(text))
+
+        held: list[tuple] = []
+
+        def flush() -> None:
+            judge.learn([c for *_, found in held for c in found.parts])
+            for *head, n, how, own, found in held:
+                clauses_ = [judge.memo[c] for c in found.parts]
+                x = features(clauses_, found.parts, found.asked, 0.0, clauses_[-1].open and structured(found.body)) if clauses_ else []
+                if n <= 0 or x:
+                    unit, end = found.got or (None, None)
+                    out.append((*head, unit, *(end or NO_END), n, x, tags(len(x), *how) if how and x else None, own, list(map(len, found.parts))))
+            held.clear()
 
         for i, k, user, text in zip(*(one.column(c).to_pylist() for c in ("id", "turn", "user", "assistant"))):
             size = len(text or "") >= 40
-            add((i, k), user, text, size, 0, [], False)
-            if size and truncation.ending("assistant", text):
-                cut = truncation.made_cut("assistant", text, f"{i} {k}")
-                if truncation.ending("assistant", cut):
-                    add((i, k), user, cut, True, -1, [], False)
-                    out[-1] = (*out[-1][:4], real[3], *out[-1][5:])
+            none = not truncation.may_have_options(truncation.explanation(text)[0]) if text else False
+            real = seen(user, text, None, none)
+            held.append((i, k, "assistant", False, real.lang, size, 0, [], False, real))
+            if size and real.got:
+                cut = seen(user, truncation.made_cut("assistant", text, f"{i} {k}"), [], none)
+                if cut.got:
+                    held.append((i, k, "assistant", True, real.lang, True, -1, [], False, cut))
             if user and text:
-                for n, (response, *how, own) in enumerate(taught(user, text, pool, np.random.default_rng([4, i & (1 << 63) - 1, k])), 1):
-                    add((i, k), user, response, False, n, how, own)
+                own = real.parts if stripped(text, real.body) else None
+                for n, (response, *how, of, parts) in enumerate(taught(real.asked, text, pool, np.random.default_rng([4, i & (1 << 63) - 1, k]), own), 1):
+                    found = real if n == 1 else seen(user, response, parts, none and how[1] == 4)  # the first training response is the row's own
+                    held.append((i, k, "assistant", False, found.lang, False, n, how, of, found))
+            if len(held) > HELD_ROWS:
+                flush()
+        flush()
         kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64(), "array<int>": pa.list_(pa.int32())}
         schema = pa.schema([(n, kinds[t]) for n, t in (c.split(" ") for c in SEEN.split(", "))])
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * len(schema), schema.types)], schema=schema)
@@ -546,28 +771,42 @@ def block(rows: list[tuple[list[int], list[int], int]]) -> tuple:
 
 def expected(crf: Crf, x: bytes, at: bytes, n: bytes, T: int) -> np.ndarray:
     """The other part: what the weights expect of a block, by forward-backward with each place scaled."""
-    clauses_, number = unpacked(np.frombuffer(x, np.int32)), np.frombuffer(n, float)
+    return expected_of(crf, *opened(x, at, n, T))
+
+
+def opened(x: bytes, at: bytes, n: bytes, T: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray | None]]:
+    """What no weight changes: the clauses, the numbers, and for each place the clauses of the sequences and which of these are as long (None: all)."""
+    places = np.ascontiguousarray(np.frombuffer(at, np.int32).reshape(-1, T).T)
+    live = [None if p.all() else p for p in places >= 0]
+    return unpacked(np.frombuffer(x, np.int32)), np.frombuffer(n, float), list(np.maximum(places, 0).astype(np.intp)), live
+
+
+def expected_of(crf: Crf, clauses_: np.ndarray, number: np.ndarray, places: list[np.ndarray], live: list[np.ndarray | None]) -> np.ndarray:
     e = clauses_ @ crf.w
     e, move, start = np.exp(e - e.max(1, keepdims=True)), np.exp(crf.t - crf.t.max()), np.exp(crf.s - crf.s.max())
-    places = np.ascontiguousarray(np.frombuffer(at, np.int32).reshape(-1, T).T)
-    live, places = places >= 0, np.maximum(places, 0)
-    e = [np.take(np.ascontiguousarray(e.T), p, axis=1) for p in places]  # by place, tag and sequence
+    by_tag, back, T = np.ascontiguousarray(e.T), np.ascontiguousarray(move.T), len(places)
+    e = [np.take(by_tag, p, axis=1) for p in places]  # by place, tag and sequence
     a, one = [start[:, None] * e[0]], np.ones(K)
     a[0] /= one @ a[0]
     for t in range(1, T):
-        a.append((move.T @ a[-1]) * e[t])
+        a.append(back @ a[-1])
+        a[t] *= e[t]
         a[t] /= one @ a[t]
     b, pair, counts = np.ones(a[0].shape), np.zeros((K, K)), np.zeros((K, len(clauses_)))
     for t in range(T - 1, -1, -1):
         if t < T - 1:
-            ahead = e[t + 1] * b
-            b = np.where(live[t + 1], move @ ahead, 1.0)
+            ahead = e[t + 1]
+            ahead *= b
+            b = move @ ahead
+            if live[t + 1] is not None:
+                b = np.where(live[t + 1], b, 1.0)
         p = a[t] * b
         weight = number / (one @ p)
         if t < T - 1:
-            pair += (a[t] * (weight * live[t + 1])) @ ahead.T
+            a[t] *= weight if live[t + 1] is None else weight * live[t + 1]
+            pair += a[t] @ ahead.T
             b /= one @ b
-        p *= weight * live[t]
+        p *= weight if live[t] is None else weight * live[t]
         for k in range(K):
             counts[k] += np.bincount(places[t], p[k], len(clauses_))
     return np.concatenate([(clauses_.T @ counts.T).ravel(), (pair * move).ravel(), p.sum(1)])
@@ -609,13 +848,13 @@ def climb(crf: Crf, parts: DataFrame, size: int) -> None:
     for r in parts.mapInArrow(sums_of(lambda gold, **_: np.array(gold)), "g array<double>").collect():
         gold += r["g"]
     size_held = parts.agg(F.sum(F.length("at") + F.length("x"))).first()[0] or 0
-    held = [tuple(r)[:4] for r in parts.collect()] if size_held <= HELD else None
+    held = [opened(*tuple(r)[:4]) for r in parts.collect()] if size_held <= HELD else None
 
     def gradient() -> list[np.ndarray]:
         if held is None:
             got = [r["g"] for r in parts.mapInArrow(sums_of(lambda x, at, n, t, **_: expected(crf, x, at, n, t)), "g array<double>").collect()]
         else:
-            got = [expected(crf, *b) for b in held]
+            got = [expected_of(crf, *b) for b in held]
         cuts = np.cumsum([math.prod(x) for x in shapes])[:-1]
         return [x.reshape(shape) for x, shape in zip(np.split(gold - np.sum(got, axis=0), cuts), shapes)]
 

@@ -35,7 +35,7 @@ import re
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterable, Iterator
-from functools import cache, reduce
+from functools import cache, lru_cache, reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -64,6 +64,8 @@ DOSE = re.compile(r"\b0+ mg \w+$")
 PAGE_LINE = re.compile(r"^\W*(?:sayfa|s\.)?\s*\d{1,4}\W*(?:/\s*\d{1,4}\W*)?$", re.I)
 
 OPTION_START = re.compile(r"([A-Ea-e])\s*(?:[).](?=\s|\xa0)|-(?=[\s\xa0]))\s*")
+#: an OPTION_START that option_at() takes, but for one at the beginning; looked for first, as texts without any are told faster by it
+OPTION_AFTER = re.compile(r"[\s>(\"][A-Ea-e]\s*[).\-][\s\xa0]")
 BREAK = re.compile(r"(\w)[-‑\u00ad¬=–‐][ \t\r]*\n\s*(?=\w)")
 BROKEN = re.compile(r"[-‑\u00ad¬=–‐][ \t\r]*\n")
 SPACE = re.compile(r"\s+")
@@ -76,6 +78,7 @@ def joined(text: str) -> str:
     return BREAK.sub(r"\1", text) if BROKEN.search(text) else text
 
 
+@lru_cache(1 << 12)
 def norm(text: str) -> str:
     if not text.isascii():
         text = unicodedata.normalize("NFC", text).replace("İ", "i")
@@ -202,6 +205,8 @@ def explanation(text: str) -> tuple[str, str | None]:
 
 def option_spans(text: str) -> tuple[str, list[tuple[str, str]]]:
     """(stem, (letter, option text) in order of appearance), on lines or run on."""
+    if not may_have_options(text):
+        return text, []
     found = [(m, at) for m in OPTION_START.finditer(text) if (at := option_at(text, m.start())) is not None]
     if not found:
         return text, []
@@ -209,6 +214,11 @@ def option_spans(text: str) -> tuple[str, list[tuple[str, str]]]:
     return text[: found[0][1]], [(m[1].upper(), text[m.end() : e]) for (m, _), e in zip(found, ends)]
 
 
+def may_have_options(text: str) -> bool:
+    """Where it is False, neither the text nor the beginning of it has any."""
+    return bool(OPTION_AFTER.search(text) or OPTION_START.match(text))
+
+
 def option_at(text: str, at: int) -> int | None:
     """Where an option begins whose letter is here, its bracket included; None if something else is before it."""
     for p in (at - 1, at) if text[at - 1 : at] == "(" else (at,):
@@ -421,15 +431,19 @@ def user_units(text: str) -> tuple[list[str], list[tuple[str, str]]]:
     return [str(k) for k in range(min(5, len({k for k, _ in opts})) + 1)], opts
 
 
-def assistant_units(text: str) -> list[str]:
-    """free (no frame), or open, closed and answered as far as they are reached; begun: an answer line not finished."""
-    body, after = explanation(text)
+def assistant_units(text: str, after: str | None) -> list[str]:
+    """free (no frame), or open, closed and answered as far as they are reached; begun: an answer line not finished. after: as explanation() has it."""
     if after is None:
         opened = FRAME_OPEN in text or "<" in text[-7:] and FRAME_OPEN.startswith(text[text.rindex("<") :])
         return ["open"] if opened else ["free"]
     if not after.strip():
         return ["open", "closed"]
-    return ["open", "closed", "begun", *(["answered"] if ANSWER.match(after) else [])]
+    return ["open", "closed", "begun", *(["answered"] if is_answer(after) else [])]
+
+
+@lru_cache(1 << 10)
+def is_answer(line: str) -> bool:
+    return bool(ANSWER.match(line))
 
 
 class End(NamedTuple):
@@ -473,6 +487,15 @@ def is_reference(line: str) -> bool:
     return (line.endswith(")") or last.isdecimal()) and bool(REFERENCE.search(line))
 
 
+def is_row(line: str) -> bool:
+    return ("|" in line or "&" in line or "!" in line) and bool(ROW.search(line))
+
+
+def is_item(line: str) -> bool:
+    """What ITEM finds, of which only brackets are looked for behind the beginning."""
+    return bool(ITEM.match(line) or ")" in line and ITEM.search(line))
+
+
 def running_end(text: str) -> End:
     """Whether running text (an explanation or stem) stops at the end of a sentence, item, row or reference."""
     t = text.rstrip()
@@ -494,7 +517,7 @@ def running_end(text: str) -> End:
     if is_reference(line) or VALUE.match(line) or bare != t and t[-1] in ")]" and "(" not in bare[-1:]:
         return End(CERTAIN)
     context = norm(t[-60:]).rstrip(CLOSERS)
-    if ("|" in line or "&" in line or "!" in line) and ROW.search(line) or len(line) < 120 and ITEM.search(line):
+    if is_row(line) or len(line) < 120 and is_item(line):
         return word_end(context, free=True)
     if not bare[-1:].isalnum():
         return End(-CERTAIN)
@@ -522,13 +545,19 @@ def ending(column: str, text: str | None) -> tuple[str, End | None] | None:
         t = text.rstrip()
         units, opts = user_units(t)
         return units[-1], End(-CERTAIN) if "�" in t[-2:] else option_end(opts[-1][1]) if opts else running_end(t)
-    body = explanation(text)[0]
-    units = assistant_units(text)
+    return response_ending(text, *explanation(text))
+
+
+def response_ending(text: str, body: str, after: str | None, optionless: bool = False) -> tuple[str, End | None] | None:
+    """ending() of a response, given its explanation(); optionless: this is known to have no options."""
+    if not LETTER.search(text):
+        return None
+    units = assistant_units(text, after)
     if units == ["open"]:
         body = re.sub(r"<[a-z/]*$", "", body)
     if not LETTER.search(body):
         return None if units[-1] != "open" else ("open", None)
-    _, opts = option_spans(body)
+    opts = [] if optionless else option_spans(body)[1]
     repeats = len({k for k, _ in opts}) >= 4 and len(opts[-1][1]) < 160  # it repeats the question with its options
     return units[-1], option_end(opts[-1][1]) if repeats else running_end(body)
 

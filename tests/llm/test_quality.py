@@ -445,3 +445,61 @@ def test_faster_patterns_find_the_same():
     assert [t for t in told if (len(truncation.TURKISH.findall(t[-400:])) * 40 >= min(400, len(t))) != (truncation.language(t) == "tr")] == []
     for text, want in [("A) x (B) y", [("A", "x "), ("B", "y")]), ("(a) x", [("A", "x")]), ("xA) y", []), ("((C) x", [("C", "x")]), ("d(D) x", [("D", "x")]), ("A - x\nB. y", [("A", "x\n"), ("B", "y")])]:
         assert truncation.option_spans(text)[1] == want
+
+
+def test_known_clauses_are_those_read(dialogues):
+    """Training responses made of clauses that are known are not read again; what is known of them is what reading finds."""
+    pieces = ["Kalp debisi artar.", "Soru: Nedir?", '"Zar geçirgenliği" değişir."', "Merhaba.", "• sternum", "<b>Önemli</b> olan budur.", "Cevap: A", "has-\nta gelir!", "— ", "Böbrek (sağ) büyür…)", "\r\n", "A) Ön yük B) Ard yük.", "debi:", "  ", "Açıklama:"]
+    rng = random.Random(5)
+    odd = ["".join(rng.choice(pieces) + rng.choice([" ", "\n", "  ", ""]) for _ in range(rng.randrange(1, 12))) for _ in range(1500)]
+    told = [(u, a) for _, u, a in dialogues if u and a][:400] + [(rng.choice(odd), frame(t) if i % 2 else t) for i, t in enumerate(odd)]
+    pool = ["The preload is often seen.", "None of these (or all) explain it!", "Man findet es,", '"It was said."', "  The end."]
+    seen = known = 0
+    for i, (u, a) in enumerate(told):
+        body = truncation.explanation(a)[0]
+        read = pairs.without_answer(body)
+        own = pairs.clauses(read) if pairs.stripped(a, read) else None
+        assert own is None or own == pairs.clauses(body.strip())
+        asked = pairs.Question(u)
+        for lesson in pairs.taught(asked, a, pool if i % 3 else [], np.random.default_rng(i), own):
+            if i < 400:
+                seen, known = seen + 1, known + (lesson.parts is not None)
+            want = pairs.clauses(pairs.without_answer(truncation.explanation(lesson.response)[0]))
+            assert lesson.parts is None or lesson.parts == want, lesson
+            if lesson.last == 4 and not truncation.may_have_options(body):
+                assert not truncation.option_spans(truncation.explanation(lesson.response)[0])[1]
+    assert known > 0.4 * seen
+
+
+def test_clauses_are_split_and_read_together_as_one_by_one(dialogues):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice(["a", "İ", "?", ".", "…", '"', ")", " ", "\n", "\r", "\t", "\xa0", "_", "1", "~"]) for _ in range(rng.randrange(14))) for _ in range(20_000)]
+    texts += [t for _, u, a in dialogues[:300] for t in (u, a) if t]
+    assert [t for t in texts if pairs.broken(t) != [c for c in pairs.BREAK.split(t) if c]] == []
+    assert [t for t in texts if "\n" not in t and pairs.ended(t) != bool(pairs.END.search(t))] == []
+    told = list(dict.fromkeys(c for t in texts for c in pairs.clauses(t))) + ["Üzgünüm, yapamam", "meyecağim", "as a ai", "lütfen danişin", "The sorry of the end is", "x" * 99]
+    odds = pairs.Trigrams(pairs.Trigrams.counted(texts), pairs.Trigrams.counted(["the end of it", "a b"]))
+    vocabulary = frozenset(w for t in told[::3] for w in pairs.words(t))
+    got = pairs.read_clauses(told, vocabulary, odds)
+    assert got == [pairs.read_clauses([t], vocabulary, odds)[0] for t in told]
+    for t, c in zip(told, got):
+        folded = pairs.fold(t)
+        w = pairs.WORD.findall(folded)
+        turkish = sum(x in pairs.TURKISH_WORDS for x in w) + sum(x in "ğışİĞŞ" for x in t)
+        foreign, known, n = sum(x in pairs.FOREIGN_WORDS for x in w), sum(x in vocabulary for x in w), max(1, len(w))
+        want = {"bias": True, "foreign>=2": foreign >= 2, "foreign>=4": foreign >= 4, "no turkish": turkish == 0, "turkish": turkish >= 2, "vocabulary>=0.5": known / n >= 0.5, "vocabulary<0.2": known / n < 0.2}
+        want |= {"short": n <= 3, "refusal": bool(pairs.REFUSAL.search(folded)), "advice": bool(pairs.ADVICE.search(folded)), "trigrams foreign": odds(w) > 0.3, "trigrams turkish": odds(w) < -0.3}
+        assert c.words == w and c.bits == sum(pairs.AT[k] for k, on in want.items() if on), t
+        assert (c.declines, c.advises) == tuple(any(p in folded for p in parts) for parts in (pairs.REFUSAL_PARTS, pairs.ADVICE_PARTS))
+
+
+def test_trigrams_are_counted_by_word():
+    texts = ["Kalp debisi a b", "", "— ", "x", "Kalp kalp"]
+    want = {}
+    for t in texts:
+        bare = f" {' '.join(pairs.words(t))} "
+        for i in range(len(bare) - 2):
+            g = bare[i : i + 3]
+            key = pairs.BETWEEN if g[1] == " " else g
+            want[key] = want.get(key, 0) + 1
+    assert pairs.Trigrams.counted(texts) == want
